@@ -1,0 +1,4 @@
+"""All registered queries."""
+
+from . import patterns, running, tables, windows  # noqa: F401
+from .registry import ORACLE, QUERIES  # noqa: F401
