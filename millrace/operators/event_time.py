@@ -25,6 +25,17 @@ def millis_to_time(df: DataFrame, column: str, name: str = "t") -> DataFrame:
     return df.withColumn(name, F.timestamp_millis(column))
 
 
+def instant(df: DataFrame, name: str) -> DataFrame:
+    """A time without zone as an instant, read as UTC (watermarks need instants)."""
+    return df.withColumn(name, F.timestamp_micros(as_micros(df, name)))
+
+
+def wall_time(df: DataFrame, *names: str) -> DataFrame:
+    """Instants as times without zone, in UTC."""
+    zoned = "convert_timezone(current_timezone(), 'UTC', CAST(`{}` AS timestamp_ntz))"
+    return df.withColumns({n: F.expr(zoned.format(n)) for n in names})
+
+
 def mark_lateness(
     df: DataFrame,
     arrival: Sequence[str],
