@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
-from typing import Any
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
+from pandas.core.groupby import DataFrameGroupBy
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -72,21 +72,22 @@ def top2_of(spark: SparkSession, view: str, key: str) -> DataFrame:
 class UserAggregate:
     """An aggregate a user writes in Python, in parts that Spark can spread.
 
-    ``accumulate`` folds a batch of one key's rows into a new accumulator,
-    ``merge`` joins two accumulators and ``result`` ends. An accumulator is a
-    tuple matching ``state``, a schema text.
+    ``accumulate`` turns grouped rows into one accumulator per key, ``merge``
+    grouped accumulators into one per key, and ``result`` a frame of
+    accumulators into values. ``state`` is the accumulator's schema text. All
+    three work on whole batches of keys at once.
     """
 
     state: str
     returns: str
 
-    def accumulate(self, rows: pd.DataFrame) -> tuple:
+    def accumulate(self, groups: DataFrameGroupBy) -> pd.DataFrame:
         raise NotImplementedError
 
-    def merge(self, a: tuple, b: tuple) -> tuple:
+    def merge(self, groups: DataFrameGroupBy) -> pd.DataFrame:
         raise NotImplementedError
 
-    def result(self, acc: tuple) -> Any:
+    def result(self, accumulators: pd.DataFrame) -> pd.Series:
         raise NotImplementedError
 
 
@@ -99,59 +100,61 @@ class Average(UserAggregate):
     def __init__(self, column: str):
         self.column = column
 
-    def accumulate(self, rows):
-        values = rows[self.column].dropna()
-        return float(values.sum()), len(values)
+    def accumulate(self, groups):
+        return groups[self.column].agg(total="sum", n="count")
 
-    def merge(self, a, b):
-        return a[0] + b[0], a[1] + b[1]
+    def merge(self, groups):
+        return groups[["total", "n"]].sum()
 
-    def result(self, acc):
-        return acc[0] / acc[1] if acc[1] else None
+    def result(self, accumulators):
+        return accumulators["total"] / accumulators["n"].where(accumulators["n"] > 0)
 
 
 def user_aggregate(
     df: DataFrame, keys: Sequence[str], fn: UserAggregate, name: str, columns: Sequence[str],
-    salts: int = 64,
+    held_keys: int = 100_000,
 ) -> DataFrame:
     """Apply a Python aggregate without bringing a key's rows to one task.
 
-    Every Arrow batch is folded where it lies; accumulators of a key are merged
-    first per (key, salt), then per key, each time one row at a time.
+    Rows are folded where they lie, so the shuffle carries about one
+    accumulator per key and task. After it, accumulators come sorted by key and
+    are merged batch by batch; only the last key of a batch is held over.
     """
+    keys = list(keys)
     state = T.StructType.fromDDL(fn.state)
     key_fields = [df.schema[k] for k in keys]
-    schema = T.StructType([*key_fields, *state.fields, T.StructField("_salt", T.IntegerType())])
-    order = [*keys, *state.names]
+    partial_schema = T.StructType([*key_fields, *state.fields])
+    out_schema = T.StructType([*key_fields, T.StructField(name, T._parse_datatype_string(fn.returns))])
+
+    def grouped(pdf: pd.DataFrame) -> DataFrameGroupBy:
+        return pdf.groupby(keys, dropna=False, sort=False)
+
+    def merged(parts: list[pd.DataFrame]) -> pd.DataFrame:
+        return fn.merge(grouped(pd.concat(parts, ignore_index=True))).reset_index()
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for at, batch in enumerate(batches):
-            rows = [
-                (*_as_tuple(key), *fn.accumulate(group), at % salts)
-                for key, group in batch.groupby(list(keys), dropna=False, sort=False)
-            ]
-            yield pd.DataFrame(rows, columns=[*order, "_salt"])
-
-    def merged(pdf: pd.DataFrame) -> tuple:
-        acc = None
-        for row in pdf[state.names].itertuples(index=False, name=None):
-            acc = row if acc is None else fn.merge(acc, row)
-        return acc
-
-    def step(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame([(*key[: len(keys)], *merged(pdf))], columns=order)
-
-    def finish(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame([(*key, fn.result(merged(pdf)))], columns=[*keys, name])
-
-    partial = df.select(*keys, *columns).mapInPandas(fold, schema)
-    # Which batches share a salt does not matter for the result; the salt also
-    # takes in the task, so a key seen by every task spreads over all salts.
-    salted = partial.withColumn("_salt", F.pmod(F.col("_salt") + F.spark_partition_id(), F.lit(salts)))
-    once = salted.groupBy(*keys, "_salt").applyInPandas(step, T.StructType([*key_fields, *state.fields]))
-    out = T.StructType([*key_fields, T.StructField(name, T._parse_datatype_string(fn.returns))])
-    return once.groupBy(*keys).applyInPandas(finish, out)
-
-
-def _as_tuple(key: Any) -> tuple:
-    return key if isinstance(key, tuple) else (key,)
+        held = None
+        for batch in batches:
+            new = fn.accumulate(grouped(batch)).reset_index()
+            held = new if held is None else merged([held, new])
+            if len(held) > held_keys:
+                yield held
+                held = None
+        if held is not None:
+            yield held
+
+    def finish(accumulators: pd.DataFrame) -> pd.DataFrame:
+        return accumulators[keys].assign(**{name: fn.result(accumulators)})
+
+    def join(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        open_key = None
+        for batch in batches:
+            done = merged([batch] if open_key is None else [open_key, batch])
+            open_key = done.tail(1)
+            yield finish(done.iloc[:-1])
+        if open_key is not None:
+            yield finish(open_key)
+
+    partial = df.select(*keys, *columns).mapInPandas(fold, partial_schema)
+    by_key = partial.repartition(*keys).sortWithinPartitions(*keys)
+    return by_key.mapInPandas(join, out_schema)

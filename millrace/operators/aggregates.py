@@ -133,49 +133,39 @@ def rising_alarm(df, keys, order, value: str, hold_us: int, limits=None) -> Data
     rows = tagged.running({"run": ("count", "_falls")})
     rows = tagged.over(rows).running({"_ends": ("latest", "_falls")}, reverse=True)
     rising = untag(rows).where(F.col("_falls").isNull())
-    # One run never spans tasks; a run is scanned batch by batch in constant
-    # memory, whatever its length.
+    # A timer that the run's end would cancel never fires, and neither does a
+    # later one of that run, so those rows can go before the shuffle.
+    fires = rising.where(F.col("_ends").isNull() | (F.col("_t") + hold_us < F.col("_ends")))
+    # A run is scanned batch by batch in constant memory, whatever its length.
     laid_out = (
-        rising.select(*keys, "run", "_t", "_ends")
+        fires.select(*keys, "run", "_t")
         .repartition(*keys, "run")
         .sortWithinPartitions(*keys, "run", "_t")
     )
-    fields = [laid_out.schema[c] for c in (*keys, "run")]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
     group = [*keys, "run"]
+    fields = [laid_out.schema[c] for c in group]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        open_group, deadline, ends = None, None, None
+        open_run, deadline = None, 0
         for batch in batches:
-            out = []
             if not len(batch):
                 continue
             names, above = batch[group], batch[group].shift()
             change = names.ne(above) & ~(names.isna() & above.isna())
-            change = change.any(axis=1).to_numpy()
-            change[0] = True
-            starts = np.flatnonzero(change)
+            starts = np.flatnonzero(change.any(axis=1).to_numpy())
+            times, firing = batch["_t"].to_numpy(), []
             for lo, hi in zip(starts, [*starts[1:], len(batch)]):
-                name = tuple(batch[c].iat[lo] for c in group)
-                name = tuple(None if pd.isna(v) else v for v in name)
-                times = batch["_t"].to_numpy()[lo:hi]
-                if name != open_group:
-                    if deadline is not None and (ends is None or deadline < ends):
-                        out.append((*open_group, deadline))
-                    open_group, deadline = name, None
-                    last = batch["_ends"].iat[lo]
-                    ends = None if pd.isna(last) else int(last)
-                at = 0
-                while at < len(times):
-                    if deadline is None:
-                        deadline = int(times[at]) + hold_us
-                    at = int(np.searchsorted(times, deadline, side="right"))
-                    if at < len(times):
-                        out.append((*open_group, deadline))
-                        deadline = None
-            yield pd.DataFrame(out, columns=[*group, "alarm_at"])
-        if deadline is not None and (ends is None or deadline < ends):
-            yield pd.DataFrame([(*open_group, deadline)], columns=[*group, "alarm_at"])
+                run = tuple(None if pd.isna(v) else v for v in names.iloc[lo]) if lo == 0 else None
+                at = lo
+                if run is not None and run == open_run:
+                    at += int(np.searchsorted(times[lo:hi], deadline, side="right"))
+                while at < hi:
+                    firing.append(at)
+                    deadline = int(times[at]) + hold_us
+                    at += int(np.searchsorted(times[at:hi], deadline, side="right"))
+            open_run = tuple(None if pd.isna(v) else v for v in names.iloc[-1])
+            yield names.iloc[firing].assign(alarm_at=times[firing] + hold_us)
 
     return laid_out.mapInPandas(scan, f"{schema}, alarm_at bigint")
 

@@ -11,7 +11,9 @@ slice needs from its neighbours is brought to it:
 * frames of a bounded number of rows get copies of the few rows just outside
   the block, and so do frames of a bounded time span.
 
-Which keys are large is found by one pre-aggregated count per key. At most
+Slices start as equal parts of the key's time range. A slice that still holds
+too many rows (a burst, or many rows of one instant) is cut again, along the
+first order column that varies inside it. Which keys are large is found by one pre-aggregated count per key. At most
 ``max_hot_keys`` of them come to the driver: any key beyond the N largest holds
 fewer than total/N rows, so leaving it whole is safe.
 """
@@ -37,6 +39,8 @@ class Limits:
     rows_per_task: int = 4_000_000
     max_hot_keys: int = 10_000
     max_slices: int = 100_000
+    max_rounds: int = 3
+    max_pieces: int = 10_000
 
     @staticmethod
     def of(df: DataFrame) -> "Limits":
@@ -57,6 +61,12 @@ def as_micros(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("bigint")
 
 
+def _floor_div(number: Column, by: Column | int) -> Column:
+    """Whole-number division rounding down, without the rounding of doubles."""
+    by = F.lit(by) if isinstance(by, int) else by
+    return ((number - F.pmod(number, by)) / by).cast("bigint")
+
+
 def _all(conditions: Sequence[Column]) -> Column:
     return reduce(lambda a, b: a & b, conditions)
 
@@ -74,19 +84,31 @@ class Ordered:
         keys: Sequence[str],
         order: Sequence[str],
         limits: Limits | None = None,
-        _hot: DataFrame | bool | None = True,
+        _like: "Ordered | None" = None,
     ):
         self.df, self.keys, self.order = df, list(keys), list(order)
         self.limits = limits or Limits.of(df)
-        self.hot = self._find_hot() if _hot is True else _hot
+        if _like is not None:
+            self.hot, self.cuts = _like.hot, _like.cuts
+        else:
+            self.hot, self.cuts = None, []
+            self._find_hot()
 
     def over(self, df: DataFrame) -> "Ordered":
         """The same key and order over a derived frame, without a new count."""
-        return Ordered(df, self.keys, self.order, self.limits, _hot=self.hot)
+        return Ordered(df, self.keys, self.order, self.limits, _like=self)
+
+    @classmethod
+    def whole(cls, df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> "Ordered":
+        """Sequences whose keys are known to be of ordinary size: no count, no cuts."""
+        seq = cls.__new__(cls)
+        seq.df, seq.keys, seq.order = df, list(keys), list(order)
+        seq.limits, seq.hot, seq.cuts = Limits(), None, []
+        return seq
 
     # -- finding and cutting large keys ------------------------------------
 
-    def _find_hot(self) -> DataFrame | None:
+    def _find_hot(self) -> None:
         lim = self.limits
         found = (
             self.df.select(*self.keys, as_micros(self.df, self.order[0]).alias(AT))
@@ -99,28 +121,63 @@ class Ordered:
         else:
             rows = [r for r in found.collect() if r["n"]]
         if not rows:
-            return None
-        spark = self.df.sparkSession
-        per_slice = max(lim.rows_per_task, sum(r["n"] for r in rows) // lim.max_slices)
-        least = 1 if self.keys else spark.sparkContext.defaultParallelism
+            return
+        total = sum(r["n"] for r in rows)
+        per_slice = max(lim.rows_per_task, total // lim.max_slices)
+        least = 1 if self.keys else self.df.sparkSession.sparkContext.defaultParallelism
         data = []
         for r in rows:
-            if r["lo"] is None:  # no order value at all: nothing to cut along
-                continue
+            lo, hi = (0, 0) if r["lo"] is None else (r["lo"], r["hi"])
             # Four times more slices than the row count asks for, since events
             # are seldom spread evenly over the time range.
             pieces = max(4 * -(-r["n"] // per_slice), least)
-            width = max(1, -(-(r["hi"] - r["lo"] + 1) // pieces))
-            data.append((*[r[k] for k in self.keys], r["lo"], width))
-        if not data:
-            return None
-        fields = [
-            T.StructField(f"_hot_{k}", self.df.schema[k].dataType) for k in self.keys
-        ]
-        schema = T.StructType(
-            fields + [T.StructField(_LO, T.LongType()), T.StructField(_WIDTH, T.LongType())]
-        )
-        return spark.createDataFrame(data, schema)
+            data.append((*[r[k] for k in self.keys], lo, max(1, -(-(hi - lo + 1) // pieces))))
+        self.hot = self._small_table(data, [_LO, _WIDTH])
+        if total > lim.rows_per_task:
+            self._cut_again(2 * per_slice)
+
+    def _small_table(self, data: list[tuple], columns: Sequence[str]) -> DataFrame:
+        keys = [T.StructField(f"_hot_{k}", self.df.schema[k].dataType) for k in self.keys]
+        rest = [T.StructField(c, T.LongType()) for c in columns]
+        return self.df.sparkSession.createDataFrame(data, T.StructType(keys + rest))
+
+    def _numbers(self) -> list[Column]:
+        """The leading order columns that can be cut: times and whole numbers."""
+        able = (T.TimestampType, T.TimestampNTZType, T.IntegralType)
+        columns = []
+        for name in self.order:
+            if not isinstance(self.df.schema[name].dataType, able):
+                break
+            columns.append(as_micros(self.df, name))
+        return columns
+
+    def _cut_again(self, limit: int) -> None:
+        """Cut slices of more than ``limit`` rows, a few rounds at most.
+
+        There are at most total/limit of them, so they fit the driver.
+        """
+        lim, axes = self.limits, self._numbers()
+        for _ in range(lim.max_rounds if axes else 0):
+            rows = self._sliced().where(F.col(_LO).isNotNull())
+            stats = [F.count(F.lit(1)).alias("n")]
+            for i, axis in enumerate(axes):
+                stats += [F.min(axis).alias(f"lo{i}"), F.max(axis).alias(f"hi{i}"), F.count(axis).alias(f"has{i}")]
+            heavy = rows.groupBy(*self.keys, SLICE).agg(*stats).where(F.col("n") > limit)
+            data, span = [], 1
+            for r in heavy.collect():
+                for i in range(len(axes)):
+                    lo, hi, has = r[f"lo{i}"], r[f"hi{i}"], r[f"has{i}"]
+                    if not has or (lo == hi and has == r["n"]):
+                        continue  # constant in this slice: the next column decides
+                    lo -= has < r["n"]  # rows without a value sort before the rest
+                    pieces = min(4 * -(-r["n"] * 2 // limit), lim.max_pieces)
+                    width = max(1, -(-(hi - lo + 1) // pieces))
+                    span = max(span, (hi - lo) // width + 1)
+                    data.append((*[r[k] for k in self.keys], r[SLICE], i, lo, width))
+                    break
+            if not data:
+                return
+            self.cuts.append((self._small_table(data, ["_cut_slice", "_axis", "_cut_lo", "_cut_width"]), span))
 
     @property
     def is_cut(self) -> bool:
@@ -143,13 +200,27 @@ class Ordered:
     @staticmethod
     def _cell(at: Column, width: Column) -> Column:
         # A row without an order value sorts first, so it belongs in slice 0.
-        return F.coalesce(F.floor((at - F.col(_LO)) / width).cast("bigint"), F.lit(0))
+        return F.coalesce(_floor_div(at - F.col(_LO), width), F.lit(0))
 
     def _sliced(self) -> DataFrame:
         rows = self._tagged()
         if SLICE in self.df.columns:
             return rows
-        return rows.withColumn(SLICE, self._cell(F.col(AT), F.col(_WIDTH)))
+        rows = rows.withColumn(SLICE, self._cell(F.col(AT), F.col(_WIDTH)))
+        for cut, span in self.cuts:
+            on = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in self.keys]
+            on += [F.col(SLICE) == F.col("_cut_slice"), F.col(_LO).isNotNull()]
+            value = F.coalesce(
+                *[F.when(F.col("_axis") == i, axis) for i, axis in enumerate(self._numbers())],
+                F.col("_cut_lo"),
+            )
+            piece = _floor_div(value - F.col("_cut_lo"), F.col("_cut_width"))
+            rows = (
+                rows.join(F.broadcast(cut), _all(on), "left")
+                .withColumn(SLICE, F.col(SLICE) * span + F.coalesce(piece, F.lit(0)))
+                .drop(*[f"_hot_{k}" for k in self.keys], *cut.columns[len(self.keys):])
+            )
+        return rows
 
     def tag(self) -> "Ordered":
         """Keep the slice columns, so that several steps share one shuffle.
@@ -258,7 +329,7 @@ class Ordered:
         placed = self.over(self.positions())._tagged()
 
         def block(pos: Column) -> Column:
-            return F.floor(pos / size).cast("bigint")
+            return _floor_div(pos, size)
 
         return self._blocked(placed, block, F.col(POS), before, after, columns, self.order)
 

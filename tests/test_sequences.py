@@ -23,6 +23,14 @@ def rows(spark):
     return spark.createDataFrame(data, SCHEMA).repartition(5)
 
 
+def bursts(spark):
+    """A key with most rows in one instant, some without a time."""
+    rng = random.Random(3)
+    times = [None] * 60 + [5] * 300 + [rng.randrange(10**9) for _ in range(60)] + [10**12]
+    return spark.createDataFrame(
+        [("hot" if i % 5 else "warm", t, i, rng.randrange(9)) for i, t in enumerate(times)], SCHEMA)
+
+
 def same(a, b):
     a, b = a.select(sorted(a.columns)), b.select(sorted(b.columns))
     key = lambda r: tuple(str(x) for x in r)
@@ -40,7 +48,7 @@ def test_running(rows, keys, reverse, mode):
     how = {"reverse": reverse, "inclusive": mode != "before", "ties": mode == "ties"}
     if mode == "ties":
         del kinds["latest"]  # not defined among equal times
-    want = Ordered(rows, keys, ["t", "id"], WHOLE, _hot=None)
+    want = Ordered.whole(rows, keys, ["t", "id"])
     got = Ordered(rows, keys, ["t", "id"], CUT)
     assert got.is_cut and not want.is_cut
     same(got.running(kinds, **how), want.running(kinds, **how))
@@ -55,7 +63,7 @@ def test_frames(rows, keys):
             "c": F.lead("id").over(w),
         }
 
-    want = Ordered(rows, keys, ["t", "id"], WHOLE, _hot=None)
+    want = Ordered.whole(rows, keys, ["t", "id"])
     got = Ordered(rows, keys, ["t", "id"], CUT)
     same(got.framed(columns, before=3, after=1), want.framed(columns, before=3, after=1))
 
@@ -94,3 +102,17 @@ def test_session_agrees(rows, gap):
         windows.session(timed, ["k"], "ts", gap, aggs, CUT),
         windows.session(timed, ["k"], "ts", gap, aggs, WHOLE),
     )
+
+
+def test_bursts_are_cut(spark):
+    rows = bursts(spark)
+    got = Ordered(rows, ["k"], ["t", "id"], CUT)
+    assert got.cuts
+    sizes = got._sliced().groupBy("k", "_slice").count().agg(F.max("count")).first()[0]
+    assert sizes <= 40
+    kinds = {"s": ("sum", "v"), "f": ("first", "id"), "l": ("latest", "v")}
+    for reverse in (False, True):
+        want = Ordered.whole(rows, ["k"], ["t", "id"]).running(kinds, reverse=reverse)
+        same(got.running(kinds, reverse=reverse), want)
+    lead = lambda w: {"n": F.lead("id", 2).over(w)}
+    same(got.framed(lead, after=2), Ordered.whole(rows, ["k"], ["t", "id"]).framed(lead, after=2))
