@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import aggregates, combine, event_time, windows
+from ..operators.sequences import Limits
 from ..session import scratch_path
-from ..sinks import files as file_sinks
 from ..sources import files
 from ..streaming import late, processors, run
 from .registry import DAY, HOUR, ORACLE, events, query
@@ -30,8 +30,11 @@ def _closing(rows):
         values.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in rows.schema])
 
 
-def _replay(spark, rows, build, mode="append", close=False):
-    written = run.replay(spark, rows, "ts", build, mode, closing=_closing(rows) if close else None)
+def _replay(spark, rows, build, mode="append", close=False, keyed=False):
+    # Rows of a key are sorted in memory by the keyed processors, so those
+    # micro-batches are held to what one task can take.
+    most = Limits.of(rows).rows_per_task if keyed else None
+    written = run.replay(spark, rows, "ts", build, mode, rows_per_step=most, closing=_closing(rows) if close else None)
     if not close:
         return written
     written = written.where("user_id >= 0").drop("batch_id")
@@ -157,7 +160,7 @@ def stream_jump_alarm(spark, sf):
         alarm = processors.JumpAlarm("user_id", ["ts", "event_id"], "event_id", "value", 10.0)
         return processors.apply(stream, alarm, "user_id bigint, event_id bigint, previous double, value double")
 
-    return _replay(spark, _rows(spark, sf, "value"), build).drop("batch_id")
+    return _replay(spark, _rows(spark, sf, "value"), build, keyed=True).drop("batch_id")
 
 
 @query("stream_changelog", ORACLE["retract_changelog"])
@@ -166,7 +169,7 @@ def stream_changelog(spark, sf):
         log = processors.Changelog("user_id", ["ts", "event_id"], "event_id", "cents")
         return processors.apply(stream, log, "user_id bigint, event_id bigint, op string, total bigint")
 
-    return _replay(spark, _rows(spark, sf), build).drop("batch_id")
+    return _replay(spark, _rows(spark, sf), build, keyed=True).drop("batch_id")
 
 
 @query("stream_top3", ORACLE["top3_running"])
@@ -175,7 +178,7 @@ def stream_top3(spark, sf):
         top = processors.RunningTop3("user_id", ["ts", "event_id"], "event_id", "value")
         return processors.apply(stream, top, "user_id bigint, event_id bigint, top1 double, top2 double, top3 double")
 
-    return _replay(spark, _rows(spark, sf, "value"), build).drop("batch_id")
+    return _replay(spark, _rows(spark, sf, "value"), build, keyed=True).drop("batch_id")
 
 
 @query("stream_event_timer", "SELECT DISTINCT user_id, epoch_us(ts) // 1000 + 5000 AS fired_ms FROM events")
@@ -185,7 +188,7 @@ def stream_event_timer(spark, sf):
         stream = stream.withWatermark("ts", "0 seconds").where("user_id >= 0 OR ms IS NULL").fillna({"ms": 0})
         return processors.apply(stream, timers, "user_id bigint, fired_ms bigint", "EventTime")
 
-    return _replay(spark, _keyed(spark, sf), build, close=True)
+    return _replay(spark, _keyed(spark, sf), build, close=True, keyed=True)
 
 
 @query("stream_rising_alarm", f"""
@@ -196,7 +199,7 @@ def stream_rising_alarm(spark, sf):
         stream = stream.withWatermark("ts", "0 seconds").fillna({"ms": 0, "value": 0.0})
         return processors.apply(stream, alarm, "user_id bigint, alarm_ms bigint", "EventTime")
 
-    return _replay(spark, _keyed(spark, sf, "value"), build, close=True)
+    return _replay(spark, _keyed(spark, sf, "value"), build, close=True, keyed=True)
 
 
 @query("stream_order_timeout", ORACLE["cep_order_timeout"].replace("first_event_id", "first_id").replace("last_event_id", "last_id"))
@@ -207,4 +210,4 @@ def stream_order_timeout(spark, sf):
         stream = stream.withWatermark("ts", "0 seconds").fillna({"ms": 0, "event_id": -1, "event_type": ""})
         return processors.apply(stream, match, "user_id bigint, tag string, first_id bigint, last_id bigint", "EventTime")
 
-    return _replay(spark, _keyed(spark, sf, "event_type"), build, close=True)
+    return _replay(spark, _keyed(spark, sf, "event_type"), build, close=True, keyed=True)

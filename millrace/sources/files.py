@@ -10,6 +10,11 @@ def read_lines(spark: SparkSession, path: str, stream: bool = False) -> DataFram
     return (spark.readStream if stream else spark.read).text(path)
 
 
+def read_socket(spark: SparkSession, host: str, port: int) -> DataFrame:
+    """Lines from a socket; for trying things out, since a socket cannot be read again."""
+    return spark.readStream.format("socket").option("host", host).option("port", port).load()
+
+
 def read_delimited(
     spark: SparkSession, path: str, schema: str, sep: str = ",",
     line_sep: str | None = None, stream: bool = False, files_per_batch: int | None = None,

@@ -161,6 +161,29 @@ class EventTimers(KeyedProcessor):
         return [(at_ms,)], state
 
 
+class ProcessingTimers(KeyedProcessor):
+    """A timer ``delay_ms`` after a key's rows arrive; every firing gives a row.
+
+    Use it with the time mode ``ProcessingTime`` and a trigger that keeps
+    running, since only a running query can fire it.
+    """
+
+    state, output = "rows bigint", ["rows"]
+
+    def __init__(self, key, delay_ms: int):
+        super().__init__(key, [])
+        self.delay = delay_ms
+
+    def handleInputRows(self, key, rows, timerValues) -> Out:
+        seen = self.value.get()[0] if self.value.exists() else 0
+        self.value.update((seen + sum(len(r) for r in rows),))
+        self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.delay)
+        yield self._frame(key, [])
+
+    def fire(self, state, at_ms):
+        return [state], state
+
+
 class RisingAlarm(KeyedProcessor):
     """An alarm when values have kept rising for ``hold_ms``.
 

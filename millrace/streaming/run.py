@@ -8,6 +8,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.sequences import as_micros
 from ..session import ROCKSDB_PROVIDER, scratch_path
 
 Build = Callable[[DataFrame], DataFrame]
@@ -68,25 +69,30 @@ def latest(updates: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def replay(
     spark: SparkSession, rows: DataFrame, time: str, build: Build, mode: str = "append",
-    steps: int = 3, closing: DataFrame | None = None,
+    steps: int = 3, rows_per_step: int | None = None, closing: DataFrame | None = None,
 ) -> DataFrame:
     """Run a streaming job over a table, in time order, and return all it wrote.
 
-    The table goes into a folder in ``steps`` slices of time. After each slice
-    the job is started again from its checkpoint and ends when it has caught
-    up, so state has to survive a restart. ``closing`` rows come last, to move
-    the watermark past every open window.
+    The table is laid out once by equal steps of time, at least ``steps`` and
+    enough for about ``rows_per_step`` rows in each. After each step the job is
+    started again from its checkpoint and ends when it has caught up, so state
+    has to survive a restart. ``closing`` rows come last, to move the watermark
+    past every open window.
     """
     base = scratch_path(spark, "replay")
-    source, out, checkpoint = f"{base}/in", f"{base}/out", f"{base}/checkpoint"
-    lo, hi = rows.agg(F.min(time), F.max(time)).first()
-    edges = [lo + (hi - lo) / steps * i for i in range(1, steps)]
-    slices = []
-    for start, end in zip([None, *edges], [*edges, None]):
-        part = rows if start is None else rows.where(F.col(time) >= F.lit(start))
-        slices.append(part if end is None else part.where(F.col(time) < F.lit(end)))
+    staged, source, out, checkpoint = (f"{base}/{n}" for n in ("staged", "in", "out", "checkpoint"))
+    at = as_micros(rows, time)
+    n, lo, hi = rows.agg(F.count(F.lit(1)), F.min(at), F.max(at)).first()
+    if rows_per_step:
+        steps = max(steps, -(-n // rows_per_step))
+    width = max(1, -(-((hi or 0) - (lo or 0) + 1) // steps))
+    step = F.coalesce(F.floor((at - F.lit(lo)) / width), F.lit(0)).cast("int")
+    laid_out = rows.withColumn("_step", step).repartitionByRange(time)
+    laid_out.write.partitionBy("_step").parquet(staged)
+    by_step = spark.read.schema(laid_out.schema).parquet(staged)
+    parts = [by_step.where(F.col("_step") == i).drop("_step") for i in range(steps)]
     schema = None
-    for part in [*slices, *([closing] if closing is not None else [])]:
+    for part in [*parts, *([closing] if closing is not None else [])]:
         part.select(rows.columns).write.mode("append").parquet(source)
         result = build(spark.readStream.schema(rows.schema).parquet(source))
         schema = result.schema
