@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .sequences import Limits, Ordered, as_micros, untag
+from .sequences import Ordered, Run, as_micros
 
 
 def word_count(words: DataFrame, word: str = "word") -> DataFrame:
@@ -72,8 +72,9 @@ def reduce_running(df, keys, order, value: str, carried: Sequence[str], limits=N
 def distinct_running(df, member: str, order: Sequence[str], name: str = "uv", limits=None):
     """How many different ``member`` values the whole input held after each row."""
     whole = Ordered(df, [], order, limits)
-    seen = Ordered(df, [member], order, limits).positions("_nth")
-    fresh = seen.withColumn("_fresh", F.when(F.col("_nth") == 1, 1))
+    by_member = Ordered(df, [member], order, limits)
+    seen = by_member.positions("_nth")
+    fresh = by_member.settled(seen.withColumn("_fresh", F.when(F.col("_nth") == 1, 1))).df
     return whole.over(fresh).running({name: ("count", "_fresh")}).drop("_nth", "_fresh")
 
 
@@ -129,10 +130,10 @@ def rising_alarm(df, keys, order, value: str, hold_us: int, limits=None) -> Data
     rows = rows.withColumn("_t", time).withColumn(
         "_falls", F.when(F.col("_last").isNotNull() & ~(F.col(value) > F.col("_last")), F.col("_t"))
     )
-    tagged = seq.over(rows).tag()
-    rows = tagged.running({"run": ("count", "_falls")})
-    rows = tagged.over(rows).running({"_ends": ("latest", "_falls")}, reverse=True)
-    rising = untag(rows).where(F.col("_falls").isNull())
+    rows = seq.settled(rows).running(
+        {"run": Run("count", "_falls"), "_ends": Run("latest", "_falls", reverse=True)}
+    )
+    rising = rows.where(F.col("_falls").isNull())
     # A timer that the run's end would cancel never fires, and neither does a
     # later one of that run, so those rows can go before the shuffle.
     fires = rising.where(F.col("_ends").isNull() | (F.col("_t") + hold_us < F.col("_ends")))

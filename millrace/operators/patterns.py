@@ -24,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .sequences import Ordered, as_micros, untag
+from .sequences import Ordered, Run, as_micros
 
 R, T_, EV = "_rank", "_time", "_event"
 Condition = Column | str
@@ -51,13 +51,15 @@ def single(seq: Ordered, where: Condition) -> DataFrame:
     return seq.df.where(_holds(where))
 
 
-def _with_next(seq: Ordered, fields: Sequence[str], then: Condition) -> DataFrame:
+def _with_next(seq: Ordered, fields: Sequence[str], then: Condition, position: str | None = None) -> DataFrame:
     """Attach the following row of the key: its fields, time, and whether it fits."""
     rows = seq.df.withColumn(T_, as_micros(seq.df, seq.order[0])).withColumn(
         EV, F.struct(F.col(T_).alias("at"), _holds(then).alias("fits"),
                      _event(seq, fields).alias("row"))
     )
-    return seq.over(rows).framed(lambda w: {"_next": F.lead(EV).over(w)}, after=1).drop(EV)
+    return seq.over(rows).framed(
+        lambda w: {"_next": F.lead(EV).over(w)}, after=1, position=position
+    ).drop(EV)
 
 
 def _in_time(last: Column, first: Column, within: int | None) -> Column:
@@ -121,26 +123,27 @@ def followed_by(seq: Ordered, first: Condition, then: Condition, fields: Sequenc
     )
 
 
-def _closers(seq: Ordered, closes: Condition, fields: Sequence[str], within: int | None):
-    """For each row: how many rows up to and including it close a match, the
-    next closing row after it, and the last one in reach."""
-    rows = seq.df.withColumn(T_, as_micros(seq.df, seq.order[0])).withColumn(
-        "_closes", _holds(closes)
-    )
-    tagged = seq.over(rows).tag()
-    rows = tagged.running({R: ("count", F.when(F.col("_closes"), 1))})
-    rows = rows.withColumn(
-        EV, F.when(F.col("_closes"), F.struct(F.col(R).alias("rank"), F.col(T_).alias("at"),
-                                              _event(seq, fields).alias("row")))
-    )
-    rows = tagged.over(rows).running({"_head": ("latest", EV)}, reverse=True, inclusive=False)
+def _closers(seq: Ordered, closes: Condition, fields: Sequence[str], within: int | None) -> DataFrame:
+    """For each row the next closing row after it, the last one in reach, and
+    how many there are from one to the other."""
+    rows = seq.df.withColumn(T_, as_micros(seq.df, seq.order[0]))
+    place = F.struct(*[as_micros(seq.df, c) for c in seq.order]) if within is None else F.col(T_)
+    event = F.struct(F.col(T_).alias("at"), _event(seq, fields).alias("row"))
+    rows = rows.withColumn(EV, F.when(_holds(closes), event)).withColumn("_at_order", place)
+    after = {"reverse": True, "inclusive": False}
+    wanted = {R: Run("count", EV), "_head": Run("latest", EV, **after)}
     if within is None:
-        rows = tagged.over(rows).running({"_tail": ("max", EV)}, reverse=True, inclusive=False)
-    else:
-        rows = seq.over(untag(rows)).time_framed(
-            lambda w: {"_tail": F.max(EV).over(w.rangeBetween(0, within - 1))}, after=within - 1
-        )
-    return untag(rows)
+        # Later rows come first in reverse, so the first event is the last one.
+        last = F.when(F.col(EV).isNotNull(), F.struct("_at_order", F.col(EV).alias("e")))
+        wanted |= {"_tail": Run("max", last, **after), "n_matches": Run("count", EV, **after)}
+        rows = seq.over(rows).running(wanted)
+        return rows.withColumn("_tail", F.col("_tail.e"))
+    rows = seq.over(rows).running(wanted)
+    ranked = F.when(F.col(EV).isNotNull(), F.struct(F.col(R).alias("rank"), F.col(EV).alias("e")))
+    rows = seq.over(rows.withColumn(EV, ranked)).time_framed(
+        lambda w: {"_reach": F.max(EV).over(w.rangeBetween(0, within - 1))}, after=within - 1
+    )
+    return rows.withColumns({"_tail": F.col("_reach.e"), "n_matches": F.col("_reach.rank") - F.col(R)})
 
 
 def followed_by_any(seq: Ordered, first: Condition, then: Condition, fields: Sequence[str],
@@ -152,12 +155,11 @@ def followed_by_any(seq: Ordered, first: Condition, then: Condition, fields: Seq
     """
     rows = _closers(seq, then, fields, within).where(_holds(first) & F.col("_head").isNotNull())
     rows = rows.where(_in_time(F.col("_head.at"), F.col(T_), within))
-    n = F.col("_tail.rank") - F.col("_head.rank") + 1
     return rows.select(
         *seq.keys, *[F.col(f).alias(f"first_{f}") for f in fields],
         *_unfold(rows, "_head.row", "last", fields),
         *_unfold(rows, "_tail.row", "final", fields),
-        n.alias("n_matches"),
+        "n_matches",
     )
 
 
@@ -180,41 +182,51 @@ def one_or_more(
     """
     stop = _holds(until)
     fits = _holds(where) & ~stop
-    breaks = (~fits) if consecutive else stop
-    rows = seq.df.withColumn(T_, as_micros(seq.df, seq.order[0]))
-    rows = rows.withColumn("_fits", fits).withColumn("_breaks", breaks)
-
-    tagged = seq.over(rows).tag()
-    rows = tagged.running({R: ("count", F.when(F.col("_fits"), 1))})
-    here = F.struct(F.col(R).alias("rank"), F.col(T_).alias("at"), _event(seq, fields).alias("row"))
-    rows = rows.withColumn(EV, F.when(F.col("_fits"), here))
-    # The fitting row just before each breaking row, seen from the rows ahead
-    # of the break; without a break the key's last fitting row.
-    rows = tagged.over(rows).running({"_before": ("latest", EV)})
-    rows = rows.withColumn("_mark", F.when(F.col("_breaks"), F.struct(F.col("_before").alias("e"))))
-    rows = tagged.over(rows).running(
-        {"_end": ("latest", "_mark"), "_whole": ("max", EV)}, reverse=True
-    )
-    rows = rows.where(F.col("_fits")).withColumn(
-        "_run", F.when(F.col("_end").isNotNull(), F.col("_end.e")).otherwise(F.col("_whole"))
-    ).drop("_end", "_whole", "_mark", "_before", "_fits", "_breaks")
-    matching = tagged.over(rows)
+    rows = seq.df.withColumn(T_, as_micros(seq.df, seq.order[0])).withColumn("_fits", fits)
+    rows = rows.withColumn("_breaks", ~F.col("_fits") if consecutive else stop)
+    event = F.struct(F.col(T_).alias("at"), _event(seq, fields).alias("row"))
+    rows = rows.withColumn(EV, F.when(F.col("_fits"), event))
+
+    # Without a break the loop runs to the key's last fitting row. In reverse,
+    # that row is the earliest, and counting on from here gives its rank.
+    last = F.struct(*[as_micros(seq.df, c).alias(f"_o{i}") for i, c in enumerate(seq.order)], F.col(EV).alias("e"))
+    ends = {
+        R: Run("count", EV),
+        "_rest": Run("count", EV, reverse=True, inclusive=False),
+        "_whole": Run("max", F.when(F.col("_fits"), last), reverse=True),
+        "_before": Run("latest", EV),
+    }
+    rows = seq.over(rows).running(ends)
+    whole = F.struct((F.col(R) + F.col("_rest")).alias("rank"), F.col("_whole.e").alias("e"))
+    rows = rows.withColumn("_run", whole)
+    if until is not None or consecutive:
+        # A breaking row knows the rank and the event of the last fitting row
+        # before it; the rows ahead of it look it up.
+        mark = F.struct(F.col(R).alias("rank"), F.col("_before").alias("e"))
+        rows = rows.withColumn("_mark", F.when(F.col("_breaks"), mark))
+        rows = seq.settled(rows.drop("_whole", "_before", "_rest")).running(
+            {"_end": Run("latest", "_mark", reverse=True)}
+        )
+        rows = rows.withColumn("_run", F.coalesce("_end", "_run"))
+    here = F.struct(F.col(R).alias("rank"), F.col(EV).alias("e"))
+    rows = rows.where(F.col("_fits")).withColumn(EV, here)
+    rows = rows.select(*seq.df.columns, R, EV, "_run")
     if within is not None:
-        matching = seq.over(untag(rows))
-        matching = matching.over(matching.time_framed(
+        rows = seq.over(rows).time_framed(
             lambda w: {"_near": F.max(EV).over(w.rangeBetween(0, within - 1))}, after=within - 1
-        ))
-        rows = matching.df.withColumn("_run", F.least("_run", "_near"))
-    rows = rows.withColumn("n_matches", F.col("_run.rank") - F.col(R) - (at_least - 2))
+        )
+        near = F.col("_near.rank") < F.col("_run.rank")
+        rows = rows.withColumn("_run", F.when(near, F.col("_near")).otherwise(F.col("_run")))
     ahead = at_least - 1
-    short = seq.over(untag(rows)).framed(
-        lambda w: {"_short": F.lead(EV, ahead).over(w)}, after=ahead
+    rows = rows.withColumn("n_matches", F.col("_run.rank") - F.col(R) + 1 - ahead)
+    rows = seq.over(rows).framed(
+        lambda w: {"_short": F.lead(EV, ahead).over(w)}, after=ahead, position=R
     ) if ahead else rows.withColumn("_short", F.col(EV))
-    short = untag(short).where(F.col("n_matches") > 0)
-    return short.select(
+    rows = rows.where(F.col("n_matches") > 0)
+    return rows.select(
         *seq.keys, *[F.col(f).alias(f"first_{f}") for f in fields],
-        *_unfold(short, "_short.row", "last", fields),
-        *_unfold(short, "_run.row", "final", fields),
+        *_unfold(rows, "_short.e.row", "last", fields),
+        *_unfold(rows, "_run.e.row", "final", fields),
         "n_matches",
     )
 
@@ -239,22 +251,34 @@ def times(seq: Ordered, where: Condition, ident: str, least: int, most: int | No
     return matches.select(*seq.keys, F.col("_match.id").alias("events"))
 
 
-def _loops(seq, where, ident, most, until=None, consecutive=False, extra=()) -> DataFrame:
-    """From each fitting row, it and up to ``most - 1`` fitting rows after it."""
+def _loops(seq, where, ident, most, until=None, consecutive=False, then=None) -> DataFrame:
+    """From each fitting row, it and up to ``most - 1`` fitting rows after it.
+
+    With ``then``, each of them also says whether the row strictly next to it
+    fits that, and names it.
+    """
     stop = _holds(until)
     fits = _holds(where) & ~stop
     rows = seq.df.withColumn(T_, as_micros(seq.df, seq.order[0])).withColumn("_fits", fits)
-    segment = F.lit(0)
+    counted = {R: Run("count", F.when(F.col("_fits"), 1))}
     if until is not None or consecutive:
         breaks = ~F.col("_fits") if consecutive else stop
-        rows = seq.over(rows).running({"_segment": ("count", F.when(breaks, 1))})
-        segment = F.col("_segment")
-    item = F.struct(F.col(ident).alias("id"), F.col(T_).alias("at"),
-                    segment.alias("segment"), *extra)
-    rows = rows.withColumn(EV, item).where(F.col("_fits"))
+        counted["_segment"] = Run("count", F.when(breaks, 1))
+    if then is not None:
+        counted["_place"] = Run("count", F.lit(1))
+    rows = seq.over(rows).running(counted)
+    item = [F.col(ident).alias("id"), F.col(T_).alias("at"),
+            (F.col("_segment") if "_segment" in counted else F.lit(0)).alias("segment")]
+    if then is not None:
+        rows = rows.withColumn("_closes", F.struct(_holds(then).alias("fits"), F.col(ident).alias("id")))
+        rows = seq.over(rows).framed(
+            lambda w: {"_next": F.lead("_closes").over(w)}, after=1, position="_place"
+        )
+        item += [F.col("_next.fits").alias("fits"), F.col("_next.id").alias("next")]
+    rows = rows.where(F.col("_fits")).withColumn(EV, F.struct(*item))
     ahead = seq.over(rows).framed(
         lambda w: {"_ahead": F.collect_list(EV).over(w.rowsBetween(0, most - 1))},
-        after=most - 1,
+        after=most - 1, position=R,
     )
     return ahead.withColumn(
         "_loop", F.filter("_ahead", lambda e: e["segment"] == F.col(f"{EV}.segment"))
@@ -271,9 +295,7 @@ def loop_then_next(
     ``optional`` also matches ``then`` with no loop before it. ``events`` lists
     the loop, ``then_id`` the closing row.
     """
-    rows = _with_next(seq, [ident], then)
-    after = [F.col("_next.fits").alias("fits"), F.col(f"_next.row.{ident}").alias("next")]
-    loops = _loops(seq.over(rows.drop(T_)), loop, ident, most, extra=after)
+    loops = _loops(seq, loop, ident, most, then=then)
     sizes = F.filter(
         F.sequence(F.lit(least), F.lit(most)),
         lambda n: (n <= F.size("_loop")) & F.coalesce(F.get("_loop", n - 1)["fits"], F.lit(False)),
@@ -301,13 +323,13 @@ def group_times(seq: Ordered, first: Condition, then: Condition, ident: str, cou
     ``starts`` and ``nexts`` list the rows of the pairs; pairs do not overlap.
     """
     placed = seq.over(seq.positions("_place"))
-    pairs = _with_next(placed, [ident], then).where(_holds(first) & F.col("_next.fits"))
+    pairs = _with_next(placed, [ident], then, "_place").where(_holds(first) & F.col("_next.fits"))
     pairs = pairs.withColumn(
         EV, F.struct(F.col("_place").alias("at"), F.col(ident).alias("start"),
                      F.col(f"_next.row.{ident}").alias("next"))
     )
     reach = 2 * (count - 1)  # an overlapping pair can stand before each usable one
-    ahead = seq.over(pairs).framed(
+    ahead = seq.settled(pairs).framed(
         lambda w: {"_ahead": F.collect_list(EV).over(w.rowsBetween(0, reach))}, after=reach
     )
     kind = ahead.schema["_ahead"].dataType.simpleString()

@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import settle
+
 SLICE, BLOCK, AT, HOME, POS = "_slice", "_block", "_at", "_home", "_pos"
 _LO, _WIDTH = "_slice_lo", "_slice_width"
 
@@ -49,6 +51,62 @@ class Limits:
         return Limits(rows_per_task=int(rows)) if rows else Limits()
 
 
+@dataclass(frozen=True)
+class Run:
+    """A running aggregate.
+
+    Kinds are ``sum``, ``count``, ``max``, ``min``, ``first`` and ``latest`` (the
+    last value that is not null). ``reverse`` runs from the end; without
+    ``inclusive`` the current row is left out.
+    """
+
+    kind: str
+    column: Column | str
+    reverse: bool = False
+    inclusive: bool = True
+
+    @property
+    def value(self) -> Column:
+        return F.col(self.column) if isinstance(self.column, str) else self.column
+
+    def local(self) -> Column:
+        """Within one key, or one slice of it."""
+        if self.kind == "latest":
+            return F.last(self.value, ignorenulls=True)
+        plain = {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min, "first": F.first}
+        return plain[self.kind](self.value)
+
+    def total(self, order: Sequence[str]) -> Column:
+        """A whole slice in one value."""
+        place = F.struct(*order)
+        head, tail = (F.max_by, F.min_by) if self.reverse else (F.min_by, F.max_by)
+        if self.kind == "first":
+            return head(F.struct(self.value.alias("v")), place)
+        if self.kind == "latest":
+            return tail(F.struct(self.value.alias("v")), F.when(self.value.isNotNull(), place))
+        return self.local()
+
+    def carried(self, name: str) -> Column:
+        """The totals of the slices on the way to this one."""
+        if self.kind in ("sum", "count"):
+            return F.sum(name)
+        if self.kind in ("max", "min"):
+            return F.max(name) if self.kind == "max" else F.min(name)
+        return (F.first if self.kind == "first" else F.last)(name, ignorenulls=True)
+
+    def combine(self, name: str) -> Column:
+        here, carry = F.col(name), F.col(f"_carry_{name}")
+        if self.kind == "count":
+            return here + F.coalesce(carry, F.lit(0))
+        if self.kind == "sum":
+            return F.when(carry.isNull(), here).when(here.isNull(), carry).otherwise(here + carry)
+        if self.kind in ("max", "min"):
+            return F.greatest(here, carry) if self.kind == "max" else F.least(here, carry)
+        if self.kind == "first":
+            return F.when(carry.isNotNull(), carry["v"]).otherwise(here)
+        return F.coalesce(here, carry["v"])
+
+
 def as_micros(df: DataFrame, name: str) -> Column:
     """A time column as a whole number: microseconds, or the number itself."""
     kind = df.schema[name].dataType
@@ -237,59 +295,43 @@ class Ordered:
 
     def running(
         self,
-        columns: dict[str, tuple[str, Column | str]],
+        columns: dict[str, Run | tuple[str, Column | str]],
         reverse: bool = False,
         inclusive: bool = True,
         ties: bool = False,
     ) -> DataFrame:
         """Add aggregates over all rows of the key up to the current one.
 
-        ``columns`` maps a new name to ``(kind, column)``; kinds are ``sum``,
-        ``count``, ``max``, ``min``, ``first`` and ``latest`` (the last value
-        that is not null). ``reverse`` runs from the end, ``inclusive=False``
-        leaves the current row out, ``ties`` counts rows of equal time together.
+        ``columns`` maps a new name to a ``Run``, or to ``(kind, column)`` for
+        one that takes ``reverse`` and ``inclusive`` from here. Ask for columns
+        that do not need each other in one call: a cut sequence reads its input
+        twice per call. ``ties`` counts rows of equal time together.
         """
-        specs = {
-            name: (kind, F.col(c) if isinstance(c, str) else c)
-            for name, (kind, c) in columns.items()
+        runs = {
+            name: r if isinstance(r, Run) else Run(r[0], r[1], reverse, inclusive)
+            for name, r in columns.items()
         }
         if not self.is_cut:
-            window = self._window(self.keys, reverse, inclusive, ties)
-            return self.df.withColumns(
-                {n: _local(kind, c).over(window) for n, (kind, c) in specs.items()}
-            )
-
+            return self.df.withColumns(self._local(runs, self.keys, ties))
         rows = self._sliced()
-        window = self._window([*self.keys, SLICE], reverse, inclusive, ties)
-        local = rows.withColumns(
-            {n: _local(kind, c).over(window) for n, (kind, c) in specs.items()}
-        )
+        local = rows.withColumns(self._local(runs, [*self.keys, SLICE], ties))
         totals = (
             rows.where(F.col(_LO).isNotNull())
             .groupBy(*self.keys, SLICE)
-            .agg(*[self._total(kind, c, reverse).alias(n) for n, (kind, c) in specs.items()])
-        )
-        before = (
-            Window.partitionBy(*self.keys)
-            .orderBy(*self._asc([SLICE], reverse))
-            .rowsBetween(Window.unboundedPreceding, -1)
+            .agg(*[r.total(self.order).alias(n) for n, r in runs.items()])
         )
         carry = totals.select(
-            *[F.col(k).alias(f"_carry_{k}") for k in self.keys],
-            F.col(SLICE).alias("_carry_slice"),
-            *[_carried(kind, n).over(before).alias(f"_carry_{n}") for n, (kind, _) in specs.items()],
-        )
-        on = _all(
-            [F.col(k).eqNullSafe(F.col(f"_carry_{k}")) for k in self.keys]
-            + [F.col(SLICE) == F.col("_carry_slice"), F.col(_LO).isNotNull()]
-        )
-        # One row per slice of a large key: bounded by max_slices (times a
-        # small factor), whatever the size of the table.
-        joined = local.join(F.broadcast(carry), on, "left")
-        combined = joined.withColumns(
-            {n: _combine(kind, n) for n, (kind, _) in specs.items()}
+            *self.keys,
+            SLICE,
+            *[r.carried(n).over(self._other_slices(r.reverse)).alias(f"_carry_{n}") for n, r in runs.items()],
         )
-        return combined.select(*self.df.columns, *specs)
+        combined = self.bring(local, carry).withColumns({n: r.combine(n) for n, r in runs.items()})
+        return combined.select(*self.df.columns, *runs)
+
+    def _local(self, runs: dict[str, Run], by: Sequence[str], ties: bool) -> dict[str, Column]:
+        return {
+            n: r.local().over(self._window(by, r.reverse, r.inclusive, ties)) for n, r in runs.items()
+        }
 
     def _window(self, by, reverse, inclusive, ties) -> WindowSpec:
         order = self.order[:1] if ties else self.order
@@ -300,18 +342,34 @@ class Ordered:
             Window.unboundedPreceding, Window.currentRow if inclusive else -1
         )
 
-    def _total(self, kind: str, c: Column, reverse: bool) -> Column:
-        order = F.struct(*self.order)
-        head, tail = (F.max_by, F.min_by) if reverse else (F.min_by, F.max_by)
-        if kind == "first":
-            return head(F.struct(c.alias("v")), order)
-        if kind == "latest":
-            return tail(F.struct(c.alias("v")), F.when(c.isNotNull(), order))
-        return _local(kind, c)
+    def _other_slices(self, reverse: bool) -> WindowSpec:
+        window = Window.partitionBy(*self.keys).orderBy(*self._asc([SLICE], reverse))
+        return window.rowsBetween(Window.unboundedPreceding, -1)
+
+    def bring(self, rows: DataFrame, carry: DataFrame) -> DataFrame:
+        """Join per-slice values back to the rows of the slice.
+
+        One row per slice of a large key: bounded by ``max_slices`` (times a
+        small factor) whatever the size of the table, so it is broadcast.
+        """
+        renamed = carry.withColumnsRenamed({c: f"_of_{c}" for c in [*self.keys, SLICE]})
+        on = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in self.keys]
+        on += [F.col(SLICE) == F.col(f"_of_{SLICE}"), F.col(_LO).isNotNull()]
+        return rows.join(F.broadcast(renamed), _all(on), "left").drop(
+            *[f"_of_{c}" for c in [*self.keys, SLICE]]
+        )
 
     def positions(self, name: str = POS) -> DataFrame:
         """Add the 1-based place of each row within its key."""
-        return self.running({name: ("count", F.lit(1))})
+        return self.running({name: Run("count", F.lit(1))})
+
+    def settled(self, df: DataFrame) -> "Ordered":
+        """The sequence over a derived frame that is worth writing down first.
+
+        Each step over a cut sequence reads its input twice, so steps that
+        build on each other would read it four times, eight times and so on.
+        """
+        return self.over(settle(df) if self.is_cut else df)
 
     # -- bounded frames -----------------------------------------------------
 
@@ -320,18 +378,23 @@ class Ordered:
         columns: Callable[[WindowSpec], dict[str, Column]],
         before: int = 0,
         after: int = 0,
+        position: str | None = None,
     ) -> DataFrame:
-        """Add window columns that look at most ``before``/``after`` rows away."""
+        """Add window columns that look at most ``before``/``after`` rows away.
+
+        ``position`` names a column that already numbers the key's rows.
+        """
         if not self.is_cut:
             window = Window.partitionBy(*self.keys).orderBy(*self.order)
             return self.df.withColumns(columns(window))
         size = max(self.limits.rows_per_task, before + after, 1)
-        placed = self.over(self.positions())._tagged()
+        place = position or POS
+        placed = self.over(self.df if position else self.positions())._tagged()
 
         def block(pos: Column) -> Column:
             return _floor_div(pos, size)
 
-        return self._blocked(placed, block, F.col(POS), before, after, columns, self.order)
+        return self._blocked(placed, block, F.col(place), before, after, columns, self.order)
 
     def time_framed(
         self,
@@ -376,38 +439,11 @@ class Ordered:
         )
 
 
+def is_large() -> Column:
+    """Whether a tagged row belongs to a large key."""
+    return F.col(_LO).isNotNull()
+
+
 def untag(df: DataFrame) -> DataFrame:
     """Drop the helper columns of ``Ordered``."""
     return df.drop(SLICE, BLOCK, AT, HOME, POS, _LO, _WIDTH)
-
-
-def _local(kind: str, c: Column) -> Column:
-    if kind == "latest":
-        return F.last(c, ignorenulls=True)
-    return {"sum": F.sum, "count": F.count, "max": F.max, "min": F.min, "first": F.first}[
-        kind
-    ](c)
-
-
-def _carried(kind: str, name: str) -> Column:
-    if kind in ("sum", "count"):
-        return F.sum(name)
-    if kind in ("max", "min"):
-        return F.max(name) if kind == "max" else F.min(name)
-    pick = F.first if kind == "first" else F.last
-    return pick(name, ignorenulls=True)
-
-
-def _combine(kind: str, name: str) -> Column:
-    here, carry = F.col(name), F.col(f"_carry_{name}")
-    if kind == "count":
-        return here + F.coalesce(carry, F.lit(0))
-    if kind == "sum":
-        return F.when(carry.isNull(), here).when(here.isNull(), carry).otherwise(here + carry)
-    if kind == "max":
-        return F.greatest(here, carry)
-    if kind == "min":
-        return F.least(here, carry)
-    if kind == "first":
-        return F.when(carry.isNotNull(), carry["v"]).otherwise(here)
-    return F.coalesce(here, carry["v"])

@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .sequences import Ordered, untag
+from .sequences import SLICE, Ordered, is_large
+
+TOPS = ["top1", "top2", "top3"]
 
 
 def top_n(df: DataFrame, keys: Sequence[str], value: str, order: Sequence[str], n: int) -> DataFrame:
@@ -21,25 +23,38 @@ def top_n(df: DataFrame, keys: Sequence[str], value: str, order: Sequence[str],
 
 
 def top3_running(df: DataFrame, keys, order, value: str, limits=None) -> DataFrame:
-    """The three largest values of the key after each row, equal values kept.
-
-    The running second is the maximum of what the running first has displaced
-    or turned away, and the third the same for the second: three running
-    maxima over one shuffle and one sort instead of a growing list per row.
-    """
-    seq = Ordered(df, keys, order, limits).tag()
-    rows, losing = seq.df, F.col(value)
-    for place in (1, 2, 3):
-        here, ahead = f"top{place}", f"_ahead{place}"
-        step = seq.over(rows.withColumn("_losing", losing))
-        rows = step.running({here: ("max", "_losing")})
-        if place < 3:
-            rows = seq.over(rows).running({ahead: ("max", "_losing")}, inclusive=False)
-            # least() skips nulls, but nothing is displaced while a place is empty.
-            rows = rows.withColumn(
-                "_pushed",
-                F.when(F.col(ahead).isNotNull(), F.least("_losing", ahead)),
-            ).drop(ahead)
-            losing = F.col("_pushed")
-        rows = rows.drop("_losing")
-    return untag(rows).drop("_pushed")
+    """The three largest values of the key after each row, equal values kept."""
+    seq = Ordered(df, keys, order, limits)
+    if not seq.is_cut:
+        return _cascade(df, keys, order, value)
+    rows = seq.tag().df
+    here = _cascade(rows, [*keys, SLICE], order, value)
+    # The same over the three largest of each slice gives, slice by slice, the
+    # three largest of all earlier ones.
+    best = top_n(rows.where(is_large()), [*keys, SLICE], value, [], 3)
+    so_far = _cascade(best.select(*keys, SLICE, "rank", value), keys, [SLICE, "rank"], value)
+    # Places only grow along the way, so a slice ends with its largest ones.
+    ends = so_far.groupBy(*keys, SLICE).agg(*[F.max(t).alias(t) for t in TOPS])
+    next_slice = Window.partitionBy(*keys).orderBy(SLICE)
+    carry = ends.select(*keys, SLICE, *[F.lag(t).over(next_slice).alias(f"_carry_{t}") for t in TOPS])
+    merged = F.array_compact(F.array(*TOPS, *[f"_carry_{t}" for t in TOPS]))
+    all_six = seq.tag().bring(here, carry).withColumn("_all", F.sort_array(merged, asc=False))
+    places = {t: F.get("_all", F.lit(i)) for i, t in enumerate(TOPS)}
+    return all_six.withColumns(places).select(*df.columns, *TOPS)
+
+
+def _cascade(df: DataFrame, keys, order, value: str) -> DataFrame:
+    """The running second is the maximum of what the running first displaced or
+    turned away, and the third the same for the second: running maxima over one
+    shuffle and one sort, instead of a growing list per row."""
+    by = Window.partitionBy(*keys).orderBy(*order)
+    so_far, ahead = by.rowsBetween(Window.unboundedPreceding, 0), by.rowsBetween(Window.unboundedPreceding, -1)
+    rows, losing = df, F.col(value)
+    for top in TOPS:
+        rows = rows.withColumn("_losing", losing)
+        rows = rows.withColumns({top: F.max("_losing").over(so_far), "_ahead": F.max("_losing").over(ahead)})
+        # least() skips nulls, but a missing value or an empty place displaces nothing.
+        both = F.col("_ahead").isNotNull() & F.col("_losing").isNotNull()
+        rows = rows.withColumn("_pushed", F.when(both, F.least("_losing", "_ahead")))
+        losing = F.col("_pushed")
+    return rows.drop("_losing", "_ahead", "_pushed")

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .sequences import _LO, Limits, Ordered, as_micros
+from .sequences import Limits, Ordered, is_large
 
 Aggregates = dict[str, tuple[str, str | Column]]
 
@@ -85,7 +85,7 @@ def session(
         return plain(df, length, once)
 
     tagged = seq._tagged().withColumn("_gap", gap).where(F.col("_gap") > 0)
-    large = tagged.where(F.col(_LO).isNotNull())
+    large = tagged.where(is_large())
     step = gap_us if fixed else (large.agg(F.min("_gap")).first()[0] or 1)
     merged = (
         large.withColumn("_cell", F.floor(F.col("_at") / step))
@@ -97,7 +97,7 @@ def session(
         )
     )
     twice = [_second_step(k, n).alias(n) for n, (k, _) in aggregates.items()]
-    return plain(tagged.where(F.col(_LO).isNull()), _micros_text(F.col("_gap")), once).unionByName(
+    return plain(tagged.where(~is_large()), _micros_text(F.col("_gap")), once).unionByName(
         plain(merged, _micros_text(F.col("_gap")), twice)
     )
 
@@ -134,5 +134,5 @@ def count_slide(
         w = w.rowsBetween(1 - size, 0)
         return {n: _first_step(k, c).over(w) for n, (k, c) in aggregates.items()}
 
-    framed = seq.over(seq.positions("nth")).framed(frame, before=size - 1)
+    framed = seq.over(seq.positions("nth")).framed(frame, before=size - 1, position="nth")
     return framed.where(F.col("nth") % every == 0)

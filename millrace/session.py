@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -61,10 +61,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/millrace/{name}-{uuid.uuid4().hex}"
 
 
-def durable(df):
-    """Cut the lineage of ``df`` with a reliable checkpoint in the shared folder."""
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(scratch_root(spark))
-    return df.checkpoint(eager=True)
+def settle(df: DataFrame) -> DataFrame:
+    """Write ``df`` down in the shared folder and go on from there.
+
+    Cuts the lineage; later steps read only the columns they need.
+    """
+    path = scratch_path(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

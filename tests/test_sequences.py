@@ -116,3 +116,15 @@ def test_bursts_are_cut(spark):
         same(got.running(kinds, reverse=reverse), want)
     lead = lambda w: {"n": F.lead("id", 2).over(w)}
     same(got.framed(lead, after=2), Ordered.whole(rows, ["k"], ["t", "id"]).framed(lead, after=2))
+
+
+@pytest.mark.parametrize("limits", [CUT, WHOLE])
+def test_top3_by_hand(spark, rows, limits):
+    best, want = {}, {}
+    for r in sorted(rows.collect(), key=lambda r: (r["t"], r["id"])):
+        kept = best.setdefault(r["k"], [])
+        if r["v"] is not None:
+            best[r["k"]] = kept = sorted([*kept, r["v"]], reverse=True)[:3]
+        want[r["id"]] = tuple([*kept, None, None, None][:3])
+    got = topk.top3_running(rows, ["k"], ["t", "id"], "v", limits)
+    assert {r["id"]: (r["top1"], r["top2"], r["top3"]) for r in got.collect()} == want
