@@ -70,12 +70,19 @@ def reduce_running(df, keys, order, value: str, carried: Sequence[str], limits=N
 
 
 def distinct_running(df, member: str, order: Sequence[str], name: str = "uv", limits=None):
-    """How many different ``member`` values the whole input held after each row."""
-    whole = Ordered(df, [], order, limits)
-    by_member = Ordered(df, [member], order, limits)
-    seen = by_member.positions("_nth")
-    fresh = by_member.settled(seen.withColumn("_fresh", F.when(F.col("_nth") == 1, 1))).df
-    return whole.over(fresh).running({name: ("count", "_fresh")}).drop("_nth", "_fresh")
+    """How many different ``member`` values the whole input held after each row.
+
+    A marker goes in just ahead of each member's first row, and markers are
+    counted along the whole input. The first rows come from a plain aggregate,
+    so a member that repeats very often needs no care.
+    """
+    rows = df.withColumn("_side", F.lit(1)).withColumn("_marker", F.lit(None).cast("int"))
+    whole = Ordered(rows, [], [*order, "_side"], limits)
+    first = df.where(F.col(member).isNotNull()).groupBy(member).agg(F.min(F.struct(*order)).alias("_first"))
+    markers = first.select("_first.*", F.lit(0).alias("_side"), F.lit(1).alias("_marker"))
+    marked = rows.unionByName(markers, allowMissingColumns=True)
+    counted = whole.over(marked).running({name: Run("count", "_marker")})
+    return counted.where(F.col("_side") == 1).drop("_side", "_marker")
 
 
 def retract_changelog(df, keys, order, value: str, limits=None) -> DataFrame:

@@ -31,6 +31,15 @@ def rescale(df: DataFrame, parts: int) -> DataFrame:
     return df.coalesce(parts) if parts <= now else df.repartition(parts)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for heavy row-wise work on an input of only a few splits.
+
+    A large input has more splits than cores and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def is_small(df: DataFrame, rows: int = SMALL_ROWS) -> bool:
     """Whether ``df`` has at most ``rows`` rows; reads no more than it must."""
     return df.limit(rows + 1).count() <= rows

@@ -147,9 +147,13 @@ class Ordered:
         self.df, self.keys, self.order = df, list(keys), list(order)
         self.limits = limits or Limits.of(df)
         if _like is not None:
-            self.hot, self.cuts = _like.hot, _like.cuts
+            self.hot, self.span, self.cuts = _like.hot, _like.span, _like.cuts
         else:
-            self.hot, self.cuts = None, []
+            # Large keys with the start and width of their slices; without
+            # keys, the same for the whole input; slices that are cut again.
+            self.hot: DataFrame | None = None
+            self.span: tuple[int, int] | None = None
+            self.cuts: list[tuple[DataFrame, int]] = []
             self._find_hot()
 
     def over(self, df: DataFrame) -> "Ordered":
@@ -161,7 +165,7 @@ class Ordered:
         """Sequences whose keys are known to be of ordinary size: no count, no cuts."""
         seq = cls.__new__(cls)
         seq.df, seq.keys, seq.order = df, list(keys), list(order)
-        seq.limits, seq.hot, seq.cuts = Limits(), None, []
+        seq.limits, seq.hot, seq.span, seq.cuts = Limits(), None, None, []
         return seq
 
     # -- finding and cutting large keys ------------------------------------
@@ -190,7 +194,10 @@ class Ordered:
             # are seldom spread evenly over the time range.
             pieces = max(4 * -(-r["n"] // per_slice), least)
             data.append((*[r[k] for k in self.keys], lo, max(1, -(-(hi - lo + 1) // pieces))))
-        self.hot = self._small_table(data, [_LO, _WIDTH])
+        if self.keys:
+            self.hot = self._small_table(data, [_LO, _WIDTH])
+        else:
+            self.span = data[0]
         if total > lim.rows_per_task:
             self._cut_again(2 * per_slice)
 
@@ -239,7 +246,7 @@ class Ordered:
 
     @property
     def is_cut(self) -> bool:
-        return self.hot is not None
+        return self.hot is not None or self.span is not None
 
     def _tagged(self) -> DataFrame:
         """Rows with the lower bound and slice width of their key (null: not large)."""
@@ -247,8 +254,7 @@ class Ordered:
         if SLICE in self.df.columns:
             return df
         if not self.keys:
-            lo, width = self.hot.first()
-            return df.withColumn(_LO, F.lit(lo)).withColumn(_WIDTH, F.lit(width))
+            return df.withColumn(_LO, F.lit(self.span[0])).withColumn(_WIDTH, F.lit(self.span[1]))
         on = _all([F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in self.keys])
         # The broadcast side has at most max_hot_keys rows by construction.
         return df.join(F.broadcast(self.hot), on, "left").drop(

@@ -41,7 +41,8 @@ FROM events GROUP BY event_type"""
 SELECT word, count(*) AS n
 FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents) GROUP BY word""")
 def wordcount_batch(spark, sf):
-    return aggregates.word_count(reshape.split_words(table(spark, sf, "documents"), "text"))
+    texts = repartition.spread(table(spark, sf, "documents").select("text"))
+    return aggregates.word_count(reshape.split_words(texts, "text"))
 
 
 @query("csv_typed_scan", SUMS_SQL)
@@ -448,7 +449,7 @@ def top2_udtf(spark, sf):
 @query("udf_scalar", "SELECT doc_id, CAST(length(text) AS INTEGER) AS len FROM documents")
 def udf_scalar(spark, sf):
     udfs.register(spark)
-    table(spark, sf, "documents").select("doc_id", "text").createOrReplaceTempView("texts")
+    repartition.spread(table(spark, sf, "documents").select("doc_id", "text")).createOrReplaceTempView("texts")
     return spark.sql("SELECT doc_id, str_len(text) AS len FROM texts")
 
 
