@@ -151,7 +151,7 @@ def stream_late_rows(spark, sf):
 
 
 def _keyed(spark, sf, *more):
-    return _rows(spark, sf, *more).withColumn("ms", F.unix_millis("ts"))
+    return _rows(spark, sf, *more).withColumn("us", F.unix_micros("ts"))
 
 
 @query("stream_jump_alarm", ORACLE["jump_alarm"])
@@ -185,19 +185,18 @@ def stream_top3(spark, sf):
 def stream_event_timer(spark, sf):
     def build(stream):
         timers = processors.EventTimers("user_id", ["ts"], "ms", 5000)
-        stream = stream.withWatermark("ts", "0 seconds").where("user_id >= 0 OR ms IS NULL").fillna({"ms": 0})
+        stream = stream.withWatermark("ts", "0 seconds").withColumn("ms", F.unix_millis("ts"))
         return processors.apply(stream, timers, "user_id bigint, fired_ms bigint", "EventTime")
 
-    return _replay(spark, _keyed(spark, sf), build, close=True, keyed=True)
+    return _replay(spark, _rows(spark, sf), build, close=True, keyed=True)
 
 
-@query("stream_rising_alarm", f"""
-SELECT user_id, (alarm_at - {DAY}) // 1000 + {DAY} // 1000 AS alarm_ms FROM ({ORACLE['rising_alarm']})""")
+@query("stream_rising_alarm", f"SELECT user_id, alarm_at FROM ({ORACLE['rising_alarm']})")
 def stream_rising_alarm(spark, sf):
     def build(stream):
-        alarm = processors.RisingAlarm("user_id", ["ts", "event_id"], "ms", "value", DAY // 1000)
-        stream = stream.withWatermark("ts", "0 seconds").fillna({"ms": 0, "value": 0.0})
-        return processors.apply(stream, alarm, "user_id bigint, alarm_ms bigint", "EventTime")
+        alarm = processors.RisingAlarm("user_id", ["ts", "event_id"], "us", "value", DAY)
+        stream = stream.withWatermark("ts", "0 seconds").fillna({"us": 0, "value": 0.0})
+        return processors.apply(stream, alarm, "user_id bigint, alarm_at bigint", "EventTime")
 
     return _replay(spark, _keyed(spark, sf, "value"), build, close=True, keyed=True)
 
@@ -206,8 +205,23 @@ def stream_rising_alarm(spark, sf):
 def stream_order_timeout(spark, sf):
     def build(stream):
         match = processors.NextOrTimeout(
-            "user_id", ["ts", "event_id"], "event_id", "ms", "event_type", "signup", "purchase", 12 * HOUR // 1000)
-        stream = stream.withWatermark("ts", "0 seconds").fillna({"ms": 0, "event_id": -1, "event_type": ""})
+            "user_id", ["ts", "event_id"], "event_id", "us", "event_type", "signup", "purchase", 12 * HOUR)
+        stream = stream.withWatermark("ts", "0 seconds").fillna({"us": 0, "event_id": -1, "event_type": ""})
         return processors.apply(stream, match, "user_id bigint, tag string, first_id bigint, last_id bigint", "EventTime")
 
     return _replay(spark, _keyed(spark, sf, "event_type"), build, close=True, keyed=True)
+
+
+@query("stream_login_fail", f"""
+WITH s AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id)
+                   - row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS island FROM events),
+m AS (SELECT user_id, event_id, count(*) OVER f - 1 AS n_matches, min(event_id) OVER f AS first_id FROM s
+  WHERE event_type = 'error'
+  WINDOW f AS (PARTITION BY user_id, island ORDER BY ts RANGE BETWEEN INTERVAL '86399.999999 seconds' PRECEDING AND CURRENT ROW))
+SELECT user_id, first_id, event_id AS last_id, n_matches FROM m WHERE n_matches > 0""")
+def stream_login_fail(spark, sf):
+    def build(stream):
+        repeated = processors.Repeated("user_id", ["ts", "event_id"], "event_id", "us", "event_type", "error", DAY)
+        return processors.apply(stream, repeated, "user_id bigint, first_id bigint, last_id bigint, n_matches bigint")
+
+    return _replay(spark, _keyed(spark, sf, "event_type"), build, keyed=True).drop("batch_id")

@@ -2,12 +2,14 @@
 
 Each processor gets the rows of one key in one micro-batch, puts them in time
 order and folds them into a few state values. Memory is bounded by the
-micro-batch (set ``maxFilesPerTrigger`` or the like on the source). Times are
-milliseconds, the unit of Spark's timers.
+micro-batch (set ``maxFilesPerTrigger`` or the like on the source). Row times
+are microseconds; Spark's timers count milliseconds, so a timer is set for the
+first millisecond at or after its time.
 """
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterator
 
 import pandas as pd
@@ -184,74 +186,121 @@ class ProcessingTimers(KeyedProcessor):
         return [state], state
 
 
-class RisingAlarm(KeyedProcessor):
-    """An alarm when values have kept rising for ``hold_ms``.
+class OneTimer(KeyedProcessor):
+    """Has at most one timer per key, set for ``deadline(state)``."""
+
+    def deadline(self, state) -> int | None:
+        raise NotImplementedError
+
+    def _timer(self, state) -> int | None:
+        at = None if state is None else self.deadline(state)
+        return None if at is None else -(-at // 1000)
+
+    def fold(self, state, batch: pd.DataFrame):
+        raise NotImplementedError
+
+    def expire(self, state):
+        raise NotImplementedError
+
+    def step(self, state, batch):
+        out, after = self.fold(state, batch)
+        old, new = self._timer(state), self._timer(after)
+        if old != new:
+            if old is not None:
+                self.handle.deleteTimer(old)
+            if new is not None:
+                self.handle.registerTimer(new)
+        return out, after
+
+    def fire(self, state, at_ms):
+        return self.expire(state) if self._timer(state) == at_ms else ([], state)
+
+
+class RisingAlarm(OneTimer):
+    """An alarm when values have kept rising for ``hold_us``.
 
     The first rising row starts a timer; a row that does not rise, at or before
     the deadline, cancels it; the next rising row after an alarm starts anew.
     """
 
-    state, output = "last double, deadline bigint", ["alarm_ms"]
+    state, output = "last double, deadline bigint", ["alarm_at"]
 
-    def __init__(self, key, order, millis: str, value: str, hold_ms: int):
+    def __init__(self, key, order, micros: str, value: str, hold_us: int):
         super().__init__(key, order)
-        self.millis, self.column, self.hold = millis, value, hold_ms
+        self.micros, self.column, self.hold = micros, value, hold_us
 
-    def step(self, state, batch):
+    def deadline(self, state):
+        return state[1]
+
+    def fold(self, state, batch):
         last, deadline = state or (None, None)
-        out, timer = [], deadline
-        for at, value in zip(batch[self.millis], batch[self.column]):
-            at = int(at)
+        out = []
+        for at, value in zip(batch[self.micros], batch[self.column]):
             if deadline is not None and at > deadline:
                 out.append((deadline,))
                 deadline = None
             if last is not None and not value > last:
                 deadline = None
             elif deadline is None:
-                deadline = at + self.hold
+                deadline = int(at) + self.hold
             last = float(value)
-        if timer != deadline:
-            if timer is not None:
-                self.handle.deleteTimer(timer)
-            if deadline is not None:
-                self.handle.registerTimer(deadline)
         return out, (last, deadline)
 
-    def fire(self, state, at_ms):
-        if state is None or state[1] != at_ms:
-            return [], state
-        return [(at_ms,)], (state[0], None)
+    def expire(self, state):
+        return [(state[1],)], (state[0], None)
 
 
-class NextOrTimeout(KeyedProcessor):
+class NextOrTimeout(OneTimer):
     """``first`` strictly followed by ``then`` within a bound, or timed out."""
 
     state, output = "id bigint, at bigint", ["tag", "first_id", "last_id"]
 
-    def __init__(self, key, order, ident: str, millis: str, kind: str, first: str, then: str, within_ms: int):
+    def __init__(self, key, order, ident: str, micros: str, kind: str, first: str, then: str, within_us: int):
         super().__init__(key, order)
-        self.ident, self.millis, self.kind = ident, millis, kind
-        self.first, self.then, self.within = first, then, within_ms
+        self.ident, self.micros, self.kind = ident, micros, kind
+        self.first, self.then, self.within = first, then, within_us
 
-    def step(self, state, batch):
+    def deadline(self, state):
+        return state[1] + self.within
+
+    def fold(self, state, batch):
         pending, out = state, []
-        timer = None if state is None else state[1] + self.within
-        for ident, at, kind in zip(batch[self.ident], batch[self.millis], batch[self.kind]):
+        for ident, at, kind in zip(batch[self.ident], batch[self.micros], batch[self.kind]):
             if pending is not None:
                 if int(at) - pending[1] >= self.within:
                     out.append(("timeout", pending[0], None))
                 elif kind == self.then:
                     out.append(("match", pending[0], int(ident)))
             pending = (int(ident), int(at)) if kind == self.first else None
-        wanted = None if pending is None else pending[1] + self.within
-        if timer != wanted:
-            if timer is not None:
-                self.handle.deleteTimer(timer)
-            if wanted is not None:
-                self.handle.registerTimer(wanted)
         return out, pending
 
-    def fire(self, state, at_ms):
-        if state is None or state[1] + self.within != at_ms:
-            return [], state
+    def expire(self, state):
         return [("timeout", state[0], None)], None
+
+
+class Repeated(KeyedProcessor):
+    """Two or more ``kind`` rows in direct succession within a bound.
+
+    One row per closing row: the earliest row a match can start from and how
+    many starts there are. The state holds the run's rows inside the bound.
+    """
+
+    state, output = "ids array<bigint>, times array<bigint>", ["first_id", "last_id", "n_matches"]
+
+    def __init__(self, key, order, ident: str, micros: str, column: str, kind: str, within_us: int):
+        super().__init__(key, order)
+        self.ident, self.micros, self.column = ident, micros, column
+        self.kind, self.within = kind, within_us
+
+    def step(self, state, batch):
+        run, out = deque(zip(*state) if state else ()), []
+        for ident, at, kind in zip(batch[self.ident], batch[self.micros], batch[self.column]):
+            if kind != self.kind:
+                run.clear()
+                continue
+            while run and at - run[0][1] >= self.within:
+                run.popleft()
+            if run:
+                out.append((run[0][0], int(ident), len(run)))
+            run.append((int(ident), int(at)))
+        return out, (tuple(list(c) for c in zip(*run)) if run else None)
