@@ -12,6 +12,11 @@ def by_key(df: DataFrame, *keys: str, parts: int | None = None) -> DataFrame:
     return df.repartition(parts, *keys) if parts else df.repartition(*keys)
 
 
+def balanced_by_key(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows of a key together, except that Spark splits partitions that are too large."""
+    return df.hint("rebalance", *[F.col(k) for k in keys])
+
+
 def at_random(df: DataFrame, parts: int, ident: str, seed: int = 0) -> DataFrame:
     """Spread rows at random.
 

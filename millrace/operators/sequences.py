@@ -13,9 +13,12 @@ slice needs from its neighbours is brought to it:
 
 Slices start as equal parts of the key's time range. A slice that still holds
 too many rows (a burst, or many rows of one instant) is cut again, along the
-first order column that varies inside it. Which keys are large is found by one pre-aggregated count per key. At most
+first order column that varies inside it.
+
+Which keys are large is found by one pre-aggregated count per key. At most
 ``max_hot_keys`` of them come to the driver: any key beyond the N largest holds
-fewer than total/N rows, so leaving it whole is safe.
+fewer than total/N rows, so leaving it whole is safe. Make one ``Ordered`` and
+go on with ``over`` for derived frames, so that the count runs once.
 """
 
 from __future__ import annotations
@@ -108,7 +111,7 @@ class Run:
 
 
 def as_micros(df: DataFrame, name: str) -> Column:
-    """A time column as a whole number: microseconds, or the number itself."""
+    """A time as a whole number: microseconds, days for dates, or the number itself."""
     kind = df.schema[name].dataType
     if isinstance(kind, T.TimestampNTZType):
         return F.expr(
@@ -116,6 +119,8 @@ def as_micros(df: DataFrame, name: str) -> Column:
         )
     if isinstance(kind, T.TimestampType):
         return F.unix_micros(F.col(name))
+    if isinstance(kind, T.DateType):
+        return F.unix_date(F.col(name)).cast("bigint")
     return F.col(name).cast("bigint")
 
 
@@ -208,7 +213,7 @@ class Ordered:
 
     def _numbers(self) -> list[Column]:
         """The leading order columns that can be cut: times and whole numbers."""
-        able = (T.TimestampType, T.TimestampNTZType, T.IntegralType)
+        able = (T.TimestampType, T.TimestampNTZType, T.DateType, T.IntegralType)
         columns = []
         for name in self.order:
             if not isinstance(self.df.schema[name].dataType, able):
@@ -390,9 +395,17 @@ class Ordered:
 
         ``position`` names a column that already numbers the key's rows.
         """
+        window = Window.partitionBy(*self.keys).orderBy(*self.order)
         if not self.is_cut:
-            window = Window.partitionBy(*self.keys).orderBy(*self.order)
             return self.df.withColumns(columns(window))
+        if self.keys and not position:
+            # Numbering rows takes a shuffle of its own; spare the other keys that.
+            tagged = self._tagged()
+            large = self.over(tagged.where(is_large()).select(*self.df.columns))
+            others = tagged.where(~is_large()).select(*self.df.columns)
+            numbered = large.positions()
+            framed = large.over(numbered).framed(columns, before, after, POS).drop(POS)
+            return others.withColumns(columns(window)).unionByName(framed)
         size = max(self.limits.rows_per_task, before + after, 1)
         place = position or POS
         placed = self.over(self.df if position else self.positions())._tagged()

@@ -266,7 +266,7 @@ def _narrow(spark, sf):
 
 @query("repartition_key", SAME_ROWS_SQL)
 def repartition_key(spark, sf):
-    return repartition.by_key(_narrow(spark, sf), "user_id")
+    return repartition.balanced_by_key(_narrow(spark, sf), "user_id")
 
 
 @query("repartition_random", SAME_ROWS_SQL)
