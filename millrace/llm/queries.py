@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import packing, token_files
+from . import langid, nbsvm, packing, token_files
+from .sampling import remainder
 from .tokens import tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,6 +26,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(remainder(F.col("doc_id"), 4) == 2, F.lit(False))
+    model = langid.train(docs.where(~held_out), "text", "lang", "doc_id")
+    found = langid.predict(docs, model, "text", keep=["doc_id"])
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
@@ -31,6 +42,15 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digest(token_files.read(spark, path))
 
 
+@query
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.coalesce(remainder(F.col("doc_id"), 5) == 0, F.lit(False))
+    model = nbsvm.train(docs, labels.where(~held_out))
+    found = nbsvm.score(docs, model, keep=["doc_id"])
+    return found.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 @query
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), capacity=1024, end_id=2)
