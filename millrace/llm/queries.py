@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import langid, nbsvm, packing, token_files
+from . import langid, mixing, nbsvm, packing, token_files
 from .sampling import remainder
 from .tokens import tokenizer_path
 
@@ -22,6 +22,10 @@ def query(fn: Query) -> Query:
     return fn
 
 
+def sql(name: str, text: str) -> None:
+    ORACLE[name] = text
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -35,6 +39,40 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.by_position(mixing.mix(table(spark, sf_dir, "documents")))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+sql("op2_mixing", r"""
+WITH sized AS (
+  SELECT doc_id, source, md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':7') AS h,
+         coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size
+  FROM documents),
+totals AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source ASC NULLS LAST) - 1 AS place
+  FROM sized GROUP BY source),
+weighed AS (
+  SELECT *, CASE place % 3 WHEN 0 THEN 3.0::DOUBLE WHEN 1 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS weight,
+         source_size * 2.0::DOUBLE AS most FROM totals),
+levels AS (
+  SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE - coalesce(sum(most) OVER earlier, 0))
+            / (sum(weight) OVER () - coalesce(sum(weight) OVER earlier, 0)) AS level
+  FROM weighed
+  WINDOW earlier AS (ORDER BY most / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+aims AS (SELECT source, source_size, least(most, weight * max(level) OVER ()) AS target FROM levels),
+placed AS (
+  SELECT doc_id, size, source_size, target,
+         coalesce(sum(size) OVER (PARTITION BY s.source ORDER BY h, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+         + size / 2.0::DOUBLE AS middle
+  FROM sized s JOIN aims a ON s.source IS NOT DISTINCT FROM a.source)
+SELECT doc_id, size, source_size, target,
+       CAST(size * ((middle < target)::INT + (middle + source_size < target)::INT) AS BIGINT) AS taken
+FROM placed
+""")
+
+
 @query
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
