@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import langid, mixing, nbsvm, packing, token_files
+from . import jaccard, langid, mixing, nbsvm, packing, token_files
 from .sampling import remainder
 from .tokens import tokenizer_path
 
@@ -73,6 +73,11 @@ FROM placed
 """)
 
 
+@query
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_copies(table(spark, sf_dir, "documents"), size=4, percent=85)
+
+
 @query
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
