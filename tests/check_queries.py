@@ -42,7 +42,7 @@ def kinds(con, sql):
 
 
 SAME_KIND = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE",
-             "timestamp_ntz": "TIMESTAMP", "date": "DATE"}
+             "timestamp_ntz": "TIMESTAMP", "date": "DATE", "boolean": "BOOLEAN", "float": "FLOAT"}
 
 
 def compare(spark, con, sf_dir, name):
