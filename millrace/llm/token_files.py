@@ -4,8 +4,9 @@ The file format: one row per document in ascending id order, with
 
 * ``ids`` - the token ids, a list column, dictionary encoded (the vocabulary is
   small, so an index takes two bytes or less);
-* ``doc_id``, ``part``, ``ids_before`` - delta encoded: the document, the file's
-  place in the order, and how many ids come before the document in that file.
+* ``doc_id``, ``part``, ``ids_before``, ``n_ids`` - delta encoded: the document,
+  the file's place in the order, how many ids come before the document in that
+  file, and how many it has.
 
 Row groups and pages are small and carry column and page indexes, so reading
 some documents, or only the metadata, touches only those pages.
@@ -26,7 +27,7 @@ from .text import pieces
 from .tokens import encoder
 
 WRITE_OPTIONS = {
-    "compression": "zstd",
+    "compression": "snappy",
     "parquet.writer.version": "PARQUET_2_0",  # delta encoding where no dictionary is used
     "parquet.enable.dictionary#ids.list.element": "true",
     "parquet.enable.dictionary#doc_id": "false",
@@ -36,7 +37,8 @@ WRITE_OPTIONS = {
     "parquet.page.row.count.limit": "2000",
 }
 
-_FILE = pa.schema([("doc_id", pa.int64()), ("part", pa.int32()), ("ids_before", pa.int64()), ("ids", pa.list_(pa.int32()))])
+_COLUMNS = "doc_id bigint, part int, ids_before bigint, n_ids int, ids array<int>"
+_FILE = pa.schema([("doc_id", pa.int64()), ("part", pa.int32()), ("ids_before", pa.int64()), ("n_ids", pa.int32()), ("ids", pa.list_(pa.int32()))])
 
 
 def with_end(ids: np.ndarray, at: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
@@ -60,21 +62,22 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, text: str
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode_texts, part, before = encoder(tokenizer), TaskContext.get().partitionId(), 0
-        for batch in pieces(batches, "text", 8 << 20):
+        for batch in pieces(batches, "text", 6 << 20):
             ids, at = with_end(*encode_texts(batch.column("text")), end_id)
             lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids.view(np.int32)))
             parts = pa.array(np.full(batch.num_rows, part, np.int32))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), parts, pa.array(before + at[:-1]), lists], schema=_FILE)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), parts, pa.array(before + at[:-1]),
+                                               pa.array(np.diff(at).astype(np.int32)), lists], schema=_FILE)
             before += int(at[-1])
 
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
     ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
-    coded = ordered.mapInArrow(encode, "doc_id bigint, part int, ids_before bigint, ids array<int>")
+    coded = ordered.mapInArrow(encode, _COLUMNS)
     coded.write.options(**WRITE_OPTIONS).parquet(path)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("doc_id bigint, part int, ids_before bigint, ids array<int>").parquet(path)
+    return spark.read.schema(_COLUMNS).parquet(path)
 
 
 def digest(files: DataFrame) -> DataFrame:
@@ -95,8 +98,8 @@ def digest(files: DataFrame) -> DataFrame:
             )
 
     rows = files.mapInArrow(check, "doc_id bigint, part int, ids_before bigint, n_tokens bigint, ids_crc32 bigint")
-    # A file's size is where its last document ends; read without the ids' values.
-    sizes = files.groupBy("part").agg(F.max(F.col("ids_before") + F.size("ids")).alias("n"))
+    # A file's size is where its last document ends, read without the ids.
+    sizes = files.groupBy("part").agg(F.max(F.col("ids_before") + F.col("n_ids")).alias("n"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     places = sizes.select("part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
     return rows.join(places, "part").select(

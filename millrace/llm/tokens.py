@@ -50,7 +50,7 @@ def _byte_letters() -> dict[int, str]:
 class Encoder:
     """Texts to unsigned 32-bit ids, without special tokens added."""
 
-    def __init__(self, path: str, remember: int = 600_000):
+    def __init__(self, path: str, remember: int = 450_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
