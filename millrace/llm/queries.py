@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import jaccard, langid, mixing, nbsvm, packing, token_files
+from . import jaccard, langid, mixing, nbsvm, packing, rules, token_files
 from .sampling import remainder
 from .tokens import tokenizer_path
 
@@ -78,6 +78,45 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_copies(table(spark, sf_dir, "documents"), size=4, percent=85)
 
 
+@query
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.check(table(spark, sf_dir, "documents"))
+
+
+sql("op5_quality_rules", r"""
+WITH t AS (
+  SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+words AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM t),
+runs AS (
+  SELECT r, i, count(*) OVER (PARTITION BY r, a, b, c) AS n FROM (
+    SELECT r, i, word AS a, lead(word) OVER o AS b, lead(word, 2) OVER o AS c FROM words WINDOW o AS (PARTITION BY r ORDER BY i))
+  WHERE c IS NOT NULL),
+repeats AS (
+  SELECT r, count(DISTINCT i + k) AS n_repeat_words FROM runs CROSS JOIN (SELECT unnest([0, 1, 2]) AS k) WHERE n > 1 GROUP BY r),
+lines AS (
+  SELECT r, source, text, line, regexp_replace(translate(regexp_replace(line, '\A[\x20\x09-\x0D]+|[\x20\x09-\x0D]+\z', '', 'g'),
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9]+', '0', 'g') AS plain,
+         len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n
+  FROM (SELECT r, source, text, unnest(string_split(text, chr(10))) AS line FROM t)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+frequent AS (SELECT source, plain FROM lines GROUP BY source, plain HAVING count(DISTINCT text) > 10),
+per_text AS (
+  SELECT r, count(*) - count(DISTINCT line) AS n_dup_lines,
+         coalesce(sum(n) FILTER (WHERE EXISTS (SELECT 1 FROM frequent f WHERE f.source IS NOT DISTINCT FROM l.source AND f.plain = l.plain)), 0) AS lost
+  FROM lines l GROUP BY r),
+counts AS (
+  SELECT doc_id, len(w) AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+         length(text) - length(translate(text, '#*$%&|<>', '')) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+         coalesce(n_repeat_words, 0) AS n_repeat_words, len(w) - CAST(coalesce(lost, 0) AS BIGINT) AS n_left_words
+  FROM t LEFT JOIN repeats USING (r) LEFT JOIN per_text USING (r))
+SELECT *, n_words < 50 OR n_repeat_words * 100 > n_words * 50 AS base_failed,
+       NOT (n_words < 50 OR n_repeat_words * 100 > n_words * 50) AND n_left_words >= n_words * 0.5 AS kept
+FROM counts
+""")
+
+
 @query
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
