@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import jaccard, langid, mixing, nbsvm, packing, rules, token_files
+from . import jaccard, langid, mixing, nbsvm, packing, rabitq, rules, token_files
 from .sampling import remainder
 from .tokens import tokenizer_path
 
@@ -78,6 +78,11 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_copies(table(spark, sf_dir, "documents"), size=4, percent=85)
 
 
+@query
+def op4_embedding_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rabitq.near_copies(table(spark, sf_dir, "embeddings"), threshold=0.98)
+
+
 @query
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.check(table(spark, sf_dir, "documents"))
