@@ -10,6 +10,7 @@ training in which each source follows its schedule.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -77,18 +78,21 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     its middle word lies before the target, so a source misses its target by
     half a document at most. Returns doc_id, size, source, source_size, target,
     taken, positions (times of training, ascending; empty if not taken) and the
-    columns ``carry``.
+    columns ``carry`` (of other names than these).
 
     A null or empty text has size 0 and is never taken; a null source is a
     source; a null id is an id of its own; repeated rows are taken one by one;
     other columns are not read; an empty table gives an empty result.
     """
     key = F.md5(F.concat(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit(f":{seed}")).cast("binary"))
+    own = [F.col(c).alias(f"_carried_{k}") for k, c in enumerate(carry)]
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(source).cast("string").alias("source"), words_in(text).alias("size"),
-                       key.alias("_key"), *carry)
+                       key.alias("_key"), *own)
     # A source may be a third of everything: it is cut into slices of the hash.
-    rows = settle(rows.withColumn("_source", F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))).withColumn("_slice", F.substring("_key", 1, digits)))
-    slices = rows.groupBy("_source", "_slice").agg(F.sum("size").alias("n"))
+    rows = rows.withColumn("_source", F.coalesce(F.concat(F.lit("="), "source"), F.lit(""))).withColumn("_slice", F.substring("_key", 1, digits))
+    narrow = settle(rows.select("doc_id", "source", "size", "_key", "_source", "_slice"))
+    rows = rows if carry else narrow
+    slices = narrow.groupBy("_source", "_slice").agg(F.sum("size").alias("n"))
     earlier = Window.partitionBy("_source").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     slices = slices.withColumn("_before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
     totals = slices.groupBy("_source").agg(F.sum("n").alias("source_size"))
@@ -99,11 +103,12 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str
     inside = Window.partitionBy("_source", "_slice").orderBy("_key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
     middle = F.col("_before") + F.coalesce(F.sum("size").over(inside), F.lit(0)) + F.col("size") / 2
     found = found.withColumn("_middle", middle)
-    passes = [F.col("_middle") + F.col("source_size") * k for k in range(int(-(-most // 1)))]
+    passes = [F.col("_middle") + F.col("source_size") * k for k in range(math.ceil(most))]
     times = F.array(*[F.when((F.col("size") > 0) & (p < F.col("target")), when_wanted(p / F.col("target"), F.col("place"))) for p in passes])
     found = found.withColumn("positions", F.array_compact(times))
+    carried = [F.col(f"_carried_{k}").alias(c) for k, c in enumerate(carry) if c not in ("doc_id", "source")]
     return found.select("doc_id", "size", "source", "source_size", "target", (F.col("size") * F.size("positions")).alias("taken"),
-                        "positions", *carry)
+                        "positions", *carried)
 
 
 def by_position(mixed: DataFrame) -> DataFrame:

@@ -22,7 +22,7 @@ def first_by_hash(rows: DataFrame, group: str, key: str, most: int) -> DataFrame
     rows = rows.where(F.col(group).isNotNull() & F.col(key).isNotNull()).withColumn("_h", F.xxhash64(F.lit(11), key))
     names = rows.select(group, "_h")
     sizes = names.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
-    share = (F.col("_h") / (1 << 64) + 0.5) * F.col("_n")
+    share = (F.col("_h") / float(1 << 64) + 0.5) * F.col("_n")
     low = names.join(F.broadcast(sizes), group).where(share <= 2 * most + 100)
     rank = F.row_number().over(Window.partitionBy(group).orderBy("_h"))
     edges = low.select(group, "_h", rank.alias("_r")).where(F.col("_r") <= most).groupBy(group).agg(F.max("_h").alias("_edge"))
