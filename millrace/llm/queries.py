@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import jaccard, langid, mixing, nbsvm, packing, rabitq, rules, templates, token_files
+from . import jaccard, langid, mixing, nbsvm, packing, rabitq, rules, secret_scan, templates, token_files
 from .sampling import remainder
 from .tokens import tokenizer_path
 
@@ -127,6 +127,11 @@ def op6_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.drop_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_lines", "n_dropped_lines")
 
 
+@query
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(table(spark, sf_dir, "documents")).select("doc_id", "n", "core", "score", "is_secret")
+
+
 @query
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
