@@ -11,22 +11,30 @@ from millrace.llm.tokens import tokenizer_path
 from millrace.session import settle
 
 
+def _free(docs: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column has."""
+    while name in map(str.lower, docs.columns):
+        name += "_"
+    return name
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; those without a letter, and those no language suits, go."""
     held_out = F.coalesce(remainder(F.col("doc_id"), 4) == 2, F.lit(False))
     model = langid.train(docs.where(~held_out), "text", "lang", "doc_id")
-    found = langid.predict(docs.withColumnsRenamed({"score": "_score", "lang_pred": "_lang_pred"}), model)
-    kept = found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= 0.5)).drop("lang_pred", "score")
-    return kept.withColumnsRenamed({"_score": "score", "_lang_pred": "lang_pred"}).select(docs.columns)
+    name, score = _free(docs, "language"), _free(docs, "score")
+    found = langid.predict(docs, model, names=(name, score))
+    return found.where((F.col(name) != langid.UNKNOWN) & (F.col(score) >= 0.5)).select(docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines of templates that recur across texts; n_chars follows the text."""
-    found = templates.drop_lines(docs)
+    shown = {c: _free(docs, f"own_{c}") for c in ("n_lines", "n_dropped_lines")}
+    found = templates.drop_lines(docs.withColumnsRenamed(shown))
     if "n_chars" in docs.columns:
         changed = F.when(F.col("n_dropped_lines") > 0, F.length("text")).otherwise(F.col("n_chars"))
         found = found.withColumn("n_chars", changed.cast(docs.schema["n_chars"].dataType))
-    return found.select(docs.columns)
+    return found.select(*[F.col(shown.get(c, c)).alias(c) for c in docs.columns])
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,14 +46,16 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = jaccard.near_copies(docs, size=5, percent=80)
     kept = found.where("doc_id = component_id").select("doc_id").distinct()
     stay = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi")
-    marked = stay.withColumns({"_h1": F.xxhash64("text"), "_h2": F.xxhash64(F.lit(1), "text")})
-    return marked.dropDuplicates(["doc_id", "_h1", "_h2"]).select(docs.columns).unionByName(docs.where("doc_id is null"))
+    one, two = _free(docs, "h1"), _free(docs, "h2")
+    marked = stay.withColumns({one: F.xxhash64("text"), two: F.xxhash64(F.lit(1), "text")})
+    return marked.dropDuplicates(["doc_id", one, two]).select(docs.columns).unionByName(docs.where("doc_id is null"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents the mix takes, as often as it takes them, in the order of training."""
-    mixed = mixing.mix(docs, carry=[c for c in docs.columns if c not in ("doc_id", "source")])
-    return mixing.in_training_order(mixed).select(docs.columns)
+    own = _free(docs, "own")
+    mixed = mixing.mix(docs.withColumn(own, F.struct(docs.columns)), carry=[own])
+    return mixing.in_training_order(mixed).select(*[F.col(own)[c].alias(c) for c in docs.columns])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

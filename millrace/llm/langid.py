@@ -131,39 +131,40 @@ def train(docs: DataFrame, text: str, lang: str, key: str, per_language: int = 3
     return Model(languages, np.round(logs * _UNIT).astype(np.int32), np.round(prior * _UNIT).astype(np.int64))
 
 
-def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None,
+            names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """Language and its probability for every whole text, beside the columns of ``keep``.
 
     A null text, one without a letter, and any text under a model without
-    languages is ``und`` with score 0. Columns already called lang_pred or score
+    languages is ``und`` with score 0. Columns already called as ``names``
     are replaced. Equal probabilities go to the language
     first by code point.
     """
-    keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in ("lang_pred", "score")]
+    keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in names]
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(*keep, F.col(text).cast("string").alias("_text"))
+    rows = docs.select(*[F.col(c).alias(f"k{k}") for k, c in enumerate(keep)], F.col(text).cast("string").alias("text"))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         buckets, kinds = m.logs.shape
-        for batch in pieces(batches, "_text"):
+        for batch in pieces(batches, "text"):
             total, met = np.zeros((batch.num_rows, kinds), np.int64), np.zeros(batch.num_rows, np.int64)
             if kinds:
-                for owner, grams in ngrams(batch.column("_text").to_pylist(), buckets):
+                for owner, grams in ngrams(batch.column("text").to_pylist(), buckets):
                     met += np.bincount(owner, minlength=batch.num_rows)
                     for k in range(kinds):
                         # exact: whole numbers far below 2**53
                         total[:, k] += np.bincount(owner, m.logs[grams, k], batch.num_rows).astype(np.int64)
-            names, best = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows)
+            found, best = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows)
             if kinds:
                 total += m.prior
                 first = total.argmax(axis=1)
                 top = total[np.arange(batch.num_rows), first]
                 share = 1 / np.exp((total - top[:, None]) / _UNIT).sum(axis=1)
-                names = [m.languages[k] if n else UNKNOWN for k, n in zip(first.tolist(), met.tolist())]
+                found = [m.languages[k] if n else UNKNOWN for k, n in zip(first.tolist(), met.tolist())]
                 best = np.where(met > 0, share, 0.0)
-            columns = [batch.column(c) for c in keep] + [pa.array(names, pa.string()), pa.array(best)]
-            yield pa.RecordBatch.from_arrays(columns, [*keep, "lang_pred", "score"])
+            columns = batch.columns[:-1] + [pa.array(found, pa.string()), pa.array(best)]
+            yield pa.RecordBatch.from_arrays(columns, [*keep, *names])
 
     kept = docs.select(*keep).schema
-    return rows.mapInArrow(score, kept.add("lang_pred", "string").add("score", "double"))
+    return rows.mapInArrow(score, kept.add(names[0], "string").add(names[1], "double"))

@@ -141,7 +141,10 @@ def scan(docs: DataFrame, least: float = 0.5, size: int = 20_000, text: str = "t
 
 def redact(docs: DataFrame, findings: DataFrame, text: str = "text", mark: str = "<secret>") -> DataFrame:
     """``docs`` with every secret found in a text replaced by ``mark``; other texts and columns unchanged."""
-    secrets = findings.where("is_secret").groupBy(F.col("c1").alias("_k1"), F.col("c2").alias("_k2")).agg(F.sort_array(F.collect_set("core"), asc=False).alias("_cores"))
-    rows = docs.withColumns({"_k1": F.xxhash64(text), "_k2": F.xxhash64(F.lit(1), text)}).join(secrets, ["_k1", "_k2"], "left")
-    clean = F.aggregate("_cores", F.col(text), lambda t, c: F.replace(t, c, F.lit(mark)))
-    return rows.withColumn(text, F.when(F.col("_cores").isNull(), F.col(text)).otherwise(clean)).select(docs.columns)
+    secrets = findings.where("is_secret").groupBy("c1", "c2").agg(F.sort_array(F.collect_set("core"), asc=False).alias("cores"))
+    # The table's own columns travel in one struct, so that their names cannot clash.
+    rows = docs.select(F.struct("*").alias("own"), F.col(text).alias("text"), F.xxhash64(text).alias("c1"), F.xxhash64(F.lit(1), text).alias("c2"))
+    rows = rows.join(secrets, ["c1", "c2"], "left")
+    clean = F.aggregate("cores", F.col("text"), lambda t, c: F.replace(t, c, F.lit(mark)))
+    clean = F.when(F.col("cores").isNull(), F.col("text")).otherwise(clean)
+    return rows.select(*[clean.alias(c) if c == text else F.col("own")[c].alias(c) for c in docs.columns])

@@ -145,21 +145,17 @@ def drop_lines(docs: DataFrame, text: str = "text", depth: int = 3, min_texts: i
     lines. Columns already called n_lines or n_dropped_lines are replaced; an
     empty table gives an empty result.
     """
-    others = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped_lines", "_k1", "_k2")]
-    rows = docs.select(*others, F.xxhash64(text).alias("_k1"), F.xxhash64(F.lit(1), text).alias("_k2"))
-    texts = rows.select(F.col("_k1").alias("c1"), F.col("_k2").alias("c2"), F.col(text).cast("string").alias("text"))
-    found = recurring(texts, depth, min_texts, least_tokens, constant)
-    drops = settle(found.groupBy(F.col("c1").alias("_k1"), F.col("c2").alias("_k2")).agg(
-        F.sort_array(F.collect_set("number")).alias("_drop"), F.sum("n").alias("_lost")))
-    return _without(rows, drops, text, copies).select(*others, "n_lines", "n_dropped_lines")
-
-
-def _without(rows: DataFrame, drops: DataFrame, text: str, copies: float) -> DataFrame:
-    rows = rows.join(drops, ["_k1", "_k2"], "left")
-    mostly = F.when(F.col("_lost").isNotNull(), F.col("_lost") > words_in(text) * F.lit(copies)).otherwise(False)
-    rows = rows.withColumn("_drop", F.when(~mostly, F.col("_drop"))).withColumn("_lines", F.split(text, "\n"))
-    n = F.when(F.col(text).isNotNull(), F.size("_lines")).otherwise(0)
-    rows = rows.withColumn("n_lines", n).withColumn("n_dropped_lines", F.when(F.col("_drop").isNotNull(), F.size("_drop")).otherwise(0))
-    keep = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_drop")
-    return rows.withColumn(text, F.when(F.col("_drop").isNull(), F.col(text)).otherwise(
-        F.array_join(F.transform(keep, lambda k: F.get("_lines", k)), "\n")))
+    others = [c for c in docs.columns if c.lower() not in ("n_lines", "n_dropped_lines")]
+    # The table's own columns travel in one struct, so that their names cannot clash.
+    rows = docs.select(F.struct(*others).alias("own"), F.col(text).cast("string").alias("text"),
+                       F.xxhash64(text).alias("c1"), F.xxhash64(F.lit(1), text).alias("c2"))
+    found = recurring(rows.select("c1", "c2", "text"), depth, min_texts, least_tokens, constant)
+    drops = settle(found.groupBy(*_TEXT).agg(F.sort_array(F.collect_set("number")).alias("drop"), F.sum("n").alias("lost")))
+    rows = rows.join(drops, _TEXT, "left")
+    mostly = F.coalesce(F.col("lost") > words_in("text") * F.lit(copies), F.lit(False))
+    rows = rows.withColumn("drop", F.when(~mostly, F.col("drop"))).withColumn("lines", F.split("text", "\n"))
+    kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "drop"), lambda k: F.get("lines", k))
+    clean = F.when(F.col("drop").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    return rows.select(*[clean.alias(c) if c == text else F.col("own")[c].alias(c) for c in others],
+                       F.when(F.col("text").isNotNull(), F.size("lines")).otherwise(0).alias("n_lines"),
+                       F.when(F.col("drop").isNotNull(), F.size("drop")).otherwise(0).alias("n_dropped_lines"))
