@@ -65,12 +65,11 @@ def _lists(values: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *values])))
 
 
-_SIGN = "n bigint, w1 bigint, w2 bigint, s1 bigint, s2 bigint"
 _SET = ["n", "s1", "s2"]
 
 
 def shingled(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Per document the size and signatures of its set and its first shingles (``head``)."""
+    """Per document the size of its set, its signatures (s1, s2), its first shingles (``head``) and their hash with the size (``group``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
@@ -79,11 +78,11 @@ def shingled(docs: DataFrame, size: int, percent: int) -> DataFrame:
             for found in _sets(batch.column("text"), size):
                 head = found[: _window(len(found), percent)] if len(found) else found
                 heads.append(head.copy())
-                signs.append((len(found), *_sums(head), *_sums(found)))
+                signs.append((len(found), _sums(head + len(found))[0], *_sums(found)))
             columns = [pa.array(c, pa.int64()) for c in zip(*signs)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns, _lists(heads)], ["doc_id", "n", "w1", "w2", "s1", "s2", "head"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns, _lists(heads)], ["doc_id", "n", "group", "s1", "s2", "head"])
 
-    return docs.mapInArrow(run, f"doc_id bigint, {_SIGN}, head array<bigint>")
+    return docs.mapInArrow(run, "doc_id bigint, n bigint, group bigint, s1 bigint, s2 bigint, head array<bigint>")
 
 
 def whole_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -116,7 +115,7 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     return rows.mapInArrow(run, "doc_id bigint, n bigint, s1 bigint, s2 bigint, shingles array<bigint>")
 
 
-def near_copies(docs: DataFrame, size: int = 4, percent: int = 85, common: int = 64, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def near_copies(docs: DataFrame, size: int = 4, percent: int = 85, common: int = 32, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Documents linked, directly or not, by sets whose Jaccard similarity is at least ``percent`` / 100.
 
     Words are split at ASCII white space and lower-cased (A-Z); a set holds the
@@ -132,9 +131,7 @@ def near_copies(docs: DataFrame, size: int = 4, percent: int = 85, common: int =
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
     rows = settle(shingled(docs, size, percent).withColumn("row", F.monotonically_increasing_id()))
     full = rows.where("n > 0")
-    classes = full.groupBy("n", "w1", "w2", "s1", "s2").agg(F.min("row").alias("class"), F.min("doc_id").alias("class_id"))
-    groups = full.groupBy("n", "w1", "w2").agg(F.min("row").alias("group"))
-    classes = settle(classes.join(groups, ["n", "w1", "w2"]))
+    classes = settle(full.groupBy("group", *_SET).agg(F.min("row").alias("class"), F.min("doc_id").alias("class_id")))
     links = settle(_links(docs, full, classes, size, percent, common))
 
     roots = components(links.toDF("a", "b")).toDF("class", "root")
@@ -148,29 +145,41 @@ def near_copies(docs: DataFrame, size: int = 4, percent: int = 85, common: int =
 
 def _links(docs: DataFrame, full: DataFrame, classes: DataFrame, size: int, percent: int, common: int) -> DataFrame:
     """Verified links (a, b) between classes, enough of them to connect all that are linked."""
-    heads = settle(full.join(classes.select(F.col("group").alias("row")).distinct(), "row", "left_semi").withColumnRenamed("row", "group"))
-    entries = heads.select("group", "n", F.explode("head").alias("t"))
-    counts = settle(full.select(F.explode("head").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("c")).where("c > 1"))
-    heavy = settle(counts.where(F.col("c") > common).select("t"))
-    light = counts.where(F.col("c") <= common).select("t")
-
-    # Groups whose first shingles are too often common ones need more of their set.
-    used = settle(entries.join(heavy, "t").groupBy("group").agg(F.count(F.lit(1)).alias("heavy")))
     p = F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1
     w = F.least(F.col("n"), p + F.floor(p / 4) + 4)
-    sizes = heads.select("group", "n", "doc_id", "s1", "s2", F.element_at("head", -1).alias("last"))
-    short = settle(sizes.join(used, "group").where(w - F.col("heavy") < p))
-    more = whole_sets(docs, short.where("doc_id is not null"), size).join(short, ["doc_id", *_SET]).dropDuplicates(["group"])
-    more = settle(more.select("group", "n", F.posexplode("shingles").alias("place", "t")).join(heavy.withColumn("common", F.lit(1)), "t", "left"))
-    plain = more.where("common is null")
-    enough = plain.groupBy("group").agg(F.count(F.lit(1)).alias("plain"))
-    poor = settle(more.select("group", "n").distinct().join(enough, "group", "left").fillna(0, ["plain"]).where(F.col("plain") < p))
-
-    lists = entries.join(light, "t").select("t", "group").union(plain.select("t", "group")).distinct()
-    facts = sizes.join(used.select("group", "heavy"), "group", "left").select(
+    groups = settle(full.groupBy("group").agg(
+        F.min("n").alias("n"), F.min(F.element_at("head", -1)).alias("last"),
+        F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "s1", "s2"))).alias("one")))
+    entries = full.select("group", F.explode("head").alias("t"))
+    counts = settle(entries.groupBy("t").agg(F.count(F.lit(1)).alias("c")).where("c > 1"))
+
+    # Groups whose first shingles are too often common ones are looked at whole. Their
+    # further shingles count as well, which may make more shingles common: until none is added.
+    beyond, whole = None, None
+    while True:
+        total = counts if beyond is None else counts.union(beyond.groupBy("t").agg(F.count(F.lit(1)).alias("c"))).groupBy("t").agg(F.sum("c").alias("c"))
+        heavy = settle(total.where(F.col("c") > common).select("t"))
+        used = settle(entries.join(heavy, "t").distinct().groupBy("group").agg(F.count(F.lit(1)).alias("heavy")))
+        short = groups.where("one is not null").join(used, "group").where(w - F.col("heavy") < p).select("group", "n", "one.doc_id", "one.s1", "one.s2")
+        short = settle(short if whole is None else short.join(whole.select("group").distinct(), "group", "left_anti"))
+        if short.isEmpty():
+            break
+        more = whole_sets(docs, short, size).join(short, ["doc_id", *_SET]).dropDuplicates(["group"])
+        more = more.select("group", "n", w.alias("w"), F.posexplode("shingles").alias("place", "t"))
+        whole = settle(more if whole is None else more.union(whole))
+        beyond = whole.where("place >= w").select("group", "t")
+
+    light = counts.select("t").join(heavy, "t", "left_anti")
+    lists = entries.join(light, "t")
+    if whole is not None:
+        # A further shingle may lie among the first of others, even where those have it once.
+        reached = beyond.join(heavy, "t", "left_anti")
+        single = entries.join(reached.select("t").distinct().join(counts, "t", "left_anti"), "t")
+        lists = lists.unionByName(reached).unionByName(single)
+    facts = groups.join(used, "group", "left").select(
         "group", "n", F.coalesce("heavy", F.lit(0)).alias("heavy"), F.when(w < F.col("n"), F.col("last")).otherwise((1 << 63) - 1).alias("last"),
         (F.col("n") - w).alias("rest"))
-    lists = lists.join(facts, "group")
+    lists = lists.select("t", "group").distinct().join(facts, "group")
     a, b = lists.alias("a"), lists.alias("b")
     similar = (F.col("a.n") * 100 >= F.col("b.n") * percent) & (F.col("b.n") * 100 >= F.col("a.n") * percent)
     pairs = a.join(b, (F.col("a.t") == F.col("b.t")) & (F.col("a.group") < F.col("b.group")) & similar)
@@ -189,9 +198,15 @@ def _links(docs: DataFrame, full: DataFrame, classes: DataFrame, size: int, perc
     # Groups of several classes, and sets made of common shingles: lists of any length.
     many = classes.groupBy("group").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("group")
     inside = classes.join(many, "group").select(F.concat(F.lit("g"), F.col("group").cast("string")).alias("list"), "class", "n")
-    rare = more.where("common is not null").join(poor.select("group"), "group", "left_semi")
-    rare = rare.join(members.drop("n"), "group").select(F.concat(F.lit("t"), F.col("t").cast("string")).alias("list"), "class", "n")
-    return _across(docs, classes, settle(inside.union(rare)), links, size, percent)
+    lists = inside
+    if whole is not None:
+        marked = whole.join(heavy.withColumn("common", F.lit(1)), "t", "left")
+        plain = marked.groupBy("group").agg(F.max("n").alias("n"), F.count(F.when(F.col("common").isNull(), 1)).alias("plain"))
+        poor = plain.where(F.col("plain") < p).select("group")
+        rare = marked.where("common is not null").join(poor, "group", "left_semi").select("group", "t")
+        rare = rare.join(members, "group").select(F.concat(F.lit("t"), F.col("t").cast("string")).alias("list"), "class", "n")
+        lists = lists.union(rare)
+    return _across(docs, classes, settle(lists), links, size, percent)
 
 
 def _across(docs: DataFrame, classes: DataFrame, lists: DataFrame, links: DataFrame, size: int, percent: int) -> DataFrame:
