@@ -15,6 +15,7 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 # White space of every word rule, as a class inside brackets.
 SPACE = r"\x20\x09-\x0D"
@@ -146,7 +147,8 @@ def grams(words: np.ndarray, size: int) -> np.ndarray:
 def pieces(batches: Iterator[pa.RecordBatch], text: str, most: int = _BLOCK) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each holds at most about ``most`` bytes of text, or one row."""
     for batch in batches:
-        at = np.asarray(buffer_of(batch.column(text))[1])
+        sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0)
+        at = np.concatenate([[0], np.cumsum(np.asarray(sizes, np.int64))])
         low = 0
         while low < batch.num_rows:
             high = max(int(np.searchsorted(at, at[low] + most, "right")) - 1, low + 1)

@@ -50,7 +50,7 @@ def _byte_letters() -> dict[int, str]:
 class Encoder:
     """Texts to unsigned 32-bit ids, without special tokens added."""
 
-    def __init__(self, path: str, remember: int = 450_000):
+    def __init__(self, path: str, remember: int = 250_000, remember_words: int = 50_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -60,7 +60,7 @@ class Encoder:
         special = [re.escape(t.content) for t in self._whole.get_added_tokens_decoder().values()]
         self._special = "|".join(special) or r"\A\z."
         self._letters = _byte_letters()
-        self._remember = remember
+        self._remember, self._remember_words = remember, remember_words
         self._pieces: dict[str, bytes] = {}
         self._words: dict[str, bytes] = {}
 
@@ -136,7 +136,7 @@ class Encoder:
     def _learn_words(self, met: set[str]) -> dict[str, bytes]:
         found = dict(zip(met, map(self._words.get, met, repeat(None))))
         new = [w for w, k in found.items() if k is None]
-        room = len(self._words) + len(new) <= self._remember
+        room = len(self._words) + len(new) <= self._remember_words
         for low in range(0, len(new), 10_000):
             part = new[low : low + 10_000]
             written = [w.encode().decode("latin-1").translate(self._letters) for w in part]
