@@ -50,7 +50,7 @@ def _byte_letters() -> dict[int, str]:
 class Encoder:
     """Texts to unsigned 32-bit ids, without special tokens added."""
 
-    def __init__(self, path: str, remember: int = 250_000, remember_words: int = 50_000):
+    def __init__(self, path: str, remember: int, remember_words: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -150,5 +150,6 @@ class Encoder:
         return found
 
 
-def encoder(path: str) -> Encoder:
-    return per_worker(f"encoder {path}", lambda: Encoder(path))
+def encoder(path: str, remember: int = 250_000, remember_words: int = 50_000) -> Encoder:
+    """The worker's encoder. What it remembers takes about 200 bytes a piece or word."""
+    return per_worker(f"encoder {path} {remember} {remember_words}", lambda: Encoder(path, remember, remember_words))
