@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .sequences import Ordered, Run, as_micros
+from .sequences import Ordered, Run, as_micros, untag
 
 
 def word_count(words: DataFrame, word: str = "word") -> DataFrame:
@@ -22,7 +23,7 @@ def count_by(df: DataFrame, *keys: str, name: str = "n") -> DataFrame:
 
 def running_total(df, keys, order, value: str, name: str = "total", limits=None):
     """The total of each key after each row."""
-    return Ordered(df, keys, order, limits).running({name: ("sum", value)})
+    return untag(Ordered(df, keys, order, limits).running({name: ("sum", value)}))
 
 
 def running_average(df, keys, order, value: str, name: str = "average", limits=None):
@@ -31,7 +32,7 @@ def running_average(df, keys, order, value: str, name: str = "average", limits=N
         {"_sum": ("sum", F.col(value).cast("double")), "_n": ("count", value)}
     )
     average = F.when(F.col("_n") > 0, F.col("_sum") / F.col("_n"))
-    return seen.withColumn(name, average).drop("_sum", "_n")
+    return untag(seen.withColumn(name, average).drop("_sum", "_n"))
 
 
 def rolling_max(df, keys, order, value: str, carried: Sequence[str], limits=None):
@@ -40,25 +41,21 @@ def rolling_max(df, keys, order, value: str, carried: Sequence[str], limits=None
     seen = Ordered(df, keys, order, limits).running(
         {f"max_{value}": ("max", value), "_first": ("first", first)}
     )
-    return seen.withColumns({f"first_{c}": F.col(f"_first.{c}") for c in carried}).drop("_first")
+    return untag(seen.withColumns({f"first_{c}": F.col(f"_first.{c}") for c in carried}).drop("_first"))
 
 
 def max_row(df: DataFrame, keys: Sequence[str], value: str, order: Sequence[str],
             columns: Sequence[str], last: bool = False) -> DataFrame:
     """The whole row of the maximum; on ties the first row, or the last.
 
-    A plain aggregate (``max_by`` / ``min_by`` merge on the map side), so a
-    very large key costs one small row per task.
+    A rank on the columns themselves, of any orderable type. Spark keeps one row
+    per key and task ahead of the shuffle (WindowGroupLimit), so a very large key
+    stays cheap.
     """
-    top = df.groupBy(*keys).agg(F.max(F.struct(value, *_toward(df, order, last), F.struct(*columns).alias("row"))).alias("top"))
-    return top.select(*keys, "top.row.*")
-
-
-def _toward(df: DataFrame, order: Sequence[str], last: bool) -> list[Column]:
-    if last:
-        return [F.col(c) for c in order]
-    # The earliest row wins when the negated order is the greatest.
-    return [(-as_micros(df, c)).alias(f"_neg_{c}") for c in order]
+    ties = [F.desc(c) if last else F.asc(c) for c in order]
+    best = Window.partitionBy(*keys).orderBy(F.desc_nulls_last(value), *ties)
+    top = df.withColumn("_nth", F.row_number().over(best)).where("_nth = 1")
+    return top.select(*keys, *[c for c in columns if c not in keys])
 
 
 def reduce_running(df, keys, order, value: str, carried: Sequence[str], limits=None):
@@ -66,7 +63,7 @@ def reduce_running(df, keys, order, value: str, carried: Sequence[str], limits=N
     seen = Ordered(df, keys, order, limits).running(
         {f"sum_{value}": ("sum", value), "_first": ("first", F.struct(*carried))}
     )
-    return seen.withColumns({f"first_{c}": F.col(f"_first.{c}") for c in carried}).drop("_first")
+    return untag(seen.withColumns({f"first_{c}": F.col(f"_first.{c}") for c in carried}).drop("_first"))
 
 
 def distinct_running(df, member: str, order: Sequence[str], name: str = "uv", limits=None):
@@ -77,24 +74,22 @@ def distinct_running(df, member: str, order: Sequence[str], name: str = "uv", li
     so a member that repeats very often needs no care.
     """
     rows = df.withColumn("_side", F.lit(1)).withColumn("_marker", F.lit(None).cast("int"))
-    whole = Ordered(rows, [], [*order, "_side"], limits)
     first = df.where(F.col(member).isNotNull()).groupBy(member).agg(F.min(F.struct(*order)).alias("_first"))
     markers = first.select("_first.*", F.lit(0).alias("_side"), F.lit(1).alias("_marker"))
     marked = rows.unionByName(markers, allowMissingColumns=True)
-    counted = whole.over(marked).running({name: Run("count", "_marker")})
-    return counted.where(F.col("_side") == 1).drop("_side", "_marker")
+    counted = Ordered(marked, [], [*order, "_side"], limits).running({name: Run("count", "_marker")})
+    return untag(counted.where(F.col("_side") == 1).drop("_side", "_marker"))
 
 
 def retract_changelog(df, keys, order, value: str, limits=None) -> DataFrame:
     """Each change of the per-key sum: the old result taken back, the new added."""
-    kind = F.col(value)
+    amount = F.coalesce(F.col(value), F.lit(0).cast(df.schema[value].dataType))
+    # What is taken back is the total as it was sent, not one reckoned backwards.
     seen = Ordered(df, keys, order, limits).running(
-        {"_new": ("sum", F.coalesce(kind, F.lit(0).cast(df.schema[value].dataType))), "_nth": ("count", F.lit(1))}
+        {"_new": Run("sum", amount), "_old": Run("sum", amount, inclusive=False), "_nth": Run("count", F.lit(1))}
     )
     added = F.struct(F.lit("+").alias("op"), F.col("_new").alias("total"))
-    retracted = F.struct(
-        F.lit("-").alias("op"), (F.col("_new") - F.coalesce(kind, F.lit(0))).alias("total")
-    )
+    retracted = F.struct(F.lit("-").alias("op"), F.col("_old").alias("total"))
     changes = F.when(F.col("_nth") == 1, F.array(added)).otherwise(F.array(retracted, added))
     return seen.withColumn("_change", F.explode(changes)).select(*df.columns, "_change.*")
 
@@ -104,7 +99,7 @@ def first_seen(df, keys, value: str, order, carried: Sequence[str], limits=None)
     seen = Ordered(df, [*keys, value], order, limits).running(
         {"_first": ("first", F.struct(*carried))}
     )
-    return seen.withColumns({f"first_{c}": F.col(f"_first.{c}") for c in carried}).drop("_first")
+    return untag(seen.withColumns({f"first_{c}": F.col(f"_first.{c}") for c in carried}).drop("_first"))
 
 
 def drop_repeats(df, keys, value: str, order, columns: Sequence[str]) -> DataFrame:
@@ -120,7 +115,7 @@ def jump_alarm(df, keys, order, value: str, over: float, limits=None) -> DataFra
     with_last = Ordered(df, keys, order, limits).framed(
         lambda w: {"previous": F.lag(value).over(w)}, before=1
     )
-    return with_last.where(F.abs(F.col(value) - F.col("previous")) > over)
+    return untag(with_last.where(F.abs(F.col(value) - F.col("previous")) > over))
 
 
 def rising_alarm(df, keys, order, value: str, hold_us: int, limits=None) -> DataFrame:
@@ -154,28 +149,36 @@ def rising_alarm(df, keys, order, value: str, hold_us: int, limits=None) -> Data
     fields = [laid_out.schema[c] for c in group]
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
 
-    def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_run, deadline = None, 0
         for batch in batches:
-            if not len(batch):
+            if not batch.num_rows:
                 continue
-            names, above = batch[group], batch[group].shift()
-            change = names.ne(above) & ~(names.isna() & above.isna())
-            starts = np.flatnonzero(change.any(axis=1).to_numpy())
-            times, firing = batch["_t"].to_numpy(), []
-            for lo, hi in zip(starts, [*starts[1:], len(batch)]):
-                run = tuple(None if pd.isna(v) else v for v in names.iloc[lo]) if lo == 0 else None
+            n, names = batch.num_rows, batch.select(group)
+            # Neighbours are compared in their own types: keys of any size stay exact.
+            change = np.zeros(n, bool)
+            change[0] = True
+            for column in names.columns:
+                a, b = column.slice(1), column.slice(0, n - 1)
+                differ = pc.fill_null(pc.not_equal(a, b), False)
+                nulls = pc.xor(pc.is_null(a), pc.is_null(b))
+                change[1:] |= np.asarray(pc.or_(differ, nulls))
+            starts = np.flatnonzero(change)
+            times, firing = np.asarray(batch.column("_t")), []
+            first = names.slice(0, 1).to_pylist()[0]
+            for lo, hi in zip(starts, [*starts[1:], n]):
                 at = lo
-                if run is not None and run == open_run:
+                if lo == 0 and first == open_run:
                     at += int(np.searchsorted(times[lo:hi], deadline, side="right"))
                 while at < hi:
                     firing.append(at)
                     deadline = int(times[at]) + hold_us
                     at += int(np.searchsorted(times[at:hi], deadline, side="right"))
-            open_run = tuple(None if pd.isna(v) else v for v in names.iloc[-1])
-            yield names.iloc[firing].assign(alarm_at=times[firing] + hold_us)
+            open_run = names.slice(n - 1, 1).to_pylist()[0]
+            fired = pa.array(firing, pa.int64())
+            yield names.take(fired).append_column("alarm_at", pa.array(times[firing] + hold_us, pa.int64()))
 
-    return laid_out.mapInPandas(scan, f"{schema}, alarm_at bigint")
+    return laid_out.mapInArrow(scan, f"{schema}, alarm_at bigint")
 
 
 def event_timers(df, keys, time: str, delay: str) -> DataFrame:

@@ -8,7 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .repartition import broadcast_if_small
 from .sequences import Limits, Ordered, untag
 
 
@@ -47,14 +46,14 @@ def reconcile(
     r_rows = right.where(F.col(key).isNotNull())
     l_at = Ordered(l_rows, [key], left_order, limits).positions("_nth")
     r_at = Ordered(r_rows, [key], right_order, limits).positions("_nth")
-    return l_at.join(r_at, [key, "_nth"], "inner").drop("_nth")
+    return untag(l_at).join(untag(r_at), [key, "_nth"], "inner").drop("_nth")
 
 
 def apply_rules(
     df: DataFrame, rules: DataFrame, on: str | Sequence[str], default: dict[str, object]
 ) -> DataFrame:
     """Look up a rule for each row; rows without one get the defaults."""
-    joined = df.join(broadcast_if_small(rules), on, "left")
+    joined = df.join(rules, on, "left")
     return joined.withColumns(
         {name: F.coalesce(F.col(name), F.lit(value)) for name, value in default.items()}
     )

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, WindowSpec
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
+from pyspark.sql import functions as F
 
-from .sequences import Ordered
+from ..session import settle
+from .sequences import Ordered, exact_time, untag
 
 
 def over_unbounded(df: DataFrame, keys, order, columns, limits=None) -> DataFrame:
     """From the key's start to the current row's time, equal times together."""
-    return Ordered(df, keys, order, limits).running(columns, ties=True)
+    return untag(Ordered(df, keys, order, limits).running(columns, ties=True))
 
 
 def over_rows(df: DataFrame, keys, order, preceding: int,
@@ -19,14 +21,36 @@ def over_rows(df: DataFrame, keys, order, preceding: int,
     def framed(w: WindowSpec) -> dict[str, Column]:
         return {n: c.over(w.rowsBetween(-preceding, 0)) for n, c in columns.items()}
 
-    return Ordered(df, keys, order, limits).framed(framed, before=preceding)
+    return untag(Ordered(df, keys, order, limits).framed(framed, before=preceding))
 
 
 def over_range(df: DataFrame, keys, order, preceding_us: int,
-               columns: dict[str, Column], limits=None) -> DataFrame:
-    """The rows at most ``preceding_us`` (in units of the order column) earlier."""
-
-    def framed(w: WindowSpec) -> dict[str, Column]:
-        return {n: c.over(w.rangeBetween(-preceding_us, 0)) for n, c in columns.items()}
-
-    return Ordered(df, keys, order, limits).time_framed(framed, before=preceding_us)
+               columns: dict[str, tuple[str, str]], limits=None) -> DataFrame:
+    """The rows at most ``preceding_us`` (in units of the order column) earlier.
+
+    ``columns`` names sums and counts: ``("sum", column)`` of whole numbers or
+    decimals, ``("count", column)``. Over a cut sequence they are what has been
+    reached by a row's time less what had been reached before the frame, so a
+    burst inside one frame is no large task. Rows without a time are each
+    other's frame.
+    """
+    seq = Ordered(df, keys, order, limits)
+    time = exact_time(df, order[0])
+    plain = {"sum": F.sum, "count": F.count}
+    if not seq.is_cut:
+        window = Window.partitionBy(*keys).orderBy("_time").rangeBetween(-preceding_us, 0)
+        return df.withColumn("_time", time).withColumns({n: plain[k](c).over(window) for n, (k, c) in columns.items()}).drop("_time")
+    reached = {f"_to_{k}_{c}": (k, c) for _, c in columns.values() for k in plain}
+    before = {f"_from_{k}_{c}": (k, F.when(time.isNotNull(), F.col(c))) for _, c in columns.values() for k in plain}
+    # Rows without a time come first in a sequence, but in no frame of a row with one.
+    upto = seq.running(reached, ties=True)
+    timeless = {f"_none_{k}_{c}": (k, F.when(time.isNull(), F.col(c))) for _, c in columns.values() for k in plain}
+    upto = seq.over(upto).running(timeless, ties=True)
+    both = seq.over(settle(upto)).as_of(time - preceding_us, before, inclusive=False)
+
+    def inside(kind: str, c: str) -> Column:
+        parts = [F.coalesce(F.col(f"_{p}_{kind}_{c}"), F.lit(0)) for p in ("to", "none", "from")]
+        return F.when(time.isNull(), parts[0]).otherwise(parts[0] - parts[1] - parts[2])
+
+    found = {n: (F.when(inside("count", c) > 0, inside("sum", c)) if k == "sum" else inside("count", c)) for n, (k, c) in columns.items()}
+    return untag(both.withColumns(found)).select(*df.columns, *columns)

@@ -21,7 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .sequences import Ordered, Run, as_micros
@@ -123,6 +123,14 @@ def followed_by(seq: Ordered, first: Condition, then: Condition, fields: Sequenc
     )
 
 
+def _reached(seq: Ordered, rows: DataFrame, name: str, within: int) -> DataFrame:
+    """The last event (its rank leads the struct) less than ``within`` after each row."""
+    if not seq.is_cut:
+        ahead = Window.partitionBy(*seq.keys).orderBy(T_).rangeBetween(0, within - 1)
+        return rows.withColumn(name, F.max(EV).over(ahead))
+    return seq.over(rows).as_of(F.col(T_) + (within - 1), {name: ("latest", EV)})
+
+
 def _closers(seq: Ordered, closes: Condition, fields: Sequence[str], within: int | None) -> DataFrame:
     """For each row the next closing row after it, the last one in reach, and
     how many there are from one to the other."""
@@ -140,9 +148,7 @@ def _closers(seq: Ordered, closes: Condition, fields: Sequence[str], within: int
         return rows.withColumn("_tail", F.col("_tail.e"))
     rows = seq.over(rows).running(wanted)
     ranked = F.when(F.col(EV).isNotNull(), F.struct(F.col(R).alias("rank"), F.col(EV).alias("e")))
-    rows = seq.over(rows.withColumn(EV, ranked)).time_framed(
-        lambda w: {"_reach": F.max(EV).over(w.rangeBetween(0, within - 1))}, after=within - 1
-    )
+    rows = _reached(seq, rows.withColumn(EV, ranked), "_reach", within)
     return rows.withColumns({"_tail": F.col("_reach.e"), "n_matches": F.col("_reach.rank") - F.col(R)})
 
 
@@ -210,11 +216,9 @@ def one_or_more(
         rows = rows.withColumn("_run", F.coalesce("_end", "_run"))
     here = F.struct(F.col(R).alias("rank"), F.col(EV).alias("e"))
     rows = rows.where(F.col("_fits")).withColumn(EV, here)
-    rows = rows.select(*seq.df.columns, R, EV, "_run")
+    rows = rows.select(*seq.df.columns, T_, R, EV, "_run")
     if within is not None:
-        rows = seq.over(rows).time_framed(
-            lambda w: {"_near": F.max(EV).over(w.rangeBetween(0, within - 1))}, after=within - 1
-        )
+        rows = _reached(seq, rows, "_near", within)
         near = F.col("_near.rank") < F.col("_run.rank")
         rows = rows.withColumn("_run", F.when(near, F.col("_near")).otherwise(F.col("_run")))
     ahead = at_least - 1

@@ -1,22 +1,16 @@
-"""The partitioners a job can ask for by name, and size-checked broadcast."""
+"""The partitioners a job can ask for by name."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SMALL_ROWS = 100_000
-
 
 def by_key(df: DataFrame, *keys: str, parts: int | None = None) -> DataFrame:
+    """All rows of a key in one partition."""
     return df.repartition(parts, *keys) if parts else df.repartition(*keys)
 
 
-def balanced_by_key(df: DataFrame, *keys: str) -> DataFrame:
-    """Rows of a key together, except that Spark splits partitions that are too large."""
-    return df.hint("rebalance", *[F.col(k) for k in keys])
-
-
 def at_random(df: DataFrame, parts: int, ident: str, seed: int = 0) -> DataFrame:
     """Spread rows at random.
 
@@ -34,24 +28,3 @@ def rescale(df: DataFrame, parts: int) -> DataFrame:
     """Fewer partitions without a shuffle, more with one."""
     now = df.rdd.getNumPartitions()
     return df.coalesce(parts) if parts <= now else df.repartition(parts)
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for heavy row-wise work on an input of only a few splits.
-
-    A large input has more splits than cores and is left as it is.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
-def is_small(df: DataFrame, rows: int = SMALL_ROWS) -> bool:
-    """Whether ``df`` has at most ``rows`` rows; reads no more than it must."""
-    return df.limit(rows + 1).count() <= rows
-
-
-def broadcast_if_small(df: DataFrame, rows: int = SMALL_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting; else leave the join to AQE."""
-    if df.isStreaming or not is_small(df, rows):
-        return df
-    return F.broadcast(df)

@@ -2,23 +2,23 @@
 
 ``Window.partitionBy(key)`` sends all rows of a key to one task. That is the
 right plan for keys of ordinary size, and it is what runs when no key is large.
-When a key is too large for a task (or there is no key at all) its rows are cut
-into slices of its time range, the window runs inside each slice, and what a
-slice needs from its neighbours is brought to it:
-
-* running aggregates get the totals of the earlier slices (one small row per
-  slice of a large key, joined back by broadcast);
+When a key is too large for a task (or there is no key at all) the rows are laid
+out once by ranges of key and order, in files whose part is kept as the *slice*
+of a row. A slice is a stretch of the sequence of one or more keys, of about
+``rows_per_task`` rows at most, whatever the types of the order columns and
+however many rows share an instant. All later steps read that layout:
+
+* running aggregates run inside a slice and get the totals of the key's earlier
+  slices. Only one key can reach into a slice from before, so that is at most
+  one row per slice;
 * frames of a bounded number of rows get copies of the few rows just outside
-  the block, and so do frames of a bounded time span.
-
-Slices start as equal parts of the key's time range. A slice that still holds
-too many rows (a burst, or many rows of one instant) is cut again, along the
-first order column that varies inside it.
+  blocks of a fixed number of rows;
+* "as of" look-ups at another time are rows of their own in the sequence, so
+  they too are running aggregates.
 
-Which keys are large is found by one pre-aggregated count per key. At most
-``max_hot_keys`` of them come to the driver: any key beyond the N largest holds
-fewer than total/N rows, so leaving it whole is safe. Make one ``Ordered`` and
-go on with ``over`` for derived frames, so that the count runs once.
+Nothing is collected but the number of rows in all and in the largest key, and
+no join is forced: the small sides are DataFrames for Spark to plan. Make one
+``Ordered`` and go on with ``over`` for derived frames, which keep the slice.
 """
 
 from __future__ import annotations
@@ -34,7 +34,6 @@ from pyspark.sql import types as T
 from ..session import settle
 
 SLICE, BLOCK, AT, HOME, POS = "_slice", "_block", "_at", "_home", "_pos"
-_LO, _WIDTH = "_slice_lo", "_slice_width"
 
 
 @dataclass(frozen=True)
@@ -42,10 +41,6 @@ class Limits:
     """How much of one key a single task may hold."""
 
     rows_per_task: int = 4_000_000
-    max_hot_keys: int = 10_000
-    max_slices: int = 100_000
-    max_rounds: int = 3
-    max_pieces: int = 10_000
 
     @staticmethod
     def of(df: DataFrame) -> "Limits":
@@ -124,6 +119,12 @@ def as_micros(df: DataFrame, name: str) -> Column:
     return F.col(name).cast("bigint")
 
 
+def exact_time(df: DataFrame, name: str) -> Column:
+    """A time as a number to reckon with: microseconds or days, or the number itself, fractions kept."""
+    kind = df.schema[name].dataType
+    return F.col(name) if isinstance(kind, T.NumericType) else as_micros(df, name)
+
+
 def _floor_div(number: Column, by: Column | int) -> Column:
     """Whole-number division rounding down, without the rounding of doubles."""
     by = F.lit(by) if isinstance(by, int) else by
@@ -137,167 +138,53 @@ def _all(conditions: Sequence[Column]) -> Column:
 class Ordered:
     """The rows of ``df`` per ``keys``, in the order of the ``order`` columns.
 
-    ``order`` names ascending columns; the first is a time or a number, the
-    rest break ties. Empty ``keys`` means one sequence over the whole table.
+    ``order`` names ascending columns of any orderable type; the first is a time
+    or a number, the rest break ties. Empty ``keys`` means one sequence over the
+    whole table. Rows that are equal in key, order and all other columns cannot
+    be told apart and stay in one slice.
     """
 
-    def __init__(
-        self,
-        df: DataFrame,
-        keys: Sequence[str],
-        order: Sequence[str],
-        limits: Limits | None = None,
-        _like: "Ordered | None" = None,
-    ):
+    def __init__(self, df: DataFrame, keys: Sequence[str], order: Sequence[str], limits: Limits | None = None):
         self.df, self.keys, self.order = df, list(keys), list(order)
         self.limits = limits or Limits.of(df)
-        if _like is not None:
-            self.hot, self.span, self.cuts = _like.hot, _like.span, _like.cuts
-        else:
-            # Large keys with the start and width of their slices; without
-            # keys, the same for the whole input; slices that are cut again.
-            self.hot: DataFrame | None = None
-            self.span: tuple[int, int] | None = None
-            self.cuts: list[tuple[DataFrame, int]] = []
-            self._find_hot()
+        parts = self._parts()
+        self.is_cut = parts > 0
+        if self.is_cut:
+            self.df = self._laid_out(parts)
 
     def over(self, df: DataFrame) -> "Ordered":
         """The same key and order over a derived frame, without a new count."""
-        return Ordered(df, self.keys, self.order, self.limits, _like=self)
+        seq = Ordered.whole(df, self.keys, self.order)
+        seq.limits, seq.is_cut = self.limits, self.is_cut
+        return seq
 
     @classmethod
     def whole(cls, df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> "Ordered":
         """Sequences whose keys are known to be of ordinary size: no count, no cuts."""
         seq = cls.__new__(cls)
         seq.df, seq.keys, seq.order = df, list(keys), list(order)
-        seq.limits, seq.hot, seq.span, seq.cuts = Limits(), None, None, []
+        seq.limits, seq.is_cut = Limits(), False
         return seq
 
-    # -- finding and cutting large keys ------------------------------------
-
-    def _find_hot(self) -> None:
-        lim = self.limits
-        found = (
-            self.df.select(*self.keys, as_micros(self.df, self.order[0]).alias(AT))
-            .groupBy(*self.keys)
-            .agg(F.count(F.lit(1)).alias("n"), F.min(AT).alias("lo"), F.max(AT).alias("hi"))
-        )
-        if self.keys:
-            found = found.where(F.col("n") > lim.rows_per_task)
-            rows = found.orderBy(F.desc("n")).limit(lim.max_hot_keys).collect()
-        else:
-            rows = [r for r in found.collect() if r["n"]]
-        if not rows:
-            return
-        total = sum(r["n"] for r in rows)
-        per_slice = max(lim.rows_per_task, total // lim.max_slices)
-        least = 1 if self.keys else self.df.sparkSession.sparkContext.defaultParallelism
-        data = []
-        for r in rows:
-            lo, hi = (0, 0) if r["lo"] is None else (r["lo"], r["hi"])
-            # Four times more slices than the row count asks for, since events
-            # are seldom spread evenly over the time range.
-            pieces = max(4 * -(-r["n"] // per_slice), least)
-            data.append((*[r[k] for k in self.keys], lo, max(1, -(-(hi - lo + 1) // pieces))))
-        if self.keys:
-            self.hot = self._small_table(data, [_LO, _WIDTH])
-        else:
-            self.span = data[0]
-        if total > lim.rows_per_task:
-            self._cut_again(2 * per_slice)
-
-    def _small_table(self, data: list[tuple], columns: Sequence[str]) -> DataFrame:
-        keys = [T.StructField(f"_hot_{k}", self.df.schema[k].dataType) for k in self.keys]
-        rest = [T.StructField(c, T.LongType()) for c in columns]
-        return self.df.sparkSession.createDataFrame(data, T.StructType(keys + rest))
-
-    def _numbers(self) -> list[Column]:
-        """The leading order columns that can be cut: times and whole numbers."""
-        able = (T.TimestampType, T.TimestampNTZType, T.DateType, T.IntegralType)
-        columns = []
-        for name in self.order:
-            if not isinstance(self.df.schema[name].dataType, able):
-                break
-            columns.append(as_micros(self.df, name))
-        return columns
-
-    def _cut_again(self, limit: int) -> None:
-        """Cut slices of more than ``limit`` rows, a few rounds at most.
-
-        There are at most total/limit of them, so they fit the driver.
-        """
-        lim, axes = self.limits, self._numbers()
-        for _ in range(lim.max_rounds if axes else 0):
-            rows = self._sliced().where(F.col(_LO).isNotNull())
-            stats = [F.count(F.lit(1)).alias("n")]
-            for i, axis in enumerate(axes):
-                stats += [F.min(axis).alias(f"lo{i}"), F.max(axis).alias(f"hi{i}"), F.count(axis).alias(f"has{i}")]
-            heavy = rows.groupBy(*self.keys, SLICE).agg(*stats).where(F.col("n") > limit)
-            data, span = [], 1
-            for r in heavy.collect():
-                for i in range(len(axes)):
-                    lo, hi, has = r[f"lo{i}"], r[f"hi{i}"], r[f"has{i}"]
-                    if not has or (lo == hi and has == r["n"]):
-                        continue  # constant in this slice: the next column decides
-                    lo -= has < r["n"]  # rows without a value sort before the rest
-                    pieces = min(4 * -(-r["n"] * 2 // limit), lim.max_pieces)
-                    width = max(1, -(-(hi - lo + 1) // pieces))
-                    span = max(span, (hi - lo) // width + 1)
-                    data.append((*[r[k] for k in self.keys], r[SLICE], i, lo, width))
-                    break
-            if not data:
-                return
-            self.cuts.append((self._small_table(data, ["_cut_slice", "_axis", "_cut_lo", "_cut_width"]), span))
-
-    @property
-    def is_cut(self) -> bool:
-        return self.hot is not None or self.span is not None
-
-    def _tagged(self) -> DataFrame:
-        """Rows with the lower bound and slice width of their key (null: not large)."""
-        df = self.df.withColumn(AT, as_micros(self.df, self.order[0]))
-        if SLICE in self.df.columns:
-            return df
-        if not self.keys:
-            return df.withColumn(_LO, F.lit(self.span[0])).withColumn(_WIDTH, F.lit(self.span[1]))
-        on = _all([F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in self.keys])
-        # The broadcast side has at most max_hot_keys rows by construction.
-        return df.join(F.broadcast(self.hot), on, "left").drop(
-            *[f"_hot_{k}" for k in self.keys]
-        )
-
-    @staticmethod
-    def _cell(at: Column, width: Column) -> Column:
-        # A row without an order value sorts first, so it belongs in slice 0.
-        return F.coalesce(_floor_div(at - F.col(_LO), width), F.lit(0))
-
-    def _sliced(self) -> DataFrame:
-        rows = self._tagged()
-        if SLICE in self.df.columns:
-            return rows
-        rows = rows.withColumn(SLICE, self._cell(F.col(AT), F.col(_WIDTH)))
-        for cut, span in self.cuts:
-            on = [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in self.keys]
-            on += [F.col(SLICE) == F.col("_cut_slice"), F.col(_LO).isNotNull()]
-            value = F.coalesce(
-                *[F.when(F.col("_axis") == i, axis) for i, axis in enumerate(self._numbers())],
-                F.col("_cut_lo"),
-            )
-            piece = _floor_div(value - F.col("_cut_lo"), F.col("_cut_width"))
-            rows = (
-                rows.join(F.broadcast(cut), _all(on), "left")
-                .withColumn(SLICE, F.col(SLICE) * span + F.coalesce(piece, F.lit(0)))
-                .drop(*[f"_hot_{k}" for k in self.keys], *cut.columns[len(self.keys):])
-            )
-        return rows
-
-    def tag(self) -> "Ordered":
-        """Keep the slice columns, so that several steps share one shuffle.
-
-        Finish with ``untag`` on the resulting frame. Does nothing when no key
-        is large.
-        """
-        return self.over(self._sliced().drop(AT)) if self.is_cut else self
+    # -- the layout ----------------------------------------------------------
+
+    def _parts(self) -> int:
+        """How many slices the rows need: none if no key is large."""
+        most = self.limits.rows_per_task
+        sizes = self.df.groupBy(*self.keys).agg(F.count(F.lit(1)).alias("n"))
+        largest, total = sizes.agg(F.max("n"), F.sum("n")).first()
+        if not total or (self.keys and largest <= most):
+            return 0
+        least = 2 if self.keys else self.df.sparkSession.sparkContext.defaultParallelism
+        # Ranges come from a sample, so they are asked for half as large.
+        return max(least, -(-2 * total // most))
+
+    def _laid_out(self, parts: int) -> DataFrame:
+        """The rows by ranges of key and order, with their slice, written down."""
+        plain = [f.name for f in self.df.schema if not _holds_map(f.dataType)]
+        tie = F.xxhash64(*plain)  # splits rows of equal order; the same if a task runs again
+        ranged = self.df.repartitionByRange(parts, *self.keys, *self.order, tie)
+        return settle(ranged.withColumn(SLICE, F.spark_partition_id()))
 
     def _asc(self, names: Sequence[str], reverse: bool) -> list[Column]:
         return [F.desc(n) if reverse else F.asc(n) for n in names]
@@ -316,7 +203,9 @@ class Ordered:
         ``columns`` maps a new name to a ``Run``, or to ``(kind, column)`` for
         one that takes ``reverse`` and ``inclusive`` from here. Ask for columns
         that do not need each other in one call: a cut sequence reads its input
-        twice per call. ``ties`` counts rows of equal time together.
+        twice per call. ``ties`` counts rows of equal time together. Sums of
+        doubles depend on how a sequence is cut, in their last digits; sums of
+        whole numbers and decimals do not.
         """
         runs = {
             name: r if isinstance(r, Run) else Run(r[0], r[1], reverse, inclusive)
@@ -324,20 +213,14 @@ class Ordered:
         }
         if not self.is_cut:
             return self.df.withColumns(self._local(runs, self.keys, ties))
-        rows = self._sliced()
-        local = rows.withColumns(self._local(runs, [*self.keys, SLICE], ties))
-        totals = (
-            rows.where(F.col(_LO).isNotNull())
-            .groupBy(*self.keys, SLICE)
-            .agg(*[r.total(self.order).alias(n) for n, r in runs.items()])
-        )
-        carry = totals.select(
-            *self.keys,
-            SLICE,
-            *[r.carried(n).over(self._other_slices(r.reverse)).alias(f"_carry_{n}") for n, r in runs.items()],
-        )
-        combined = self.bring(local, carry).withColumns({n: r.combine(n) for n, r in runs.items()})
-        return combined.select(*self.df.columns, *runs)
+        rows = self.df
+        for back in (False, True):
+            some = {n: r for n, r in runs.items() if r.reverse == back}
+            if some:
+                rows = self._bring(rows, self._carries(some, back))
+        rows = rows.withColumns(self._local(runs, [SLICE, *self.keys], ties))
+        rows = rows.withColumns({n: r.combine(n) for n, r in runs.items()}).select(*self.df.columns, *runs)
+        return self._level(rows, list(runs), reverse) if ties else rows
 
     def _local(self, runs: dict[str, Run], by: Sequence[str], ties: bool) -> dict[str, Column]:
         return {
@@ -353,22 +236,43 @@ class Ordered:
             Window.unboundedPreceding, Window.currentRow if inclusive else -1
         )
 
-    def _other_slices(self, reverse: bool) -> WindowSpec:
-        window = Window.partitionBy(*self.keys).orderBy(*self._asc([SLICE], reverse))
-        return window.rowsBetween(Window.unboundedPreceding, -1)
+    def _slices(self, reverse: bool = False) -> WindowSpec:
+        return Window.partitionBy(*self.keys).orderBy(*self._asc([SLICE], reverse))
 
-    def bring(self, rows: DataFrame, carry: DataFrame) -> DataFrame:
-        """Join per-slice values back to the rows of the slice.
+    def _carries(self, runs: dict[str, Run], reverse: bool) -> DataFrame:
+        """What reaches into a slice from the key's slices on the way to it."""
+        totals = self.df.groupBy(*self.keys, SLICE).agg(*[r.total(self.order).alias(n) for n, r in runs.items()])
+        others = self._slices(reverse).rowsBetween(Window.unboundedPreceding, -1)
+        carry = totals.select(
+            *self.keys, SLICE, F.row_number().over(self._slices(reverse)).alias("_nth"),
+            *[r.carried(n).over(others).alias(f"_carry_{n}") for n, r in runs.items()],
+        )
+        return carry.where("_nth > 1").drop("_nth")
 
-        One row per slice of a large key: bounded by ``max_slices`` (times a
-        small factor) whatever the size of the table, so it is broadcast.
-        """
+    def _bring(self, rows: DataFrame, carry: DataFrame) -> DataFrame:
+        """Join per-slice values of at most one key per slice back to its rows."""
         renamed = carry.withColumnsRenamed({c: f"_of_{c}" for c in [*self.keys, SLICE]})
-        on = [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in self.keys]
-        on += [F.col(SLICE) == F.col(f"_of_{SLICE}"), F.col(_LO).isNotNull()]
-        return rows.join(F.broadcast(renamed), _all(on), "left").drop(
-            *[f"_of_{c}" for c in [*self.keys, SLICE]]
-        )
+        on = [F.col(SLICE) == F.col(f"_of_{SLICE}")]
+        on += [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in self.keys]
+        return rows.join(renamed, _all(on), "left").drop(*[f"_of_{c}" for c in [*self.keys, SLICE]])
+
+    def _level(self, rows: DataFrame, names: list[str], reverse: bool) -> DataFrame:
+        """Give rows of equal time the value of the last of them, where a cut parts them."""
+        time = self.order[0]
+        # Rows without a time come first, so a slice that has one begins with it.
+        begin = F.when(F.count(time) == F.count(F.lit(1)), F.min(time))
+        ends = self.df.groupBy(*self.keys, SLICE).agg(begin.alias("_from"), F.max(time).alias("_to"))
+        ends = ends.select(*self.keys, F.col("_to").alias(time), F.lead("_from").over(self._slices()).alias("_next"),
+                           F.lead(F.lit(1)).over(self._slices()).alias("_more"))
+        parted = ends.where(F.col("_more").isNotNull() & F.col(time).eqNullSafe(F.col("_next"))).select(*self.keys, time).distinct()
+        named = [*self.keys, time]
+        parted = parted.withColumnsRenamed({c: f"_of_{c}" for c in named})
+        on = _all([F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in named])
+        pick = F.min_by if reverse else F.max_by
+        last = rows.join(parted, on, "left_semi").groupBy(*named).agg(pick(F.struct(*names), SLICE).alias("_all"))
+        last = last.withColumnsRenamed({c: f"_of_{c}" for c in named})
+        joined = rows.join(last, on, "left")
+        return joined.select(*self.df.columns, *[F.when(F.col("_all").isNotNull(), F.col("_all")[n]).otherwise(F.col(n)).alias(n) for n in names])
 
     def positions(self, name: str = POS) -> DataFrame:
         """Add the 1-based place of each row within its key."""
@@ -382,6 +286,25 @@ class Ordered:
         """
         return self.over(settle(df) if self.is_cut else df)
 
+    # -- other times ----------------------------------------------------------
+
+    def as_of(self, time: Column, columns: dict[str, tuple[str, Column | str]], inclusive: bool = True) -> DataFrame:
+        """Add running aggregates of the key as they stood at another ``time``.
+
+        ``time`` is in the units of the order column (``exact_time``);
+        ``inclusive`` counts rows of just that time. Every row enters the
+        sequence twice, as itself and as a question at that time, so neither
+        bursts nor long distances gather rows in a task. The result is not cut.
+        """
+        plain = self.df.drop(SLICE)
+        own = exact_time(plain, self.order[0])
+        ask = plain.withColumns({"_when": time, "_side": F.lit(1 if inclusive else -1)})
+        both = plain.withColumns({"_when": own, "_side": F.lit(0)}).unionByName(ask)
+        seq = Ordered(both, self.keys, ["_when", "_side", *self.order], self.limits)
+        event = F.col("_side") == 0
+        runs = {n: (k, F.when(event, F.col(c) if isinstance(c, str) else c)) for n, (k, c) in columns.items()}
+        return untag(seq.running(runs).where(~event)).drop("_when", "_side")
+
     # -- bounded frames -----------------------------------------------------
 
     def framed(
@@ -395,74 +318,27 @@ class Ordered:
 
         ``position`` names a column that already numbers the key's rows.
         """
-        window = Window.partitionBy(*self.keys).orderBy(*self.order)
         if not self.is_cut:
-            return self.df.withColumns(columns(window))
-        if self.keys and not position:
-            # Numbering rows takes a shuffle of its own; spare the other keys that.
-            tagged = self._tagged()
-            large = self.over(tagged.where(is_large()).select(*self.df.columns))
-            others = tagged.where(~is_large()).select(*self.df.columns)
-            numbered = large.positions()
-            framed = large.over(numbered).framed(columns, before, after, POS).drop(POS)
-            return others.withColumns(columns(window)).unionByName(framed)
+            return self.df.withColumns(columns(Window.partitionBy(*self.keys).orderBy(*self.order)))
         size = max(self.limits.rows_per_task, before + after, 1)
-        place = position or POS
-        placed = self.over(self.df if position else self.positions())._tagged()
+        rows = self.df if position else self.positions()
+        place = F.col(position or POS)
 
         def block(pos: Column) -> Column:
             return _floor_div(pos, size)
 
-        return self._blocked(placed, block, F.col(place), before, after, columns, self.order)
-
-    def time_framed(
-        self,
-        columns: Callable[[WindowSpec], dict[str, Column]],
-        before: int = 0,
-        after: int = 0,
-    ) -> DataFrame:
-        """Like ``framed`` with distances in time units of the order column.
-
-        The window is ordered by that time as a whole number, so the callback
-        can use ``rangeBetween(-before, after)``.
-        """
-        if not self.is_cut:
-            rows = self.df.withColumn(AT, as_micros(self.df, self.order[0]))
-            window = Window.partitionBy(*self.keys).orderBy(AT)
-            return rows.withColumns(columns(window)).drop(AT)
-        width = F.greatest(F.col(_WIDTH), F.lit(max(before, after, 1)))
-        return self._blocked(
-            self._tagged(),
-            lambda at: self._cell(at, width),
-            F.col(AT),
-            before,
-            after,
-            columns,
-            [AT],
-        )
-
-    def _blocked(self, rows, block, place, before, after, columns, order) -> DataFrame:
-        home = F.when(F.col(_LO).isNull(), F.lit(0)).otherwise(block(place)).cast("bigint")
-        blocks = F.when(F.col(_LO).isNull(), F.array(F.lit(0).cast("bigint"))).otherwise(
-            F.array_distinct(
-                F.array(block(place), block(place + before), block(place - after))
-            )
-        )
-        copies = rows.withColumn(HOME, home).withColumn(BLOCK, F.explode(blocks))
-        window = Window.partitionBy(*self.keys, BLOCK).orderBy(*order)
-        added = columns(window)
-        return (
-            copies.withColumns(added)
-            .where(F.col(HOME) == F.col(BLOCK))
-            .select(*self.df.columns, *added)
-        )
+        blocks = F.array_distinct(F.array(block(place), block(place + before), block(place - after)))
+        copies = rows.withColumn(HOME, block(place)).withColumn(BLOCK, F.explode(blocks))
+        added = columns(Window.partitionBy(*self.keys, BLOCK).orderBy(*self.order))
+        return copies.withColumns(added).where(F.col(HOME) == F.col(BLOCK)).select(*self.df.columns, *added)
 
 
-def is_large() -> Column:
-    """Whether a tagged row belongs to a large key."""
-    return F.col(_LO).isNotNull()
+def _holds_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return any(_holds_map(f.dataType) for f in kind)
+    return isinstance(kind, (T.MapType, T.VariantType)) or (isinstance(kind, T.ArrayType) and _holds_map(kind.elementType))
 
 
 def untag(df: DataFrame) -> DataFrame:
     """Drop the helper columns of ``Ordered``."""
-    return df.drop(SLICE, BLOCK, AT, HOME, POS, _LO, _WIDTH)
+    return df.drop(SLICE, BLOCK, AT, HOME, POS)

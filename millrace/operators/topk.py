@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .sequences import SLICE, Ordered, is_large
+from .sequences import SLICE, Ordered
 
 TOPS = ["top1", "top2", "top3"]
 
@@ -27,18 +27,18 @@ def top3_running(df: DataFrame, keys, order, value: str, limits=None) -> DataFra
     seq = Ordered(df, keys, order, limits)
     if not seq.is_cut:
         return _cascade(df, keys, order, value)
-    rows = seq.tag().df
+    rows = seq.df
     here = _cascade(rows, [*keys, SLICE], order, value)
     # The same over the three largest of each slice gives, slice by slice, the
     # three largest of all earlier ones.
-    best = top_n(rows.where(is_large()), [*keys, SLICE], value, [], 3)
+    best = top_n(rows, [*keys, SLICE], value, [], 3)
     so_far = _cascade(best.select(*keys, SLICE, "rank", value), keys, [SLICE, "rank"], value)
     # Places only grow along the way, so a slice ends with its largest ones.
     ends = so_far.groupBy(*keys, SLICE).agg(*[F.max(t).alias(t) for t in TOPS])
     next_slice = Window.partitionBy(*keys).orderBy(SLICE)
-    carry = ends.select(*keys, SLICE, *[F.lag(t).over(next_slice).alias(f"_carry_{t}") for t in TOPS])
+    carry = ends.select(*keys, SLICE, F.row_number().over(next_slice).alias("_nth"), *[F.lag(t).over(next_slice).alias(f"_carry_{t}") for t in TOPS])
     merged = F.array_compact(F.array(*TOPS, *[f"_carry_{t}" for t in TOPS]))
-    all_six = seq.tag().bring(here, carry).withColumn("_all", F.sort_array(merged, asc=False))
+    all_six = seq._bring(here, carry.where("_nth > 1").drop("_nth")).withColumn("_all", F.sort_array(merged, asc=False))
     places = {t: F.get("_all", F.lit(i)) for i, t in enumerate(TOPS)}
     return all_six.withColumns(places).select(*df.columns, *TOPS)
 

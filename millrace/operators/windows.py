@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .sequences import Limits, Ordered, is_large
+from .sequences import Limits, Ordered, Run, as_micros, untag
 
 Aggregates = dict[str, tuple[str, str | Column]]
 
@@ -22,10 +22,6 @@ def _first_step(kind: str, c: str | Column) -> Column:
     return {"sum": F.sum, "count": F.count, "min": F.min, "max": F.max}[kind](c)
 
 
-def _second_step(kind: str, name: str) -> Column:
-    return {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}[kind](name)
-
-
 def _bounds(df: DataFrame, keys: Sequence[str], window: str, names) -> DataFrame:
     return df.select(
         *keys,
@@ -63,10 +59,10 @@ def session(
 ) -> DataFrame:
     """Session windows with one gap, or a gap per row, in microseconds.
 
-    Rows exactly one gap apart share a session. For a large key of a bounded
-    input, rows within one shortest gap of each other are first merged into
-    one (they always share a session), which bounds what one task gets by the
-    length of the timeline instead of the number of rows.
+    Rows exactly one gap apart share a session. Over a cut sequence a session
+    begins where a row lies beyond the running maximum of all earlier ends;
+    counting the beginnings numbers the sessions, which are then plain groups.
+    So a large key is spread over tasks whatever its gaps.
     """
     fixed = isinstance(gap_us, int)
     gap = F.lit(gap_us) if fixed else (F.col(gap_us) if isinstance(gap_us, str) else gap_us)
@@ -80,26 +76,17 @@ def session(
     length = f"{gap_us} microseconds" if fixed else _micros_text(gap)
     if df.isStreaming:
         return plain(df, length, once)
-    seq = Ordered(df, keys, [time], limits)
+    valid = df.withColumn("_gap", gap.cast("bigint")).where(F.col("_gap") > 0)
+    seq = Ordered(valid.where(F.col(time).isNotNull()), keys, [time], limits)
     if not seq.is_cut:
         return plain(df, length, once)
-
-    tagged = seq._tagged().withColumn("_gap", gap).where(F.col("_gap") > 0)
-    large = tagged.where(is_large())
-    step = gap_us if fixed else (large.agg(F.min("_gap")).first()[0] or 1)
-    merged = (
-        large.withColumn("_cell", F.floor(F.col("_at") / step))
-        .groupBy(*keys, "_cell")
-        .agg(
-            F.min(time).alias(time),
-            (F.max(F.col("_at") + F.col("_gap")) - F.min("_at")).alias("_gap"),
-            *once,
-        )
-    )
-    twice = [_second_step(k, n).alias(n) for n, (k, _) in aggregates.items()]
-    return plain(tagged.where(~is_large()), _micros_text(F.col("_gap")), once).unionByName(
-        plain(merged, _micros_text(F.col("_gap")), twice)
-    )
+    span = "make_dt_interval(0, 0, 0, cast(cast(_gap AS decimal(18, 0)) / 1000000 AS decimal(18, 6)))"
+    rows = seq.df.withColumn("_at", as_micros(seq.df, time)).withColumn("_end", F.expr(f"`{time}` + {span}"))
+    rows = seq.settled(rows).running({"_reach": Run("max", F.col("_at") + F.col("_gap"), inclusive=False)})
+    begins = F.col("_reach").isNull() | (F.col("_at") > F.col("_reach"))
+    rows = seq.settled(rows.withColumn("_begins", F.when(begins, 1))).running({"_session": Run("count", "_begins")})
+    grouped = rows.groupBy(*keys, "_session").agg(F.min(time).alias("window_start"), F.max("_end").alias("window_end"), *once)
+    return grouped.select(*keys, "window_start", "window_end", *names)
 
 
 def _micros_text(gap: Column) -> Column:
@@ -135,4 +122,4 @@ def count_slide(
         return {n: _first_step(k, c).over(w) for n, (k, c) in aggregates.items()}
 
     framed = seq.over(seq.positions("nth")).framed(frame, before=size - 1, position="nth")
-    return framed.where(F.col("nth") % every == 0)
+    return untag(framed.where(F.col("nth") % every == 0))

@@ -173,3 +173,13 @@ def cep_login_fail(spark, sf):
 SELECT user_id, tag, event_id AS first_event_id, CASE WHEN tag = 'match' THEN nid END AS last_event_id FROM t WHERE tag IS NOT NULL""")
 def cep_order_timeout(spark, sf):
     return P.next_or_timeout(_seq(spark, sf), JOIN, BUY, ID, within=12 * HOUR)
+
+
+@query("cep_next_unkeyed", """
+SELECT first_event_id, last_event_id FROM (
+  SELECT event_id AS first_event_id, event_type, lead(event_id) OVER w AS last_event_id, lead(event_type) OVER w AS next_type
+  FROM events WINDOW w AS (ORDER BY ts, event_id))
+WHERE event_type = 'view' AND next_type = 'click'""")
+def cep_next_unkeyed(spark, sf):
+    rows = events(spark, sf).select("event_id", "ts", "event_type")
+    return P.next_to(Ordered(rows, [], ["ts", "event_id"]), VIEW, CLICK, ID)

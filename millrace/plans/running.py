@@ -132,7 +132,7 @@ SELECT event_id, user_id, CAST(sum(cents) OVER (PARTITION BY user_id ORDER BY ts
   RANGE BETWEEN INTERVAL 1 DAY PRECEDING AND CURRENT ROW) AS BIGINT) AS total FROM {C_EVENTS}""")
 def over_range(spark, sf):
     rows = _cents(events(spark, sf)).select("event_id", "user_id", "ts", "cents")
-    out = over.over_range(rows, KEYS, ORDER, DAY, {"total": F.sum("cents")})
+    out = over.over_range(rows, KEYS, ORDER, DAY, {"total": ("sum", "cents")})
     return out.select("event_id", "user_id", "total")
 
 
@@ -149,6 +149,7 @@ def over_rows(spark, sf):
 SELECT event_id, user_id, count(cents) OVER w AS n, CAST(sum(cents) OVER w AS BIGINT) AS total FROM {C_EVENTS}
 WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS 1 PRECEDING)""")
 def sql_named_window(spark, sf):
-    rows = _cents(events(spark, sf)).select("event_id", "user_id", "ts", "cents")
-    out = over.over_rows(rows, KEYS, ORDER, 1, {"n": F.count("cents"), "total": F.sum("cents")})
-    return out.select("event_id", "user_id", "n", "total")
+    _cents(events(spark, sf)).createOrReplaceTempView("event_cents")
+    return spark.sql("""
+        SELECT event_id, user_id, count(cents) OVER w AS n, sum(cents) OVER w AS total FROM event_cents
+        WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS 1 PRECEDING)""")

@@ -39,10 +39,13 @@ FROM events GROUP BY event_type"""
 
 @query("wordcount_batch", """
 SELECT word, count(*) AS n
-FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents) GROUP BY word""")
+FROM (SELECT unnest(string_split(line, ' ')) AS word
+      FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)) GROUP BY word""")
 def wordcount_batch(spark, sf):
-    texts = repartition.spread(table(spark, sf, "documents").select("text"))
-    return aggregates.word_count(reshape.split_words(texts, "text"))
+    path = scratch_path(spark, "texts")
+    table(spark, sf, "documents").select("text").where("text IS NOT NULL").write.text(path, lineSep="\n")
+    lines = spark.read.text(path, lineSep="\n")
+    return aggregates.word_count(reshape.split_words(lines, "value"))
 
 
 @query("csv_typed_scan", SUMS_SQL)
@@ -72,7 +75,7 @@ USING (event_type) GROUP BY v.label""")
 def from_elements(spark, sf):
     labels = [("click", "touch"), ("view", "look"), ("signup", "join"), ("purchase", "buy")]
     elements = spark.createDataFrame(labels, "event_type string, label string")
-    joined = events(spark, sf).join(repartition.broadcast_if_small(elements), "event_type")
+    joined = events(spark, sf).join(elements, "event_type")
     return aggregates.count_by(joined, "label")
 
 
@@ -83,7 +86,7 @@ USING (event_type) GROUP BY e.user_id""")
 def from_collection(spark, sf):
     weights = {"click": 1, "view": 2, "purchase": 30}
     collection = spark.createDataFrame(list(weights.items()), "event_type string, weight bigint")
-    joined = events(spark, sf).join(repartition.broadcast_if_small(collection), "event_type")
+    joined = events(spark, sf).join(collection, "event_type")
     return joined.groupBy("user_id").agg(F.sum("weight").alias("score"))
 
 
@@ -198,15 +201,9 @@ def map_partition(spark, sf):
     return reshape.map_with_resource(rows, "event_id bigint, label string", lambda: str.upper, label)
 
 
-@query("flatmap_words", """
-SELECT doc_id, count(*) AS words, CAST(sum(length(word)) AS BIGINT) AS letters
-FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS word FROM documents) GROUP BY doc_id""")
+@query("flatmap_words", "SELECT doc_id, unnest(string_split(text, ' ')) AS word FROM documents")
 def flatmap_words(spark, sf):
-    # Words of one text stay together, so counting them needs no shuffle of words.
-    words = F.split("text", " ")
-    return table(spark, sf, "documents").select(
-        "doc_id", F.size(words).cast("bigint").alias("words"),
-        F.aggregate(words, F.lit(0).cast("bigint"), lambda n, w: n + F.length(w)).alias("letters"))
+    return table(spark, sf, "documents").select("doc_id", F.explode(F.split("text", " ")).alias("word"))
 
 
 @query("filter_even", "SELECT event_id, user_id, event_type FROM events WHERE event_id % 2 = 0")
@@ -228,9 +225,8 @@ def sql_where(spark, sf):
 @query("side_output_split", """
 SELECT event_id, CASE WHEN value > 50 THEN 'high' ELSE 'main' END AS tag, value FROM events""")
 def side_output_split(spark, sf):
-    tagged = reshape.tag_rows(events(spark, sf).select("event_id", "value"), {"high": F.col("value") > 50})
-    high, rest = reshape.side_output(tagged, "high"), reshape.side_output(tagged, "main")
-    return combine.union_all(high.withColumn("tag", F.lit("high")), rest.withColumn("tag", F.lit("main"))).select("event_id", "tag", "value")
+    tag = F.when(F.col("value") > 50, "high").otherwise("main")
+    return events(spark, sf).select("event_id", tag.alias("tag"), "value")
 
 
 @query("scalar_functions", """
@@ -266,7 +262,7 @@ def _narrow(spark, sf):
 
 @query("repartition_key", SAME_ROWS_SQL)
 def repartition_key(spark, sf):
-    return repartition.balanced_by_key(_narrow(spark, sf), "user_id")
+    return repartition.by_key(_narrow(spark, sf), "user_id")
 
 
 @query("repartition_random", SAME_ROWS_SQL)
@@ -449,7 +445,7 @@ def top2_udtf(spark, sf):
 @query("udf_scalar", "SELECT doc_id, CAST(length(text) AS INTEGER) AS len FROM documents")
 def udf_scalar(spark, sf):
     udfs.register(spark)
-    repartition.spread(table(spark, sf, "documents").select("doc_id", "text")).createOrReplaceTempView("texts")
+    table(spark, sf, "documents").select("doc_id", "text").createOrReplaceTempView("texts")
     return spark.sql("SELECT doc_id, str_len(text) AS len FROM texts")
 
 

@@ -131,7 +131,7 @@ def sql_hop(spark, sf):
 
 @query("sql_session", session_sql(str(12 * HOUR)))
 def sql_session(spark, sf):
-    return windows.session(_rows(spark, sf), KEYS, "ts", 12 * HOUR, AGG)
+    return _sql_window(spark, sf, "session_window(ts, '12 hours')")
 
 
 # -- count windows -------------------------------------------------------------
@@ -222,18 +222,22 @@ def _proc(spark, sf):
     return windows.with_processing_time(_rows(spark, sf))
 
 
-@query("proc_tumble")
+# One run of a bounded input is one instant, so a key has one tumbling window and
+# one session, and a row lies in two sliding windows. The clock itself has no SQL.
+PROC_SQL = f"SELECT user_id, count(*) AS n, CAST(sum(cents) AS BIGINT) AS total FROM {C_EVENTS} GROUP BY user_id"
+ONLY = ["user_id", "n", "total"]
+
+
+@query("proc_tumble", PROC_SQL)
 def proc_tumble(spark, sf):
-    return windows.tumble(_proc(spark, sf), KEYS, "pt", "5 seconds", AGG)
+    return windows.tumble(_proc(spark, sf), KEYS, "pt", "5 seconds", AGG).select(ONLY)
 
 
-@query("proc_slide")
+@query("proc_slide", f"SELECT user_id, n, total FROM ({PROC_SQL}) CROSS JOIN (VALUES (1), (2)) v(i)")
 def proc_slide(spark, sf):
-    return windows.slide(_proc(spark, sf), KEYS, "pt", "6 seconds", "3 seconds", AGG)
+    return windows.slide(_proc(spark, sf), KEYS, "pt", "6 seconds", "3 seconds", AGG).select(ONLY)
 
 
-@query("proc_session")
+@query("proc_session", PROC_SQL)
 def proc_session(spark, sf):
-    # All rows of one run share its processing time, so each key is one session.
-    grouped = _proc(spark, sf).groupBy("user_id", "pt").agg(F.count("cents").alias("n"), F.sum("cents").alias("total"))
-    return windows.session(grouped, KEYS, "pt", 5_000_000, {"n": ("sum", "n"), "total": ("sum", "total")})
+    return windows.session(_proc(spark, sf), KEYS, "pt", 5_000_000, AGG).select(ONLY)

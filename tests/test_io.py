@@ -159,19 +159,6 @@ def test_partitioners(spark):
     assert by.withColumn("p", F.spark_partition_id()).groupBy("k").agg(F.countDistinct("p").alias("n")).agg(F.max("n")).first()[0] == 1
 
 
-def test_broadcast_only_when_small(spark):
-    def hinted(rows):
-        plan = repartition.broadcast_if_small(spark.range(20), rows)
-        joined = spark.range(100).join(plan, "id")
-        return "BroadcastHashJoin" in joined._jdf.queryExecution().executedPlan().toString()
-
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        assert hinted(20) and not hinted(19)
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
 def test_user_functions(spark, readings):
     udfs.register(spark)
     readings.createOrReplaceTempView("readings")

@@ -51,7 +51,7 @@ def test_running(rows, keys, reverse, mode):
     want = Ordered.whole(rows, keys, ["t", "id"])
     got = Ordered(rows, keys, ["t", "id"], CUT)
     assert got.is_cut and not want.is_cut
-    same(got.running(kinds, **how), want.running(kinds, **how))
+    same(got.running(kinds, **how).drop("_slice"), want.running(kinds, **how))
 
 
 @pytest.mark.parametrize("keys", [["k"], []])
@@ -65,12 +65,12 @@ def test_frames(rows, keys):
 
     want = Ordered.whole(rows, keys, ["t", "id"])
     got = Ordered(rows, keys, ["t", "id"], CUT)
-    same(got.framed(columns, before=3, after=1), want.framed(columns, before=3, after=1))
+    same(got.framed(columns, before=3, after=1).drop("_slice"), want.framed(columns, before=3, after=1))
 
-    def near(w):
-        return {"a": F.sum("v").over(w.rangeBetween(-7, 4))}
-
-    same(got.time_framed(near, before=7, after=4), want.time_framed(near, before=7, after=4))
+    for inclusive in (True, False):
+        asked = {"a": ("sum", "v"), "n": ("count", "v"), "l": ("latest", "id")}
+        time = F.col("t") - 7
+        same(got.as_of(time, asked, inclusive), want.as_of(time, asked, inclusive))
 
 
 @pytest.mark.parametrize(
@@ -81,7 +81,7 @@ def test_frames(rows, keys):
         lambda d, l: aggregates.distinct_running(d.where("v is not null"), "v", ["t", "id"], limits=l),
         lambda d, l: aggregates.rising_alarm(d, ["k"], ["t", "id"], "v", 3, l),
         lambda d, l: aggregates.running_average(d, ["k"], ["t", "id"], "v", limits=l),
-        lambda d, l: over.over_range(d, ["k"], ["t", "id"], 5, {"s": F.sum("v")}, l),
+        lambda d, l: over.over_range(d, ["k"], ["t", "id"], 5, {"s": ("sum", "v"), "n": ("count", "v")}, l),
         lambda d, l: over.over_unbounded(d, ["k"], ["t", "id"], {"s": ("sum", "v")}, l),
         lambda d, l: windows.count_tumble(d, ["k"], ["t", "id"], 5, {"s": ("sum", "v")}, ["id"], l),
         lambda d, l: windows.count_slide(d, ["k"], ["t", "id"], 5, 2, {"s": ("sum", "v")}, l),
@@ -104,18 +104,57 @@ def test_session_agrees(rows, gap):
     )
 
 
+def largest_slice(seq):
+    return seq.df.groupBy(*seq.keys, "_slice").count().agg(F.max("count")).first()[0]
+
+
 def test_bursts_are_cut(spark):
     rows = bursts(spark)
     got = Ordered(rows, ["k"], ["t", "id"], CUT)
-    assert got.cuts
-    sizes = got._sliced().groupBy("k", "_slice").count().agg(F.max("count")).first()[0]
-    assert sizes <= 40
+    assert largest_slice(got) <= 20
     kinds = {"s": ("sum", "v"), "f": ("first", "id"), "l": ("latest", "v")}
     for reverse in (False, True):
         want = Ordered.whole(rows, ["k"], ["t", "id"]).running(kinds, reverse=reverse)
-        same(got.running(kinds, reverse=reverse), want)
+        same(got.running(kinds, reverse=reverse).drop("_slice"), want)
     lead = lambda w: {"n": F.lead("id", 2).over(w)}
-    same(got.framed(lead, after=2), Ordered.whole(rows, ["k"], ["t", "id"]).framed(lead, after=2))
+    same(got.framed(lead, after=2).drop("_slice"), Ordered.whole(rows, ["k"], ["t", "id"]).framed(lead, after=2))
+    ranged = {"s": ("sum", "v"), "n": ("count", "v")}
+    same(over.over_range(rows, ["k"], ["t", "id"], 10, ranged, CUT), over.over_range(rows, ["k"], ["t", "id"], 10, ranged, WHOLE))
+    totals = {"s": ("sum", "v")}
+    same(over.over_unbounded(rows, ["k"], ["t", "id"], totals, CUT), over.over_unbounded(rows, ["k"], ["t", "id"], totals, WHOLE))
+
+
+def test_one_instant_with_text_ties_is_cut(spark):
+    rows = spark.createDataFrame([("one", 5, f"{i % 7}-{i}", i) for i in range(2000)], "k string, t bigint, tie string, v bigint")
+    got = Ordered(rows, ["k"], ["t", "tie"], Limits(rows_per_task=50))
+    assert largest_slice(got) <= 100
+    same(got.running({"s": ("sum", "v")}).drop("_slice"), Ordered.whole(rows, ["k"], ["t", "tie"]).running({"s": ("sum", "v")}))
+
+
+def test_every_large_key_is_cut(spark):
+    rows = spark.range(12_000).selectExpr("id % 30 AS k", "id AS t", "id AS id")
+    got = Ordered(rows, ["k"], ["t", "id"], Limits(rows_per_task=50))
+    assert largest_slice(got) <= 100
+    assert got.df.select("k", "_slice").distinct().groupBy("k").count().where("count < 4").count() == 0
+
+
+def test_a_burst_inside_a_frame_is_no_large_task(spark):
+    rows = spark.createDataFrame([("a", 100 + i % 3, i, 1) for i in range(1900)] + [("a", 1, 5000, 1)], SCHEMA)
+    limits = Limits(rows_per_task=50)
+    seq = Ordered(rows, ["k"], ["t", "id"], limits)
+    assert largest_slice(seq) <= 100
+    same(over.over_range(rows, ["k"], ["t", "id"], 50, {"s": ("sum", "v")}, limits),
+         over.over_range(rows, ["k"], ["t", "id"], 50, {"s": ("sum", "v")}, WHOLE))
+
+
+def test_session_of_a_large_key_with_one_tiny_gap(spark, capsys):
+    rows = spark.range(2000).select(F.lit("a").alias("k"), F.timestamp_seconds(F.col("id") * 3).alias("ts"),
+                                    F.when(F.col("id") == 7, 1000).otherwise(5_000_000).cast("bigint").alias("gap"), F.lit(1).alias("v"))
+    aggs = {"n": ("count", F.lit(1))}
+    cut = windows.session(rows, ["k"], "ts", "gap", aggs, Limits(rows_per_task=50))
+    same(cut, windows.session(rows, ["k"], "ts", "gap", aggs, WHOLE))
+    cut.explain("formatted")
+    assert "session_window" not in capsys.readouterr().out
 
 
 @pytest.mark.parametrize("limits", [CUT, WHOLE])

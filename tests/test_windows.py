@@ -67,7 +67,7 @@ def test_over(spark):
     rows = readings(spark)
     got = over.over_rows(rows, ["id"], ["t", "n"], 2, {"s": F.sum("vc")})
     assert [r["s"] for r in got.orderBy("n").collect()] == [10, 30, 30, 70, 80, 120]
-    got = over.over_range(rows, ["id"], ["t", "n"], 2 * S, {"s": F.sum("vc")})
+    got = over.over_range(rows, ["id"], ["t", "n"], 2 * S, {"s": ("sum", "vc")})
     assert [r["s"] for r in got.orderBy("n").collect()] == [10, 30, 30, 60, 80, 100]
 
 
@@ -79,6 +79,33 @@ def test_max_rows_on_ties(spark):
     assert [tuple(r) for r in last.collect()] == [("s1", 3, 30)]
 
 
+def test_max_rows_by_fractions_and_text(spark):
+    rows = spark.createDataFrame([("a", 1.7, "x", 9), ("a", 1.2, "y", 9), ("a", 0.5, "z", 3)], "k string, t double, name string, v int")
+    assert aggregates.max_row(rows, ["k"], "v", ["t"], ["t"]).collect()[0]["t"] == 1.2
+    assert aggregates.max_row(rows, ["k"], "v", ["name"], ["name"]).collect()[0]["name"] == "x"
+    assert aggregates.max_row(rows, ["k"], "v", ["name"], ["name"], last=True).collect()[0]["name"] == "y"
+
+
+def test_range_over_fractions(spark):
+    rows = spark.createDataFrame([("a", 1.2, 5), ("a", 1.7, 5), ("a", 1.9, 4)], "k string, t double, v bigint")
+    got = over.over_range(rows, ["k"], ["t"], 0, {"s": ("sum", "v")}).orderBy("t")
+    assert [r["s"] for r in got.collect()] == [5, 5, 4]
+
+
+def test_changelog_takes_back_what_it_sent(spark):
+    rows = spark.createDataFrame([("a", 1, 0.1), ("a", 2, 0.2), ("a", 3, 0.3)], "k string, t bigint, v double")
+    got = [(r["op"], r["total"]) for r in aggregates.retract_changelog(rows, ["k"], ["t"], "v").orderBy("t", F.desc("op")).collect()]
+    sent = [v for op, v in got if op == "+"]
+    assert [v for op, v in got if op == "-"] == sent[:-1]
+
+
+def test_rising_alarm_tells_large_ids_apart(spark):
+    for ids in ((2**62, 2**62 + 1), (10, 11), (None, 2**62 + 1)):
+        rows = spark.createDataFrame([(i, t, t) for i in ids for t in (1, 9)], "id bigint, t bigint, v bigint")
+        got = aggregates.rising_alarm(rows, ["id"], ["t"], "v", 5)
+        assert sorted((r["id"] or 0, r["alarm_at"]) for r in got.collect()) == sorted((i or 0, t + 5) for i in ids for t in (1, 9))
+
+
 def test_top(spark):
     rows = readings(spark, [("s1", i, v) for i, v in enumerate([5, 9, 9, 1, 9, 12])])
     got = topk.top3_running(rows, ["id"], ["t", "n"], "vc").orderBy("n").collect()
