@@ -34,7 +34,8 @@ def _replay(spark, rows, build, mode="append", close=False, keyed=False):
     # Rows of a key are sorted in memory by the keyed processors, so those
     # micro-batches are held to what one task can take.
     most = Limits.of(rows).rows_per_task if keyed else None
-    written = run.replay(spark, rows, "ts", build, mode, rows_per_step=most, closing=_closing(rows) if close else None)
+    written = run.replay(spark, rows, "ts", build, mode, rows_per_step=most, closing=_closing(rows) if close else None,
+                         partitions=spark.sparkContext.defaultParallelism)
     if not close:
         return written
     written = written.where("user_id >= 0").drop("batch_id")
@@ -133,7 +134,11 @@ def stream_rules(spark, sf):
     return counted.groupBy("logic").agg(F.sum("n").alias("n"))
 
 
-@query("stream_late_rows", "SELECT count(*) AS n, count(DISTINCT event_id) AS ids FROM events")
+@query("stream_late_rows", f"""
+WITH t AS (SELECT event_id, epoch_us(ts) AS t, event_id % 10 = 3 AS held, (epoch_us(ts) // {6 * HOUR} + 1) * {6 * HOUR} AS ends FROM events),
+m AS (SELECT max(t) - {HOUR} AS mark FROM t WHERE NOT held)
+SELECT CASE WHEN NOT held OR ends > mark THEN 'on_time' WHEN ends + {3 * HOUR} > mark THEN 'update' ELSE 'late' END AS status,
+       count(*) AS n, count(DISTINCT event_id) AS ids FROM t, m GROUP BY 1""")
 def stream_late_rows(spark, sf):
     rows = _rows(spark, sf)
     base = scratch_path(spark, "late")
@@ -144,7 +149,7 @@ def stream_late_rows(spark, sf):
         stream = spark.readStream.schema(rows.schema).parquet(f"{base}/in")
         late.split_late(stream, f"{base}/out", f"{base}/checkpoint", "ts", HOUR, 6 * HOUR, 3 * HOUR).awaitTermination()
     split = spark.read.parquet(f"{base}/out/rows")
-    return split.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("event_id").alias("ids"))
+    return split.groupBy("status").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("event_id").alias("ids"))
 
 
 # -- keyed state ---------------------------------------------------------------

@@ -2,9 +2,9 @@
 
 Spark's windows drop rows behind the watermark. Here each micro-batch is split
 against a mark this sink keeps itself: the largest event time of all earlier
-micro-batches, less the allowed disorder. The mark is one number per
-micro-batch, stored next to the output, and a micro-batch that runs again reads
-the same mark again.
+micro-batches, less the allowed disorder. The mark is one number, written anew
+next to the output by each micro-batch; only the one before is read, and a
+micro-batch that runs again reads the same mark again.
 """
 
 from __future__ import annotations
@@ -23,8 +23,8 @@ def split_late(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        marks = spark.read.schema("mark bigint, batch_id bigint").parquet(f"{path}/marks")
-        mark = marks.where(F.col("batch_id") < batch_id).agg(F.max("mark")).first()[0]
+        before = spark.read.schema("mark bigint").parquet(f"{path}/marks/{batch_id - 1}").collect() if batch_id else []
+        mark = before[0]["mark"] if before else None
         at = as_micros(batch, time)
         end = (F.floor(at / window_us) + 1) * window_us
         passed = F.lit(None).cast("bigint") if mark is None else F.lit(mark - disorder_us)
@@ -35,10 +35,8 @@ def split_late(
         )
         marked = batch.withColumn("window_start_us", (end - window_us).cast("bigint")).withColumn("status", status)
         marked.write.mode("overwrite").parquet(f"{path}/rows/batch_id={batch_id}")
-        newest = batch.agg(F.max(at).alias("mark")).where(F.col("mark").isNotNull())
-        newest.write.mode("overwrite").parquet(f"{path}/marks/batch_id={batch_id}")
+        newest = batch.agg(F.greatest(F.max(at), F.lit(mark).cast("bigint")).alias("mark"))
+        newest.write.mode("overwrite").parquet(f"{path}/marks/{batch_id}")
 
-    spark = stream.sparkSession
-    spark.createDataFrame([], "mark bigint").write.mode("ignore").parquet(f"{path}/marks/batch_id=-1")
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return writer.trigger(**(trigger or {"availableNow": True})).start()

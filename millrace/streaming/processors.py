@@ -106,7 +106,7 @@ class Changelog(KeyedProcessor):
         for ident, value in zip(batch[self.ident], batch[self.column]):
             if not fresh:
                 out.append((ident, "-", total))
-            total, fresh = total + int(value), False
+            total, fresh = total + (0 if pd.isna(value) else int(value)), False
             out.append((ident, "+", total))
         return out, (total,)
 
@@ -123,7 +123,8 @@ class RunningTop3(KeyedProcessor):
     def step(self, state, batch):
         best, out = list(state[0]) if state else [], []
         for ident, value in zip(batch[self.ident], batch[self.column]):
-            best = sorted([*best, float(value)], reverse=True)[:3]
+            if not pd.isna(value):
+                best = sorted([*best, float(value)], reverse=True)[:3]
             out.append((ident, *best, *[None] * (3 - len(best))))
         return out, (best,)
 

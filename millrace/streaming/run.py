@@ -15,19 +15,19 @@ Build = Callable[[DataFrame], DataFrame]
 
 
 @contextmanager
-def stream_settings(spark: SparkSession) -> Iterator[None]:
+def stream_settings(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
     """Settings a stream takes over when it starts.
 
-    Custom state needs the RocksDB store. The number of state partitions is
-    fixed at the first start; one per core of the cluster is used unless the
-    session asks for something other than Spark's default.
+    Custom state needs the RocksDB store. The number of state ``partitions`` is
+    fixed at the first start; the session's number of shuffle partitions if
+    none is asked for.
     """
     wanted = {
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
     }
-    if spark.conf.get("spark.sql.shuffle.partitions") == "200":
-        wanted["spark.sql.shuffle.partitions"] = str(spark.sparkContext.defaultParallelism)
+    if partitions:
+        wanted["spark.sql.shuffle.partitions"] = str(partitions)
     before = {k: spark.conf.get(k, None) for k in wanted}
     for key, value in wanted.items():
         spark.conf.set(key, value)
@@ -38,7 +38,8 @@ def stream_settings(spark: SparkSession) -> Iterator[None]:
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
 
 
-def write_batches(stream: DataFrame, path: str, checkpoint: str, mode: str = "append", trigger: dict | None = None):
+def write_batches(stream: DataFrame, path: str, checkpoint: str, mode: str = "append", trigger: dict | None = None,
+                  partitions: int | None = None):
     """Start a stream whose every micro-batch overwrites its own folder.
 
     A micro-batch that runs again after a failure replaces what it wrote
@@ -50,7 +51,7 @@ def write_batches(stream: DataFrame, path: str, checkpoint: str, mode: str = "ap
 
     writer = stream.writeStream.outputMode(mode).foreachBatch(write)
     writer = writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True}))
-    with stream_settings(stream.sparkSession):
+    with stream_settings(stream.sparkSession, partitions):
         return writer.start()
 
 
@@ -70,6 +71,7 @@ def latest(updates: DataFrame, keys: Sequence[str]) -> DataFrame:
 def replay(
     spark: SparkSession, rows: DataFrame, time: str, build: Build, mode: str = "append",
     steps: int = 3, rows_per_step: int | None = None, closing: DataFrame | None = None,
+    partitions: int | None = None,
 ) -> DataFrame:
     """Run a streaming job over a table, in time order, and return all it wrote.
 
@@ -96,5 +98,5 @@ def replay(
         part.select(rows.columns).write.mode("append").parquet(source)
         result = build(spark.readStream.schema(rows.schema).parquet(source))
         schema = result.schema
-        write_batches(result, out, checkpoint, mode).awaitTermination()
+        write_batches(result, out, checkpoint, mode, partitions=partitions).awaitTermination()
     return read_batches(spark, out, schema)
