@@ -25,7 +25,7 @@ def components(edges: DataFrame) -> DataFrame:
         ends = edges.union(edges.select("b", "a")).toDF("node", "other")
         first = ends.groupBy("node").agg(F.min(F.struct(F.xxhash64(draw, "other").alias("h"), F.col("other"))).alias("m"))
         own = F.struct(F.xxhash64(draw, "node").alias("h"), F.col("node").alias("other"))
-        step = settle(first.select("node", F.least("m", own)["other"].alias("root")))
+        step = first.select("node", F.least("m", own)["other"].alias("root"))
         step = settle(_follow(step, step))
         moved = edges.join(step.toDF("a", "ra"), "a").join(step.toDF("b", "rb"), "b")
         edges = settle(moved.select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b")).where("a <> b").distinct())

@@ -132,9 +132,7 @@ def near_copies(docs: DataFrame, size: int = 4, percent: int = 85, common: int =
     rows = settle(shingled(docs, size, percent).withColumn("row", F.monotonically_increasing_id()))
     full = rows.where("n > 0")
     classes = settle(full.groupBy("group", *_SET).agg(F.min("row").alias("class"), F.min("doc_id").alias("class_id")))
-    links = settle(_links(docs, full, classes, size, percent, common))
-
-    roots = components(links.toDF("a", "b")).toDF("class", "root")
+    roots = _linked(docs, full, classes, size, percent, common)
     known = classes.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
     smallest = known.groupBy("root").agg(F.min("class_id").alias("component_id"))
     known = settle(known.join(smallest, "root").select(*_SET, "class_id", "component_id"))
@@ -143,8 +141,8 @@ def near_copies(docs: DataFrame, size: int = 4, percent: int = 85, common: int =
                       F.when(F.col("n") > 0, F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"))
 
 
-def _links(docs: DataFrame, full: DataFrame, classes: DataFrame, size: int, percent: int, common: int) -> DataFrame:
-    """Verified links (a, b) between classes, enough of them to connect all that are linked."""
+def _linked(docs: DataFrame, full: DataFrame, classes: DataFrame, size: int, percent: int, common: int) -> DataFrame:
+    """Rows (class, root) of all classes that have a verified link to another."""
     p = F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1
     w = F.least(F.col("n"), p + F.floor(p / 4) + 4)
     groups = settle(full.groupBy("group").agg(
@@ -210,26 +208,26 @@ def _links(docs: DataFrame, full: DataFrame, classes: DataFrame, size: int, perc
 
 
 def _across(docs: DataFrame, classes: DataFrame, lists: DataFrame, links: DataFrame, size: int, percent: int) -> DataFrame:
-    """Links between classes of the same list, tried only across components.
+    """Components (class, root) of the links and of those between classes of the same list.
 
-    First each list's classes are tried against one of them, drawn anew three
-    times; what then still lies in different components is tried pair by pair.
+    A list's classes are first tried against one of them; what then still lies
+    in different components is tried pair by pair.
     """
-    for draw in range(4):
-        roots = components(links).toDF("class", "root")
+    for stars in (True, False):
+        roots = settle(components(links).toDF("class", "root"))
         lists = lists.drop("root").join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
         lists = settle(lists.join(lists.groupBy("list").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("list"), "list"))
         if lists.isEmpty():
-            break
+            return roots
         a, b = lists.alias("a"), lists.alias("b")
-        if draw < 3:
-            hub = F.min_by(F.struct("class", "n", "root"), F.xxhash64(F.lit(draw), "class"))
+        if stars:
+            hub = F.min_by(F.struct("class", "n", "root"), F.xxhash64("class"))
             a = lists.groupBy("list").agg(hub.alias("h")).select("list", "h.class", "h.n", "h.root").alias("a")
         near = (F.col("a.n") * 100 >= F.col("b.n") * percent) & (F.col("b.n") * 100 >= F.col("a.n") * percent)
-        apart = F.col("a.root") != F.col("b.root") if draw < 3 else F.col("a.root") < F.col("b.root")
+        apart = F.col("a.root") != F.col("b.root") if stars else F.col("a.root") < F.col("b.root")
         pairs = a.join(b, (F.col("a.list") == F.col("b.list")) & apart & near).select(F.col("a.class").alias("a"), F.col("b.class").alias("b"))
         links = settle(links.union(_verified(docs, classes, pairs, size, percent)))
-    return links
+    return components(links).toDF("class", "root")
 
 
 def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
