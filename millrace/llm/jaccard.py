@@ -9,9 +9,9 @@ shingles of each, in any order that is the same for all. So
 * a shingle in the prefixes of more than ``common`` documents is put last in the
   order, for all documents alike; so lists of groups by shingle are short, and
   joining them with themselves costs at most ``common / 2`` per entry;
-* the number of shared prefix shingles bounds the overlap from above, which
-  leaves few pairs of groups; their classes are joined with their whole sets and
-  verified;
+* a sketch of 256 parities bounds the difference of two sets from below, and the
+  number of shared prefix shingles their overlap from above, which leaves few
+  pairs of groups; their classes are joined with their whole sets and verified;
 * sets made almost wholly of common shingles are met through those, star by
   star, and only across components that are not linked yet.
 
@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import settle
@@ -66,6 +66,21 @@ def _lists(values: list[np.ndarray]) -> pa.Array:
 
 
 _SET = ["n", "s1", "s2"]
+_SKETCH = ["k0", "k1", "k2", "k3"]
+
+
+def _parities(values: np.ndarray) -> list[int]:
+    """For each of 256 cells of hash values, whether the set has an odd number in it."""
+    odd = np.bincount(values.view(np.uint64) >> np.uint64(56), minlength=256) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
+def _may_link(a: str, b: str, percent: int) -> Column:
+    """False only if sizes or sketches show that two sets are too different; true where there is no sketch."""
+    n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
+    apart = sum((F.bit_count(F.col(f"{a}.{k}").bitwiseXOR(F.col(f"{b}.{k}"))) for k in _SKETCH), F.lit(0))
+    alike = F.coalesce(apart * (100 + percent) <= (n + m) * (100 - percent), F.lit(True))
+    return (n * 100 >= m * percent) & (m * 100 >= n * percent) & alike
 
 
 def shingled(docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -78,11 +93,11 @@ def shingled(docs: DataFrame, size: int, percent: int) -> DataFrame:
             for found in _sets(batch.column("text"), size):
                 head = found[: _window(len(found), percent)] if len(found) else found
                 heads.append(head.copy())
-                signs.append((len(found), _sums(head + len(found))[0], *_sums(found)))
+                signs.append((len(found), _sums(head + len(found))[0], *_sums(found), *_parities(found)))
             columns = [pa.array(c, pa.int64()) for c in zip(*signs)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns, _lists(heads)], ["doc_id", "n", "group", "s1", "s2", "head"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns, _lists(heads)], ["doc_id", "n", "group", "s1", "s2", *_SKETCH, "head"])
 
-    return docs.mapInArrow(run, "doc_id bigint, n bigint, group bigint, s1 bigint, s2 bigint, head array<bigint>")
+    return docs.mapInArrow(run, "doc_id bigint, n bigint, group bigint, s1 bigint, s2 bigint, k0 bigint, k1 bigint, k2 bigint, k3 bigint, head array<bigint>")
 
 
 def whole_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
@@ -115,7 +130,7 @@ def whole_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     return rows.mapInArrow(run, "doc_id bigint, n bigint, s1 bigint, s2 bigint, shingles array<bigint>")
 
 
-def near_copies(docs: DataFrame, size: int = 4, percent: int = 85, common: int = 32, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def near_copies(docs: DataFrame, size: int = 4, percent: int = 85, common: int = 64, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """Documents linked, directly or not, by sets whose Jaccard similarity is at least ``percent`` / 100.
 
     Words are split at ASCII white space and lower-cased (A-Z); a set holds the
@@ -131,7 +146,7 @@ def near_copies(docs: DataFrame, size: int = 4, percent: int = 85, common: int =
     docs = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
     rows = settle(shingled(docs, size, percent).withColumn("row", F.monotonically_increasing_id()))
     full = rows.where("n > 0")
-    classes = settle(full.groupBy("group", *_SET).agg(F.min("row").alias("class"), F.min("doc_id").alias("class_id")))
+    classes = settle(full.groupBy("group", *_SET).agg(F.min("row").alias("class"), F.min("doc_id").alias("class_id"), *[F.min(k).alias(k) for k in _SKETCH]))
     roots = _linked(docs, full, classes, size, percent, common)
     known = classes.join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
     smallest = known.groupBy("root").agg(F.min("class_id").alias("component_id"))
@@ -177,10 +192,12 @@ def _linked(docs: DataFrame, full: DataFrame, classes: DataFrame, size: int, per
     facts = groups.join(used, "group", "left").select(
         "group", "n", F.coalesce("heavy", F.lit(0)).alias("heavy"), F.when(w < F.col("n"), F.col("last")).otherwise((1 << 63) - 1).alias("last"),
         (F.col("n") - w).alias("rest"))
+    # A group of several classes has no one sketch.
+    sketches = classes.groupBy("group").agg(F.count(F.lit(1)).alias("k"), *[F.min(k).alias(k) for k in _SKETCH]).where("k = 1").drop("k")
+    facts = settle(facts.join(sketches, "group", "left"))
     lists = lists.select("t", "group").distinct().join(facts, "group")
     a, b = lists.alias("a"), lists.alias("b")
-    similar = (F.col("a.n") * 100 >= F.col("b.n") * percent) & (F.col("b.n") * 100 >= F.col("a.n") * percent)
-    pairs = a.join(b, (F.col("a.t") == F.col("b.t")) & (F.col("a.group") < F.col("b.group")) & similar)
+    pairs = a.join(b, (F.col("a.t") == F.col("b.t")) & (F.col("a.group") < F.col("b.group")) & _may_link("a", "b", percent))
     # All shared shingles up to the earlier end of the two heads are counted or common;
     # beyond it the set that ends earlier has ``rest`` left.
     most = F.least("a.heavy", "b.heavy") + F.when(F.col("a.last") <= F.col("b.last"), F.col("a.rest")).otherwise(F.col("b.rest"))
@@ -189,20 +206,22 @@ def _linked(docs: DataFrame, full: DataFrame, classes: DataFrame, size: int, per
     pairs = pairs.where((F.col("shared") + F.col("most")) * (100 + percent) >= F.col("need")).select("ga", "gb")
 
     # Expand group pairs to pairs of classes.
-    members = classes.select("group", "class", "n")
-    pairs = pairs.join(members.toDF("ga", "a", "na"), "ga").join(members.toDF("gb", "b", "nb"), "gb").select("a", "b")
+    members = classes.select("group", "class")
+    pairs = pairs.join(members.toDF("ga", "a"), "ga").join(members.toDF("gb", "b"), "gb").select("a", "b")
     links = settle(_verified(docs, classes, pairs, size, percent))
 
     # Groups of several classes, and sets made of common shingles: lists of any length.
     many = classes.groupBy("group").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("group")
-    inside = classes.join(many, "group").select(F.concat(F.lit("g"), F.col("group").cast("string")).alias("list"), "class", "n")
-    lists = inside
+    of = ["class", "n", *_SKETCH]
+    lists = classes.join(many, "group").select(F.concat(F.lit("g"), F.col("group").cast("string")).alias("list"), *of)
     if whole is not None:
         marked = whole.join(heavy.withColumn("common", F.lit(1)), "t", "left")
         plain = marked.groupBy("group").agg(F.max("n").alias("n"), F.count(F.when(F.col("common").isNull(), 1)).alias("plain"))
-        poor = plain.where(F.col("plain") < p).select("group")
-        rare = marked.where("common is not null").join(poor, "group", "left_semi").select("group", "t")
-        rare = rare.join(members, "group").select(F.concat(F.lit("t"), F.col("t").cast("string")).alias("list"), "class", "n")
+        poor = plain.where(F.col("plain") < p).select("group", (p - F.col("plain")).alias("need"))
+        # Of the common shingles, which come last in the order, as many as the prefix still needs.
+        place = F.row_number().over(Window.partitionBy("group").orderBy("t"))
+        rare = marked.where("common is not null").select("group", "t").join(poor, "group").withColumn("at", place).where("at <= need")
+        rare = rare.select("group", "t").join(classes, "group").select(F.concat(F.lit("t"), F.col("t").cast("string")).alias("list"), *of)
         lists = lists.union(rare)
     return _across(docs, classes, settle(lists), links, size, percent)
 
@@ -221,11 +240,11 @@ def _across(docs: DataFrame, classes: DataFrame, lists: DataFrame, links: DataFr
             return roots
         a, b = lists.alias("a"), lists.alias("b")
         if stars:
-            hub = F.min_by(F.struct("class", "n", "root"), F.xxhash64("class"))
-            a = lists.groupBy("list").agg(hub.alias("h")).select("list", "h.class", "h.n", "h.root").alias("a")
-        near = (F.col("a.n") * 100 >= F.col("b.n") * percent) & (F.col("b.n") * 100 >= F.col("a.n") * percent)
+            hub = F.min_by(F.struct("class", "n", "root", *_SKETCH), F.xxhash64("class"))
+            a = lists.groupBy("list").agg(hub.alias("h")).select("list", "h.*").alias("a")
         apart = F.col("a.root") != F.col("b.root") if stars else F.col("a.root") < F.col("b.root")
-        pairs = a.join(b, (F.col("a.list") == F.col("b.list")) & apart & near).select(F.col("a.class").alias("a"), F.col("b.class").alias("b"))
+        pairs = a.join(b, (F.col("a.list") == F.col("b.list")) & apart & _may_link("a", "b", percent))
+        pairs = pairs.select(F.col("a.class").alias("a"), F.col("b.class").alias("b"))
         links = settle(links.union(_verified(docs, classes, pairs, size, percent)))
     return components(links).toDF("class", "root")
 
