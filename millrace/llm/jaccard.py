@@ -160,54 +160,68 @@ def _linked(docs: DataFrame, full: DataFrame, classes: DataFrame, size: int, per
     """Rows (class, root) of all classes that have a verified link to another."""
     p = F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1
     w = F.least(F.col("n"), p + F.floor(p / 4) + 4)
-    groups = settle(full.groupBy("group").agg(
-        F.min("n").alias("n"), F.min(F.element_at("head", -1)).alias("last"),
-        F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "s1", "s2"))).alias("one")))
+    groups = settle(full.groupBy("group").agg(F.min("n").alias("n"), F.min(F.element_at("head", -1)).alias("last"), F.min("row").alias("first")))
     entries = full.select("group", F.explode("head").alias("t"))
     counts = settle(entries.groupBy("t").agg(F.count(F.lit(1)).alias("c")).where("c > 1"))
+    named = classes.where("class_id is not null").select("group", "class", F.col("class_id").alias("doc_id"), *_SET)
 
-    # Groups whose first shingles are too often common ones are looked at whole. Their
-    # further shingles count as well, which may make more shingles common: until none is added.
+    # Groups whose first shingles are too often common ones are looked at whole, every class of
+    # them: they share size and head only. Their further shingles count as well, which may make
+    # more shingles common: until none is added.
     beyond, whole = None, None
     while True:
         total = counts if beyond is None else counts.union(beyond.groupBy("t").agg(F.count(F.lit(1)).alias("c"))).groupBy("t").agg(F.sum("c").alias("c"))
         heavy = settle(total.where(F.col("c") > common).select("t"))
         used = settle(entries.join(heavy, "t").distinct().groupBy("group").agg(F.count(F.lit(1)).alias("heavy")))
-        short = groups.where("one is not null").join(used, "group").where(w - F.col("heavy") < p).select("group", "n", "one.doc_id", "one.s1", "one.s2")
-        short = settle(short if whole is None else short.join(whole.select("group").distinct(), "group", "left_anti"))
+        short = groups.join(used, "group").where(w - F.col("heavy") < p).select("group")
+        short = short if whole is None else short.join(whole.select("group").distinct(), "group", "left_anti")
+        short = settle(named.join(short, "group"))
         if short.isEmpty():
             break
-        more = whole_sets(docs, short, size).join(short, ["doc_id", *_SET]).dropDuplicates(["group"])
-        more = more.select("group", "n", w.alias("w"), F.posexplode("shingles").alias("place", "t"))
+        more = whole_sets(docs, short, size).join(short, ["doc_id", *_SET]).dropDuplicates(["class"])
+        more = more.select("group", "class", "n", w.alias("w"), F.posexplode("shingles").alias("place", "t"))
         whole = settle(more if whole is None else more.union(whole))
-        beyond = whole.where("place >= w").select("group", "t")
-
+        beyond = whole.where("place >= w").select("class", "t")
+
+    # What is put on lists: every class of a group looked at whole, else the group, named by its first class.
+    members = classes.select("group", "class", *_SKETCH).join(groups.select("group", "first"), "group")
+    if whole is None:
+        members = members.withColumn("unit", F.col("first"))
+    else:
+        seen = whole.select("group").distinct().withColumn("seen", F.lit(1))
+        members = members.join(seen, "group", "left").withColumn("unit", F.when(F.col("seen") == 1, F.col("class")).otherwise(F.col("first")))
+    members = settle(members.select("group", "class", "unit", *_SKETCH))
     light = counts.select("t").join(heavy, "t", "left_anti")
     lists = entries.join(light, "t")
     if whole is not None:
         # A further shingle may lie among the first of others, even where those have it once.
         reached = beyond.join(heavy, "t", "left_anti")
         single = entries.join(reached.select("t").distinct().join(counts, "t", "left_anti"), "t")
-        lists = lists.unionByName(reached).unionByName(single)
+        lists = lists.unionByName(single)
+    lists = lists.select("t", "group").distinct().join(members.select("group", "unit").distinct(), "group").select("t", "unit")
+    if whole is not None:
+        lists = lists.union(reached.select("t", F.col("class").alias("unit")))
     facts = groups.join(used, "group", "left").select(
         "group", "n", F.coalesce("heavy", F.lit(0)).alias("heavy"), F.when(w < F.col("n"), F.col("last")).otherwise((1 << 63) - 1).alias("last"),
         (F.col("n") - w).alias("rest"))
     # A group of several classes has no one sketch.
-    sketches = classes.groupBy("group").agg(F.count(F.lit(1)).alias("k"), *[F.min(k).alias(k) for k in _SKETCH]).where("k = 1").drop("k")
-    facts = settle(facts.join(sketches, "group", "left"))
-    lists = lists.select("t", "group").distinct().join(facts, "group")
+    one = F.count(F.lit(1)) == 1
+    units = members.groupBy("group", "unit").agg(*[F.when(one, F.min(k)).alias(k) for k in _SKETCH])
+    facts = settle(facts.join(units, "group"))
+    lists = lists.distinct().join(facts, "unit")
     a, b = lists.alias("a"), lists.alias("b")
-    pairs = a.join(b, (F.col("a.t") == F.col("b.t")) & (F.col("a.group") < F.col("b.group")) & _may_link("a", "b", percent))
+    apart = (F.col("a.unit") < F.col("b.unit")) & (F.col("a.group") != F.col("b.group"))
+    pairs = a.join(b, (F.col("a.t") == F.col("b.t")) & apart & _may_link("a", "b", percent))
     # All shared shingles up to the earlier end of the two heads are counted or common;
     # beyond it the set that ends earlier has ``rest`` left.
     most = F.least("a.heavy", "b.heavy") + F.when(F.col("a.last") <= F.col("b.last"), F.col("a.rest")).otherwise(F.col("b.rest"))
-    pairs = pairs.groupBy(F.col("a.group").alias("ga"), F.col("b.group").alias("gb")).agg(
+    pairs = pairs.groupBy(F.col("a.unit").alias("ua"), F.col("b.unit").alias("ub")).agg(
         F.count(F.lit(1)).alias("shared"), F.min(most).alias("most"), F.min((F.col("a.n") + F.col("b.n")) * percent).alias("need"))
-    pairs = pairs.where((F.col("shared") + F.col("most")) * (100 + percent) >= F.col("need")).select("ga", "gb")
+    pairs = pairs.where((F.col("shared") + F.col("most")) * (100 + percent) >= F.col("need")).select("ua", "ub")
 
-    # Expand group pairs to pairs of classes.
-    members = classes.select("group", "class")
-    pairs = pairs.join(members.toDF("ga", "a"), "ga").join(members.toDF("gb", "b"), "gb").select("a", "b")
+    # Expand pairs of units to pairs of classes.
+    of_unit = members.select("unit", "class")
+    pairs = pairs.join(of_unit.toDF("ua", "a"), "ua").join(of_unit.toDF("ub", "b"), "ub").select("a", "b")
     links = settle(_verified(docs, classes, pairs, size, percent))
 
     # Groups of several classes, and sets made of common shingles: lists of any length.
@@ -216,12 +230,12 @@ def _linked(docs: DataFrame, full: DataFrame, classes: DataFrame, size: int, per
     lists = classes.join(many, "group").select(F.concat(F.lit("g"), F.col("group").cast("string")).alias("list"), *of)
     if whole is not None:
         marked = whole.join(heavy.withColumn("common", F.lit(1)), "t", "left")
-        plain = marked.groupBy("group").agg(F.max("n").alias("n"), F.count(F.when(F.col("common").isNull(), 1)).alias("plain"))
-        poor = plain.where(F.col("plain") < p).select("group", (p - F.col("plain")).alias("need"))
+        plain = marked.groupBy("class").agg(F.max("n").alias("n"), F.count(F.when(F.col("common").isNull(), 1)).alias("plain"))
+        poor = plain.where(F.col("plain") < p).select("class", (p - F.col("plain")).alias("need"))
         # Of the common shingles, which come last in the order, as many as the prefix still needs.
-        place = F.row_number().over(Window.partitionBy("group").orderBy("t"))
-        rare = marked.where("common is not null").select("group", "t").join(poor, "group").withColumn("at", place).where("at <= need")
-        rare = rare.select("group", "t").join(classes, "group").select(F.concat(F.lit("t"), F.col("t").cast("string")).alias("list"), *of)
+        place = F.row_number().over(Window.partitionBy("class").orderBy("t"))
+        rare = marked.where("common is not null").select("class", "t").join(poor, "class").withColumn("at", place).where("at <= need")
+        rare = rare.select("class", "t").join(classes, "class").select(F.concat(F.lit("t"), F.col("t").cast("string")).alias("list"), *of)
         lists = lists.union(rare)
     return _across(docs, classes, settle(lists), links, size, percent)
 

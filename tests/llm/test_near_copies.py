@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -46,6 +47,25 @@ def test_same_as_brute_force(spark, size, percent, common):
     assert found(df, size=size, percent=percent, common=common) == brute(rows, size, percent)
 
 
+def test_classes_with_the_same_first_shingles_each_have_their_links(spark):
+    def h(word):
+        return int(next(jaccard._sets(pa.array([word]), 1))[0])
+
+    base = sorted((f"b{k}" for k in range(40)), key=h)
+    head, tail = base[:12], base[12:]  # the first 12 of 40 are looked at; all are common
+    own = iter(w for w in (f"own{k}" for k in range(10_000)) if h(w) > h(head[-1]))
+    texts = [" ".join(head + [next(own) for _ in tail])]  # smallest id of its group, and unlike the others
+    for k in range(150):
+        pick = random.Random(k)
+        x = head + pick.sample(tail, 24) + [next(own) for _ in range(4)]
+        y = list(x)
+        y[pick.randrange(12)] = next(own)
+        texts += [" ".join(x), " ".join(y)]
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert found(df, size=1, percent=85, common=64) == brute(rows, 1, 85)
+
+
 def test_documents_same_as_brute_force(spark):
     df = spark.read.parquet(f"{SF}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
