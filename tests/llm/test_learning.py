@@ -128,6 +128,26 @@ def test_secrets_are_found_and_numbers_are_not(spark):
     assert '"<secret>"' in clean[0] and KEY not in clean[0] and "48451681144073" in clean[100] and clean[200] is None
 
 
+def test_every_match_of_a_word_is_a_candidate_with_its_own_name(spark):
+    one, two, three = KEY[:20], KEY[20:] + "x1", "Zk" + KEY[5:25]
+    jwt = "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0NTY3ODkw.dozjgNryP4J3jVmNHl0w5N"
+    rows = [(1, f'{{"id":"{one}","secret":"{two}","x":[1,2],"note":"{three}"}}'), (2, f"https://h.example/p?id={one}&token={two}&q=1"), (3, f"{one},{two},{three}"),
+            (4, f"Server=db;User=me;Password=let&me{{in;Pooling=yes and more"), (5, 'password: "open sesame', ), (6, "the pwd = hunter and no more"), (7, jwt),
+            (8, "Author: Smith wrote secretary: notes"), (9, '{"password":"p,a;s&s","n":1}'), (10, "db.password=a A a")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = secret_scan.candidates(docs)
+    cores = {}
+    for r in found.orderBy("part", "m").collect():
+        cores.setdefault(r.doc_id, []).append(r.core)
+    assert cores == {1: [one, two, three], 2: [f"id={one}", two], 3: [one, two, three], 4: ["let&me{in"], 5: ["open"], 6: ["hunter"], 7: [jwt], 9: ["p,a;s&s"], 10: ["a"]}
+    judged = {(r.doc_id, r.core): (r.named, r.assigned, r.address) for r in secret_scan.features(found, secret_scan.dictionary(docs)).collect()}
+    assert judged[1, two] == (1, 1, 0) and judged[1, one][0] == judged[1, three][0] == 0
+    assert judged[2, two] == (1, 1, 0) and judged[2, f"id={one}"][0] == 0
+    clean = {r.doc_id: r.text for r in secret_scan.redact(docs, found.withColumn("is_secret", F.lit(True))).collect()}
+    assert clean[1] == '{"id":"<secret>","secret":"<secret>","x":[1,2],"note":"<secret>"}' and clean[9] == '{"password":"<secret>","n":1}'
+    assert clean[10] == "db.password=<secret> A a" and clean[6] == "the pwd = <secret> and no more" and clean[8] == rows[7][1]
+
+
 def test_secrets_of_tables_without_any(spark):
     docs = scanned(spark)
     assert secret_scan.scan(docs.where("false")).collect() == []
