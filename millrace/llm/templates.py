@@ -4,8 +4,9 @@ Lines are parsed to a fixed depth: the number of tokens, then the leading
 tokens, variable fields (tokens with a digit) standing for any. In a leaf, a
 token is constant at its place if enough distinct texts have it there; all other
 places are variable fields. Lines of one template agree in their constants.
-Templates that come up in enough distinct texts, and are constant for the most
-part, are boilerplate: their lines are dropped.
+Templates that come up in enough distinct texts that are no near copies of each
+other, and are constant for the most part, are boilerplate: their lines are
+dropped.
 
 Both steps are counts per leaf and place, so no leaf is held by one task, and
 no result depends on the order of the lines. Only lines in leaves of enough
@@ -22,11 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import settle
-from .mixing import words_in
+from . import jaccard
 from .text import buffer_of, mix, per_worker, pieces, words_of
 
 _MARK_BITS = 22
 _TEXT = ["c1", "c2"]
+_TEMPLATE = ["leaf", "t1", "t2"]
 
 
 class _Lines:
@@ -106,7 +108,7 @@ def _tokens(docs: DataFrame, leaves: DataFrame, depth: int, least_tokens: int) -
 
 
 def recurring(texts: DataFrame, depth: int = 3, min_texts: int = 10, least_tokens: int = 5, constant: float = 0.7) -> DataFrame:
-    """Lines (c1, c2, number) of templates that recur in at least ``min_texts`` distinct texts.
+    """Lines (c1, c2, number) with their templates (leaf, t1, t2) that recur in at least ``min_texts`` distinct texts.
 
     ``texts`` has c1, c2 (two hashes of the text) and text. Lines of fewer than
     ``least_tokens`` tokens are no templates, nor are lines of which less than
@@ -127,20 +129,30 @@ def recurring(texts: DataFrame, depth: int = 3, min_texts: int = 10, least_token
     named = each.join(constants, spot).groupBy("line").agg(sign.alias("t1"), sign2.alias("t2"), F.count(F.lit(1)).alias("constants"))
     named = lines.select("line", "leaf", "number", *_TEXT, F.size("tokens").alias("n")).join(named, "line")
     named = settle(named.where(F.col("constants") >= F.col("n") * F.lit(constant)))
-    template = ["leaf", "t1", "t2"]
-    counted = named.select(*template, *_TEXT).distinct().groupBy(*template).agg(F.count(F.lit(1)).alias("texts"))
+    counted = named.select(*_TEMPLATE, *_TEXT).distinct().groupBy(*_TEMPLATE).agg(F.count(F.lit(1)).alias("texts"))
     counted = settle(counted.where(F.col("texts") >= min_texts))
-    return named.join(counted, template).select(*_TEXT, "number", "n")
+    return named.join(counted, _TEMPLATE).select(*_TEXT, "number", *_TEMPLATE)
+
+
+def _apart(found: DataFrame, rows: DataFrame, min_texts: int, size: int, percent: int) -> DataFrame:
+    """The lines of ``found`` whose template recurs in enough texts that are no near copies of each other."""
+    holders = found.select(*_TEXT).distinct()
+    holding = settle(rows.join(holders, _TEXT, "left_semi").select(F.col("c1").alias("doc_id"), "text"))
+    groups = jaccard.near_copies(holding, size, percent).groupBy(F.col("doc_id").alias("c1")).agg(F.min("component_id").alias("copies"))
+    found = settle(found.join(groups, "c1"))
+    counted = found.select(*_TEMPLATE, "copies").distinct().groupBy(*_TEMPLATE).agg(F.count(F.lit(1)).alias("groups"))
+    return found.join(counted.where(F.col("groups") >= min_texts), _TEMPLATE, "left_semi")
 
 
 def drop_lines(docs: DataFrame, text: str = "text", depth: int = 3, min_texts: int = 10, least_tokens: int = 5, constant: float = 0.7,
-               copies: float = 0.5) -> DataFrame:
+               size: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` without the lines of recurring templates, and n_lines and n_dropped_lines.
 
-    A text of which more than the share ``copies`` of its words lies in such
-    lines is a copy of others, not a text with boilerplate: it is left whole for
-    the search for copies. Texts with the same content are one text in all
-    counts and are treated alike. Lines end at a line feed; a text without
+    Texts linked by near copies (``size`` words a shingle, similarity
+    ``percent`` / 100) count as one text for a template, so what only copies
+    share is left for the search for copies; all other recurring lines go,
+    whatever their share of the text. Texts with the same content are one text
+    in all counts and are treated alike. Lines end at a line feed; a text without
     dropped lines is unchanged, to the byte. A null text stays null, with no
     lines. Columns already called n_lines or n_dropped_lines are replaced; an
     empty table gives an empty result.
@@ -149,11 +161,10 @@ def drop_lines(docs: DataFrame, text: str = "text", depth: int = 3, min_texts: i
     # The table's own columns travel in one struct, so that their names cannot clash.
     rows = docs.select(F.struct(*others).alias("own"), F.col(text).cast("string").alias("text"),
                        F.xxhash64(text).alias("c1"), F.xxhash64(F.lit(1), text).alias("c2"))
-    found = recurring(rows.select("c1", "c2", "text"), depth, min_texts, least_tokens, constant)
-    drops = settle(found.groupBy(*_TEXT).agg(F.sort_array(F.collect_set("number")).alias("drop"), F.sum("n").alias("lost")))
-    rows = rows.join(drops, _TEXT, "left")
-    mostly = F.coalesce(F.col("lost") > words_in("text") * F.lit(copies), F.lit(False))
-    rows = rows.withColumn("drop", F.when(~mostly, F.col("drop"))).withColumn("lines", F.split("text", "\n"))
+    found = settle(recurring(rows.select("c1", "c2", "text"), depth, min_texts, least_tokens, constant))
+    found = _apart(found, rows.select("c1", "c2", "text"), min_texts, size, percent)
+    drops = settle(found.groupBy(*_TEXT).agg(F.sort_array(F.collect_set("number")).alias("drop")))
+    rows = rows.join(drops, _TEXT, "left").withColumn("lines", F.split("text", "\n"))
     kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "drop"), lambda k: F.get("lines", k))
     clean = F.when(F.col("drop").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     return rows.select(*[clean.alias(c) if c == text else F.col("own")[c].alias(c) for c in others],

@@ -131,6 +131,16 @@ def test_copies_are_left_to_the_search_for_copies(spark):
     assert {r.doc_id: r.text for r in out} == dict(rows)
 
 
+def test_boilerplate_goes_whatever_its_share_and_what_copies_share_stays(spark):
+    passage, body = prose(60, 8), prose(200, 9, 200)
+    rows = [(k, prose(20, 30 + k, 20) + "\n" + passage) for k in range(12)]  # most of each is the passage
+    rows += [(100 + k, body + " more" * k + "\nthe last line of this one page") for k in range(12)]  # copies with one ending
+    out = templates.drop_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    got = {r.doc_id: r.text for r in out}
+    assert all(got[k] == prose(20, 30 + k, 20) for k in range(12))
+    assert all(got[k] == t for k, t in rows[12:])
+
+
 def test_templates_on_edges(spark):
     out = templates.drop_lines(edges(spark)).select("doc_id", "text").collect()
     assert sorted((r.doc_id or 0, r.text or "") for r in out) == sorted((r[0] or 0, r[1] or "") for r in edge_rows())
