@@ -61,21 +61,20 @@ def _lists(values: np.ndarray, ends: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values))
 
 
-def _lines(docs: DataFrame, depth: int, least_tokens: int) -> DataFrame:
-    """Per distinct line of at least ``least_tokens`` tokens: text, number in it, leaf."""
+def _lines(docs: DataFrame, depth: int) -> DataFrame:
+    """Per text the leaves of its lines."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
             lines = _Lines(batch.column("text"), depth)
-            long = np.flatnonzero(lines.size >= least_tokens)
-            ends = np.searchsorted(lines.row[long], np.arange(batch.num_rows + 1))
+            ends = np.searchsorted(lines.row, np.arange(batch.num_rows + 1))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("c1"), batch.column("c2"), _lists(lines.leaf[long], ends)], ["c1", "c2", "leaves"])
+                [batch.column("c1"), batch.column("c2"), _lists(lines.leaf, ends)], ["c1", "c2", "leaves"])
 
     return docs.mapInArrow(run, "c1 bigint, c2 bigint, leaves array<bigint>")
 
 
-def _tokens(docs: DataFrame, leaves: DataFrame, depth: int, least_tokens: int) -> DataFrame:
+def _tokens(docs: DataFrame, leaves: DataFrame, depth: int) -> DataFrame:
     """Lines (c1, c2, number, leaf, tokens) that may lie in one of the leaves.
 
     A bitmap of bounded size of the leaves' hashes passes over other lines; what
@@ -95,7 +94,7 @@ def _tokens(docs: DataFrame, leaves: DataFrame, depth: int, least_tokens: int) -
             lines = _Lines(batch.column("text"), depth)
             h = lines.leaf & mask
             hit = (shared.value[h >> 6] >> (h & 63).astype(np.uint64)) & np.uint64(1)
-            kept = np.flatnonzero((lines.size >= least_tokens) & hit.astype(bool))
+            kept = np.flatnonzero(hit.astype(bool))
             ends = np.concatenate([[0], np.cumsum(lines.size[kept])])
             places = np.repeat(lines.first[kept] - ends[:-1], lines.size[kept]) + np.arange(ends[-1])
             row = pa.array(lines.row[kept])
@@ -107,17 +106,19 @@ def _tokens(docs: DataFrame, leaves: DataFrame, depth: int, least_tokens: int) -
     return docs.mapInArrow(run, "c1 bigint, c2 bigint, number int, leaf bigint, tokens array<bigint>")
 
 
-def recurring(texts: DataFrame, depth: int = 3, min_texts: int = 10, least_tokens: int = 5, constant: float = 0.7) -> DataFrame:
-    """Lines (c1, c2, number) with their templates (leaf, t1, t2) that recur in at least ``min_texts`` distinct texts.
+def recurring(texts: DataFrame, depth: int = 3, min_texts: int = 10, least_tokens: int = 5, constant: float = 0.7,
+              short_texts: int = 20) -> DataFrame:
+    """Lines (c1, c2, number) with their templates (leaf, t1, t2) that recur in enough distinct texts, and how many are enough (least): ``min_texts``.
 
-    ``texts`` has c1, c2 (two hashes of the text) and text. Lines of fewer than
-    ``least_tokens`` tokens are no templates, nor are lines of which less than
-    ``constant`` is constant.
+    ``texts`` has c1, c2 (two hashes of the text) and text. Lines of which less
+    than ``constant`` is constant are no templates. Lines of fewer than
+    ``least_tokens`` tokens agree by chance more easily: all their tokens
+    without a digit have to be constant, and the texts ``short_texts``.
     """
-    leaves = settle(_lines(texts, depth, least_tokens))
+    leaves = settle(_lines(texts, depth))
     held = leaves.select(*_TEXT, F.explode(F.array_distinct("leaves")).alias("leaf")).distinct()
     wide = settle(held.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_texts).select("leaf"))
-    lines = _tokens(texts, wide, depth, least_tokens).join(wide, "leaf", "left_semi").distinct()
+    lines = _tokens(texts, wide, depth).join(wide, "leaf", "left_semi").distinct()
     lines = settle(lines.withColumn("line", F.monotonically_increasing_id()))
     each = lines.select(*_TEXT, "line", "leaf", F.posexplode("tokens").alias("place", "token")).where("token <> 0")
     spot = ["leaf", "place", "token"]
@@ -127,25 +128,28 @@ def recurring(texts: DataFrame, depth: int = 3, min_texts: int = 10, least_token
     sign = F.sum(F.xxhash64("place", "token").bitwiseAND(F.lit((1 << 40) - 1)))
     sign2 = F.sum(F.xxhash64(F.lit(1), "place", "token").bitwiseAND(F.lit((1 << 40) - 1)))
     named = each.join(constants, spot).groupBy("line").agg(sign.alias("t1"), sign2.alias("t2"), F.count(F.lit(1)).alias("constants"))
-    named = lines.select("line", "leaf", "number", *_TEXT, F.size("tokens").alias("n")).join(named, "line")
-    named = settle(named.where(F.col("constants") >= F.col("n") * F.lit(constant)))
+    named = lines.select("line", "leaf", "number", *_TEXT, F.size("tokens").alias("n"), F.size(F.array_remove("tokens", F.lit(0).cast("bigint"))).alias("plain")).join(named, "line")
+    short = F.col("n") < least_tokens
+    enough = F.when(short, F.col("constants") == F.col("plain")).otherwise(F.col("constants") >= F.col("n") * F.lit(constant))
+    named = named.withColumn("least", F.when(short, F.greatest(F.lit(short_texts), F.lit(min_texts))).otherwise(F.lit(min_texts)))
+    named = settle(named.where(enough))
     counted = named.select(*_TEMPLATE, *_TEXT).distinct().groupBy(*_TEMPLATE).agg(F.count(F.lit(1)).alias("texts"))
     counted = settle(counted.where(F.col("texts") >= min_texts))
-    return named.join(counted, _TEMPLATE).select(*_TEXT, "number", *_TEMPLATE)
+    return named.join(counted, _TEMPLATE).where(F.col("texts") >= F.col("least")).select(*_TEXT, "number", *_TEMPLATE, "least")
 
 
-def _apart(found: DataFrame, rows: DataFrame, min_texts: int, size: int, percent: int) -> DataFrame:
+def _apart(found: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
     """The lines of ``found`` whose template recurs in enough texts that are no near copies of each other."""
     holders = found.select(*_TEXT).distinct()
     holding = settle(rows.join(holders, _TEXT, "left_semi").select(F.col("c1").alias("doc_id"), "text"))
     groups = jaccard.near_copies(holding, size, percent).groupBy(F.col("doc_id").alias("c1")).agg(F.min("component_id").alias("copies"))
     found = settle(found.join(groups, "c1"))
     counted = found.select(*_TEMPLATE, "copies").distinct().groupBy(*_TEMPLATE).agg(F.count(F.lit(1)).alias("groups"))
-    return found.join(counted.where(F.col("groups") >= min_texts), _TEMPLATE, "left_semi")
+    return found.join(counted, _TEMPLATE).where(F.col("groups") >= F.col("least"))
 
 
 def drop_lines(docs: DataFrame, text: str = "text", depth: int = 3, min_texts: int = 10, least_tokens: int = 5, constant: float = 0.7,
-               size: int = 5, percent: int = 80) -> DataFrame:
+               size: int = 5, percent: int = 80, short_texts: int = 20) -> DataFrame:
     """``docs`` without the lines of recurring templates, and n_lines and n_dropped_lines.
 
     Texts linked by near copies (``size`` words a shingle, similarity
@@ -161,8 +165,8 @@ def drop_lines(docs: DataFrame, text: str = "text", depth: int = 3, min_texts: i
     # The table's own columns travel in one struct, so that their names cannot clash.
     rows = docs.select(F.struct(*others).alias("own"), F.col(text).cast("string").alias("text"),
                        F.xxhash64(text).alias("c1"), F.xxhash64(F.lit(1), text).alias("c2"))
-    found = settle(recurring(rows.select("c1", "c2", "text"), depth, min_texts, least_tokens, constant))
-    found = _apart(found, rows.select("c1", "c2", "text"), min_texts, size, percent)
+    found = settle(recurring(rows.select("c1", "c2", "text"), depth, min_texts, least_tokens, constant, short_texts))
+    found = _apart(found, rows.select("c1", "c2", "text"), size, percent)
     drops = settle(found.groupBy(*_TEXT).agg(F.sort_array(F.collect_set("number")).alias("drop")))
     rows = rows.join(drops, _TEXT, "left").withColumn("lines", F.split("text", "\n"))
     kept = F.transform(F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "drop"), lambda k: F.get("lines", k))

@@ -141,6 +141,15 @@ def test_boilerplate_goes_whatever_its_share_and_what_copies_share_stays(spark):
     assert all(got[k] == t for k, t in rows[12:])
 
 
+def test_short_boilerplate_goes(spark):
+    rows = [(k, "\n".join([prose(40, k, 40), "All rights reserved.", "Home", f"Page {k} of {k + 9}", f"by me {chr(97 + k)}"])) for k in range(24)]
+    rows += [(100, prose(40, 700, 40) + "\nAll rights waived.\nHome again"), (101, "Home\n\nAll  rights reserved.")]
+    out = templates.drop_lines(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    got = {r.doc_id: (r.text, r.n_dropped_lines) for r in out}
+    assert all(got[k] == (prose(40, k, 40) + f"\nby me {chr(97 + k)}", 3) for k in range(24))
+    assert got[100] == (rows[24][1], 0) and got[101] == ("", 2)
+
+
 def test_templates_on_edges(spark):
     out = templates.drop_lines(edges(spark)).select("doc_id", "text").collect()
     assert sorted((r.doc_id or 0, r.text or "") for r in out) == sorted((r[0] or 0, r[1] or "") for r in edge_rows())
