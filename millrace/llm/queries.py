@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import jaccard, langid, mixing, nbsvm, packing, rabitq, rules, secret_scan, templates, token_files
+from . import align, jaccard, langid, mixing, nbsvm, nra, packing, rabitq, rules, secret_scan, spelling, templates, token_files
 from .sampling import remainder
-from .tokens import tokenizer_path
+from .tokens import PIECE_BPE, tokenizer_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -151,3 +151,70 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), capacity=1024, end_id=2)
+
+
+@query
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align.align(table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path(PIECE_BPE))
+
+
+@query
+def op12_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nra.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+sql("op12_exact_top_k", r"""
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, x -> floor(1024 * CAST(x AS DOUBLE))) AS c
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.r, q.vec_id AS query_id, v.vec_id, CAST(list_dot_product(q.c, v.c) AS BIGINT) AS score
+  FROM v AS q JOIN v ON q.r <> v.r WHERE q.vec_id % 100 = 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id ASC NULLS LAST) AS place FROM scored)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 10
+""")
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(table(spark, sf_dir, "documents")))
+
+
+sql("op13_spelling_variants", r"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), i -> list_reduce(list_concat([i], range(8)),
+           (c, k) -> CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
+runs AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' AS head,
+         unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run
+  FROM documents),
+coded AS (
+  SELECT run, flatten(list_transform(string_split(head || run, ''),
+           x -> CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [192 + unicode(x) // 64, 128 + unicode(x) % 64] END)) AS bytes
+  FROM runs WHERE length(run) >= 7),
+hashed AS (
+  SELECT run, xor(list_reduce(list_concat([4294967295], bytes), (c, b) -> xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) AS h
+  FROM coded, crc),
+typed AS (
+  SELECT CASE WHEN h % 31 = 0 THEN run[1:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word FROM hashed),
+words AS (SELECT word, count(*) AS n FROM typed WHERE length(word) >= 7 GROUP BY word HAVING count(*) >= 2),
+places AS (SELECT word, n, unnest(range(length(word) + 1)) AS i FROM words),
+cut AS (SELECT word, n, word[1:i] AS head, word[i + 2:] AS tail FROM places WHERE i < length(word)),
+split AS (SELECT word, n, word[1:i] AS head, word[i + 1:] AS tail FROM places),
+pairs AS (
+  SELECT a.word, b.word AS near, b.n FROM cut a JOIN cut b USING (head, tail) WHERE a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut a JOIN split b USING (head, tail)
+  UNION SELECT b.word, a.word, a.n FROM cut a JOIN split b USING (head, tail)),
+ranked AS (
+  SELECT word, near, n, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY n DESC, near) AS place FROM pairs),
+known AS (
+  SELECT w.word, CASE WHEN r.n >= 10 * w.n THEN r.near END AS form, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN r.n >= 10 * w.n THEN r.n END AS form_n
+  FROM words w LEFT JOIN ranked r ON w.word = r.word AND r.place = 1),
+steps AS (
+  SELECT word, word AS root FROM known
+  UNION ALL SELECT s.word, k.form FROM steps s JOIN known k ON s.root = k.word WHERE k.form IS NOT NULL)
+SELECT known.*, root FROM known JOIN steps USING (word)
+WHERE root NOT IN (SELECT word FROM known WHERE form IS NOT NULL)
+""")

@@ -21,6 +21,7 @@ import pyarrow.compute as pc
 from .text import per_worker
 
 BYTE_BPE = "byte_bpe_50k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 
 # White space other than the space and the line feed, which the cut must not touch.
 _OTHER = "\t\r\v\f\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
