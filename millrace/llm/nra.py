@@ -99,13 +99,14 @@ def _cell(asked: pa.Table, block: pa.Table, k: int, together: int) -> pa.Table:
         if len(small) and len(plain) and dims:
             may[np.ix_(plain, small)] = search(q[rows[plain]], ~may[np.ix_(plain, small)], least[rows[plain]], v[small], lists, k)
         left = np.flatnonzero(may.any(axis=0))
-        full = exact(q[rows], v[left]) if huge_q[rows].any() or huge_v[left].any() else q[rows] @ v[left].T
+        huge = huge_q[rows].any() or huge_v[left].any()
+        full = exact(q[rows], v[left]).clip(-_LONG - 1, _LONG) if huge else q[rows] @ v[left].T
         for row, here, values in zip(rows.tolist(), may[:, left], full):
             cells = np.flatnonzero(here)
             best = cells[np.argsort(-values[cells], kind="stable")[:k]]
             at += [row] * len(best)
             found += left[best].tolist()
-            score += [max(min(int(x), _LONG), -_LONG - 1) for x in values[best]]
+            score += map(int, values[best])
     at, found = np.array(at, np.int64), np.array(found, np.int64)
     times = np.minimum(copies[found] - (entries[found] == mine[at]), k)
     columns = [pa.array(mine[at]), block["vec_id"].take(pa.array(found)).combine_chunks(), pa.array(score, pa.int64()), pa.array(times)]
@@ -133,7 +134,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, vec_id: str = "vec_
 
     Rows (query_id, rank, vec_id, score), rank from 1, ties to smaller vec_id
     (null last). Components are taken as floor(unit * x); scores are whole and
-    exact, beyond a long the nearest long. Vectors that are null or hold null or
+    exact, those beyond a long count as the nearest long. Vectors that are null or hold null or
     non-finite components take no part. Vectors of unlike length are compared
     as if zeros followed the shorter one. Repeated rows are queries and
     candidates each; a row is not its own candidate, its repetitions are. A query

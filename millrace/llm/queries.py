@@ -165,9 +165,9 @@ def op12_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 sql("op12_exact_top_k", r"""
 WITH v AS (
-  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, x -> floor(1024 * CAST(x AS DOUBLE))) AS c
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS c
   FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 scored AS (
   SELECT q.r, q.vec_id AS query_id, v.vec_id, CAST(list_dot_product(q.c, v.c) AS BIGINT) AS score
   FROM v AS q JOIN v ON q.r <> v.r WHERE q.vec_id % 100 = 0),
@@ -184,18 +184,18 @@ def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 sql("op13_spelling_variants", r"""
 WITH RECURSIVE crc AS (
-  SELECT list_transform(range(256), i -> list_reduce(list_concat([i], range(8)),
-           (c, k) -> CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
+  SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+           lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS tab),
 runs AS (
   SELECT coalesce(CAST(doc_id AS VARCHAR), '') || ':' AS head,
          unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run
   FROM documents),
 coded AS (
   SELECT run, flatten(list_transform(string_split(head || run, ''),
-           x -> CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [192 + unicode(x) // 64, 128 + unicode(x) % 64] END)) AS bytes
+           lambda x: CASE WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [192 + unicode(x) // 64, 128 + unicode(x) % 64] END)) AS bytes
   FROM runs WHERE length(run) >= 7),
 hashed AS (
-  SELECT run, xor(list_reduce(list_concat([4294967295], bytes), (c, b) -> xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) AS h
+  SELECT run, xor(list_reduce(list_concat([4294967295], bytes), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) AS h
   FROM coded, crc),
 typed AS (
   SELECT CASE WHEN h % 31 = 0 THEN run[1:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word FROM hashed),
