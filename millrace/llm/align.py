@@ -10,34 +10,38 @@ tokens whose bytes overlap are linked. Two passes read the texts:
    the vectors are summed as a tree. Beside the sums lies each slot's key.
 2. Align again and look each pair's count up at its slot, verified by its key.
 
-Texts are cut at single spaces, where both tokenizers always cut too, and a
-piece is encoded and aligned once as long as a task remembers it.
+Texts are cut at single spaces, where both tokenizers always cut too, and of a
+batch's pieces each is encoded and aligned once. The byte-level merges are run
+by tiktoken with the tokenizer file's own vocabulary, whose ids are the order of
+its merges; tests compare with the tokenizers library on whole texts.
 """
 
 from __future__ import annotations
 
 import hashlib
-import os
-import re
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import settle
 from .text import mix, pieces
-from .tokens import _byte_letters
+from .tokens import _byte_letters, cut
 
 # Fixed value: the character that stands for a space in pieces of the second tokenizer.
 SPACE = "▁"
 
-_CUT = re.compile(r"(?<=\S)(?= \S)")
-_SHIFT = np.int64(32)
-_LOW = np.int64((1 << 32) - 1)
+# Fixed value: how byte-level tokenizers of this kind cut a text before merging.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+# A pair of ids in one number; ids stay below 2^20.
+_SHIFT = np.int64(20)
+_BATCH = 8 << 20
 
 
 # ---- minimal perfect hashing ----
@@ -115,52 +119,83 @@ class Aligner:
     """Both tokenizers and the bytes of their tokens."""
 
     def __init__(self, path_a: str, path_b: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import tiktoken
         from sentencepiece import SentencePieceProcessor
         from tokenizers import Tokenizer
 
-        self.a, self.b = Tokenizer.from_file(path_a), SentencePieceProcessor(model_file=path_b)
-        self.a.encode_special_tokens = True
-        byte = {letter: b for b, letter in _byte_letters().items()}
-        of_a = {i: bytes(byte[c] for c in entry) for entry, i in self.a.get_vocab(with_added_tokens=False).items() if set(entry) <= byte.keys()}
+        known, byte = Tokenizer.from_file(path_a), {letter: b for b, letter in _byte_letters().items()}
+        added = {t.content for t in known.get_added_tokens_decoder().values()}
+        of_a = {i: bytes(map(byte.__getitem__, entry)) for entry, i in known.get_vocab(with_added_tokens=False).items() if entry not in added}
+        self._a = tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks={raw: i for i, raw in of_a.items()}, special_tokens={})
+        self._b = SentencePieceProcessor(model_file=path_b)
         self.bytes_a = [of_a.get(i, b"") for i in range(max(of_a) + 1)]
-        self.bytes_b = [self._piece(i) for i in range(self.b.get_piece_size())]
-        self.size_a, self.size_b = (np.array(list(map(len, x)), np.int64) for x in (self.bytes_a, self.bytes_b))
+        self.bytes_b = [self._piece(i) for i in range(self._b.get_piece_size())]
+        self._size_a, self._size_b = (np.array(list(map(len, x)), np.int64) for x in (self.bytes_a, self.bytes_b))
 
     def _piece(self, i: int) -> bytes:
-        piece = self.b.id_to_piece(i)
-        return bytes([int(piece[1:-1], 16)]) if self.b.is_byte(i) else piece.replace(SPACE, " ").encode()
+        piece = self._b.id_to_piece(i)
+        return bytes([int(piece[1:-1], 16)]) if self._b.is_byte(i) else piece.replace(SPACE, " ").encode()
+
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Which texts the tokens give back, and of both tokenizers: number of tokens a text, all ids."""
+        raw = [t.encode() for t in texts]
+        size = np.fromiter(map(len, raw), np.int64, len(raw))
+        # Texts that do not end in white space may follow each other in one call.
+        solid = np.fromiter((not t[-1].isspace() for t in texts), bool, len(texts))
+        order = np.concatenate([np.flatnonzero(solid), np.flatnonzero(~solid)])
+        ids, met, joined = [], 0, int(solid.sum())
+        runs = [order[k : min(k + 20_000, joined)] for k in range(0, joined, 20_000)] + [order[k : k + 1] for k in range(joined, len(order))]
+        n_a = np.zeros(len(texts), np.int64)
+        for run in runs:
+            got = np.array(self._a.encode_ordinary("".join([texts[k] for k in run.tolist()])), np.int64)
+            upto = np.searchsorted(np.cumsum(self._size_a[got]), np.cumsum(size[run]), "right")
+            n_a[run] = np.diff(upto, prepend=0)
+            ids.append(got)
+            met += len(got)
+        a = np.concatenate([np.zeros(0, np.int64), *ids])
+        starts = np.empty(len(texts), np.int64)
+        starts[order] = np.cumsum(n_a[order]) - n_a[order]
+        a = a[_spans(starts, n_a)]
+        lists = self._b.encode([t[1:] for t in texts], num_threads=1) if texts else []
+        n_b = np.fromiter(map(len, lists), np.int64, len(lists))
+        b = np.fromiter(chain.from_iterable(lists), np.int64, int(n_b.sum()))
+        return self._same(raw, n_a, a, self.bytes_a) & self._same(raw, n_b, b, self.bytes_b), n_a, a, n_b, b
 
-    def __call__(self, texts: list[str]) -> dict[str, np.ndarray | list[str]]:
+    @staticmethod
+    def _same(raw: list[bytes], n: np.ndarray, ids: np.ndarray, known: list[bytes]) -> np.ndarray:
+        parts, ends = list(map(known.__getitem__, ids.tolist())), np.cumsum(n).tolist()
+        total = np.append(0, np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts))))
+        at = total[np.cumsum(n)]
+        if b"".join(parts) == b"".join(raw) and (at == np.cumsum(np.fromiter(map(len, raw), np.int64, len(raw)))).all():
+            return np.ones(len(raw), bool)
+        return np.array([b"".join(parts[s:e]) == r for s, e, r in zip([0, *ends], ends, raw)], bool)
+
+    def __call__(self, texts: list[str], written: bool = True) -> dict[str, np.ndarray | list[str]]:
         """Align texts that each begin with a space, which the second tokenizer adds by itself.
 
         Per text: whether it has tokens (``fine``), their numbers, those of
-        groups and links, the groups written out; and all ``links`` (ids of the
-        first tokenizer << 32 | ids of the second), text after text.
+        groups and links, the groups written out (if ``written``); and all
+        ``links`` (first id << 20 | second id), text after text.
         """
-        ids_a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
-        ids_b = self.b.encode([t[1:] for t in texts], num_threads=1)
-        fine = np.zeros(len(texts), bool)
-        for k, (t, a, b) in enumerate(zip(texts, ids_a, ids_b)):
-            raw = t.encode()
-            # An id beyond the list has no bytes of its own: the text then has no tokens.
-            fine[k] = b"".join([self.bytes_a[i] for i in a]) == raw and b"".join([self.bytes_b[i] for i in b]) == raw
-        ids_a, ids_b = ([x if f else [] for x, f in zip(ids, fine)] for ids in (ids_a, ids_b))
-        (n_a, a), (n_b, b) = map(_flat, (ids_a, ids_b))
-        end_a, end_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        fine, n_a, a, n_b, b = self._encode(texts)
+        if not fine.all():
+            a, b = a[np.repeat(fine, n_a)], b[np.repeat(fine, n_b)]
+            n_a, n_b = n_a * fine, n_b * fine
+        end_a, end_b = np.cumsum(self._size_a[a]), np.cumsum(self._size_b[b])
         # Each stretch between neighbouring ends lies in one token of either kind: a link.
-        ends = np.union1d(end_a, end_b)
+        ends = np.sort(np.concatenate([end_a, end_b]))
+        ends = ends[np.diff(ends, append=-1) != 0]
         at_a, at_b = np.searchsorted(end_a, ends), np.searchsorted(end_b, ends)
         links = a[at_a] << _SHIFT | b[at_b]
         both = (end_a[at_a] == ends) & (end_b[at_b] == ends)  # groups end here
-        last_a = np.cumsum(n_a) - 1
-        first = np.searchsorted(ends, np.append(0, end_a)[last_a - n_a + 1], "right")
-        stop = np.searchsorted(ends, np.append(0, end_a)[last_a + 1], "right")
+        stop = np.searchsorted(ends, np.append(0, end_a)[np.cumsum(n_a)], "right")
+        first = np.append(0, stop)[:-1]
         upto = np.append(0, np.cumsum(both))
-        n_groups = upto[stop] - upto[first]
-        texts_of = self._groups(a, b, at_a[both] + 1, at_b[both] + 1)
-        groups = [";".join(texts_of[s:e]) for s, e in zip(upto[first].tolist(), upto[stop].tolist())]
-        return {"fine": fine, "n_a": n_a, "n_b": n_b, "n_groups": n_groups, "n_links": stop - first, "links": links, "groups": groups}
+        out = {"fine": fine, "n_a": n_a, "n_b": n_b, "n_groups": upto[stop] - upto[first], "n_links": stop - first, "links": links}
+        if written:
+            each = self._groups(a, b, at_a[both] + 1, at_b[both] + 1)
+            out["groups"] = [";".join(each[s:e]) for s, e in zip(upto[first].tolist(), upto[stop].tolist())]
+        return out
 
     @staticmethod
     def _groups(a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> list[str]:
@@ -170,10 +205,16 @@ class Aligner:
             i, j = m, n
         return out
 
-
-def _flat(ids: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
-    n = np.fromiter(map(len, ids), np.int64, len(ids))
-    return n, np.fromiter(chain.from_iterable(ids), np.int64, int(n.sum()))
+    def read(self, column: pa.Array, written: bool = True) -> tuple[dict, np.ndarray, np.ndarray, np.ndarray]:
+        """What is known of a batch's distinct pieces; all texts' piece numbers, their n+1 offsets, which texts have tokens."""
+        texts = column.cast(pa.large_string()).fill_null("")
+        some = np.asarray(pc.binary_length(texts)) > 0
+        values, at = cut(texts)
+        coded = values.dictionary_encode()
+        known = self([" " + t for t in coded.dictionary.to_pylist()], written)
+        codes = np.asarray(coded.indices).astype(np.int64)
+        wrong = np.append(0, np.cumsum(~known["fine"][codes]))
+        return known, codes, at, some & (wrong[at[1:]] == wrong[at[:-1]])
 
 
 def _spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -182,69 +223,37 @@ def _spans(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
 
 
-class Batches:
-    """Texts of Arrow batches as pieces; remembers what it has aligned up to ``remember`` pieces.
-
-    ``derive`` adds further values to what the aligner says of new pieces.
-    """
-
-    def __init__(self, aligner: Aligner, remember: int, derive: Callable[[dict], dict] = lambda got: {}):
-        self.aligner, self.remember, self.derive = aligner, remember, derive
-        self._forget()
-
-    def _learn(self, new: list[str]) -> dict:
-        got = self.aligner(new)
-        return got | self.derive(got)
-
-    def _forget(self) -> None:
-        self.place: dict[str, int] = {}
-        self.known = self._learn([])
-
-    def __call__(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Piece numbers of all texts, the n+1 offsets of each text's, and which texts have tokens."""
-        if len(self.place) > self.remember:
-            self._forget()
-        cut = [_CUT.split(" " + t) if t else [] for t in texts]
-        new = list({p: None for row in cut for p in row if p not in self.place})
-        if new:
-            self.place.update(zip(new, range(len(self.place), len(self.place) + len(new))))
-            for name, values in self._learn(new).items():
-                old = self.known[name]
-                self.known[name] = old + values if isinstance(old, list) else np.concatenate([old, values])
-        n = np.fromiter(map(len, cut), np.int64, len(cut))
-        codes = np.fromiter(map(self.place.__getitem__, chain.from_iterable(cut)), np.int64, int(n.sum()))
-        at = np.append(0, np.cumsum(n))
-        wrong = np.append(0, np.cumsum(~self.known["fine"][codes]))
-        return codes, at, (n > 0) & (wrong[at[1:]] == wrong[at[:-1]])
-
-
 def _sums(values: np.ndarray, at: np.ndarray) -> np.ndarray:
     total = np.append(0, np.cumsum(values))
     return total[at[1:]] - total[at[:-1]]
 
 
-def _linked(batches: Batches, codes: np.ndarray, at: np.ndarray, fine: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _counts(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values in order, and how often each occurs."""
+    values = np.sort(values)
+    first = np.flatnonzero(np.diff(values, prepend=-1))
+    return values[first], np.diff(first, append=len(values))
+
+
+def _linked(known: dict, codes: np.ndarray, at: np.ndarray, fine: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct pairs of a batch, and how many of its texts link each."""
+    links, sizes = known["links"], known["n_links"]
+    pairs, of = np.unique(links, return_inverse=True)
     rows = np.repeat(np.arange(len(fine)), np.diff(at))
-    used, codes = np.unique(codes, return_inverse=True)
-    cell = np.unique((rows * len(used) + codes)[fine[rows]])
-    links, n_links = batches.known["links"], batches.known["n_links"]
-    starts, sizes = np.cumsum(n_links) - n_links, n_links[used]
-    pairs, of = np.unique(links[_spans(starts[used], sizes)], return_inverse=True)
-    first, (row, piece) = np.cumsum(sizes) - sizes, np.divmod(cell, max(len(used), 1))
-    met = np.unique(np.repeat(row, sizes[piece]) * max(len(pairs), 1) + of[_spans(first[piece], sizes[piece])])
-    n = np.bincount(met % max(len(pairs), 1), minlength=len(pairs))
+    row, piece = np.divmod(_counts((rows * max(len(sizes), 1) + codes)[fine[rows]])[0], max(len(sizes), 1))
+    met = np.repeat(row, sizes[piece]) * max(len(pairs), 1) + of[_spans((np.cumsum(sizes) - sizes)[piece], sizes[piece])]
+    n = np.bincount(_counts(met)[0] % max(len(pairs), 1), minlength=len(pairs))
     return pairs[n > 0], n[n > 0]
 
 
 # ---- passes ----
 
 
-def count_pairs(texts: DataFrame, path_a: str, path_b: str, remember: int = 200_000, fold: int = 1 << 20) -> DataFrame:
+def count_pairs(texts: DataFrame, path_a: str, path_b: str, fold: int = 1 << 20) -> DataFrame:
     """Partial counts (pair, n) of the texts of column ``text`` that link a pair, folded in each task."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        read, held, size = Batches(Aligner(path_a, path_b), remember), [], 0
+        aligner, held, size = Aligner(path_a, path_b), [], 0
 
         def folded() -> pa.RecordBatch:
             pairs, of = np.unique(np.concatenate([p for p, _ in held]), return_inverse=True)
@@ -253,8 +262,8 @@ def count_pairs(texts: DataFrame, path_a: str, path_b: str, remember: int = 200_
             held[:] = [(pairs, n)]
             return pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(n)], ["pair", "n"])
 
-        for batch in pieces(batches, "text", 2 << 20):
-            held.append(_linked(read, *read(batch.column("text").to_pylist())))
+        for batch in pieces(gathered(batches), "text", _BATCH):
+            held.append(_linked(*aligner.read(batch.column("text"), written=False)))
             size += len(held[-1][0])
             if size > 2 * fold:
                 full = folded()
@@ -268,6 +277,19 @@ def count_pairs(texts: DataFrame, path_a: str, path_b: str, remember: int = 200_
     return texts.select("text").mapInArrow(count, "pair bigint, n bigint")
 
 
+def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches put together up to about ``_BATCH`` bytes, so that more pieces repeat."""
+    held, size = [], 0
+    for batch in batches:
+        if held and size + batch.nbytes > _BATCH:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+        held.append(batch)
+        size += batch.nbytes
+    if held:
+        yield pa.concat_batches(held)
+
+
 def perfect_hash(pairs: DataFrame, shards: int) -> DataFrame:
     """Rows (shard, sizes, words, keys): a minimal perfect hash function of each shard of the distinct ``pair``."""
 
@@ -364,7 +386,7 @@ def highest(table: DataFrame) -> dict[int, int]:
 
 
 def align(docs: DataFrame, path_a: str, path_b: str, text: str = "text", doc_id: str = "doc_id", shard_keys: int = 1 << 16,
-          at_once: int = 64, remember: int = 200_000) -> DataFrame:
+          at_once: int = 64) -> DataFrame:
     """Per document (doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256).
 
     A null or empty text, and one that the tokens' bytes do not give back, has
@@ -377,7 +399,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, text: str = "text", doc_id:
     """
     texts = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text"))
     context = docs.sparkSession.sparkContext
-    partials = settle(count_pairs(texts, path_a, path_b, remember))
+    partials = settle(count_pairs(texts, path_a, path_b))
     distinct = partials.select("pair").distinct().count()
     shards = max(-(-distinct // shard_keys), 1)
     functions = settle(perfect_hash(partials, shards))
@@ -396,28 +418,26 @@ def align(docs: DataFrame, path_a: str, path_b: str, text: str = "text", doc_id:
             state, keys, counts, top = shared.value
             slots = _restored(state)
 
-            def counted(got: dict) -> dict:
-                place = slots(got["links"])
+            aligner = Aligner(path_a, path_b)
+            for batch in pieces(gathered(batches), "text", _BATCH):
+                known, codes, at, fine = aligner.read(batch.column("text"), written=last)
+                links, ends = known["links"], np.append(0, np.cumsum(known["n_links"]))
+                place = slots(links)
                 mine = np.flatnonzero(place >= 0)
-                mine = mine[keys[place[mine]] == got["links"][mine]]
+                mine = mine[keys[place[mine]] == links[mine]]
                 count, is_best = np.zeros(len(place), np.int64), np.zeros(len(place), np.int64)
                 count[mine] = counts[place[mine]]
-                is_best[mine] = count[mine] == top[got["links"][mine] >> _SHIFT]
-                at = np.append(0, np.cumsum(got["n_links"]))
-                return {"n_best": _sums(is_best, at), "count_sum": _sums(count, at)}
-
-            read = Batches(Aligner(path_a, path_b), remember, counted)
-            for batch in pieces(batches, "text", 2 << 20):
-                codes, at, fine = read(batch.column("text").to_pylist())
-                out = {c: np.where(fine, _sums(read.known[c][codes], at), 0) for c in digest[1:-1]}
+                is_best[mine] = count[mine] == top[links[mine] >> _SHIFT]
+                known |= {"n_best": _sums(is_best, ends), "count_sum": _sums(count, ends)}
+                out = {c: np.where(fine, _sums(known[c][codes], at), 0) for c in digest[1:-1]}
                 if not first:
                     for c in ("n_best", "count_sum"):
                         out[c] += batch.column(c).to_numpy()
                 columns = [batch.column("doc_id"), *map(pa.array, out.values())]
                 if last:
-                    group, places, ends = read.known["groups"], codes.tolist(), at.tolist()
-                    columns.append(pa.array([hashlib.sha256(";".join([group[c] for c in places[s:e]]).encode()).hexdigest() if f else ""
-                                             for s, e, f in zip(ends, ends[1:], fine.tolist())], pa.string()))
+                    group, cells = known["groups"].__getitem__, codes.tolist()
+                    columns.append(pa.array([hashlib.sha256(";".join(map(group, cells[s:e])).encode()).hexdigest() if f else ""
+                                             for s, e, f in zip(at.tolist(), at[1:].tolist(), fine.tolist())], pa.string()))
                 else:
                     columns.append(batch.column("text"))
                 yield pa.RecordBatch.from_arrays(columns, digest[:-1] + (digest[-1:] if last else ["text"]))

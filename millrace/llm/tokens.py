@@ -48,6 +48,31 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
+def cut(texts: pa.Array, whole: np.ndarray | None = None) -> tuple[pa.Array, np.ndarray]:
+    """Pieces of texts (large strings, no nulls), and the n+1 offsets of each text's; those of ``whole`` stay uncut.
+
+    The space at which a piece begins is left out, but for a text's first piece.
+    """
+    lists = pc.split_pattern(texts, " ")
+    values, at = lists.flatten(), np.asarray(lists.offsets, np.int64) - lists.offsets[0].as_py()
+    special = np.zeros(len(texts), bool) if whole is None else whole
+    odd = np.asarray(pc.match_substring_regex(texts, _ODD)) | special
+    if not odd.any():
+        return values, at
+    # Texts with uncommon white space are cut again, at safe places only.
+    parts, sizes = [], np.diff(at)
+    done = 0
+    for row in np.flatnonzero(odd):
+        parts.append(values.slice(at[done], at[row] - at[done]))
+        text = texts[int(row)].as_py()
+        split = [text] if special[row] else [p[1:] if k else p for k, p in enumerate(_CUT.split(text))]
+        parts.append(pa.array(split, values.type))
+        sizes[row] = len(split)
+        done = row + 1
+    parts.append(values.slice(at[done], at[-1] - at[done]))
+    return pa.concat_arrays(parts), np.concatenate([[0], np.cumsum(sizes)])
+
+
 class Encoder:
     """Texts to unsigned 32-bit ids, without special tokens added."""
 
@@ -78,12 +103,7 @@ class Encoder:
                 gc.enable()
 
     def _encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        lists = pc.split_pattern(texts, " ")
-        values, at = lists.flatten(), np.asarray(lists.offsets, np.int64) - lists.offsets[0].as_py()
-        special = np.asarray(pc.match_substring_regex(texts, self._special))
-        odd = np.asarray(pc.match_substring_regex(texts, _ODD)) | special
-        if odd.any():
-            values, at = self._recut(texts, values, at, odd, special)
+        values, at = cut(texts, np.asarray(pc.match_substring_regex(texts, self._special)))
         head = np.zeros(len(values), bool)
         head[at[:-1]] = True
         later = pc.binary_join_element_wise(pa.scalar(" ", values.type), values, pa.scalar("", values.type)).dictionary_encode()
@@ -96,21 +116,6 @@ class Encoder:
         out = ids[np.repeat(starts[codes] - ends + taken, taken) + np.arange(ends[-1])]
         return out, np.concatenate([[0], ends[at[1:] - 1]])
 
-    @staticmethod
-    def _recut(texts: pa.Array, values: pa.Array, at: np.ndarray, odd: np.ndarray, special: np.ndarray):
-        """Cut texts with uncommon white space or special tokens again, at safe places only."""
-        parts, sizes = [], np.diff(at)
-        done = 0
-        for row in np.flatnonzero(odd):
-            parts.append(values.slice(at[done], at[row] - at[done]))
-            text = texts[int(row)].as_py()
-            cut = [text] if special[row] else [p[1:] if k else p for k, p in enumerate(_CUT.split(text))]
-            parts.append(pa.array(cut, values.type))
-            sizes[row] = len(cut)
-            done = row + 1
-        parts.append(values.slice(at[done], at[-1] - at[done]))
-        return pa.concat_arrays(parts), np.concatenate([[0], np.cumsum(sizes)])
-
     def _pool(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         known = list(map(self._pieces.get, pieces))
         new = [p for p, k in zip(pieces, known) if k is None]
