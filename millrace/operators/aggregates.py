@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
+from operator import and_
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +12,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .sequences import Ordered, Run, as_micros, untag
+from ..session import settle
+from .sequences import Limits, Ordered, Run, as_micros, untag
 
 
 def word_count(words: DataFrame, word: str = "word") -> DataFrame:
@@ -119,7 +122,7 @@ def jump_alarm(df, keys, order, value: str, over: float, limits=None) -> DataFra
 
 
 def rising_alarm(df, keys, order, value: str, hold_us: int, limits=None) -> DataFrame:
-    """Alarms for values that keep rising for ``hold_us`` microseconds.
+    """Alarms for values that keep rising for ``hold_us`` microseconds (above 0).
 
     A rising row starts a timer if none runs; a row that does not rise, at or
     before the deadline, cancels it. After an alarm the next rising row starts
@@ -139,7 +142,9 @@ def rising_alarm(df, keys, order, value: str, hold_us: int, limits=None) -> Data
     # A timer that the run's end would cancel never fires, and neither does a
     # later one of that run, so those rows can go before the shuffle.
     fires = rising.where(F.col("_ends").isNull() | (F.col("_t") + hold_us < F.col("_ends")))
-    # A run is scanned batch by batch in constant memory, whatever its length.
+    if seq.is_cut:
+        return _alarms_by_doubling(untag(fires.select(*keys, "run", "_t")).distinct(), [*keys, "run"], hold_us, seq.limits)
+    # A run is scanned batch by batch in constant memory.
     laid_out = (
         fires.select(*keys, "run", "_t")
         .repartition(*keys, "run")
@@ -181,6 +186,33 @@ def rising_alarm(df, keys, order, value: str, hold_us: int, limits=None) -> Data
     return laid_out.mapInArrow(scan, f"{schema}, alarm_at bigint")
 
 
+def _alarms_by_doubling(times: DataFrame, group: list[str], hold_us: int, limits: Limits) -> DataFrame:
+    """The alarms of runs of any length, spread over the cluster.
+
+    Each row leads to the first row after its deadline; the rows that fire are
+    those on the path from a run's first row. In each round the rows known to
+    be on it show the row as many steps ahead as rounds have doubled, and the
+    steps are joined with themselves, so a path of n alarms takes log2(n) rounds.
+    """
+    seq = Ordered(times, group, ["_t"], limits)
+    ahead = settle(seq.as_of(F.col("_t") + hold_us, {"_next": ("min", F.col("_t"))}, inclusive=False, reverse=True))
+    fired = settle(times.groupBy(*group).agg(F.min("_t").alias("_t")))
+    step = ahead.where("_next is not null")
+
+    def follow(rows: DataFrame, time: str) -> DataFrame:
+        """Rows with ``_far``, where their ``time`` leads to; the others go."""
+        to = step.select(*[F.col(c).alias(f"_of_{c}") for c in group], F.col("_t").alias("_of_t"), F.col("_next").alias("_far"))
+        on = [F.col(time) == F.col("_of_t"), *(F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in group)]
+        return rows.join(to, reduce(and_, on)).drop("_of_t", *[f"_of_{c}" for c in group])
+
+    while True:
+        more = settle(follow(fired, "_t").select(*group, F.col("_far").alias("_t")))
+        if more.isEmpty():
+            return fired.select(*group, (F.col("_t") + hold_us).alias("alarm_at"))
+        fired = fired.unionByName(more)
+        step = settle(follow(step, "_next").select(*group, "_t", F.col("_far").alias("_next")))
+
+
 def event_timers(df, keys, time: str, delay: str) -> DataFrame:
     """The timers set by every row at its own time plus ``delay``.
 

@@ -125,7 +125,7 @@ def exact_time(df: DataFrame, name: str) -> Column:
     return F.col(name) if isinstance(kind, T.NumericType) else as_micros(df, name)
 
 
-def _floor_div(number: Column, by: Column | int) -> Column:
+def floor_div(number: Column, by: Column | int) -> Column:
     """Whole-number division rounding down, without the rounding of doubles."""
     by = F.lit(by) if isinstance(by, int) else by
     return ((number - F.pmod(number, by)) / by).cast("bigint")
@@ -288,22 +288,33 @@ class Ordered:
 
     # -- other times ----------------------------------------------------------
 
-    def as_of(self, time: Column, columns: dict[str, tuple[str, Column | str]], inclusive: bool = True) -> DataFrame:
+    def as_of(self, time: Column, columns: dict[str, tuple[str, Column | str]], inclusive: bool = True, reverse: bool = False,
+              place: dict[str, Column] | None = None, limits: Limits | None = None) -> DataFrame:
         """Add running aggregates of the key as they stood at another ``time``.
 
         ``time`` is in the units of the order column (``exact_time``);
-        ``inclusive`` counts rows of just that time. Every row enters the
-        sequence twice, as itself and as a question at that time, so neither
-        bursts nor long distances gather rows in a task. The result is not cut.
+        ``inclusive`` counts rows of just that time. ``reverse`` runs from the
+        key's end down to that time. ``place`` asks under other values of some
+        key columns. Every row enters the sequence twice, as itself and as a
+        question at that time, so neither bursts nor long distances gather rows
+        in a task. Where ``time`` is null the aggregates are null (counts 0).
+        The result is not cut.
         """
         plain = self.df.drop(SLICE)
         own = exact_time(plain, self.order[0])
-        ask = plain.withColumns({"_when": time, "_side": F.lit(1 if inclusive else -1)})
-        both = plain.withColumns({"_when": own, "_side": F.lit(0)}).unionByName(ask)
-        seq = Ordered(both, self.keys, ["_when", "_side", *self.order], self.limits)
-        event = F.col("_side") == 0
+        kept = {f"_own{k}": c for k, c in enumerate(place or {})}
+        side = 1 if inclusive != reverse else -1
+        ask = plain.withColumns({"_when": time, "_side": F.lit(side), **{n: F.col(c) for n, c in kept.items()}}).withColumns(place or {})
+        both = plain.withColumns({"_when": own, "_side": F.lit(0), **{n: F.col(c) for n, c in kept.items()}}).unionByName(ask)
+        seq = Ordered(both, self.keys, ["_when", "_side", *self.order], limits or self.limits)
+        # A question without a time comes before all rows that have one.
+        event = (F.col("_side") == 0) & F.col("_when").isNotNull() if reverse else F.col("_side") == 0
         runs = {n: (k, F.when(event, F.col(c) if isinstance(c, str) else c)) for n, (k, c) in columns.items()}
-        return untag(seq.running(runs).where(~event)).drop("_when", "_side")
+        asked = untag(seq.running(runs, reverse=reverse).where(F.col("_side") != 0))
+        if reverse:
+            known = F.col("_when").isNotNull()
+            asked = asked.withColumns({n: F.when(known, F.col(n)).otherwise(F.lit(0) if k == "count" else F.lit(None)) for n, (k, _) in columns.items()})
+        return asked.withColumns({c: F.col(n) for n, c in kept.items()}).drop("_when", "_side", *kept)
 
     # -- bounded frames -----------------------------------------------------
 
@@ -325,7 +336,7 @@ class Ordered:
         place = F.col(position or POS)
 
         def block(pos: Column) -> Column:
-            return _floor_div(pos, size)
+            return floor_div(pos, size)
 
         blocks = F.array_distinct(F.array(block(place), block(place + before), block(place - after)))
         copies = rows.withColumn(HOME, block(place)).withColumn(BLOCK, F.explode(blocks))

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import aggregates, combine, event_time, windows
+from ..operators import aggregates, event_time, windows
 from ..operators.sequences import Limits
 from ..session import scratch_path
 from ..sources import files
-from ..streaming import late, processors, run
+from ..streaming import control, late, processors, run
 from .registry import DAY, HOUR, ORACLE, events, query
 from .running import C_EVENTS, _cents
 from .tables import EVENT_TEXT, SUMS_SQL, _event_files, _sums
@@ -24,18 +24,14 @@ def _rows(spark, sf, *more):
 
 def _closing(rows):
     """One far-future row of a user that does not exist, to end all windows."""
-    spark = rows.sparkSession
-    values = {"ts": F.expr(END), "user_id": F.lit(-1).cast("bigint")}
-    return spark.range(1).select(*[
-        values.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in rows.schema])
-
-
-def _replay(spark, rows, build, mode="append", close=False, keyed=False):
-    # Rows of a key are sorted in memory by the keyed processors, so those
-    # micro-batches are held to what one task can take.
-    most = Limits.of(rows).rows_per_task if keyed else None
-    written = run.replay(spark, rows, "ts", build, mode, rows_per_step=most, closing=_closing(rows) if close else None,
-                         partitions=spark.sparkContext.defaultParallelism)
+    values = {"ts": F.expr(END), "user_id": F.lit(-1)}
+    return rows.sparkSession.range(1).select(*[
+        values.get(f.name, F.lit("0")).cast(f.dataType).alias(f.name) for f in rows.schema])
+
+
+def _replay(spark, rows, build, mode="append", close=False, **options):
+    written = run.replay(spark, rows, "ts", build, mode, rows_per_step=Limits.of(rows).rows_per_task,
+                         closing=_closing(rows) if close else None, partitions=spark.sparkContext.defaultParallelism, **options)
     if not close:
         return written
     written = written.where("user_id >= 0").drop("batch_id")
@@ -54,7 +50,7 @@ def stream_file_scan(spark, sf):
 @query("checkpoint_resume", "SELECT user_id, count(*) AS n FROM events GROUP BY user_id")
 def checkpoint_resume(spark, sf):
     rows = _rows(spark, sf)
-    updates = _replay(spark, rows, lambda s: aggregates.count_by(s, "user_id"), "update")
+    updates = _replay(spark, rows, lambda s: aggregates.count_by(s, "user_id"), "update", restart=True)
     return run.latest(updates, ["user_id"])
 
 
@@ -94,44 +90,30 @@ def stream_uv(spark, sf):
 
 
 @query("stream_reconcile", """
-SELECT p.event_id AS tx, p.user_id AS payer, r.event_type AS receipt FROM events p JOIN events r USING (event_id)
-WHERE p.event_type = 'purchase'""")
+WITH side AS (SELECT user_id, event_id, event_type, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS nth
+              FROM events WHERE event_type IN ('signup', 'purchase')),
+     pay AS (SELECT * FROM side WHERE event_type = 'signup'), receipt AS (SELECT * FROM side WHERE event_type = 'purchase')
+SELECT user_id, CASE WHEN r.event_id IS NULL THEN 'signup_only' WHEN p.event_id IS NULL THEN 'purchase_only' ELSE 'match' END AS tag,
+       p.event_id AS left_id, r.event_id AS right_id
+FROM pay p FULL JOIN receipt r USING (user_id, nth)""")
 def stream_reconcile(spark, sf):
-    # A receipt for every purchase comes half an hour later.
-    rows = _rows(spark, sf, "event_type").where(F.col("event_type") == "purchase")
-
-    def build(stream):
-        pay = stream.where("event_id IS NOT NULL").select(F.col("event_id").alias("tx"), F.col("user_id").alias("payer"), "ts")
-        receipt = stream.where("event_id IS NOT NULL").select(
-            F.col("event_id").alias("r_tx"), F.col("event_type").alias("receipt"),
-            (F.col("ts") + F.expr("INTERVAL 30 MINUTES")).alias("r_ts"))
-        pay, receipt = pay.withWatermark("ts", "1 hour"), receipt.withWatermark("r_ts", "1 hour")
-        near = F.expr("tx = r_tx AND r_ts BETWEEN ts - INTERVAL 1 HOUR AND ts + INTERVAL 1 HOUR")
-        return pay.join(receipt, near, "inner").select("tx", "payer", "receipt")
+    # The n-th payment of a user goes with the n-th receipt; what is left waits for years and leaves alone.
+    rows = _rows(spark, sf, "event_type").where("event_type IN ('signup', 'purchase')")
+    match = processors.Reconcile("user_id", "event_id", "event_type", "signup", "purchase", 10 * 365 * DAY)
+    return _in_order(spark, rows, match, "user_id bigint, tag string, left_id bigint, right_id bigint")
 
-    return _replay(spark, rows, build).drop("batch_id")
 
-
-@query("stream_rules", """
-SELECT coalesce(r.logic, 'other') AS logic, count(*) AS n FROM events e
-LEFT JOIN (VALUES ('click', 'logic-1'), ('purchase', 'logic-2')) r(event_type, logic) USING (event_type) GROUP BY 1""")
+@query("stream_rules", ORACLE["control_asof"])
 def stream_rules(spark, sf):
+    rows = _rows(spark, sf, "event_type").withColumn("switch", F.col("user_id") % 3)
     base = scratch_path(spark, "rules")
-    rules = spark.createDataFrame([("click", "logic-1"), ("purchase", "logic-2")], "event_type string, logic string")
-    rules.write.parquet(f"{base}/rules")
-    out = f"{base}/out"
-
-    def write(batch, batch_id):
-        # Read again for every micro-batch, so changed rules apply from the next one.
-        now = spark.read.schema("event_type string, logic string").parquet(f"{base}/rules")
-        applied = combine.apply_rules(batch, now, "event_type", {"logic": "other"})
-        aggregates.count_by(applied, "logic").write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
-
-    source = files.read_delimited(spark, _event_files(spark, sf), EVENT_TEXT, stream=True)
-    started = source.writeStream.foreachBatch(write).option("checkpointLocation", f"{base}/checkpoint")
-    started.trigger(availableNow=True).start().awaitTermination()
-    counted = run.read_batches(spark, out, "logic string, n bigint")
-    return counted.groupBy("logic").agg(F.sum("n").alias("n"))
+    run.lay_out(rows, f"{base}/in", ["ts", "event_id"], 3 * spark.sparkContext.defaultParallelism)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", spark.sparkContext.defaultParallelism).parquet(f"{base}/in")
+    control.apply_as_of(stream, f"{base}/out", f"{base}/checkpoint", F.col("event_type") == "signup", "ts", "event_id", "switch",
+                        ["event_id"]).awaitTermination()
+    seen = run.read_batches(spark, f"{base}/out/rows", "event_id bigint, switch bigint")
+    logic = F.when(F.col("switch") == 1, "logic-1").when(F.col("switch") == 2, "logic-2").otherwise("other")
+    return seen.select("event_id", logic.alias("logic"))
 
 
 @query("stream_late_rows", f"""
@@ -155,66 +137,57 @@ def stream_late_rows(spark, sf):
 # -- keyed state ---------------------------------------------------------------
 
 
-def _keyed(spark, sf, *more):
-    return _rows(spark, sf, *more).withColumn("us", F.unix_micros("ts"))
+DELAY = 2 * HOUR
 
 
-@query("stream_jump_alarm", ORACLE["jump_alarm"])
-def stream_jump_alarm(spark, sf):
+def _in_order(spark, rows, processor, schema):
+    """Run a processor over rows that come up to two hours late, within and across micro-batches."""
+    arrival = F.unix_micros("ts") + F.pmod(F.xxhash64("event_id"), F.lit(DELAY))
+
     def build(stream):
-        alarm = processors.JumpAlarm("user_id", ["ts", "event_id"], "event_id", "value", 10.0)
-        return processors.apply(stream, alarm, "user_id bigint, event_id bigint, previous double, value double")
+        return processors.apply(stream.withWatermark("ts", "2 hours"), processor, schema, "ts")
+
+    return _replay(spark, rows, build, close=True, order=[arrival])
+
 
-    return _replay(spark, _rows(spark, sf, "value"), build, keyed=True).drop("batch_id")
+@query("stream_jump_alarm", ORACLE["jump_alarm"])
+def stream_jump_alarm(spark, sf):
+    alarm = processors.JumpAlarm("user_id", "event_id", "value", 10.0)
+    return _in_order(spark, _rows(spark, sf, "value"), alarm, "user_id bigint, event_id bigint, previous double, value double")
 
 
 @query("stream_changelog", ORACLE["retract_changelog"])
 def stream_changelog(spark, sf):
-    def build(stream):
-        log = processors.Changelog("user_id", ["ts", "event_id"], "event_id", "cents")
-        return processors.apply(stream, log, "user_id bigint, event_id bigint, op string, total bigint")
-
-    return _replay(spark, _rows(spark, sf), build, keyed=True).drop("batch_id")
+    log = processors.Changelog("user_id", "event_id", "cents")
+    return _in_order(spark, _rows(spark, sf), log, "user_id bigint, event_id bigint, op string, total bigint")
 
 
 @query("stream_top3", ORACLE["top3_running"])
 def stream_top3(spark, sf):
-    def build(stream):
-        top = processors.RunningTop3("user_id", ["ts", "event_id"], "event_id", "value")
-        return processors.apply(stream, top, "user_id bigint, event_id bigint, top1 double, top2 double, top3 double")
-
-    return _replay(spark, _rows(spark, sf, "value"), build, keyed=True).drop("batch_id")
+    top = processors.RunningTop3("user_id", "event_id", "value")
+    return _in_order(spark, _rows(spark, sf, "value"), top, "user_id bigint, event_id bigint, top1 double, top2 double, top3 double")
 
 
 @query("stream_event_timer", "SELECT DISTINCT user_id, epoch_us(ts) // 1000 + 5000 AS fired_ms FROM events")
 def stream_event_timer(spark, sf):
     def build(stream):
-        timers = processors.EventTimers("user_id", ["ts"], "ms", 5000)
+        timers = processors.EventTimers("user_id", "ms", 5000)
         stream = stream.withWatermark("ts", "0 seconds").withColumn("ms", F.unix_millis("ts"))
-        return processors.apply(stream, timers, "user_id bigint, fired_ms bigint", "EventTime")
+        return processors.apply(stream, timers, "user_id bigint, fired_ms bigint", "ts")
 
-    return _replay(spark, _rows(spark, sf), build, close=True, keyed=True)
+    return _replay(spark, _rows(spark, sf), build, close=True)
 
 
 @query("stream_rising_alarm", f"SELECT user_id, alarm_at FROM ({ORACLE['rising_alarm']})")
 def stream_rising_alarm(spark, sf):
-    def build(stream):
-        alarm = processors.RisingAlarm("user_id", ["ts", "event_id"], "us", "value", DAY)
-        stream = stream.withWatermark("ts", "0 seconds").fillna({"us": 0, "value": 0.0})
-        return processors.apply(stream, alarm, "user_id bigint, alarm_at bigint", "EventTime")
-
-    return _replay(spark, _keyed(spark, sf, "value"), build, close=True, keyed=True)
+    alarm = processors.RisingAlarm("user_id", "event_id", "value", DAY)
+    return _in_order(spark, _rows(spark, sf, "value"), alarm, "user_id bigint, alarm_at bigint")
 
 
 @query("stream_order_timeout", ORACLE["cep_order_timeout"].replace("first_event_id", "first_id").replace("last_event_id", "last_id"))
 def stream_order_timeout(spark, sf):
-    def build(stream):
-        match = processors.NextOrTimeout(
-            "user_id", ["ts", "event_id"], "event_id", "us", "event_type", "signup", "purchase", 12 * HOUR)
-        stream = stream.withWatermark("ts", "0 seconds").fillna({"us": 0, "event_id": -1, "event_type": ""})
-        return processors.apply(stream, match, "user_id bigint, tag string, first_id bigint, last_id bigint", "EventTime")
-
-    return _replay(spark, _keyed(spark, sf, "event_type"), build, close=True, keyed=True)
+    match = processors.NextOrTimeout("user_id", "event_id", "event_type", "signup", "purchase", 12 * HOUR)
+    return _in_order(spark, _rows(spark, sf, "event_type"), match, "user_id bigint, tag string, first_id bigint, last_id bigint")
 
 
 @query("stream_login_fail", f"""
@@ -225,8 +198,5 @@ m AS (SELECT user_id, event_id, count(*) OVER f - 1 AS n_matches, min(event_id)
   WINDOW f AS (PARTITION BY user_id, island ORDER BY ts RANGE BETWEEN INTERVAL '86399.999999 seconds' PRECEDING AND CURRENT ROW))
 SELECT user_id, first_id, event_id AS last_id, n_matches FROM m WHERE n_matches > 0""")
 def stream_login_fail(spark, sf):
-    def build(stream):
-        repeated = processors.Repeated("user_id", ["ts", "event_id"], "event_id", "us", "event_type", "error", DAY)
-        return processors.apply(stream, repeated, "user_id bigint, first_id bigint, last_id bigint, n_matches bigint")
-
-    return _replay(spark, _keyed(spark, sf, "event_type"), build, keyed=True).drop("batch_id")
+    repeated = processors.Repeated("user_id", "event_id", "event_type", "error", DAY)
+    return _in_order(spark, _rows(spark, sf, "event_type"), repeated, "user_id bigint, first_id bigint, last_id bigint, n_matches bigint")

@@ -1,180 +1,264 @@
 """Keyed state on streams: alarms, changelogs, timers and patterns per key.
 
-Each processor gets the rows of one key in one micro-batch, puts them in time
-order and folds them into a few state values. Memory is bounded by the
-micro-batch (set ``maxFilesPerTrigger`` or the like on the source). Row times
-are microseconds; Spark's timers count milliseconds, so a timer is set for the
-first millisecond at or after its time.
+Operators that depend on the order of events hold a key's rows in state until
+the watermark has passed them and fold them in event order, so rows may come in
+any order that the watermark allows, within and across micro-batches. A key's
+memory is bounded by what falls inside the watermark's delay. Row times are
+microseconds; Spark's timers count milliseconds, so a timer is set for the first
+millisecond at or after its time.
 """
 
 from __future__ import annotations
 
+import math
 from collections import deque
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
 
 Out = Iterator[pd.DataFrame]
 
+# Columns that carry a row's time, its null columns and its values to a processor
+# (pandas tuples rename those that begin with an underscore).
+MICROS, NULLS, VALUE = "row_us", "row_nulls", "row_v"
+
 
 class KeyedProcessor(StatefulProcessor):
-    """Sorts a key's rows; subclasses fold them with ``step`` and ``fire``."""
+    """Takes a key's rows as they come; ``fire`` answers a timer."""
 
     state: str = ""
     output: list[str] = []
 
-    def __init__(self, key: str, order: list[str]):
-        self.key, self.order = key, order
+    def __init__(self, key: str):
+        self.key = key
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.value = handle.getValueState("state", self.state)
+        if self.state:
+            self.value = handle.getValueState("state", self.state)
+
+    def _frame(self, key, out: list[tuple]) -> pd.DataFrame:
+        # As objects, whole numbers beside nulls stay whole.
+        return pd.DataFrame([(*key, *row) for row in out], columns=[self.key, *self.output], dtype=object)
+
+    def close(self) -> None:
+        pass
+
+
+class InEventOrder(KeyedProcessor):
+    """Holds rows until the watermark has passed them; subclasses fold them in event order.
+
+    ``columns`` are handed to ``fold`` after the row's time; ``order`` names
+    those that break ties of time, nulls first. A state may have a
+    ``deadline``, at which ``expire`` is called if no row came up to then. One
+    timer per key wakes at the earliest of the rows held and the deadline.
+    """
+
+    def __init__(self, key: str, columns: list[str], order: list[str]):
+        super().__init__(key)
+        self.columns, self.order = columns, [columns.index(c) + 1 for c in order]
+
+    def init(self, handle) -> None:
+        super().init(handle)
+        self.held = handle.getListState("held", self.held_schema)
+        self.timer = handle.getValueState("timer", "at bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Out:
-        batch = pd.concat(rows)
-        if len(batch):
-            batch = batch.sort_values(self.order)
-            before = self.value.get() if self.value.exists() else None
-            out, after = self.step(before, batch)
-            self._keep(before, after)
-            yield self._frame(key, out)
+        soonest = None
+        for frame in rows:
+            if len(frame):
+                self.held.appendList(list(zip(*(frame[c].tolist() for c in self.held_schema.names))))
+                first = int(frame[MICROS].min())
+                soonest = first if soonest is None else min(soonest, first)
+        if soonest is not None:
+            self._wake(soonest, earlier_only=True)
+        yield self._frame(key, [])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Out:
-        before = self.value.get() if self.value.exists() else None
-        out, after = self.fire(before, expiredTimerInfo.getExpiryTimeInMs())
-        self._keep(before, after)
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        due, later = [], []
+        for row in self.held.get():
+            (due if row[0] <= passed else later).append(row)
+        if later:
+            self.held.put(later)
+        else:
+            self.held.clear()
+        due = [(r[0], *(None if r[1] >> k & 1 else v for k, v in enumerate(r[2:]))) for r in due]
+        due.sort(key=lambda r: (r[0], *((r[k] is not None, r[k]) for k in self.order)))
+        before = self.load()
+        out, after = self.fold(before, due)
+        while (end := self.deadline(after)) is not None and end <= passed:
+            more, after = self.expire(after)
+            out = out + more
+        self.keep(before, after)
+        waits = [t for t in (min((r[0] for r in later), default=None), end) if t is not None]
+        self.timer.clear()
+        if waits:
+            self._wake(min(waits))
         yield self._frame(key, out)
 
-    def _keep(self, before, after) -> None:
+    def _wake(self, micros: int, earlier_only: bool = False) -> None:
+        at = -(-micros // 1000)
+        old = self.timer.get()[0] if earlier_only and self.timer.exists() else None
+        if old is not None and old <= at:
+            return
+        if old is not None:
+            self.handle.deleteTimer(old)
+        self.handle.registerTimer(at)
+        self.timer.update((at,))
+
+    def load(self):
+        return self.value.get() if self.value.exists() else None
+
+    def keep(self, before, after) -> None:
         if after is None:
             if before is not None:
                 self.value.clear()
         elif before != after:
             self.value.update(after)
 
-    def _frame(self, key, out: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame([(*key, *row) for row in out], columns=[self.key, *self.output])
-
-    def step(self, state, batch: pd.DataFrame):
+    def fold(self, state, rows: list[tuple]) -> tuple[list[tuple], object]:
+        """Results of the rows (time, *columns), and the state after them."""
         raise NotImplementedError
 
-    def fire(self, state, at_ms: int):
-        return [], state
+    def deadline(self, state) -> int | None:
+        return None
 
-    def close(self) -> None:
-        pass
+    def expire(self, state):
+        return [], None
 
 
-def apply(stream: DataFrame, processor: KeyedProcessor, schema: str, time_mode: str = "None") -> DataFrame:
-    """Run a processor over the rows of each key."""
+def _blank(kind: T.DataType):
+    """A value that stands where a column is null, so that types survive pandas."""
+    if isinstance(kind, T.StringType):
+        return F.lit("")
+    return F.lit(False) if isinstance(kind, T.BooleanType) else F.lit(0).cast(kind)
+
+
+def apply(stream: DataFrame, processor: KeyedProcessor, schema: str, time: str | None = None) -> DataFrame:
+    """Run a processor over the rows of each key.
+
+    ``time`` is the watermarked column, for processors in event order and those
+    with event timers; without it timers go by processing time. Processors in
+    event order take numbers, booleans and strings; rows without a time have no
+    place in the order and are left out, as are rows behind the watermark.
+    """
+    if isinstance(processor, InEventOrder):
+        kinds = [stream.schema[c].dataType for c in processor.columns]
+        nulls = sum((F.col(c).isNull().cast("int") * (1 << k) for k, c in enumerate(processor.columns)), F.lit(0))
+        values = [F.coalesce(F.col(c), _blank(k)).alias(f"{VALUE}{n}") for n, (c, k) in enumerate(zip(processor.columns, kinds))]
+        held = {MICROS: T.LongType(), NULLS: T.IntegerType()} | {f"{VALUE}{n}": k for n, k in enumerate(kinds)}
+        processor.held_schema = T.StructType([T.StructField(n, k) for n, k in held.items()])
+        stream = stream.where(F.col(time).isNotNull()).select(processor.key, time, F.unix_micros(time).alias(MICROS), nulls.alias(NULLS), *values)
     return stream.groupBy(processor.key).transformWithStateInPandas(
-        statefulProcessor=processor, outputStructType=schema, outputMode="Append", timeMode=time_mode
+        statefulProcessor=processor, outputStructType=schema, outputMode="Append", timeMode="EventTime" if time else "ProcessingTime"
     )
 
 
-class JumpAlarm(KeyedProcessor):
+class JumpAlarm(InEventOrder):
     """Rows that differ from the key's previous row by more than ``over``."""
 
     state, output = "last double", ["event_id", "previous", "value"]
 
-    def __init__(self, key, order, ident: str, value: str, over: float):
-        super().__init__(key, order)
-        self.ident, self.column, self.over = ident, value, over
+    def __init__(self, key, ident: str, value: str, over: float):
+        super().__init__(key, [ident, value], [ident])
+        self.over = over
 
-    def step(self, state, batch):
-        values = batch[self.column]
-        previous = values.shift()
-        previous.iloc[0] = float("nan") if state is None else state[0]
-        jumps = (values - previous).abs() > self.over
-        rows = zip(batch[self.ident][jumps], previous[jumps], values[jumps])
-        return list(rows), (float(values.iloc[-1]),)
+    def fold(self, state, rows):
+        last, out = state[0] if state else None, []
+        for _, ident, value in rows:
+            if last is not None and value is not None and abs(value - last) > self.over:
+                out.append((ident, last, value))
+            last = None if value is None else float(value)
+        return out, (last,) if rows else state
 
 
-class Changelog(KeyedProcessor):
+class Changelog(InEventOrder):
     """Each change of the key's sum: the old total taken back, the new added."""
 
     state, output = "total bigint", ["event_id", "op", "total"]
 
-    def __init__(self, key, order, ident: str, value: str):
-        super().__init__(key, order)
-        self.ident, self.column = ident, value
+    def __init__(self, key, ident: str, value: str):
+        super().__init__(key, [ident, value], [ident])
 
-    def step(self, state, batch):
+    def fold(self, state, rows):
         total, fresh, out = (0, True, []) if state is None else (state[0], False, [])
-        for ident, value in zip(batch[self.ident], batch[self.column]):
+        for _, ident, value in rows:
             if not fresh:
                 out.append((ident, "-", total))
-            total, fresh = total + (0 if pd.isna(value) else int(value)), False
+            total, fresh = total + int(value or 0), False
             out.append((ident, "+", total))
-        return out, (total,)
+        return out, None if fresh else (total,)
 
 
-class RunningTop3(KeyedProcessor):
+class RunningTop3(InEventOrder):
     """The key's three largest values after each row, equal values kept."""
 
     state, output = "best array<double>", ["event_id", "top1", "top2", "top3"]
 
-    def __init__(self, key, order, ident: str, value: str):
-        super().__init__(key, order)
-        self.ident, self.column = ident, value
+    def __init__(self, key, ident: str, value: str):
+        super().__init__(key, [ident, value], [ident])
 
-    def step(self, state, batch):
+    def fold(self, state, rows):
         best, out = list(state[0]) if state else [], []
-        for ident, value in zip(batch[self.ident], batch[self.column]):
-            if not pd.isna(value):
+        for _, ident, value in rows:
+            if value is not None:
                 best = sorted([*best, float(value)], reverse=True)[:3]
             out.append((ident, *best, *[None] * (3 - len(best))))
         return out, (best,)
 
 
-class RunningAverage(KeyedProcessor):
-    """The key's average after each row, from its sum and count."""
+class RunningAverage(InEventOrder):
+    """The key's average after each row, from its sum and count; nulls do not count."""
 
     state, output = "total double, n bigint", ["event_id", "average"]
 
-    def __init__(self, key, order, ident: str, value: str):
-        super().__init__(key, order)
-        self.ident, self.column = ident, value
+    def __init__(self, key, ident: str, value: str):
+        super().__init__(key, [ident, value], [ident])
 
-    def step(self, state, batch):
-        total, n = state or (0.0, 0)
-        sums = batch[self.column].cumsum() + total
-        counts = range(n + 1, n + len(batch) + 1)
-        out = [(i, s / c) for i, s, c in zip(batch[self.ident], sums, counts)]
-        return out, (float(sums.iloc[-1]), n + len(batch))
+    def fold(self, state, rows):
+        (total, n), out = state or (0.0, 0), []
+        for _, ident, value in rows:
+            if value is not None:
+                total, n = total + value, n + 1
+            out.append((ident, total / n if n else None))
+        return out, (total, n)
 
 
 class EventTimers(KeyedProcessor):
     """A timer at each row's time plus a delay; every firing gives a row."""
 
-    state, output = "unused int", ["fired_ms"]
+    output = ["fired_ms"]
 
-    def __init__(self, key, order, millis: str, delay_ms: int):
-        super().__init__(key, order)
+    def __init__(self, key, millis: str, delay_ms: int):
+        super().__init__(key)
         self.millis, self.delay = millis, delay_ms
 
-    def step(self, state, batch):
-        for at in batch[self.millis].unique():
-            self.handle.registerTimer(int(at) + self.delay)
-        return [], state
+    def handleInputRows(self, key, rows, timerValues) -> Out:
+        for frame in rows:
+            for at in frame[self.millis].unique().tolist():
+                self.handle.registerTimer(int(at) + self.delay)
+        yield self._frame(key, [])
 
-    def fire(self, state, at_ms):
-        return [(at_ms,)], state
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Out:
+        yield self._frame(key, [(expiredTimerInfo.getExpiryTimeInMs(),)])
 
 
 class ProcessingTimers(KeyedProcessor):
     """A timer ``delay_ms`` after a key's rows arrive; every firing gives a row.
 
-    Use it with the time mode ``ProcessingTime`` and a trigger that keeps
-    running, since only a running query can fire it.
+    Use it without a time column and with a trigger that keeps running, since
+    only a running query can fire it.
     """
 
     state, output = "rows bigint", ["rows"]
 
     def __init__(self, key, delay_ms: int):
-        super().__init__(key, [])
+        super().__init__(key)
         self.delay = delay_ms
 
     def handleInputRows(self, key, rows, timerValues) -> Out:
@@ -183,103 +267,77 @@ class ProcessingTimers(KeyedProcessor):
         self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.delay)
         yield self._frame(key, [])
 
-    def fire(self, state, at_ms):
-        return [state], state
-
-
-class OneTimer(KeyedProcessor):
-    """Has at most one timer per key, set for ``deadline(state)``."""
-
-    def deadline(self, state) -> int | None:
-        raise NotImplementedError
-
-    def _timer(self, state) -> int | None:
-        at = None if state is None else self.deadline(state)
-        return None if at is None else -(-at // 1000)
-
-    def fold(self, state, batch: pd.DataFrame):
-        raise NotImplementedError
-
-    def expire(self, state):
-        raise NotImplementedError
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Out:
+        yield self._frame(key, [self.value.get()])
 
-    def step(self, state, batch):
-        out, after = self.fold(state, batch)
-        old, new = self._timer(state), self._timer(after)
-        if old != new:
-            if old is not None:
-                self.handle.deleteTimer(old)
-            if new is not None:
-                self.handle.registerTimer(new)
-        return out, after
 
-    def fire(self, state, at_ms):
-        return self.expire(state) if self._timer(state) == at_ms else ([], state)
+def _above(a: float, b: float) -> bool:
+    """As Spark compares: NaN is the largest value and equal to itself."""
+    return not math.isnan(b) if math.isnan(a) else a > b
 
 
-class RisingAlarm(OneTimer):
+class RisingAlarm(InEventOrder):
     """An alarm when values have kept rising for ``hold_us``.
 
     The first rising row starts a timer; a row that does not rise, at or before
-    the deadline, cancels it; the next rising row after an alarm starts anew.
+    the deadline, cancels it; the next rising row after an alarm starts anew. A
+    null neither rises nor falls, and the row after it counts as rising.
     """
 
     state, output = "last double, deadline bigint", ["alarm_at"]
 
-    def __init__(self, key, order, micros: str, value: str, hold_us: int):
-        super().__init__(key, order)
-        self.micros, self.column, self.hold = micros, value, hold_us
+    def __init__(self, key, ident: str, value: str, hold_us: int):
+        super().__init__(key, [ident, value], [ident])
+        self.hold = hold_us
 
     def deadline(self, state):
-        return state[1]
+        return state[1] if state else None
 
-    def fold(self, state, batch):
-        last, deadline = state or (None, None)
-        out = []
-        for at, value in zip(batch[self.micros], batch[self.column]):
+    def fold(self, state, rows):
+        (last, deadline), out = state or (None, None), []
+        for at, _, value in rows:
             if deadline is not None and at > deadline:
                 out.append((deadline,))
                 deadline = None
-            if last is not None and not value > last:
+            if last is not None and value is not None and not _above(value, last):
                 deadline = None
             elif deadline is None:
-                deadline = int(at) + self.hold
-            last = float(value)
+                deadline = at + self.hold
+            last = None if value is None else float(value)
         return out, (last, deadline)
 
     def expire(self, state):
         return [(state[1],)], (state[0], None)
 
 
-class NextOrTimeout(OneTimer):
+class NextOrTimeout(InEventOrder):
     """``first`` strictly followed by ``then`` within a bound, or timed out."""
 
     state, output = "id bigint, at bigint", ["tag", "first_id", "last_id"]
 
-    def __init__(self, key, order, ident: str, micros: str, kind: str, first: str, then: str, within_us: int):
-        super().__init__(key, order)
-        self.ident, self.micros, self.kind = ident, micros, kind
+    def __init__(self, key, ident: str, kind: str, first: str, then: str, within_us: int):
+        super().__init__(key, [ident, kind], [ident])
         self.first, self.then, self.within = first, then, within_us
 
     def deadline(self, state):
-        return state[1] + self.within
+        return state[1] + self.within if state else None
 
-    def fold(self, state, batch):
+    def fold(self, state, rows):
         pending, out = state, []
-        for ident, at, kind in zip(batch[self.ident], batch[self.micros], batch[self.kind]):
+        for at, ident, kind in rows:
             if pending is not None:
-                if int(at) - pending[1] >= self.within:
+                if at - pending[1] >= self.within:
                     out.append(("timeout", pending[0], None))
                 elif kind == self.then:
-                    out.append(("match", pending[0], int(ident)))
-            pending = (int(ident), int(at)) if kind == self.first else None
+                    out.append(("match", pending[0], ident))
+            pending = (ident, at) if kind == self.first else None
         return out, pending
 
     def expire(self, state):
         return [("timeout", state[0], None)], None
 
 
-class Repeated(KeyedProcessor):
+class Repeated(InEventOrder):
     """Two or more ``kind`` rows in direct succession within a bound.
 
     One row per closing row: the earliest row a match can start from and how
@@ -288,20 +346,70 @@ class Repeated(KeyedProcessor):
 
     state, output = "ids array<bigint>, times array<bigint>", ["first_id", "last_id", "n_matches"]
 
-    def __init__(self, key, order, ident: str, micros: str, column: str, kind: str, within_us: int):
-        super().__init__(key, order)
-        self.ident, self.micros, self.column = ident, micros, column
+    def __init__(self, key, ident: str, column: str, kind: str, within_us: int):
+        super().__init__(key, [ident, column], [ident])
         self.kind, self.within = kind, within_us
 
-    def step(self, state, batch):
+    def fold(self, state, rows):
         run, out = deque(zip(*state) if state else ()), []
-        for ident, at, kind in zip(batch[self.ident], batch[self.micros], batch[self.column]):
+        for at, ident, kind in rows:
             if kind != self.kind:
                 run.clear()
                 continue
             while run and at - run[0][1] >= self.within:
                 run.popleft()
             if run:
-                out.append((run[0][0], int(ident), len(run)))
-            run.append((int(ident), int(at)))
+                out.append((run[0][0], ident, len(run)))
+            run.append((ident, at))
         return out, (tuple(list(c) for c in zip(*run)) if run else None)
+
+
+class Reconcile(InEventOrder):
+    """Rows of two sides matched first in, first out; each row is used once.
+
+    A row waits for its counterpart until ``within_us`` later, then it leaves
+    with the tag of its side. Waiting rows lie one by one in a map state, so
+    taking or adding one costs the same however many wait. Only one side ever
+    waits. Output: tag, the left row's id, the right row's id.
+    """
+
+    state = "head bigint, tail bigint, side string, since bigint"
+    output = ["tag", "left_id", "right_id"]
+
+    def __init__(self, key, ident: str, side: str, left: str, right: str, within_us: int):
+        super().__init__(key, [ident, side], [side, ident])
+        self.left, self.right, self.within = left, right, within_us
+
+    def init(self, handle) -> None:
+        super().init(handle)
+        self.waiting = handle.getMapState("waiting", "place bigint", "id bigint, at bigint")
+
+    def deadline(self, state):
+        return state[3] + self.within if state else None
+
+    def _take(self, state):
+        """The first waiting row's id, and the state without it."""
+        head, tail, side, _ = state
+        ident = self.waiting.getValue((head,))[0]
+        self.waiting.removeKey((head,))
+        head += 1
+        return ident, (head, tail, side, self.waiting.getValue((head,))[1]) if head < tail else None
+
+    def expire(self, state):
+        ident, after = self._take(state)
+        return [(f"{state[2]}_only", ident, None) if state[2] == self.left else (f"{state[2]}_only", None, ident)], after
+
+    def fold(self, state, rows):
+        out = []
+        for at, ident, side in rows:
+            while state and at - state[3] >= self.within:
+                more, state = self.expire(state)
+                out += more
+            if state and state[2] != side:
+                other, state = self._take(state)
+                out.append(("match", other, ident) if side == self.right else ("match", ident, other))
+            else:
+                head, tail, _, since = state or (0, 0, side, at)
+                self.waiting.updateValue((tail,), (ident, at))
+                state = (head, tail + 1, side, since)
+        return out, state

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.sequences import as_micros
@@ -13,6 +13,9 @@ from ..session import ROCKSDB_PROVIDER, scratch_path
 
 Build = Callable[[DataFrame], DataFrame]
 
+# Any time in the past: only the order of the files' times counts.
+_FIRST_FILE_MS = 1_000_000_000_000
+
 
 @contextmanager
 def stream_settings(spark: SparkSession, partitions: int | None = None) -> Iterator[None]:
@@ -68,35 +71,57 @@ def latest(updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     return newest.select(*keys, "_v.*")
 
 
+def lay_out(rows: DataFrame, path: str, order: Sequence[Column | str], files: int, dated: int = 0) -> int:
+    """Write rows as files by ranges of ``order``, which a file stream then reads in that order.
+
+    A file stream takes files by their time of change, so the files' times are
+    set to follow their ranges; ``dated`` is how many earlier files there are.
+    Returns how many there are now. Rows of equal order may part between files.
+    The file system has to keep times as they are set, as HDFS and disks do.
+    """
+    spark = rows.sparkSession
+    names = [f"_order{k}" for k in range(len(order))]
+    keyed = rows.withColumns({n: F.col(c) if isinstance(c, str) else c for n, c in zip(names, order)})
+    keyed.repartitionByRange(files, *names, F.xxhash64(*rows.columns)).drop(*names).write.parquet(path)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    written = {f.getPath().getName(): f.getPath() for f in system.listStatus(folder)}
+    for name in sorted(n for n in written if n.startswith("part-")):
+        dated += 1
+        system.setTimes(written[name], _FIRST_FILE_MS + 1000 * dated, -1)
+    return dated
+
+
 def replay(
     spark: SparkSession, rows: DataFrame, time: str, build: Build, mode: str = "append",
     steps: int = 3, rows_per_step: int | None = None, closing: DataFrame | None = None,
-    partitions: int | None = None,
+    partitions: int | None = None, order: Sequence[Column | str] | None = None, restart: bool = False,
 ) -> DataFrame:
     """Run a streaming job over a table, in time order, and return all it wrote.
 
-    The table is laid out once by equal steps of time, at least ``steps`` and
-    enough for about ``rows_per_step`` rows in each. After each step the job is
-    started again from its checkpoint and ends when it has caught up, so state
-    has to survive a restart. ``closing`` rows come last, to move the watermark
+    The table is laid out once in files by ranges of ``order`` (``time`` if not
+    given), cut by rows, so that bursts are spread too. One query reads them as
+    at least ``steps`` micro-batches of about ``rows_per_step`` rows at most.
+    With ``restart`` the job ends half way and goes on from its checkpoint, so
+    its state has to survive. ``closing`` rows come last, to move the watermark
     past every open window.
     """
     base = scratch_path(spark, "replay")
-    staged, source, out, checkpoint = (f"{base}/{n}" for n in ("staged", "in", "out", "checkpoint"))
-    at = as_micros(rows, time)
-    n, lo, hi = rows.agg(F.count(F.lit(1)), F.min(at), F.max(at)).first()
-    if rows_per_step:
-        steps = max(steps, -(-n // rows_per_step))
-    width = max(1, -(-((hi or 0) - (lo or 0) + 1) // steps))
-    step = F.coalesce(F.floor((at - F.lit(lo)) / width), F.lit(0)).cast("int")
-    laid_out = rows.withColumn("_step", step).repartitionByRange(time)
-    laid_out.write.partitionBy("_step").parquet(staged)
-    by_step = spark.read.schema(laid_out.schema).parquet(staged)
-    parts = [by_step.where(F.col("_step") == i).drop("_step") for i in range(steps)]
-    schema = None
-    for part in [*parts, *([closing] if closing is not None else [])]:
-        part.select(rows.columns).write.mode("append").parquet(source)
-        result = build(spark.readStream.schema(rows.schema).parquet(source))
-        schema = result.schema
+    out, checkpoint = f"{base}/out", f"{base}/checkpoint"
+    order, at_once = list(order or [time]), spark.sparkContext.defaultParallelism
+    n = rows.count()
+    steps = max(steps, -(-n // rows_per_step)) if rows_per_step else steps
+    halves = [rows]
+    if restart:
+        middle = rows.select(F.percentile_approx(as_micros(rows, time), 0.5).alias("m")).first()["m"] or 0
+        early = F.coalesce(as_micros(rows, time) <= middle, F.lit(True))
+        halves = [rows.where(early), rows.where(~early)]
+    dated = 0
+    for k, half in enumerate(halves):
+        dated = lay_out(half, f"{base}/in/rows-{k}", order, max(steps * at_once // len(halves), 1), dated)
+        if k + 1 == len(halves) and closing is not None:
+            dated = lay_out(closing.select(rows.columns), f"{base}/in/rows-{k + 1}", [time], 1, dated)
+        source = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", at_once).option("maxFileAge", "36500d")
+        result = build(source.parquet(f"{base}/in/*"))
         write_batches(result, out, checkpoint, mode, partitions=partitions).awaitTermination()
-    return read_batches(spark, out, schema)
+    return read_batches(spark, out, result.schema)

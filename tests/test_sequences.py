@@ -167,3 +167,46 @@ def test_top3_by_hand(spark, rows, limits):
         want[r["id"]] = tuple([*kept, None, None, None][:3])
     got = topk.top3_running(rows, ["k"], ["t", "id"], "v", limits)
     assert {r["id"]: (r["top1"], r["top2"], r["top3"]) for r in got.collect()} == want
+
+
+def alike(a, b):
+    """Equal with NaN equal to itself, doubles to nine digits."""
+    plain = lambda df: sorted(str([round(x, 9) if isinstance(x, float) else x for x in r]) for r in df.collect())
+    assert plain(a) == plain(b)
+
+
+@pytest.mark.parametrize("kind, values", [
+    ("double", [float("nan"), 0.1, 0.5, 2.1, 9.3, 2.1, float("inf"), 1.0, 0.25, None, 3.0]),
+    ("bigint", [2**62, 2**61, -(2**62), 2**62 - 1, 5, 2**62, 1, None, 2, 3, 2**62]),
+])
+@pytest.mark.parametrize("step, preceding", [(1, 0), (4, 5), (3, 3), (1, 4)])
+def test_range_frames_do_not_subtract(spark, kind, values, step, preceding):
+    """A NaN or a value near the limit of its type stays within its frames, cut or not."""
+    rows = [("k", None if k == 8 else k // 2 * step, k, v) for k, v in enumerate(values * 4)]
+    df = spark.createDataFrame(rows, f"k string, t bigint, id int, v {kind}")
+    if kind == "bigint" and preceding >= step:
+        df = df.withColumn("v", (F.col("v") / 16).cast("bigint"))  # several large values in a frame
+    wanted = {"s": ("sum", "v"), "n": ("count", "v"), "lo": ("min", "v"), "hi": ("max", "v")}
+    if kind == "bigint" and preceding == 0:
+        wanted.pop("s")
+    alike(over.over_range(df, ["k"], ["t", "id"], preceding, wanted, Limits(rows_per_task=6)),
+          over.over_range(df, ["k"], ["t", "id"], preceding, wanted, WHOLE))
+
+
+@pytest.mark.parametrize("kind, preceding", [("double", 3), ("double", 1), ("decimal(9,2)", 3), ("timestamp", 2_500_000), ("int", 7)])
+def test_range_frames_over_any_time(spark, kind, preceding):
+    pick = random.Random(preceding)
+    rows = [(pick.choice("ab"), None if k % 17 == 0 else pick.randint(-400, 400) / 10, k, k % 7) for k in range(300)]
+    df = spark.createDataFrame(rows, "k string, t double, id int, v int").withColumn("t", F.col("t").cast(kind))
+    wanted = {"s": ("sum", "v"), "n": ("count", "v"), "lo": ("min", "id"), "hi": ("max", "id")}
+    alike(over.over_range(df, ["k"], ["t", "id"], preceding, wanted, Limits(rows_per_task=20)),
+          over.over_range(df, ["k"], ["t", "id"], preceding, wanted, WHOLE))
+
+
+def test_one_long_run_of_alarms(spark):
+    """A key that only rises: many alarms on one path, found in log rounds."""
+    rows = spark.range(700).select(F.lit("k").alias("k"), (F.col("id") * 3 + F.col("id") % 2).alias("t"), "id", F.col("id").alias("v"))
+    rows = rows.unionByName(rows.limit(3).withColumn("k", F.lit(None)))
+    for hold in (7, 400):
+        cut = aggregates.rising_alarm(rows, ["k"], ["t", "id"], "v", hold, Limits(rows_per_task=40))
+        same(cut, aggregates.rising_alarm(rows, ["k"], ["t", "id"], "v", hold, WHOLE))

@@ -1,12 +1,13 @@
 """Streams: late rows, updates, restarts, processing time, timers."""
 
+import random
 import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import windows
-from millrace.streaming import late, processors, run
+from millrace.streaming import control, late, processors, run
 
 S = 1_000_000
 SCHEMA = "id string, ts timestamp, vc int"
@@ -98,8 +99,7 @@ def test_processing_timer_fires_after_its_delay(spark, folders):
     inbox, out, checkpoint = folders
     put(spark, inbox, [("s1", 1, 1), ("s1", 2, 2)])
     with run.stream_settings(spark):
-        fired = processors.apply(source(spark, inbox), processors.ProcessingTimers("id", 2000),
-                                 "id string, rows bigint", "ProcessingTime")
+        fired = processors.apply(source(spark, inbox), processors.ProcessingTimers("id", 2000), "id string, rows bigint")
         query = run.write_batches(fired, out, checkpoint, trigger={"processingTime": "1 second"})
 
     def rows():
@@ -112,14 +112,86 @@ def test_processing_timer_fires_after_its_delay(spark, folders):
     assert [(r["id"], r["rows"]) for r in rows()] == [("s1", 2)]
 
 
-def test_average_and_alarm_states(spark, folders):
+KEYED = "k string, t double, n bigint, v double, kind string"
+
+
+def in_order(spark, folders, steps, processor, schema, delay="5 seconds"):
+    """All a processor writes for rows (key, second, id, value, kind) that come in several micro-batches; a last row ends it."""
+    inbox, out, checkpoint = folders
+    for k, rows in enumerate([*steps, [("end", 1e9, 0, 0.0, "")]]):
+        df = spark.createDataFrame(rows, KEYED).withColumn("ts", (F.col("t") * S).cast("bigint"))
+        df.withColumn("ts", F.timestamp_micros("ts")).coalesce(1).write.mode("append").parquet(inbox)
+        stream = spark.readStream.schema(KEYED + ", ts timestamp").parquet(inbox).withWatermark("ts", delay)
+        run.write_batches(processors.apply(stream, processor, schema, "ts"), out, checkpoint).awaitTermination()
+    got = run.read_batches(spark, out, schema).drop("batch_id")
+    return sorted((tuple(r) for r in got.collect()), key=str)
+
+
+def test_average_in_event_order(spark, folders):
+    steps = [[("s1", 1.0, 1, 10.0, ""), ("s1", 3.0, 3, 60.0, "")], [("s1", 2.0, 2, 20.0, ""), ("s2", 1.0, 9, 7.0, ""), ("s2", 2.0, 10, None, "")]]
+    got = in_order(spark, folders, steps, processors.RunningAverage("k", "n", "v"), "k string, event_id bigint, average double")
+    assert got == [("s1", 1, 10.0), ("s1", 2, 15.0), ("s1", 3, 30.0), ("s2", 10, 7.0), ("s2", 9, 7.0)]
+
+
+def test_second_event_of_a_match_comes_first(spark, folders):
+    """The closing event comes a micro-batch before the event that opens the match; null ids and kinds stay null."""
+    big = 2**60 + 1
+    steps = [[("o1", 8.0, big, 0.0, "pay"), ("o2", 1.0, 5, 0.0, "create"), ("o3", 2.0, None, 0.0, "create")],
+             [("o1", 4.0, 1, 0.0, "create"), ("o3", 3.5, 7, 0.0, None), ("o4", 6.0, None, 0.0, "create")], [("o2", 30.0, 6, 0.0, "pay")]]
+    match = processors.NextOrTimeout("k", "n", "kind", "create", "pay", 10 * S)
+    got = in_order(spark, folders, steps, match, "k string, tag string, first_id bigint, last_id bigint")
+    assert got == [("o1", "match", 1, big), ("o2", "timeout", 5, None), ("o4", "timeout", None, None)]
+
+
+def test_rows_behind_the_watermark_go(spark, folders):
+    steps = [[("s", 100.0, 1, 1.0, "")], [("s", 90.0, 2, 50.0, ""), ("s", 101.0, 3, 2.0, "")], [("s", 97.0, 4, 90.0, "")]]
+    alarm = processors.JumpAlarm("k", "n", "v", 10.0)
+    got = in_order(spark, folders, steps, alarm, "k string, event_id bigint, previous double, value double")
+    assert got == [("s", 1, 90.0, 1.0)]  # the row at 90 is late, the one at 97 is not
+
+
+def brute_reconcile(rows, within):
+    out, waiting = [], []
+    for t, side, n in sorted((round(t * S), kind, n) for _, t, n, _, kind in rows):
+        while waiting and t - waiting[0][0] >= within:
+            _, s, i = waiting.pop(0)
+            out.append(("k", f"{s}_only", i if s == "a" else None, i if s == "b" else None))
+        if waiting and waiting[0][1] != side:
+            i = waiting.pop(0)[2]
+            out.append(("k", "match", *((i, n) if side == "b" else (n, i))))
+        else:
+            waiting.append((t, side, n))
+    return out + [("k", f"{s}_only", i if s == "a" else None, i if s == "b" else None) for _, s, i in waiting]
+
+
+def test_reconcile_uses_each_row_once(spark, folders):
+    pick = random.Random(3)
+    rows = [("k", pick.randint(0, 160) / 4, n, 0.0, pick.choice("ab")) for n in range(60)]
+    rows.sort(key=lambda r: r[1] + pick.random() * 4.9)
+    steps = [rows[:20], rows[20:45], rows[45:]]
+    match = processors.Reconcile("k", "n", "kind", "a", "b", 6 * S)
+    got = in_order(spark, folders, steps, match, "k string, tag string, left_id bigint, right_id bigint")
+    assert got == sorted(brute_reconcile(rows, 6 * S), key=str)
+    assert len({r[1] for r in got}) > 1
+
+
+def test_rules_change_between_and_inside_micro_batches(spark, folders):
     inbox, out, checkpoint = folders
-    for rows in ([("s1", 1, 10), ("s1", 2, 20)], [("s1", 3, 60), ("s2", 1, 7)]):
+    steps = [[("d", 1, None), ("c", 2, 1), ("d", 3, None), ("c", 4, 2), ("d", 5, None)], [("d", 6, None), ("c", 8, 3), ("d", 9, None), ("d", 8, None)],
+             [("d", 7, None)], [("d", 20, None), ("c", 21, None), ("d", 22, None)]]
+    for rows in steps:
         put(spark, inbox, rows)
-        stream = source(spark, inbox).withColumn("event_id", F.unix_seconds("ts"))
-        average = processors.RunningAverage("id", ["ts"], "event_id", "vc")
-        result = processors.apply(stream, average, "id string, event_id bigint, average double")
-        run.write_batches(result, out, checkpoint).awaitTermination()
-    got = run.read_batches(spark, out, "id string, event_id bigint, average double")
-    assert sorted((r["id"], r["event_id"], r["average"]) for r in got.collect()) == [
-        ("s1", 1, 10.0), ("s1", 2, 15.0), ("s1", 3, 30.0), ("s2", 1, 7.0)]
+        stream = source(spark, inbox).withColumn("n", F.unix_seconds("ts"))
+        control.apply_as_of(stream, out, checkpoint, F.col("id") == "c", "ts", "n", "vc", ["n"], delay_us=5 * S).awaitTermination()
+    got = run.read_batches(spark, f"{out}/rows", "n bigint, vc int")
+    assert {r["n"]: r["vc"] for r in got.collect()} == {1: None, 3: 1, 5: 2, 6: 2, 8: 3, 9: 3, 7: 2, 20: 3, 22: 3}
+
+
+def test_replay_reads_files_in_order_and_survives_a_restart(spark):
+    rows = spark.range(500).select("id", F.timestamp_seconds(F.col("id") % 100).alias("ts"))  # each instant five times
+    written = run.replay(spark, rows, "ts", lambda s: s.select("id", F.unix_seconds("ts").alias("s")), steps=4, restart=True)
+    bounds = [(r["lo"], r["hi"]) for r in written.groupBy("batch_id").agg(F.min("s").alias("lo"), F.max("s").alias("hi")).orderBy("batch_id").collect()]
+    assert len(bounds) >= 4 and all(a[1] <= b[0] for a, b in zip(bounds, bounds[1:]))
+    assert written.count() == 500 and written.select("id").distinct().count() == 500
+    empty = run.replay(spark, rows.where("false"), "ts", lambda s: s.select("id"))
+    assert empty.count() == 0
