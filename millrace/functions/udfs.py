@@ -4,7 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pandas.core.groupby import DataFrameGroupBy
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,55 +21,132 @@ def register(spark: SparkSession) -> None:
     def str_len(text: pd.Series) -> pd.Series:
         return text.str.len().astype("Int32")
 
-    @F.pandas_udf("double")
-    def avg_result(total: pd.Series, n: pd.Series) -> pd.Series:
-        return total.astype("float64") / n.where(n > 0)
-
     spark.udf.register("str_len", str_len)
-    spark.udf.register("avg_result", avg_result)
-    spark.udtf.register("split_words", split_words())
-    spark.udtf.register("top2", top2())
+    functions = {"split_words": split_words, "avg_parts": average_parts, "avg_of_parts": average_of_parts, "top2_parts": top2_parts, "top2": top2}
+    for name, make in functions.items():
+        spark.udtf.register(name, make())
+
+
+# Table functions take and give whole Arrow batches. An aggregate comes as two of
+# them: the first takes any table where its rows lie and gives accumulators, one
+# per key and task at best; the second merges those, partitioned by key. So SQL
+# hands over all rows, and no key's rows come together.
 
 
 def split_words():
-    """Table function: one row per part of a delimited text."""
+    """Table function over (text, sep): one row (text, word) per part of each text."""
 
-    @F.udtf(returnType="word string", useArrow=True)
+    @F.arrow_udtf(returnType="text string, word string")
     class SplitWords:
-        def eval(self, text: str, sep: str):
-            if text is not None:
-                for part in text.split(sep):
-                    yield (part,)
+        def eval(self, batch: pa.RecordBatch) -> Iterator[pa.Table]:
+            for sep in batch.column("sep").unique().drop_null().to_pylist():
+                text = batch.filter(pc.equal(batch.column("sep"), sep)).column("text")
+                parts = pc.split_pattern(text, sep)
+                yield pa.table({"text": text.take(pc.list_parent_indices(parts)), "word": pc.list_flatten(parts)})
 
     return SplitWords
 
 
-def top2():
-    """Table aggregate over a partitioned table: its two largest ``vc`` with ranks.
+def average_parts(held_keys: int = 100_000):
+    """First half of a mean over (key, value): sums and counts of the rows at hand."""
 
-    Keeps two values however long the partition is.
-    """
+    @F.arrow_udtf(returnType="key string, total double, n bigint")
+    class AverageParts:
+        def __init__(self):
+            self.held = None
 
-    @F.udtf(returnType="user_id bigint, vc double, rank string")
-    class Top2:
+        def eval(self, batch: pa.RecordBatch) -> Iterator[pa.Table]:
+            found = pa.Table.from_batches([batch]).group_by("key").aggregate([("value", "sum"), ("value", "count")])
+            part = found.select(["key", "value_sum", "value_count"]).rename_columns(["key", "total", "n"])
+            if self.held is not None:
+                both = pa.concat_tables([self.held, part]).group_by("key").aggregate([("total", "sum"), ("n", "sum")])
+                part = both.select(["key", "total_sum", "n_sum"]).rename_columns(["key", "total", "n"])
+            self.held = part
+            if part.num_rows > held_keys:
+                self.held = None
+                yield part
+
+        def terminate(self) -> Iterator[pa.Table]:
+            if self.held is not None:
+                yield self.held
+
+    return AverageParts
+
+
+def average_of_parts():
+    """Second half: the mean of one key's accumulators; null when nothing was added."""
+
+    @F.arrow_udtf(returnType="key string, average double")
+    class AverageOfParts:
         def __init__(self):
-            self.key, self.best = None, []
+            self.key, self.total, self.n = None, 0.0, 0
 
-        def eval(self, row):
-            self.key = row["user_id"]
-            if row["vc"] is not None:
-                self.best = sorted([*self.best, row["vc"]], reverse=True)[:2]
+        def eval(self, batch: pa.RecordBatch) -> Iterator[pa.Table]:
+            self.key = batch.column("key").slice(0, 1)
+            self.total += pc.sum(batch.column("total")).as_py() or 0.0
+            self.n += pc.sum(batch.column("n")).as_py() or 0
+            return iter(())
 
-        def terminate(self):
-            for place, value in enumerate(self.best, start=1):
-                yield self.key, value, str(place)
+        def terminate(self) -> Iterator[pa.Table]:
+            if self.key is not None:
+                yield pa.table({"key": self.key, "average": pa.array([self.total / self.n if self.n else None], pa.float64())})
 
-    return Top2
+    return AverageOfParts
+
+
+def _largest(rows: pa.Table, most: int) -> tuple[pa.Table, np.ndarray]:
+    """Of (user_id, vc) the ``most`` largest vc of each user, and their places from 1; nulls go, NaN is largest."""
+    rows = rows.filter(pc.is_valid(rows["vc"])).combine_chunks()
+    codes = np.asarray(pc.fill_null(pc.index_in(rows["user_id"], pc.unique(rows["user_id"])), -1))
+    vc = rows["vc"].to_numpy()
+    order = np.lexsort((-np.nan_to_num(vc, nan=0.0, posinf=np.inf, neginf=-np.inf), ~np.isnan(vc), codes))
+    codes = codes[order]
+    first = np.flatnonzero(np.diff(codes, prepend=-2))
+    place = np.arange(len(codes)) - np.repeat(first, np.diff(first, append=len(codes)))
+    return rows.take(pa.array(order[place < most])), place[place < most] + 1
 
 
-def top2_of(spark: SparkSession, view: str, key: str) -> DataFrame:
-    """``top2`` over each key of a view."""
-    return spark.sql(f"SELECT * FROM top2(TABLE({view}) PARTITION BY {key})")
+def top2_parts(held_keys: int = 100_000):
+    """First half of a table aggregate over (user_id, vc): each user's two largest vc among the rows at hand."""
+
+    @F.arrow_udtf(returnType="user_id bigint, vc double")
+    class Top2Parts:
+        def __init__(self):
+            self.held = None
+
+        def eval(self, batch: pa.RecordBatch) -> Iterator[pa.Table]:
+            new = pa.Table.from_batches([batch]).select(["user_id", "vc"])
+            self.held = _largest(new if self.held is None else pa.concat_tables([self.held, new]), 2)[0]
+            if self.held.num_rows > 2 * held_keys:
+                full, self.held = self.held, None
+                yield full
+
+        def terminate(self) -> Iterator[pa.Table]:
+            if self.held is not None:
+                yield self.held
+
+    return Top2Parts
+
+
+def top2():
+    """Second half, over one user's (user_id, vc): the two largest with their ranks."""
+
+    @F.arrow_udtf(returnType="user_id bigint, vc double, rank string")
+    class Top2:
+        def __init__(self):
+            self.held = None
+
+        def eval(self, batch: pa.RecordBatch) -> Iterator[pa.Table]:
+            new = pa.Table.from_batches([batch]).select(["user_id", "vc"])
+            self.held = _largest(new if self.held is None else pa.concat_tables([self.held, new]), 2)[0]
+            return iter(())
+
+        def terminate(self) -> Iterator[pa.Table]:
+            if self.held is not None:
+                best, place = _largest(self.held, 2)
+                yield best.append_column("rank", pa.array(place.astype(str), pa.string()))
+
+    return Top2
 
 
 class UserAggregate:

@@ -78,6 +78,84 @@ def stream_session(spark, sf):
     return _replay(spark, _rows(spark, sf), build, close=True)
 
 
+# A tenth of the rows come after all the others; windows that have ended by then take none of them.
+LATE_SQL = f"""
+WITH t AS (SELECT *, epoch_us(ts) AS us, event_id % 10 = 3 AS held, epoch_us(ts) // {DAY} * {DAY} AS starts FROM events),
+m AS (SELECT max(us) // 1000 * 1000 AS newest FROM t WHERE NOT held)"""
+
+
+def _held_back(spark, rows, build):
+    """What a stream writes when it gets a tenth of the rows after all others, then a last row that ends all windows."""
+    base, held = scratch_path(spark, "held"), F.col("event_id") % 10 == 3
+    dated = 0
+    for k, part in enumerate((rows.where(~held), rows.where(held), _closing(rows))):
+        dated = run.lay_out(part, f"{base}/in/rows-{k}", ["ts"], 8, dated)
+        result = build(spark.readStream.schema(rows.schema).parquet(f"{base}/in/*"))
+        run.write_batches(result, f"{base}/out", f"{base}/checkpoint", partitions=spark.sparkContext.defaultParallelism).awaitTermination()
+    return run.read_batches(spark, f"{base}/out", result.schema).where("user_id >= 0")
+
+
+@query("sql_event_time", LATE_SQL + f"""
+SELECT user_id, make_timestamp(starts) AS window_start, count(*) AS n, max(us // 1000) AS newest_ms
+FROM t, m WHERE NOT held OR starts + {DAY} > (newest // 1000000 - 5) * 1000000 GROUP BY ALL""")
+def sql_event_time(spark, sf):
+    def build(stream):
+        # Time from milliseconds, a watermark, and a window, in SQL over the stream.
+        stream.withColumn("ms", F.unix_millis("ts")).drop("ts").createOrReplaceTempView("ms_events")
+        timed = spark.sql("SELECT *, to_timestamp(from_unixtime(ms / 1000, 'yyyy-MM-dd HH:mm:ss')) AS t FROM ms_events")
+        timed.withWatermark("t", "5 seconds").createOrReplaceTempView("timed_events")
+        return spark.sql("""
+            SELECT user_id, window(t, '1 day').start AS window_start, count(*) AS n, max(ms) AS newest_ms
+            FROM timed_events GROUP BY user_id, window(t, '1 day')""")
+
+    return event_time.wall_time(_held_back(spark, _rows(spark, sf), build).drop("batch_id"), "window_start")
+
+
+@query("table_event_time", LATE_SQL + f"""
+SELECT user_id, CAST(make_timestamp(starts) AS DATE) AS day, count(*) AS n, max(ts) AS newest
+FROM t, m WHERE NOT held OR starts + {DAY} > newest - 3000000 GROUP BY ALL""")
+def table_event_time(spark, sf):
+    def build(stream):
+        rows = stream.select("user_id", F.col("ts").alias("et")).withWatermark("et", "3 seconds")
+        return rows.groupBy("user_id", F.window("et", "1 day").alias("w")).agg(F.count(F.lit(1)).alias("n"), F.max("et").alias("newest"))
+
+    found = _held_back(spark, _rows(spark, sf), build)
+    return event_time.wall_time(found.select("user_id", F.to_date("w.start").alias("day"), "n", "newest"), "newest")
+
+
+# -- processing time -----------------------------------------------------------
+
+# Which window a row falls into is the clock's; over all windows a user's rows are
+# counted once (twice by sliding windows), and several triggers make several windows.
+PROC_SQL = f"""
+SELECT user_id, {{times}} * count(*) AS n, {{times}} * CAST(sum(cents) AS BIGINT) AS total, true AS several FROM {C_EVENTS} GROUP BY user_id"""
+
+
+def _by_the_clock(spark, sf, build, mode):
+    def timed(stream):
+        return build(windows.with_processing_time(stream).withWatermark("pt", "0 seconds"))
+
+    found = run.latest(_replay(spark, _rows(spark, sf), timed, mode), ["user_id", "window_start", "window_end"])
+    several = found.agg((F.min("window_start") < F.max("window_start")).alias("several"))
+    totals = found.groupBy("user_id").agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+    return totals.crossJoin(F.broadcast(several))
+
+
+@query("proc_tumble", PROC_SQL.format(times=1))
+def proc_tumble(spark, sf):
+    return _by_the_clock(spark, sf, lambda s: windows.tumble(s, ["user_id"], "pt", "10 milliseconds", AGG), "update")
+
+
+@query("proc_slide", PROC_SQL.format(times=2))
+def proc_slide(spark, sf):
+    return _by_the_clock(spark, sf, lambda s: windows.slide(s, ["user_id"], "pt", "20 milliseconds", "10 milliseconds", AGG), "update")
+
+
+@query("proc_session", PROC_SQL.format(times=1))
+def proc_session(spark, sf):
+    return _by_the_clock(spark, sf, lambda s: windows.session(s, ["user_id"], "pt", 5_000, AGG), "complete")
+
+
 @query("stream_uv", "SELECT count(DISTINCT user_id) AS uv FROM events WHERE event_type = 'view'")
 def stream_uv(spark, sf):
     views = _rows(spark, sf, "event_type").where(F.col("event_type") == "view")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from ..functions import scalar, udfs
@@ -112,17 +114,31 @@ def csv_value_scan(spark, sf):
     return rows.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.sum("user_id").alias("users"))
 
 
-@query("custom_source", """
+@query("marketing_events", """
 SELECT (['huawwei', 'xiaomi', 'apple', 'baidu', 'qq', 'oppo', 'vivo'])[1 + (event_id * 31) % 7] AS channel,
        (['download', 'install', 'update', 'uninstall'])[1 + (event_id * 17) % 4] AS behavior,
        count(*) AS n, CAST(max(epoch_us(ts) // 1000) AS BIGINT) AS newest
 FROM events GROUP BY 1, 2""")
-def custom_source(spark, sf):
+def marketing_events(spark, sf):
     millis = F.expr("timestampdiff(MILLISECOND, timestamp_ntz'1970-01-01', ts)")
     made = generated.marketing_events(events(spark, sf), "event_id", millis)
     return made.groupBy("channel", "behavior").agg(F.count(F.lit(1)).alias("n"), F.max("ts").alias("newest"))
 
 
+@query("custom_source", """
+SELECT event_type, 'sensor' || (mixed % 100) AS id, count(*) AS n, CAST(sum((mixed >> 8) % 1000) AS BIGINT) AS total
+FROM (SELECT event_type, (event_id * 2654435761) & 4294967295 AS mixed FROM events) GROUP BY ALL""")
+def custom_source(spark, sf):
+    """Readings of the custom data source, one for each event, met by their number."""
+    e = events(spark, sf)
+    spark.dataSource.register(generated.SensorSource)
+    n = (e.agg(F.max("event_id")).first()[0] or 0) + 1
+    parts = spark.sparkContext.defaultParallelism
+    readings = spark.read.format("sensor_rows").option("rows", n).option("parts", parts).load()
+    met = e.join(readings, F.col("event_id") * 1000 == readings["ts"])
+    return met.groupBy("event_type", "id").agg(F.count(F.lit(1)).alias("n"), F.sum("vc").alias("total"))
+
+
 @query("computed_column", """
 SELECT event_id, date_trunc('second', ts) AS t, CAST(length(event_type) AS INTEGER) AS width FROM events""")
 def computed_column(spark, sf):
@@ -196,9 +212,9 @@ def map_partition(spark, sf):
     rows = events(spark, sf).select("event_id", "event_type")
 
     def label(upper, batch):
-        return batch.assign(label=batch["event_type"].map(upper))[["event_id", "label"]]
+        return batch.assign(label=upper(pa.array(batch["event_type"], pa.string())).to_pandas())[["event_id", "label"]]
 
-    return reshape.map_with_resource(rows, "event_id bigint, label string", lambda: str.upper, label)
+    return reshape.map_with_resource(rows, "event_id bigint, label string", lambda: pc.utf8_upper, label)
 
 
 @query("flatmap_words", "SELECT doc_id, unnest(string_split(text, ' ')) AS word FROM documents")
@@ -347,7 +363,8 @@ def udtf_split(spark, sf):
     udfs.register(spark)
     table(spark, sf, "orders").select("o_orderpriority").createOrReplaceTempView("order_texts")
     return spark.sql("""
-        SELECT word, count(*) AS n FROM order_texts, LATERAL split_words(o_orderpriority, '-') GROUP BY word""")
+        SELECT word, count(*) AS n
+        FROM split_words(TABLE(SELECT o_orderpriority AS text, '-' AS sep FROM order_texts)) GROUP BY word""")
 
 
 # -- grouped aggregates --------------------------------------------------------
@@ -435,11 +452,10 @@ SELECT user_id, value AS vc, CAST(rank AS VARCHAR) AS rank FROM (
 WHERE rank <= 2""")
 def top2_udtf(spark, sf):
     udfs.register(spark)
-    # Spark cuts each key to two rows ahead of the shuffle; the table function
-    # then sees partitions of two rows, however large the key.
-    winners = topk.top_n(events(spark, sf).select("user_id", "value"), ["user_id"], "value", [], 2)
-    winners.select("user_id", F.col("value").alias("vc")).createOrReplaceTempView("winners")
-    return udfs.top2_of(spark, "winners", "user_id")
+    events(spark, sf).createOrReplaceTempView("top_events")
+    return spark.sql("""
+        SELECT * FROM top2(
+          TABLE(SELECT * FROM top2_parts(TABLE(SELECT user_id, value AS vc FROM top_events))) PARTITION BY user_id)""")
 
 
 @query("udf_scalar", "SELECT doc_id, CAST(length(text) AS INTEGER) AS len FROM documents")
@@ -460,8 +476,8 @@ def udaf_avg_sql(spark, sf):
     udfs.register(spark)
     events(spark, sf).createOrReplaceTempView("avg_events")
     return spark.sql("""
-        SELECT event_type, round(avg_result(sum(value), count(value)), 4) AS average
-        FROM avg_events GROUP BY event_type""")
+        SELECT key AS event_type, round(average, 4) AS average FROM avg_of_parts(
+          TABLE(SELECT * FROM avg_parts(TABLE(SELECT event_type AS key, value FROM avg_events))) PARTITION BY key)""")
 
 
 @query("dedup_per_key", """

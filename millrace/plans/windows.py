@@ -160,24 +160,6 @@ def count_slide(spark, sf):
 # -- event time and late rows --------------------------------------------------
 
 
-@query("sql_event_time", f"""
-SELECT event_id, date_trunc('second', ts) AS t, epoch_us(ts) // 1000 AS ms FROM events""")
-def sql_event_time(spark, sf):
-    millis = F.expr("timestampdiff(MILLISECOND, timestamp_ntz'1970-01-01', ts)")
-    events(spark, sf).select("event_id", millis.alias("ms")).createOrReplaceTempView("ms_events")
-    timed = spark.sql("""
-        SELECT event_id, ms, to_timestamp(from_unixtime(ms / 1000, 'yyyy-MM-dd HH:mm:ss')) AS t FROM ms_events""")
-    return timed.withWatermark("t", "5 seconds").select("event_id", F.col("t").cast("timestamp_ntz").alias("t"), "ms")
-
-
-@query("table_event_time", """
-SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS n, max(ts) AS newest FROM events GROUP BY ALL""")
-def table_event_time(spark, sf):
-    rows = events(spark, sf).select("user_id", F.col("ts").alias("et")).withWatermark("et", "3 seconds")
-    return rows.groupBy("user_id", F.to_date("et").alias("day")).agg(
-        F.count(F.lit(1)).alias("n"), F.max("et").alias("newest"))
-
-
 ARRIVAL_SQL = f"""
 WITH arrived AS (SELECT event_id, user_id, cents, epoch_us(ts) AS t,
        epoch_us(ts) + (event_id % 13) * {HOUR} AS arrival FROM {C_EVENTS}),
@@ -216,28 +198,3 @@ def late_side_output(spark, sf):
 @query("proc_time_column")
 def proc_time_column(spark, sf):
     return windows.with_processing_time(events(spark, sf).select("event_id", "user_id"))
-
-
-def _proc(spark, sf):
-    return windows.with_processing_time(_rows(spark, sf))
-
-
-# One run of a bounded input is one instant, so a key has one tumbling window and
-# one session, and a row lies in two sliding windows. The clock itself has no SQL.
-PROC_SQL = f"SELECT user_id, count(*) AS n, CAST(sum(cents) AS BIGINT) AS total FROM {C_EVENTS} GROUP BY user_id"
-ONLY = ["user_id", "n", "total"]
-
-
-@query("proc_tumble", PROC_SQL)
-def proc_tumble(spark, sf):
-    return windows.tumble(_proc(spark, sf), KEYS, "pt", "5 seconds", AGG).select(ONLY)
-
-
-@query("proc_slide", f"SELECT user_id, n, total FROM ({PROC_SQL}) CROSS JOIN (VALUES (1), (2)) v(i)")
-def proc_slide(spark, sf):
-    return windows.slide(_proc(spark, sf), KEYS, "pt", "6 seconds", "3 seconds", AGG).select(ONLY)
-
-
-@query("proc_session", PROC_SQL)
-def proc_session(spark, sf):
-    return windows.session(_proc(spark, sf), KEYS, "pt", 5_000_000, AGG).select(ONLY)

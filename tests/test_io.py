@@ -164,8 +164,27 @@ def test_user_functions(spark, readings):
     readings.createOrReplaceTempView("readings")
     lengths = spark.sql("SELECT DISTINCT str_len(id) AS n FROM readings").collect()
     assert [r["n"] for r in lengths] == [2]
-    words = spark.sql("SELECT word FROM VALUES ('a_b_c'), (NULL) AS t(x), LATERAL split_words(x, '_')").collect()
-    assert sorted(r["word"] for r in words) == ["a", "b", "c"]
+    spark.sql("SELECT * FROM VALUES ('a_b_c', '_'), (NULL, '_'), ('x-y', '-'), ('', '-'), ('q', NULL) AS t(text, sep)").createOrReplaceTempView("to_split")
+    words = spark.sql("SELECT text, word FROM split_words(TABLE(to_split))").collect()
+    assert sorted(map(tuple, words)) == [("", ""), ("a_b_c", "a"), ("a_b_c", "b"), ("a_b_c", "c"), ("x-y", "x"), ("x-y", "y")]
+
+
+def test_aggregates_as_table_functions(spark):
+    udfs.register(spark)
+    rows = [(k % 3 if k % 10 else None, None if k % 7 == 0 else float("nan") if k == 50 else k / 4) for k in range(100)] + [(9, None)]
+    spark.createDataFrame(rows, "user_id bigint, vc double").repartition(7).createOrReplaceTempView("udtf_rows")
+    top = spark.sql("SELECT * FROM top2(TABLE(SELECT * FROM top2_parts(TABLE(udtf_rows))) PARTITION BY user_id)").collect()
+    want = set()
+    for user in (None, 0, 1, 2):
+        best = sorted((v for u, v in rows if u == user and v is not None), key=lambda v: (v != v, v), reverse=True)[:2]
+        want |= {str((user, v, str(n))) for n, v in enumerate(best, 1)}
+    assert {str(tuple(r)) for r in top} == want
+    fine = "SELECT CAST(user_id AS STRING) AS key, vc AS value FROM udtf_rows WHERE vc IS NULL OR NOT isnan(vc)"
+    means = spark.sql(f"SELECT * FROM avg_of_parts(TABLE(SELECT * FROM avg_parts(TABLE({fine}))) PARTITION BY key)").collect()
+    for key, mean in means:
+        values = [v for u, v in rows if v == v and v is not None and (None if u is None else str(u)) == key]
+        assert mean == (pytest.approx(sum(values) / len(values)) if values else None)
+    assert {r["key"] for r in means} == {None, "0", "1", "2", "9"}
 
 
 def test_user_aggregate(spark, readings):
