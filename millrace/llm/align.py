@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import settle
-from .text import mix, pieces
+from .text import gathered, mix, pieces
 from .tokens import _byte_letters, cut
 
 # Fixed value: the character that stands for a space in pieces of the second tokenizer.
@@ -262,7 +262,7 @@ def count_pairs(texts: DataFrame, path_a: str, path_b: str, fold: int = 1 << 20)
             held[:] = [(pairs, n)]
             return pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(n)], ["pair", "n"])
 
-        for batch in pieces(gathered(batches), "text", _BATCH):
+        for batch in pieces(gathered(batches, _BATCH), "text", _BATCH):
             held.append(_linked(*aligner.read(batch.column("text"), written=False)))
             size += len(held[-1][0])
             if size > 2 * fold:
@@ -277,19 +277,6 @@ def count_pairs(texts: DataFrame, path_a: str, path_b: str, fold: int = 1 << 20)
     return texts.select("text").mapInArrow(count, "pair bigint, n bigint")
 
 
-def gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches put together up to about ``_BATCH`` bytes, so that more pieces repeat."""
-    held, size = [], 0
-    for batch in batches:
-        if held and size + batch.nbytes > _BATCH:
-            yield pa.concat_batches(held)
-            held, size = [], 0
-        held.append(batch)
-        size += batch.nbytes
-    if held:
-        yield pa.concat_batches(held)
-
-
 def perfect_hash(pairs: DataFrame, shards: int) -> DataFrame:
     """Rows (shard, sizes, words, keys): a minimal perfect hash function of each shard of the distinct ``pair``."""
 
@@ -419,7 +406,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, text: str = "text", doc_id:
             slots = _restored(state)
 
             aligner = Aligner(path_a, path_b)
-            for batch in pieces(gathered(batches), "text", _BATCH):
+            for batch in pieces(gathered(batches, _BATCH), "text", _BATCH):
                 known, codes, at, fine = aligner.read(batch.column("text"), written=last)
                 links, ends = known["links"], np.append(0, np.cumsum(known["n_links"]))
                 place = slots(links)

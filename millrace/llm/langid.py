@@ -141,12 +141,12 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] |
     first by code point.
     """
     keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in names]
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.logs, model.prior))  # plain: workers need no class
     rows = docs.select(*[F.col(c).alias(f"k{k}") for k, c in enumerate(keep)], F.col(text).cast("string").alias("text"))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        buckets, kinds = m.logs.shape
+        languages, logs, prior = shared.value
+        buckets, kinds = logs.shape
         for batch in pieces(batches, "text"):
             total, met = np.zeros((batch.num_rows, kinds), np.int64), np.zeros(batch.num_rows, np.int64)
             if kinds:
@@ -154,14 +154,14 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] |
                     met += np.bincount(owner, minlength=batch.num_rows)
                     for k in range(kinds):
                         # exact: whole numbers far below 2**53
-                        total[:, k] += np.bincount(owner, m.logs[grams, k], batch.num_rows).astype(np.int64)
+                        total[:, k] += np.bincount(owner, logs[grams, k], batch.num_rows).astype(np.int64)
             found, best = [UNKNOWN] * batch.num_rows, np.zeros(batch.num_rows)
             if kinds:
-                total += m.prior
+                total += prior
                 first = total.argmax(axis=1)
                 top = total[np.arange(batch.num_rows), first]
                 share = 1 / np.exp((total - top[:, None]) / _UNIT).sum(axis=1)
-                found = [m.languages[k] if n else UNKNOWN for k, n in zip(first.tolist(), met.tolist())]
+                found = [languages[k] if n else UNKNOWN for k, n in zip(first.tolist(), met.tolist())]
                 best = np.where(met > 0, share, 0.0)
             columns = batch.columns[:-1] + [pa.array(found, pa.string()), pa.array(best)]
             yield pa.RecordBatch.from_arrays(columns, [*keep, *names])

@@ -190,14 +190,14 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | N
     column already called score is replaced.
     """
     keep = [c for c in (docs.columns if keep is None else keep) if c.lower() != "score"]
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.slope, model.shift))  # plain: workers need no class
     rows = docs.select(*[F.col(c).alias(f"k{k}") for k, c in enumerate(keep)], F.col(text).cast("string").alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        weights, slope, shift = shared.value
         for batch in pieces(batches, "text"):
-            margins = np.array([margin(m.weights, f) for f in indicators(batch.column("text"), len(m.weights))])
-            p = 1 / (1 + np.exp(-np.clip(m.slope * margins + m.shift, -30, 30)))
+            margins = np.array([margin(weights, f) for f in indicators(batch.column("text"), len(weights))])
+            p = 1 / (1 + np.exp(-np.clip(slope * margins + shift, -30, 30)))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(p)], [*keep, "score"])
 
     return rows.mapInArrow(run, docs.select(*keep).schema.add("score", "double"))

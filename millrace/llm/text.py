@@ -154,3 +154,16 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str, most: int = _BLOCK) ->
             high = max(int(np.searchsorted(at, at[low] + most, "right")) - 1, low + 1)
             yield batch.slice(low, high - low)
             low = high
+
+
+def gathered(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Put batches together up to about ``most`` bytes, so that more of their words repeat."""
+    held, size = [], 0
+    for batch in batches:
+        if held and size + batch.nbytes > most:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+        held.append(batch)
+        size += batch.nbytes
+    if held:
+        yield pa.concat_batches(held)

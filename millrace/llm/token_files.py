@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .text import pieces
+from .text import gathered, pieces
 from .tokens import encoder
 
 WRITE_OPTIONS = {
@@ -61,8 +61,8 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, text: str
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode_texts, part, before = encoder(tokenizer, 400_000, 150_000), TaskContext.get().partitionId(), 0
-        for batch in pieces(batches, "text", 5 << 20):
+        encode_texts, part, before = encoder(tokenizer), TaskContext.get().partitionId(), 0
+        for batch in pieces(gathered(batches, 16 << 20), "text", 16 << 20):
             ids, at = with_end(*encode_texts(batch.column("text")), end_id)
             lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids.view(np.int32)))
             parts = pa.array(np.full(batch.num_rows, part, np.int32))

@@ -3,16 +3,14 @@
 The byte-level pre-tokenizer always begins a new piece at a single space
 between two characters that are not white space. So a text may be cut there,
 each piece encoded by the library on its own and the ids joined, and they are
-the ids of the whole text. Pieces repeat: they are encoded once a batch, and
-each worker remembers those it has met, up to a bound.
+the ids of the whole text. Pieces repeat: a batch's distinct pieces are encoded
+once, many in one text, and told apart by the bytes of their tokens.
 """
 
 from __future__ import annotations
 
-import gc
 import os
 import re
-from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -28,12 +26,6 @@ _OTHER = "\t\r\v\f\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000"
 _ODD = rf"  | \n|\n |\A[ \n]|[ \n]\z|[{_OTHER}]"
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 
-# The vocabulary's published pre-token pattern, its letter and
-# number classes written out for the Latin letters below U+0250.
-_LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
-_PLAIN = re.compile(rf"[\n\x20-\x7e{_LATIN}]*")
-_WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LATIN}]+| ?[0-9]+| ?[^\s0-9{_LATIN}]+|\s+(?!\S)|\s+")
-
 
 def tokenizer_path(name: str = BYTE_BPE) -> str:
     import public_tokenizers
@@ -76,86 +68,56 @@ def cut(texts: pa.Array, whole: np.ndarray | None = None) -> tuple[pa.Array, np.
 class Encoder:
     """Texts to unsigned 32-bit ids, without special tokens added."""
 
-    def __init__(self, path: str, remember: int, remember_words: int):
+    def __init__(self, path: str, together: int = 2_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self._whole = Tokenizer.from_file(path)
-        self._word = Tokenizer.from_file(path)
-        self._word.pre_tokenizer = None  # gets one word at a time, its bytes written as letters
-        special = [re.escape(t.content) for t in self._whole.get_added_tokens_decoder().values()]
+        self._tokenizer, self._together = Tokenizer.from_file(path), together
+        special = [re.escape(t.content) for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._special = "|".join(special) or r"\A\z."
-        self._letters = _byte_letters()
-        self._remember, self._remember_words = remember, remember_words
-        self._pieces: dict[str, bytes] = {}
-        self._words: dict[str, bytes] = {}
+        vocabulary = self._tokenizer.get_vocab()
+        # Byte-level entries have a letter for each byte.
+        self._bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self._bytes[list(vocabulary.values())] = list(map(len, vocabulary))
 
     def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and the n+1 offsets at which each text's ids begin; nulls have none."""
         if len(column) == 0:
             return np.zeros(0, np.uint32), np.zeros(1, np.int64)
-        collecting = gc.isenabled()
-        gc.disable()  # many small strings and no cycles: the collector would only scan them
-        try:
-            return self._encode(column.cast(pa.large_string()).fill_null(""))
-        finally:
-            if collecting:
-                gc.enable()
-
-    def _encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        texts = column.cast(pa.large_string()).fill_null("")
         values, at = cut(texts, np.asarray(pc.match_substring_regex(texts, self._special)))
-        head = np.zeros(len(values), bool)
-        head[at[:-1]] = True
-        later = pc.binary_join_element_wise(pa.scalar(" ", values.type), values, pa.scalar("", values.type)).dictionary_encode()
-        first = values.take(pa.array(at[:-1])).dictionary_encode()
-        codes = np.asarray(later.indices).astype(np.int64)
-        codes[at[:-1]] = np.asarray(first.indices) + len(later.dictionary)
-        ids, lengths = self._pool(later.dictionary.to_pylist() + first.dictionary.to_pylist())
-        starts, taken = np.cumsum(lengths) - lengths, lengths[codes]
+        later = np.ones(len(values), bool)
+        later[at[:-1]] = False
+        after, first = values.filter(pa.array(later)).dictionary_encode(), values.take(pa.array(at[:-1])).dictionary_encode()
+        codes = np.empty(len(values), np.int64)
+        codes[later] = np.asarray(after.indices)
+        codes[at[:-1]] = np.asarray(first.indices) + len(after.dictionary)
+        ids, starts, lengths = self._pool(after.dictionary, first.dictionary)
+        taken = lengths[codes]
         ends = np.cumsum(taken)
         out = ids[np.repeat(starts[codes] - ends + taken, taken) + np.arange(ends[-1])]
         return out, np.concatenate([[0], ends[at[1:] - 1]])
 
-    def _pool(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        known = list(map(self._pieces.get, pieces))
-        new = [p for p, k in zip(pieces, known) if k is None]
-        found = self._learn(new)
-        if len(self._pieces) + len(found) <= self._remember:
-            self._pieces.update(found)
-        raw = [found[p] if k is None else k for p, k in zip(pieces, known)]
-        lengths = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
-        return np.frombuffer(b"".join(raw), "<u4"), lengths
-
-    def _learn(self, new: list[str]) -> dict[str, bytes]:
-        plain = _PLAIN.fullmatch
-        easy = [p for p in new if plain(p) and "<|" not in p]
-        words = list(map(_WORDS.findall, easy))
-        known = self._learn_words(set(chain.from_iterable(words)))
-        found = {p: b"".join(map(known.__getitem__, w)) if len(w) != 1 else known[w[0]] for p, w in zip(easy, words)}
-        hard = [p for p in new if p not in found]
-        for low in range(0, len(hard), 5_000):
-            part = hard[low : low + 5_000]
-            for p, e in zip(part, self._whole.encode_batch_fast(part, add_special_tokens=False)):
-                found[p] = np.array(e.ids, "<u4").tobytes()
-        return found
-
-    def _learn_words(self, met: set[str]) -> dict[str, bytes]:
-        found = dict(zip(met, map(self._words.get, met, repeat(None))))
-        new = [w for w, k in found.items() if k is None]
-        room = len(self._words) + len(new) <= self._remember_words
-        for low in range(0, len(new), 10_000):
-            part = new[low : low + 10_000]
-            written = [w.encode().decode("latin-1").translate(self._letters) for w in part]
-            got = self._word.encode(written, is_pretokenized=True, add_special_tokens=False)
-            at = np.searchsorted(np.array(got.word_ids, np.int64), np.arange(len(part) + 1)).tolist()
-            raw = np.array(got.ids, "<u4").tobytes()
-            learnt = {w: raw[4 * a : 4 * b] for w, a, b in zip(part, at, at[1:])}
-            found.update(learnt)
-            if room:
-                self._words.update(learnt)
-        return found
-
-
-def encoder(path: str, remember: int = 250_000, remember_words: int = 50_000) -> Encoder:
-    """The worker's encoder. What it remembers takes about 200 bytes a piece or word."""
-    return per_worker(f"encoder {path} {remember} {remember_words}", lambda: Encoder(path, remember, remember_words))
+    def _pool(self, after: pa.Array, first: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All ids of distinct pieces, those that follow a space and then the first ones: where each one's begin, how many."""
+        pieces, sizes = after.to_pylist(), np.asarray(pc.binary_length(after), np.int64) + 1
+        # Pieces that do not end in white space may follow each other in one text.
+        solid = np.fromiter((not p[-1:].isspace() for p in pieces), bool, len(pieces))
+        runs, alone = np.flatnonzero(solid), np.flatnonzero(~solid)
+        parts = [runs[k : k + self._together] for k in range(0, len(runs), self._together)]
+        texts = [" " + " ".join(map(pieces.__getitem__, part.tolist())) for part in parts]
+        single = [" " + pieces[k] for k in alone.tolist()] + first.to_pylist()
+        got = [np.array(e.ids, np.uint32) for e in self._tokenizer.encode_batch_fast(texts + single, add_special_tokens=False)]
+        lengths = np.zeros(len(pieces) + len(first), np.int64)
+        for part, ids in zip(parts, got):
+            lengths[part] = np.diff(np.searchsorted(np.cumsum(self._bytes[ids]), np.cumsum(sizes[part]), "right"), prepend=0)
+        order = np.concatenate([runs, alone, np.arange(len(pieces), len(lengths))])
+        lengths[order[len(runs) :]] = [len(ids) for ids in got[len(parts) :]]
+        starts = np.empty(len(lengths), np.int64)
+        starts[order] = np.cumsum(lengths[order]) - lengths[order]
+        return np.concatenate([np.zeros(0, np.uint32), *got]), starts, lengths
+
+
+def encoder(path: str) -> Encoder:
+    """The worker's encoder. It remembers nothing but the vocabulary."""
+    return per_worker(f"encoder {path}", lambda: Encoder(path))

@@ -15,7 +15,7 @@ from .cases import SF, edge_rows, edges, empty
 tokenizers = pytest.importorskip("tokenizers")
 PATH = tokenizer_path()
 WHOLE = tokenizers.Tokenizer.from_file(PATH)
-ENCODER = Encoder(PATH, 30, 20)  # forgets most of what it meets
+ENCODER = Encoder(PATH, 3)
 
 
 def ids(text):
