@@ -89,14 +89,18 @@ class Encoder:
         later = np.ones(len(values), bool)
         later[at[:-1]] = False
         after, first = values.filter(pa.array(later)).dictionary_encode(), values.take(pa.array(at[:-1])).dictionary_encode()
-        codes = np.empty(len(values), np.int64)
+        codes = np.empty(len(values), np.int32)
         codes[later] = np.asarray(after.indices)
         codes[at[:-1]] = np.asarray(first.indices) + len(after.dictionary)
+        del values, later
         ids, starts, lengths = self._pool(after.dictionary, first.dictionary)
         taken = lengths[codes]
-        ends = np.cumsum(taken)
-        out = ids[np.repeat(starts[codes] - ends + taken, taken) + np.arange(ends[-1])]
-        return out, np.concatenate([[0], ends[at[1:] - 1]])
+        ends = np.cumsum(taken, dtype=np.int64)
+        # Places fit 32 bits unless one text is huge.
+        width = np.int32 if ends[-1] < 1 << 31 else np.int64
+        place = np.repeat((starts[codes] - ends + taken).astype(width), taken)
+        place += np.arange(len(place), dtype=width)
+        return ids[place], np.concatenate([[0], ends[at[1:] - 1]])
 
     def _pool(self, after: pa.Array, first: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All ids of distinct pieces, those that follow a space and then the first ones: where each one's begin, how many."""
