@@ -13,7 +13,7 @@ CUT, WHOLE = Limits(rows_per_task=10), Limits()
 
 # Sensor readings (id, second, value).
 SENSOR = [("s1", 1, 10), ("s1", 2, 20), ("s2", 3, 30), ("s1", 4, 40), ("s2", 5, 50), ("s1", 6, 60)]
-SENSOR2 = [("s1", 1, 10), ("s1", 2, 20), ("s1", 3, 30), ("s2", 4, 30), ("s1", 4, 40), ("s2", 5, 50), ("s1", 6, 60)]
+SENSOR2 = [("s1", 1, 10), ("s1", 2, 20), ("s1", 3, 30), ("s2", 4, 30), ("s1", 4, 40), ("s2", 5, 50), ("s2", 6, 60)]
 SENSOR3 = [("s1", 1, 10), ("s2", 4, 30), ("s1", 4, 40), ("s2", 5, 50)]
 
 
