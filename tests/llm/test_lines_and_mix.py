@@ -1,3 +1,6 @@
+import random
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -154,3 +157,35 @@ def test_templates_on_edges(spark):
     out = templates.drop_lines(edges(spark)).select("doc_id", "text").collect()
     assert sorted((r.doc_id or 0, r.text or "") for r in out) == sorted((r[0] or 0, r[1] or "") for r in edge_rows())
     assert templates.drop_lines(empty(spark)).collect() == []
+
+
+def plain_line(line):
+    return re.sub("[0-9]+", "0", re.sub(r"\A[\x20\x09-\x0D]+|[\x20\x09-\x0D]+\Z", "", line).translate({k: k + 32 for k in range(65, 91)}))
+
+
+def test_frequent_lines_are_removed(spark):
+    pick = random.Random(5)
+    rows = []
+    for k in range(90):
+        own = [f"own line {k} {j} word{'x' * k}" for j in range(pick.randint(0, 3))]
+        shared = pick.sample(["Menu | Home", "  menu | home ", "page 12 of 30", "Page 7 of 9", "", " \t", "rare a", f"rare {'abc'[k % 3] * 3}"], 4)
+        rows.append((k, "\n".join(pick.sample(own + shared, len(own + shared))), pick.choice(["h1", "h2", None])))
+    rows += [(100, None, "h1"), (101, "", "h1"), (102, "menu | home", "h1"), (103, "menu | home", "h3"), rows[0], rows[0]]
+    hold = {}
+    for _, t, h in rows:
+        for line in (t or "").split("\n"):
+            if words(line):
+                hold.setdefault((h, plain_line(line)), set()).add(t)
+    want = [(i, t if t is None else "\n".join(x for x in t.split("\n") if len(hold.get((h, plain_line(x)), ())) <= 6), h, 1) for i, t, h in rows]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(3).withColumn("_row", F.lit(1))
+    got = rules.remove_frequent_lines(docs, max_docs=6)
+    assert got.columns == docs.columns
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, want))
+    judged = {r["doc_id"]: r["n_left_words"] for r in rules.check(docs, max_docs=6).collect()}
+    assert judged == {i: len(words(t)) for i, t, _, _ in want}
+
+
+def test_frequent_lines_of_odd_tables(spark):
+    some = edges(spark)
+    assert sorted(map(str, rules.remove_frequent_lines(some).collect())) == sorted(map(str, some.collect()))
+    assert rules.remove_frequent_lines(empty(spark)).collect() == []
