@@ -23,10 +23,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import settle
-from . import jaccard
+from . import alike
 from .text import buffer_of, mix, per_worker, pieces, words_of
 
-_MARK_BITS = 22
 _TEXT = ["c1", "c2"]
 _TEMPLATE = ["leaf", "t1", "t2"]
 
@@ -80,21 +79,12 @@ def _tokens(docs: DataFrame, leaves: DataFrame, depth: int) -> DataFrame:
     A bitmap of bounded size of the leaves' hashes passes over other lines; what
     it lets through in excess is to be joined away.
     """
-    mask = (1 << _MARK_BITS) - 1
-    place = F.col("leaf").bitwiseAND(F.lit(mask))
-    marks = leaves.select(place.alias("h")).groupBy(F.shiftright("h", 6).alias("word")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(h & 63 as int))")).alias("bits"))
-    bits = np.zeros((mask + 1) // 64, np.uint64)
-    for row in marks.collect():  # at most 2**16 rows
-        bits[row["word"]] = np.uint64(row["bits"] & 0xFFFFFFFFFFFFFFFF)
-    shared = docs.sparkSession.sparkContext.broadcast(bits)
+    shared = docs.sparkSession.sparkContext.broadcast(alike.bitmap(leaves, "leaf"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, "text"):
             lines = _Lines(batch.column("text"), depth)
-            h = lines.leaf & mask
-            hit = (shared.value[h >> 6] >> (h & 63).astype(np.uint64)) & np.uint64(1)
-            kept = np.flatnonzero(hit.astype(bool))
+            kept = np.flatnonzero(alike.in_bitmap(shared.value, lines.leaf))
             ends = np.concatenate([[0], np.cumsum(lines.size[kept])])
             places = np.repeat(lines.first[kept] - ends[:-1], lines.size[kept]) + np.arange(ends[-1])
             row = pa.array(lines.row[kept])
@@ -140,12 +130,11 @@ def recurring(texts: DataFrame, depth: int = 3, min_texts: int = 10, least_token
 
 def _apart(found: DataFrame, rows: DataFrame, size: int, percent: int) -> DataFrame:
     """The lines of ``found`` whose template recurs in enough texts that are no near copies of each other."""
-    holders = found.select(*_TEXT).distinct()
-    holding = settle(rows.join(holders, _TEXT, "left_semi").select(F.col("c1").alias("doc_id"), "text"))
-    groups = jaccard.near_copies(holding, size, percent).groupBy(F.col("doc_id").alias("c1")).agg(F.min("component_id").alias("copies"))
-    found = settle(found.join(groups, "c1"))
-    counted = found.select(*_TEMPLATE, "copies").distinct().groupBy(*_TEMPLATE).agg(F.count(F.lit(1)).alias("groups"))
-    return found.join(counted, _TEMPLATE).where(F.col("groups") >= F.col("least"))
+    groups = settle(alike.groups(rows, size, percent, found.select("c1")))
+    held = found.select(*_TEMPLATE, "least", "c1").distinct().join(groups, "c1", "left")
+    held = held.select(*_TEMPLATE, "least", F.coalesce("copies", "c1").alias("copies")).distinct()
+    counted = held.groupBy(*_TEMPLATE, "least").agg(F.count(F.lit(1)).alias("groups"))
+    return found.join(counted.where(F.col("groups") >= F.col("least")), [*_TEMPLATE, "least"], "left_semi")
 
 
 def drop_lines(docs: DataFrame, text: str = "text", depth: int = 3, min_texts: int = 10, least_tokens: int = 5, constant: float = 0.7,
@@ -153,9 +142,9 @@ def drop_lines(docs: DataFrame, text: str = "text", depth: int = 3, min_texts: i
     """``docs`` without the lines of recurring templates, and n_lines and n_dropped_lines.
 
     Texts linked by near copies (``size`` words a shingle, similarity
-    ``percent`` / 100) count as one text for a template, so what only copies
-    share is left for the search for copies; all other recurring lines go,
-    whatever their share of the text. Texts with the same content are one text
+    ``percent`` / 100, as ``alike`` estimates it) count as one text for a
+    template, so what only copies share is left for the search for copies; all
+    other recurring lines go, whatever their share of the text. Texts with the same content are one text
     in all counts and are treated alike. Lines end at a line feed; a text without
     dropped lines is unchanged, to the byte. A null text stays null, with no
     lines. Columns already called n_lines or n_dropped_lines are replaced; an
