@@ -114,7 +114,7 @@ def groups(texts: DataFrame, size: int = 5, percent: int = 80, wanted: DataFrame
     nothing; no texts give no rows.
     """
     signs = signed(texts, size, None if wanted is None else bitmap(wanted, "c1"))
-    signs = settle((signs if wanted is None else signs.join(wanted.select("c1").distinct(), "c1", "left_semi")).dropDuplicates(["c1"]))
+    signs = settle((signs if wanted is None else signs.join(wanted.select("c1").distinct(), "c1", "left_semi")).distinct())
     spots = signs.select("c1", F.explode("keys").alias("key"))
     ends = spots.groupBy("key").agg(F.min("c1").alias("first"), F.max("c1").alias("last")).where("first <> last")
     met = spots.join(ends, "key").select("c1", F.explode(F.array("first", "last")).alias("other")).where("c1 <> other")

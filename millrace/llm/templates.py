@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..session import settle
 from . import alike
-from .text import buffer_of, mix, per_worker, pieces, words_of
+from .text import buffer_of, mix, pieces, words_of
 
 _TEXT = ["c1", "c2"]
 _TEMPLATE = ["leaf", "t1", "t2"]
@@ -37,24 +37,37 @@ class _Lines:
         raw, at = buffer_of(column)
         self.words = words_of(raw, at, lower=False)
         starts = self.words.starts
-        digit = per_worker("digits", lambda: np.isin(np.arange(256), np.arange(48, 58)))[raw]
-        digits = np.concatenate([[0], np.cumsum(digit)])
         tokens = self.words.hashes.copy()
-        tokens[digits[self.words.ends] > digits[starts]] = 0  # a variable field
+        digits = np.flatnonzero((raw - np.uint8(48)) < 10)
+        tokens[np.searchsorted(starts, digits, "right") - 1] = 0  # variable fields
         self.tokens = tokens
-        feeds = np.concatenate([[0], np.cumsum(raw == 10)])
-        row = np.searchsorted(at, starts, "right") - 1
-        line = feeds[starts] + row  # counts line feeds and text ends: one number per line of the batch
-        self.first = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]])) if len(line) else np.zeros(0, np.int64)
-        self.size = np.diff(np.append(self.first, len(line)))
-        self.row = row[self.first]
-        self.number = (feeds[starts] - feeds[at[row]])[self.first]
+        # A line begins at the first word of a text or after a line feed.
+        feeds = np.flatnonzero(raw == 10)
+        first = np.unique(np.concatenate([self.words.first[:-1], np.searchsorted(starts, feeds)]))
+        self.first = first[first < len(starts)]
+        self.size = np.diff(np.append(self.first, len(starts)))
+        self.row = np.searchsorted(at, starts[self.first], "right") - 1
+        self.number = np.searchsorted(feeds, starts[self.first]) - np.searchsorted(feeds, at[self.row])
         leaf = mix(self.size.astype(np.uint64))
         for k in range(depth):
             here = np.minimum(self.first + k, max(len(tokens) - 1, 0))
             leaf = np.where(k < self.size, mix(leaf * np.uint64(0x100000001B3) + (tokens[here] if len(tokens) else 0)), leaf)
         self.leaf = leaf.view(np.int64)
 
+    def new(self, kept: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """Whether a token of the lines ``kept`` (``places``: where their tokens are) is the first of its text at its leaf and place."""
+        out = np.ones(len(places), bool)
+        key = mix(self.leaf[kept].view(np.uint64) + mix(self.row[kept].astype(np.uint64)))
+        _, which, times = np.unique(key, return_inverse=True, return_counts=True)
+        again = np.flatnonzero(np.repeat(times[which] > 1, self.size[kept]))
+        if len(again):
+            line = np.repeat(np.arange(len(kept)), self.size[kept])[again]
+            at = (places[again] - self.first[kept][line]).astype(np.uint64)
+            spot = mix(mix(key[line] + at) + self.tokens[places[again]])
+            out[again] = False
+            out[again[np.unique(spot, return_index=True)[1]]] = True
+        return out
+
 
 def _lists(values: np.ndarray, ends: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(values))
@@ -76,6 +89,8 @@ def _lines(docs: DataFrame, depth: int) -> DataFrame:
 def _tokens(docs: DataFrame, leaves: DataFrame, depth: int) -> DataFrame:
     """Lines (c1, c2, number, leaf, tokens) that may lie in one of the leaves.
 
+    ``new`` says of each token whether it is the first of its text at its leaf and place.
+
     A bitmap of bounded size of the leaves' hashes passes over other lines; what
     it lets through in excess is to be joined away.
     """
@@ -88,12 +103,13 @@ def _tokens(docs: DataFrame, leaves: DataFrame, depth: int) -> DataFrame:
             ends = np.concatenate([[0], np.cumsum(lines.size[kept])])
             places = np.repeat(lines.first[kept] - ends[:-1], lines.size[kept]) + np.arange(ends[-1])
             row = pa.array(lines.row[kept])
+            new = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(lines.new(kept, places)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("c1").take(row), batch.column("c2").take(row), pa.array(lines.number[kept].astype(np.int32)),
-                 pa.array(lines.leaf[kept]), _lists(lines.tokens.view(np.int64)[places], ends)],
-                ["c1", "c2", "number", "leaf", "tokens"])
+                 pa.array(lines.leaf[kept]), _lists(lines.tokens.view(np.int64)[places], ends), new],
+                ["c1", "c2", "number", "leaf", "tokens", "new"])
 
-    return docs.mapInArrow(run, "c1 bigint, c2 bigint, number int, leaf bigint, tokens array<bigint>")
+    return docs.mapInArrow(run, "c1 bigint, c2 bigint, number int, leaf bigint, tokens array<bigint>, new array<boolean>")
 
 
 def recurring(texts: DataFrame, depth: int = 3, min_texts: int = 10, least_tokens: int = 5, constant: float = 0.7,
@@ -110,9 +126,10 @@ def recurring(texts: DataFrame, depth: int = 3, min_texts: int = 10, least_token
     wide = settle(held.groupBy("leaf").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_texts).select("leaf"))
     lines = _tokens(texts, wide, depth).join(wide, "leaf", "left_semi").distinct()
     lines = settle(lines.withColumn("line", F.monotonically_increasing_id()))
-    each = lines.select(*_TEXT, "line", "leaf", F.posexplode("tokens").alias("place", "token")).where("token <> 0")
+    each = lines.select("line", "leaf", F.posexplode(F.arrays_zip("tokens", "new")).alias("place", "at"))
+    each = each.select("line", "leaf", "place", F.col("at.tokens").alias("token"), F.col("at.new").alias("new")).where("token <> 0")
     spot = ["leaf", "place", "token"]
-    texts_of = each.select(*spot, *_TEXT).distinct().groupBy(*spot).agg(F.count(F.lit(1)).alias("n"))
+    texts_of = each.where("new").groupBy(*spot).agg(F.count(F.lit(1)).alias("n"))
     constants = settle(texts_of.where(F.col("n") >= min_texts).select(*spot))
     # A template's name: the sum of its constants' hashes (wrapped to 62 bits), whatever their order.
     sign = F.sum(F.xxhash64("place", "token").bitwiseAND(F.lit((1 << 40) - 1)))

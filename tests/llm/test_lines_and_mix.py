@@ -1,6 +1,8 @@
 import random
 import re
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -189,3 +191,17 @@ def test_frequent_lines_of_odd_tables(spark):
     some = edges(spark)
     assert sorted(map(str, rules.remove_frequent_lines(some).collect())) == sorted(map(str, some.collect()))
     assert rules.remove_frequent_lines(empty(spark)).collect() == []
+
+
+@pytest.mark.parametrize("texts", [["\n\na 1b c\n\n x9 \n", None, "", "\n", "a", "5", "a\n5 b\nc", "x\n" * 3, " \n 7"], [None], ["\n"], []])
+def test_lines_of_a_batch(texts):
+    """Row, number in the text and tokens of each line, and which tokens are the first of their text at leaf and place."""
+    got = templates._Lines(pa.array(texts, pa.string()), 3)
+    lines = [(r, k, line.split()) for r, t in enumerate(texts) for k, line in enumerate((t or "").split("\n")) if line.split()]
+    assert list(zip(got.row.tolist(), got.number.tolist(), got.size.tolist())) == [(r, k, len(w)) for r, k, w in lines]
+    words = [w for _, _, line in lines for w in line]
+    assert [t == 0 for t in got.tokens.tolist()] == [bool(re.search("[0-9]", w)) for w in words]
+    new = got.new(np.arange(len(lines)), np.arange(len(words)))
+    spots = [(r, leaf, place) for (r, _, w), leaf in zip(lines, got.leaf.tolist()) for place in range(len(w))]
+    spots = [(*s, t) for s, t in zip(spots, got.tokens.tolist())]
+    assert new.tolist() == [s not in spots[:k] for k, s in enumerate(spots)]
