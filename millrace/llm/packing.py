@@ -91,7 +91,7 @@ def cut(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, keep_ids: b
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part, met = encoder(tokenizer), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
-        for batch in pieces(gathered(batches, 16 << 20), "text", 16 << 20):
+        for batch in pieces(gathered(batches, 6 << 20), "text", 6 << 20):
             ids, at = with_end(*encode(batch.column("text")), end_id)
             n = np.diff(at)
             number = -(-n // capacity)
