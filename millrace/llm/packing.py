@@ -77,12 +77,15 @@ def _two(lengths: list[int], free: Counter[int], gap: int, more_than: int) -> tu
     return found
 
 
-def cut(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, keep_ids: bool = False, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def cut(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, keep_ids: bool = False, text: str = "text", doc_id: str = "doc_id",
+        batch_bytes: int = 16 << 20) -> DataFrame:
     """One row per piece of each whole text with ``end_id`` at its end.
 
     A document of at most ``capacity`` ids is one piece. A longer one is cut
     into pieces of ``capacity``, of which the first takes what is left over.
-    ``nth`` numbers the pieces of one length within the task ``part``.
+    ``nth`` numbers the pieces of one length within the task ``part``. Texts
+    are encoded in batches of about ``batch_bytes``; smaller ones take less
+    memory and meet the same pieces more often.
     """
     kind = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()),
                       ("ids_crc32", pa.int64()), ("part", pa.int32()), ("nth", pa.int64())])
@@ -91,7 +94,7 @@ def cut(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, keep_ids: b
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part, met = encoder(tokenizer), TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
-        for batch in pieces(gathered(batches, 6 << 20), "text", 6 << 20):
+        for batch in pieces(gathered(batches, batch_bytes), "text", batch_bytes):
             ids, at = with_end(*encode(batch.column("text")), end_id)
             n = np.diff(at)
             number = -(-n // capacity)
@@ -120,7 +123,7 @@ def cut(docs: DataFrame, tokenizer: str, capacity: int, end_id: int, keep_ids: b
 
 
 def pack(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2, keep_ids: bool = False,
-         text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+         text: str = "text", doc_id: str = "doc_id", batch_bytes: int = 16 << 20) -> DataFrame:
     """Place every piece of every document in a sequence of at most ``capacity`` tokens.
 
     Returns doc_id, piece, start, length, ids_crc32, sequence_id, offset (and
@@ -129,7 +132,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int = 2,
     table gives an empty result.
     """
     spark = docs.sparkSession
-    placed = settle(cut(docs, tokenizer, capacity, end_id, keep_ids, text, doc_id))
+    placed = settle(cut(docs, tokenizer, capacity, end_id, keep_ids, text, doc_id, batch_bytes))
     by_task = placed.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n"))
     histogram = {r["length"]: r["n"] for r in by_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}
 

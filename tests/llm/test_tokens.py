@@ -158,3 +158,8 @@ def test_fit_uses_each_piece_once(counts, capacity):
 def test_two_unpacked_pieces_replace_the_smallest():
     # 60 + 30 leaves 10; 22 + 18 fill the gap of 40 that 30 leaves.
     assert packing.fit({60: 1, 30: 1, 22: 1, 18: 1}, 100)[0] == (1, [60, 22, 18])
+
+
+def test_packing_does_not_depend_on_batches(spark):
+    whole, small = (packing.pack(edges(spark), PATH, batch_bytes=b).select("doc_id", "piece", "start", "length", "ids_crc32") for b in (16 << 20, 20))
+    assert sorted(map(str, whole.collect())) == sorted(map(str, small.collect()))
