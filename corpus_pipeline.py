@@ -59,8 +59,11 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row per piece of every document, with its place in a sequence of 1024 tokens."""
-    return packing.pack(docs, tokenizer_path(), capacity=1024, end_id=2)
+    """One row per piece of every document, with its place in a sequence of 1024 tokens.
+
+    Small batches, as the stages before leave less memory to the workers.
+    """
+    return packing.pack(docs, tokenizer_path(), capacity=1024, end_id=2, batch_bytes=6 << 20)
 
 
 STAGES = [
