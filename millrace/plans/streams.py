@@ -218,12 +218,17 @@ def stream_late_rows(spark, sf):
 DELAY = 2 * HOUR
 
 
+def _groups(spark, rows):
+    """Over how many groups the keys of a table are dealt: some 32,768 rows to a group, and enough of them for all cores."""
+    return max(16 * spark.sparkContext.defaultParallelism, rows.count() // 32_768)
+
+
 def _in_order(spark, rows, processor, schema):
     """Run a processor over rows that come up to two hours late, within and across micro-batches."""
-    arrival = F.unix_micros("ts") + F.pmod(F.xxhash64("event_id"), F.lit(DELAY))
+    arrival, groups = F.unix_micros("ts") + F.pmod(F.xxhash64("event_id"), F.lit(DELAY)), _groups(spark, rows)
 
     def build(stream):
-        return processors.apply(stream.withWatermark("ts", "2 hours"), processor, schema, "ts")
+        return processors.apply(stream.withWatermark("ts", "2 hours"), processor, schema, "ts", groups)
 
     return _replay(spark, rows, build, close=True, order=[arrival])
 
@@ -248,12 +253,15 @@ def stream_top3(spark, sf):
 
 @query("stream_event_timer", "SELECT DISTINCT user_id, epoch_us(ts) // 1000 + 5000 AS fired_ms FROM events")
 def stream_event_timer(spark, sf):
+    rows = _rows(spark, sf)
+    groups = _groups(spark, rows)
+
     def build(stream):
         timers = processors.EventTimers("user_id", "ms", 5000)
         stream = stream.withWatermark("ts", "0 seconds").withColumn("ms", F.unix_millis("ts"))
-        return processors.apply(stream, timers, "user_id bigint, fired_ms bigint", "ts")
+        return processors.apply(stream, timers, "user_id bigint, fired_ms bigint", "ts", groups)
 
-    return _replay(spark, _rows(spark, sf), build, close=True)
+    return _replay(spark, rows, build, close=True)
 
 
 @query("stream_rising_alarm", f"SELECT user_id, alarm_at FROM ({ORACLE['rising_alarm']})")

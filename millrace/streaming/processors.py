@@ -3,28 +3,35 @@
 Operators that depend on the order of events hold a key's rows in state until
 the watermark has passed them and fold them in event order, so rows may come in
 any order that the watermark allows, within and across micro-batches. A key's
-memory is bounded by what falls inside the watermark's delay. Row times are
-microseconds; Spark's timers count milliseconds, so a timer is set for the first
-millisecond at or after its time.
+memory is bounded by what falls inside the watermark's delay. Keys are dealt by
+their hash over groups, and a group's keys share one list of held rows, one
+timer and one stored value: what a micro-batch costs then goes by rows, not by
+calls to the state store for each key. Row times are microseconds; Spark's
+timers count milliseconds, so a timer is set for the first millisecond at or
+after its time.
 """
 
 from __future__ import annotations
 
 import math
-from collections import deque
+import pickle
+from collections import defaultdict, deque
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StatefulProcessor
 
 Out = Iterator[pd.DataFrame]
 
-# Columns that carry a row's time, its null columns and its values to a processor
-# (pandas tuples rename those that begin with an underscore).
-MICROS, NULLS, VALUE = "row_us", "row_nulls", "row_v"
+# Columns that carry a row's group, its time, its null columns, and its key and values to a
+# processor (pandas tuples rename those that begin with an underscore).
+GROUP, MICROS, NULLS, VALUE = "row_group", "row_us", "row_nulls", "row_v"
+
+# How many rows one stored value holds.
+CHUNK = 10_000
 
 
 class KeyedProcessor(StatefulProcessor):
@@ -49,13 +56,19 @@ class KeyedProcessor(StatefulProcessor):
         pass
 
 
+def _one(key):
+    """The key as it is looked up: Spark groups all NaN together."""
+    return math.nan if key != key else key
+
+
 class InEventOrder(KeyedProcessor):
     """Holds rows until the watermark has passed them; subclasses fold them in event order.
 
     ``columns`` are handed to ``fold`` after the row's time; ``order`` names
-    those that break ties of time, nulls first. A state may have a
-    ``deadline``, at which ``expire`` is called if no row came up to then. One
-    timer per key wakes at the earliest of the rows held and the deadline.
+    those that break ties of time, nulls first. A key's state is any value that
+    pickles, None for none; it may have a ``deadline``, at which ``expire`` is
+    called if no row came up to then. One timer per group wakes at the earliest
+    of the rows held and the deadlines; ``name`` is the key at work.
     """
 
     def __init__(self, key: str, columns: list[str], order: list[str]):
@@ -64,42 +77,64 @@ class InEventOrder(KeyedProcessor):
 
     def init(self, handle) -> None:
         super().init(handle)
-        self.held = handle.getListState("held", self.held_schema)
+        self.held = handle.getListState("held", "rows binary")
+        self.states = handle.getValueState("states", "by_key binary")
         self.timer = handle.getValueState("timer", "at bigint")
 
+    def due(self, time: str) -> Column:
+        """When a row is folded, in microseconds."""
+        return F.unix_micros(time)
+
     def handleInputRows(self, key, rows, timerValues) -> Out:
         soonest = None
         for frame in rows:
             if len(frame):
-                self.held.appendList(list(zip(*(frame[c].tolist() for c in self.held_schema.names))))
+                self._hold(list(zip(*(frame[c].tolist() for c in self.fields))))
                 first = int(frame[MICROS].min())
                 soonest = first if soonest is None else min(soonest, first)
         if soonest is not None:
             self._wake(soonest, earlier_only=True)
-        yield self._frame(key, [])
+        return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Out:
         passed = timerValues.getCurrentWatermarkInMs() * 1000
-        due, later = [], []
-        for row in self.held.get():
-            (due if row[0] <= passed else later).append(row)
-        if later:
-            self.held.put(later)
+        due, later = defaultdict(list), []
+        for (rows,) in self.held.get():
+            for row in pickle.loads(rows):
+                if row[0] > passed:
+                    later.append(row)
+                    continue
+                name, *values = (None if row[1] >> k & 1 else v for k, v in enumerate(row[2:])) if row[1] else row[2:]
+                due[_one(name)].append((row[0], *values))
+        self.held.clear()
+        self._hold(later)
+        states = {_one(k): v for k, v in pickle.loads(self.states.get()[0]).items()} if self.states.exists() else {}
+        out, waits = [], [min(r[0] for r in later)] if later else []
+        for self.name, rows in due.items():
+            rows.sort(key=lambda r: (r[0], *((r[k] is not None, r[k]) for k in self.order)))
+            more, states[self.name] = self.fold(states.get(self.name), rows)
+            out += [(self.name, *row) for row in more]
+        for self.name, state in states.items():
+            while (end := self.deadline(state)) is not None and end <= passed:
+                more, state = self.expire(state)
+                out += [(self.name, *row) for row in more]
+            states[self.name] = state
+            if end is not None:
+                waits.append(end)
+        states = {k: v for k, v in states.items() if v is not None}
+        if states:
+            self.states.update((pickle.dumps(states),))
         else:
-            self.held.clear()
-        due = [(r[0], *(None if r[1] >> k & 1 else v for k, v in enumerate(r[2:]))) for r in due]
-        due.sort(key=lambda r: (r[0], *((r[k] is not None, r[k]) for k in self.order)))
-        before = self.load()
-        out, after = self.fold(before, due)
-        while (end := self.deadline(after)) is not None and end <= passed:
-            more, after = self.expire(after)
-            out = out + more
-        self.keep(before, after)
-        waits = [t for t in (min((r[0] for r in later), default=None), end) if t is not None]
+            self.states.clear()
         self.timer.clear()
         if waits:
             self._wake(min(waits))
-        yield self._frame(key, out)
+        if out:
+            yield self._frame((), out)
+
+    def _hold(self, rows: list[tuple]) -> None:
+        for k in range(0, len(rows), CHUNK):
+            self.held.appendValue((pickle.dumps(rows[k:k + CHUNK]),))
 
     def _wake(self, micros: int, earlier_only: bool = False) -> None:
         at = -(-micros // 1000)
@@ -111,16 +146,6 @@ class InEventOrder(KeyedProcessor):
         self.handle.registerTimer(at)
         self.timer.update((at,))
 
-    def load(self):
-        return self.value.get() if self.value.exists() else None
-
-    def keep(self, before, after) -> None:
-        if after is None:
-            if before is not None:
-                self.value.clear()
-        elif before != after:
-            self.value.update(after)
-
     def fold(self, state, rows: list[tuple]) -> tuple[list[tuple], object]:
         """Results of the rows (time, *columns), and the state after them."""
         raise NotImplementedError
@@ -136,25 +161,31 @@ def _blank(kind: T.DataType):
     """A value that stands where a column is null, so that types survive pandas."""
     if isinstance(kind, T.StringType):
         return F.lit("")
-    return F.lit(False) if isinstance(kind, T.BooleanType) else F.lit(0).cast(kind)
+    if isinstance(kind, T.BooleanType):
+        return F.lit(False)
+    return F.lit(0).cast(kind) if isinstance(kind, T.NumericType) else F.lit(None).cast(kind)
 
 
-def apply(stream: DataFrame, processor: KeyedProcessor, schema: str, time: str | None = None) -> DataFrame:
+def apply(stream: DataFrame, processor: KeyedProcessor, schema: str, time: str | None = None, groups: int = 256) -> DataFrame:
     """Run a processor over the rows of each key.
 
-    ``time`` is the watermarked column, for processors in event order and those
-    with event timers; without it timers go by processing time. Processors in
-    event order take numbers, booleans and strings; rows without a time have no
-    place in the order and are left out, as are rows behind the watermark.
+    ``time`` is the watermarked column, for processors in event order; without
+    it timers go by processing time. Processors in event order take numbers,
+    booleans and strings; rows without a time have no place in the order and
+    are left out, as are rows behind the watermark. Their keys are dealt over
+    ``groups``, fixed at the first start: some thousand keys to a group are
+    well, and many more groups than state partitions.
     """
+    by = processor.key
     if isinstance(processor, InEventOrder):
-        kinds = [stream.schema[c].dataType for c in processor.columns]
-        nulls = sum((F.col(c).isNull().cast("int") * (1 << k) for k, c in enumerate(processor.columns)), F.lit(0))
-        values = [F.coalesce(F.col(c), _blank(k)).alias(f"{VALUE}{n}") for n, (c, k) in enumerate(zip(processor.columns, kinds))]
-        held = {MICROS: T.LongType(), NULLS: T.IntegerType()} | {f"{VALUE}{n}": k for n, k in enumerate(kinds)}
-        processor.held_schema = T.StructType([T.StructField(n, k) for n, k in held.items()])
-        stream = stream.where(F.col(time).isNotNull()).select(processor.key, time, F.unix_micros(time).alias(MICROS), nulls.alias(NULLS), *values)
-    return stream.groupBy(processor.key).transformWithStateInPandas(
+        columns, due = [by, *processor.columns], processor.due(time)
+        nulls = sum((F.col(c).isNull().cast("int") * (1 << k) for k, c in enumerate(columns)), F.lit(0))
+        values = [F.coalesce(F.col(c), _blank(stream.schema[c].dataType)).alias(f"{VALUE}{n}") for n, c in enumerate(columns)]
+        processor.fields = [MICROS, NULLS, *(f"{VALUE}{n}" for n in range(len(columns)))]
+        group = F.pmod(F.xxhash64(by), F.lit(groups)).cast("int")
+        stream = stream.where(F.col(time).isNotNull() & due.isNotNull())
+        stream, by = stream.select(group.alias(GROUP), time, due.alias(MICROS), nulls.alias(NULLS), *values), GROUP
+    return stream.groupBy(by).transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=schema, outputMode="Append", timeMode="EventTime" if time else "ProcessingTime"
     )
 
@@ -162,7 +193,7 @@ def apply(stream: DataFrame, processor: KeyedProcessor, schema: str, time: str |
 class JumpAlarm(InEventOrder):
     """Rows that differ from the key's previous row by more than ``over``."""
 
-    state, output = "last double", ["event_id", "previous", "value"]
+    output = ["event_id", "previous", "value"]
 
     def __init__(self, key, ident: str, value: str, over: float):
         super().__init__(key, [ident, value], [ident])
@@ -180,7 +211,7 @@ class JumpAlarm(InEventOrder):
 class Changelog(InEventOrder):
     """Each change of the key's sum: the old total taken back, the new added."""
 
-    state, output = "total bigint", ["event_id", "op", "total"]
+    output = ["event_id", "op", "total"]
 
     def __init__(self, key, ident: str, value: str):
         super().__init__(key, [ident, value], [ident])
@@ -198,7 +229,7 @@ class Changelog(InEventOrder):
 class RunningTop3(InEventOrder):
     """The key's three largest values after each row, equal values kept."""
 
-    state, output = "best array<double>", ["event_id", "top1", "top2", "top3"]
+    output = ["event_id", "top1", "top2", "top3"]
 
     def __init__(self, key, ident: str, value: str):
         super().__init__(key, [ident, value], [ident])
@@ -215,7 +246,7 @@ class RunningTop3(InEventOrder):
 class RunningAverage(InEventOrder):
     """The key's average after each row, from its sum and count; nulls do not count."""
 
-    state, output = "total double, n bigint", ["event_id", "average"]
+    output = ["event_id", "average"]
 
     def __init__(self, key, ident: str, value: str):
         super().__init__(key, [ident, value], [ident])
@@ -229,23 +260,20 @@ class RunningAverage(InEventOrder):
         return out, (total, n)
 
 
-class EventTimers(KeyedProcessor):
+class EventTimers(InEventOrder):
     """A timer at each row's time plus a delay; every firing gives a row."""
 
     output = ["fired_ms"]
 
     def __init__(self, key, millis: str, delay_ms: int):
-        super().__init__(key)
+        super().__init__(key, [], [])
         self.millis, self.delay = millis, delay_ms
 
-    def handleInputRows(self, key, rows, timerValues) -> Out:
-        for frame in rows:
-            for at in frame[self.millis].unique().tolist():
-                self.handle.registerTimer(int(at) + self.delay)
-        yield self._frame(key, [])
+    def due(self, time: str) -> Column:
+        return (F.col(self.millis).cast("bigint") + self.delay) * 1000
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Out:
-        yield self._frame(key, [(expiredTimerInfo.getExpiryTimeInMs(),)])
+    def fold(self, state, rows):
+        return [(at // 1000,) for at in sorted({at for at, in rows})], None
 
 
 class ProcessingTimers(KeyedProcessor):
@@ -284,7 +312,7 @@ class RisingAlarm(InEventOrder):
     null neither rises nor falls, and the row after it counts as rising.
     """
 
-    state, output = "last double, deadline bigint", ["alarm_at"]
+    output = ["alarm_at"]
 
     def __init__(self, key, ident: str, value: str, hold_us: int):
         super().__init__(key, [ident, value], [ident])
@@ -313,7 +341,7 @@ class RisingAlarm(InEventOrder):
 class NextOrTimeout(InEventOrder):
     """``first`` strictly followed by ``then`` within a bound, or timed out."""
 
-    state, output = "id bigint, at bigint", ["tag", "first_id", "last_id"]
+    output = ["tag", "first_id", "last_id"]
 
     def __init__(self, key, ident: str, kind: str, first: str, then: str, within_us: int):
         super().__init__(key, [ident, kind], [ident])
@@ -344,7 +372,7 @@ class Repeated(InEventOrder):
     many starts there are. The state holds the run's rows inside the bound.
     """
 
-    state, output = "ids array<bigint>, times array<bigint>", ["first_id", "last_id", "n_matches"]
+    output = ["first_id", "last_id", "n_matches"]
 
     def __init__(self, key, ident: str, column: str, kind: str, within_us: int):
         super().__init__(key, [ident, column], [ident])
@@ -368,13 +396,14 @@ class Reconcile(InEventOrder):
     """Rows of two sides matched first in, first out; each row is used once.
 
     A row waits for its counterpart until ``within_us`` later, then it leaves
-    with the tag of its side. Waiting rows lie one by one in a map state, so
-    taking or adding one costs the same however many wait. Only one side ever
-    waits. Output: tag, the left row's id, the right row's id.
+    with the tag of its side. Only one side ever waits. The state has the side,
+    the first and the last waiting rows, and which pages lie between them; the
+    pages are in a map state, so taking or adding a row costs the same however
+    many wait. Output: tag, the left row's id, the right row's id.
     """
 
-    state = "head bigint, tail bigint, side string, since bigint"
     output = ["tag", "left_id", "right_id"]
+    page = 256
 
     def __init__(self, key, ident: str, side: str, left: str, right: str, within_us: int):
         super().__init__(key, [ident, side], [side, ident])
@@ -382,34 +411,52 @@ class Reconcile(InEventOrder):
 
     def init(self, handle) -> None:
         super().init(handle)
-        self.waiting = handle.getMapState("waiting", "place bigint", "id bigint, at bigint")
+        self.pages = handle.getMapState("pages", "name binary, place bigint", "rows binary")
 
     def deadline(self, state):
-        return state[3] + self.within if state else None
+        return state[1][0][1] + self.within if state else None
+
+    def _add(self, state, side, ident, at):
+        """The state with one more waiting row."""
+        if state is None:
+            return side, [(ident, at)], 0, 0, []
+        _, front, first, end, back = state
+        if first == end and not back and len(front) < self.page:
+            front.append((ident, at))
+            return state
+        back.append((ident, at))
+        if len(back) < self.page:
+            return state
+        self.pages.updateValue((pickle.dumps(self.name), end), (pickle.dumps(back),))
+        return side, front, first, end + 1, []
 
     def _take(self, state):
         """The first waiting row's id, and the state without it."""
-        head, tail, side, _ = state
-        ident = self.waiting.getValue((head,))[0]
-        self.waiting.removeKey((head,))
-        head += 1
-        return ident, (head, tail, side, self.waiting.getValue((head,))[1]) if head < tail else None
+        side, front, first, end, back = state
+        ident, _ = front.pop(0)
+        if front:
+            return ident, state
+        if first < end:
+            place = (pickle.dumps(self.name), first)
+            front, first = pickle.loads(self.pages.getValue(place)[0]), first + 1
+            self.pages.removeKey(place)
+        else:
+            front, back = back, []
+        return ident, (side, front, first, end, back) if front else None
 
     def expire(self, state):
         ident, after = self._take(state)
-        return [(f"{state[2]}_only", ident, None) if state[2] == self.left else (f"{state[2]}_only", None, ident)], after
+        return [(f"{state[0]}_only", ident, None) if state[0] == self.left else (f"{state[0]}_only", None, ident)], after
 
     def fold(self, state, rows):
         out = []
         for at, ident, side in rows:
-            while state and at - state[3] >= self.within:
+            while state and at - state[1][0][1] >= self.within:
                 more, state = self.expire(state)
                 out += more
-            if state and state[2] != side:
+            if state and state[0] != side:
                 other, state = self._take(state)
                 out.append(("match", other, ident) if side == self.right else ("match", ident, other))
             else:
-                head, tail, _, since = state or (0, 0, side, at)
-                self.waiting.updateValue((tail,), (ident, at))
-                state = (head, tail + 1, side, since)
+                state = self._add(state, side, ident, at)
         return out, state

@@ -175,6 +175,39 @@ def test_reconcile_uses_each_row_once(spark, folders):
     assert len({r[1] for r in got}) > 1
 
 
+def test_state_goes_by_groups_of_keys(spark, folders):
+    """Keys share held rows, a timer and a stored value, so calls to the state store do not grow with them."""
+    inbox, out, checkpoint = folders
+    rows = spark.range(8000).select(F.when(F.col("id") % 4000 != 0, F.col("id") % 4000).alias("k"), "id", F.timestamp_seconds(F.col("id") + 1).alias("ts"), F.col("id").alias("v"))
+    stored = []
+    for part in (rows, rows.limit(1).select("k", "id", F.timestamp_seconds(F.lit(10**9)).alias("ts"), "v")):
+        part.coalesce(1).write.mode("append").parquet(inbox)
+        stream = spark.readStream.schema(rows.schema).parquet(inbox).withWatermark("ts", "5 seconds")
+        alarm = processors.Changelog("k", "id", "v")
+        query = run.write_batches(processors.apply(stream, alarm, "k bigint, event_id bigint, op string, total bigint", "ts"), out, checkpoint)
+        query.awaitTermination()
+        stored += [s["numRowsTotal"] for p in query.recentProgress for s in p["stateOperators"]]
+    assert 0 < max(stored) < 3000  # by keys: 4,000 lists of rows and as many timers
+    got = run.read_batches(spark, out, "k bigint, event_id bigint, op string, total bigint")
+    assert got.count() == 3 * 4000 and got.select("k").distinct().count() == 4000
+    assert got.where("k is null").count() == 3 and got.where("op = '+' and total = 2 * event_id - 4000 and event_id >= 4000").count() == 4000
+
+
+def test_waiting_rows_go_to_pages_and_come_back_in_order(spark, folders):
+    rows = [("k", n + 1.0, n, 0.0, "a" if n < 23 else "b") for n in range(40)]
+    match = processors.Reconcile("k", "n", "kind", "a", "b", 30 * S)
+    match.page = 3
+    got = in_order(spark, folders, [[*rows[:15], ("j", 1.0, 1, 0.0, "a")], rows[15:]], match, "k string, tag string, left_id bigint, right_id bigint")
+    want = [*brute_reconcile(rows, 30 * S), ("j", "a_only", 1, None)]
+    assert got == sorted(want, key=str) and {r[1] for r in got} == {"match", "a_only"}
+
+
+def test_timers_of_one_instant_fire_once(spark, folders):
+    steps = [[("s", 1.0, 1000, 0.0, ""), ("s", 1.0, 1000, 0.0, ""), ("s", 1.0, 2**41, 0.0, "")], [("s", 1.0, 1000, 0.0, ""), ("t", 2.0, None, 0.0, "")]]
+    got = in_order(spark, folders, steps, processors.EventTimers("k", "n", 500), "k string, fired_ms bigint")
+    assert [r for r in got if r[0] != "end"] == [("s", 1500)]  # the last one is beyond the closing row
+
+
 def test_rules_change_between_and_inside_micro_batches(spark, folders):
     inbox, out, checkpoint = folders
     steps = [[("d", 1, None), ("c", 2, 1), ("d", 3, None), ("c", 4, 2), ("d", 5, None)], [("d", 6, None), ("c", 8, 3), ("d", 9, None), ("d", 8, None)],
