@@ -85,7 +85,7 @@ def op4_embedding_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rules.check(table(spark, sf_dir, "documents"))
+    return rules.check(table(spark, sf_dir, "documents")).drop("clean_text")
 
 
 sql("op5_quality_rules", r"""

@@ -15,6 +15,7 @@ from .mixing import words_in
 from .text import SPACE, WORD
 
 SYMBOLS = "#*$%&|<>"
+CLEAN = "_clean"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -53,68 +54,66 @@ def _with_repeats(rows: DataFrame) -> DataFrame:
 
 def check(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", host: str = "source", max_docs: int = 10, least_left: float = 0.5,
           least_words: int = 50, most_repeated: int = 50) -> DataFrame:
-    """Counts of each whole text and whether it is kept.
+    """Counts of each whole text, whether it is kept, and the text without lines above the limit.
 
     Returns doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed (fewer than ``least_words`` words, or more than
-    ``most_repeated`` per cent in repeated runs), kept, and n_left_words: the
-    words outside lines held by more than ``max_docs`` distinct texts of the
-    host. A document is depleted if that is less than ``least_left`` of its
-    words.
+    ``most_repeated`` per cent in repeated runs), kept, n_left_words, and
+    clean_text: the text without lines held by more than ``max_docs`` distinct
+    texts of the host, of which n_left_words are the words. A document is
+    depleted if that is less than ``least_left`` of its words.
 
     A null or empty text has counts of 0 and fails; null hosts are one host; a
     null id is kept as it is; repeated rows are judged one by one, and count as
     one text for line frequency; other columns are not read; an empty table
     gives an empty result.
     """
-    t = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.concat(F.lit("="), F.col(host).cast("string")), F.lit("")).alias("_host"), t.alias("_t"))
-    rows = rows.select("doc_id", "_host", "_t", _words(F.col("_t")).alias("_w"),
-                       F.filter(F.split("_t", "\n"), lambda x: x.rlike(f"[^{SPACE}]")).alias("_l"))
-    rows = _with_repeats(rows)
-    lines = F.transform("_l", lambda x: F.struct(F.xxhash64(normalised(x)).alias("h"), words_in(x).alias("w")))
-    rows = settle(rows.select(
-        F.monotonically_increasing_id().alias("_row"), "doc_id", "_host",
-        F.xxhash64("_t").alias("_c1"), F.xxhash64(F.lit(1), "_t").alias("_c2"),
-        F.size("_w").cast("bigint").alias("n_words"),
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("_own"), F.col(host).alias("_of"))
+    rows = _cleaned(rows, "_own", "_of", max_docs).withColumn("_t", F.coalesce("_own", F.lit("")))
+    rows = rows.withColumns({"_w": _words(F.col("_t")), "_l": F.filter(F.split("_t", "\n"), lambda x: x.rlike(f"[^{SPACE}]"))})
+    n_words = F.size("_w").cast("bigint")
+    out = _with_repeats(rows).select(
+        "doc_id", n_words.alias("n_words"),
         F.length(F.regexp_replace("_t", f"[{SPACE}]+", "")).cast("bigint").alias("word_chars"),
         (F.length("_t") - F.length(F.translate("_t", SYMBOLS, ""))).cast("bigint").alias("n_symbols"),
         (F.size("_l") - F.size(F.array_distinct("_l"))).cast("bigint").alias("n_dup_lines"),
-        "n_repeat_words", lines.alias("_lines")))
-
-    frequent = settle(_frequent(rows.select("_host", "_c1", "_c2", F.explode(F.array_distinct(F.col("_lines.h"))).alias("h")), max_docs))
-    each = rows.select("_row", "_host", F.explode("_lines").alias("l")).select("_row", "_host", "l.h", "l.w")
-    lost = each.join(frequent, ["_host", "h"]).groupBy("_row").agg(F.sum("w").alias("_lost"))
+        "n_repeat_words", F.when(F.col(CLEAN).isNull(), n_words).otherwise(words_in(CLEAN)).alias("n_left_words"),
+        F.coalesce(CLEAN, "_own").alias("clean_text"))
     failed = (F.col("n_words") < least_words) | (F.col("n_repeat_words") * 100 > F.col("n_words") * most_repeated)
-    out = rows.drop("_lines", "_host", "_c1", "_c2").join(lost, "_row", "left")
-    out = out.withColumn("n_left_words", F.col("n_words") - F.coalesce("_lost", F.lit(0))).withColumn("base_failed", failed)
     kept = ~F.col("base_failed") & (F.col("n_left_words") >= F.col("n_words") * F.lit(least_left))
-    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "n_left_words")
+    out = out.withColumn("base_failed", failed).withColumn("kept", kept)
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_left_words", "clean_text")
+
 
+def _cleaned(rows: DataFrame, text: str, host: str, max_docs: int) -> DataFrame:
+    """Adds the text without lines held by more than ``max_docs`` distinct texts of the host, null where it has none.
 
-def _frequent(held: DataFrame, max_docs: int) -> DataFrame:
-    """The lines (_host, h) held by more than ``max_docs`` distinct texts (_c1, _c2) of the host."""
-    return held.distinct().groupBy("_host", "h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_docs).select("_host", "h")
+    Each distinct text (two hashes) of a host has the hashes of its lines, null
+    for lines without a word; those that recur give the places that go.
+    """
+    named = {"_host": F.coalesce(F.concat(F.lit("="), F.col(host).cast("string")), F.lit("")),
+             "_c1": F.xxhash64(text), "_c2": F.xxhash64(F.lit(1), text)}
+    rows = rows.withColumns(named)
+    hashed = F.transform(F.split(text, "\n"), lambda x: F.when(x.rlike(f"[^{SPACE}]"), F.xxhash64(normalised(x))))
+    texts = settle(rows.select(*named, hashed.alias("_h")).dropDuplicates([*named]))
+    frequent = texts.select("_host", F.explode(F.array_distinct("_h")).alias("h")).where("h is not null")
+    frequent = frequent.groupBy("_host", "h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_docs).select("_host", "h")
+    places = texts.select(*named, F.posexplode("_h").alias("place", "h")).join(frequent, ["_host", "h"])
+    gone = settle(places.groupBy(*named).agg(F.collect_list("place").alias("_gone")))
+    lines, last = F.split(text, "\n"), F.size(F.split(text, "\n")) - 1
+    stay = F.array_except(F.sequence(F.lit(0), last), "_gone")
+    clean = F.when(F.col("_gone").isNotNull(), F.array_join(F.transform(stay, lambda k: F.get(lines, k)), "\n"))
+    return rows.join(gone, [*named], "left").withColumn(CLEAN, clean).drop(*named, "_gone")
 
 
 def remove_frequent_lines(docs: DataFrame, text: str = "text", host: str = "source", max_docs: int = 10) -> DataFrame:
     """The rows of ``docs`` with texts rid of lines held by more than ``max_docs`` distinct texts of the host.
 
-    Lines are compared as by ``check``, whose n_left_words are the words of
-    these texts. Lines without a word stay, as do texts without such lines,
-    nulls and all other columns; repeated rows stay repeated; null hosts are one
-    host; an empty table gives an empty result.
+    Lines are compared as by ``check``, whose clean_text are these texts. Lines
+    without a word stay, as do texts without such lines, nulls and all other
+    columns; repeated rows stay repeated; null hosts are one host; an empty
+    table gives an empty result.
     """
-    spread = F.split(F.col("t"), "\n")
-    rows = docs.select(F.struct("*").alias("own"), F.col(text).cast("string").alias("t"),
-                       F.coalesce(F.concat(F.lit("="), F.col(host).cast("string")), F.lit("")).alias("_host"))
-    rows = settle(rows.select(F.monotonically_increasing_id().alias("_row"), "own", "t", "_host"))
-    lines = rows.select("_row", "_host", F.xxhash64("t").alias("_c1"), F.xxhash64(F.lit(1), "t").alias("_c2"), F.posexplode(spread).alias("place", "line"))
-    lines = lines.withColumn("h", F.when(F.col("line").rlike(f"[^{SPACE}]"), F.xxhash64(normalised(F.col("line")))))
-    frequent = settle(_frequent(lines.where("h is not null").select("_host", "_c1", "_c2", "h"), max_docs))
-    changed = lines.join(frequent, ["_host", "h"], "left_semi").select("_row").distinct()
-    left = lines.join(changed, "_row", "left_semi").join(frequent, ["_host", "h"], "left_anti")
-    joined = left.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("place", "line"))).alias("l"))
-    cleaned = changed.join(joined, "_row", "left").select("_row", F.coalesce(F.array_join(F.col("l.line"), "\n"), F.lit("")).alias("clean"))
-    out = rows.join(cleaned, "_row", "left")
-    return out.select(*[F.coalesce("clean", F.col("own")[c]).alias(c) if c == text else F.col("own")[c].alias(c) for c in docs.columns])
+    rows = docs.select(F.struct("*").alias("own"), F.col(text).cast("string").alias("t"), F.col(host).alias("of"))
+    out = _cleaned(rows, "t", "of", max_docs)
+    return out.select(*[F.coalesce(CLEAN, F.col("own")[c]).alias(c) if c == text else F.col("own")[c].alias(c) for c in docs.columns])
