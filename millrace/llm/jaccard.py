@@ -13,7 +13,9 @@ shingles of each, in any order that is the same for all. So
   number of shared prefix shingles their overlap from above, which leaves few
   pairs of groups; their classes are joined with their whole sets and verified;
 * sets made almost wholly of common shingles are met through those, star by
-  star, and only across components that are not linked yet.
+  star with another centre for each list, and only across components that are
+  not linked yet; a pair is made on the first list it shares, as far as a short
+  look back on both lists tells, and a wide sketch leaves few that do not link.
 
 Only connectedness is asked for, so no list of all pairs is made of documents
 that are copies of each other.
@@ -34,6 +36,13 @@ from .text import buffer_of, grams, mix, pieces, words_of
 
 _MARK_BITS = 22
 
+# Longs of the wide sketch of sets on lists of any length, and how many lists a pair is looked for before.
+_WIDE = 16
+_BACK = 4
+
+# Rounds of stars before lists are tried pair by pair.
+_ROUNDS = 3
+
 
 def _prefix(n: int, percent: int) -> int:
     """Shingles of a set of n of which two similar sets share one at least."""
@@ -75,10 +84,16 @@ def _parities(values: np.ndarray) -> list[int]:
     return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
 
 
-def _may_link(a: str, b: str, percent: int) -> Column:
+def _wide(values: np.ndarray) -> np.ndarray:
+    """As ``_parities``, of as many cells as fill ``_WIDE`` longs."""
+    cells = values.view(np.uint64) >> np.uint64(64 - (64 * _WIDE - 1).bit_length())
+    return np.packbits((np.bincount(cells, minlength=64 * _WIDE) & 1).astype(np.uint8)).view(np.int64)
+
+
+def _may_link(a: str, b: str, percent: int, sketch: list[str] = _SKETCH) -> Column:
     """False only if sizes or sketches show that two sets are too different; true where there is no sketch."""
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
-    apart = sum((F.bit_count(F.col(f"{a}.{k}").bitwiseXOR(F.col(f"{b}.{k}"))) for k in _SKETCH), F.lit(0))
+    apart = sum((F.bit_count(F.col(f"{a}.{k}").bitwiseXOR(F.col(f"{b}.{k}"))) for k in sketch), F.lit(0))
     alike = F.coalesce(apart * (100 + percent) <= (n + m) * (100 - percent), F.lit(True))
     return (n * 100 >= m * percent) & (m * 100 >= n * percent) & alike
 
@@ -198,9 +213,6 @@ def _linked(docs: DataFrame, full: DataFrame, classes: DataFrame, size: int, per
         reached = beyond.join(heavy, "t", "left_anti")
         single = entries.join(reached.select("t").distinct().join(counts, "t", "left_anti"), "t")
         lists = lists.unionByName(single)
-    lists = lists.select("t", "group").distinct().join(members.select("group", "unit").distinct(), "group").select("t", "unit")
-    if whole is not None:
-        lists = lists.union(reached.select("t", F.col("class").alias("unit")))
     facts = groups.join(used, "group", "left").select(
         "group", "n", F.coalesce("heavy", F.lit(0)).alias("heavy"), F.when(w < F.col("n"), F.col("last")).otherwise((1 << 63) - 1).alias("last"),
         (F.col("n") - w).alias("rest"))
@@ -208,7 +220,10 @@ def _linked(docs: DataFrame, full: DataFrame, classes: DataFrame, size: int, per
     one = F.count(F.lit(1)) == 1
     units = members.groupBy("group", "unit").agg(*[F.when(one, F.min(k)).alias(k) for k in _SKETCH])
     facts = settle(facts.join(units, "group"))
-    lists = lists.distinct().join(facts, "unit")
+    lists = lists.select("t", "group").distinct().join(facts, "group")
+    if whole is not None:
+        # These lie beyond the first shingles, so no row comes twice.
+        lists = lists.unionByName(reached.select("t", F.col("class").alias("unit")).join(facts, "unit"))
     a, b = lists.alias("a"), lists.alias("b")
     apart = (F.col("a.unit") < F.col("b.unit")) & (F.col("a.group") != F.col("b.group"))
     pairs = a.join(b, (F.col("a.t") == F.col("b.t")) & apart & _may_link("a", "b", percent))
@@ -226,50 +241,95 @@ def _linked(docs: DataFrame, full: DataFrame, classes: DataFrame, size: int, per
 
     # Groups of several classes, and sets made of common shingles: lists of any length.
     many = classes.groupBy("group").agg(F.count(F.lit(1)).alias("k")).where("k > 1").select("group")
-    of = ["class", "n", *_SKETCH]
-    lists = classes.join(many, "group").select(F.concat(F.lit("g"), F.col("group").cast("string")).alias("list"), *of)
+    lists = named.join(many, "group").select(F.concat(F.lit("g"), F.col("group").cast("string")).alias("list"), "class", F.array().cast("array<bigint>").alias("back"))
     if whole is not None:
         marked = whole.join(heavy.withColumn("common", F.lit(1)), "t", "left")
         plain = marked.groupBy("class").agg(F.max("n").alias("n"), F.count(F.when(F.col("common").isNull(), 1)).alias("plain"))
         poor = plain.where(F.col("plain") < p).select("class", (p - F.col("plain")).alias("need"))
         # Of the common shingles, which come last in the order, as many as the prefix still needs.
-        place = F.row_number().over(Window.partitionBy("class").orderBy("t"))
-        rare = marked.where("common is not null").select("class", "t").join(poor, "class").withColumn("at", place).where("at <= need")
-        rare = rare.select("class", "t").join(classes, "class").select(F.concat(F.lit("t"), F.col("t").cast("string")).alias("list"), *of)
-        lists = lists.union(rare)
+        order = Window.partitionBy("class").orderBy("t")
+        rare = marked.where("common is not null").select("class", "t").join(poor, "class")
+        rare = rare.withColumn("at", F.row_number().over(order)).withColumn("back", F.collect_list("t").over(order.rowsBetween(-_BACK, -1)))
+        lists = lists.union(rare.where("at <= need").select(F.concat(F.lit("t"), F.col("t").cast("string")), "class", "back"))
     return _across(docs, classes, settle(lists), links, size, percent)
 
 
 def _across(docs: DataFrame, classes: DataFrame, lists: DataFrame, links: DataFrame, size: int, percent: int) -> DataFrame:
     """Components (class, root) of the links and of those between classes of the same list.
 
-    A list's classes are first tried against one of them; what then still lies
-    in different components is tried pair by pair.
+    ``lists`` has list, class and ``back``, the lists of the class just before
+    this one in an order that is the same for all. A list's classes are first
+    tried against one of them, of each list another; what then still lies in
+    different components is tried pair by pair.
     """
-    for stars in (True, False):
-        roots = settle(components(links).toDF("class", "root"))
+    roots = settle(components(links).toDF("class", "root"))
+    sets, wide = None, [f"w{k}" for k in range(_WIDE)]
+    for turn in range(_ROUNDS + 1):
         lists = lists.drop("root").join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
         lists = settle(lists.join(lists.groupBy("list").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("list"), "list"))
         if lists.isEmpty():
             return roots
-        a, b = lists.alias("a"), lists.alias("b")
-        if stars:
-            hub = F.min_by(F.struct("class", "n", "root", *_SKETCH), F.xxhash64("class"))
-            a = lists.groupBy("list").agg(hub.alias("h")).select("list", "h.*").alias("a")
-        apart = F.col("a.root") != F.col("b.root") if stars else F.col("a.root") < F.col("b.root")
-        pairs = a.join(b, (F.col("a.list") == F.col("b.list")) & apart & _may_link("a", "b", percent))
-        pairs = pairs.select(F.col("a.class").alias("a"), F.col("b.class").alias("b"))
-        links = settle(links.union(_verified(docs, classes, pairs, size, percent)))
-    return components(links).toDF("class", "root")
+        if sets is None:
+            sets = _sets_of(docs, classes, lists.select("class").distinct(), size)
+            sketches = _widely(sets)
+        b = lists.join(sketches, "class").alias("b")
+        if turn < _ROUNDS:
+            hub = F.min_by("class", F.xxhash64(F.lit(turn), "list", "class")).alias("class")
+            a = lists.groupBy("list").agg(hub).join(lists.join(sketches, "class"), ["list", "class"]).alias("a")
+            apart = F.col("a.root") != F.col("b.root")
+        else:
+            a = lists.join(sketches, "class").alias("a")
+            apart = (F.col("a.root") < F.col("b.root")) & ~F.arrays_overlap("a.back", "b.back")
+        pairs = a.join(b, (F.col("a.list") == F.col("b.list")) & apart & _may_link("a", "b", percent, wide))
+        links = settle(_alike(_distinct(pairs.select(F.col("a.class").alias("a"), F.col("b.class").alias("b"))), sets, percent))
+        roots = settle(_merged(roots, links))
+    return roots
+
+
+def _merged(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """Components (class, root) when links (a, b) between classes are added."""
+    ends = links
+    for end in ("a", "b"):
+        ends = ends.join(roots.toDF(end, "r"), end, "left").withColumn(end, F.coalesce("r", end)).drop("r")
+    step = settle(components(ends).toDF("root", "further"))
+    old = roots.join(step, "root", "left").select("class", F.coalesce("further", "root").alias("root"))
+    # Classes that had no link before are roots of their own, which no row of ``roots`` names.
+    return old.union(step.join(roots.select("root").distinct(), "root", "left_anti").toDF("class", "root"))
+
+
+def _distinct(pairs: DataFrame) -> DataFrame:
+    return settle(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct())
 
 
 def _verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs (a, b) of classes whose whole sets are similar enough."""
-    pairs = settle(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct())
-    involved = pairs.select("a").union(pairs.select("b")).distinct().toDF("class").join(classes, "class")
-    found = whole_sets(docs, involved.select(F.col("class_id").alias("doc_id")), size)
-    sets = found.join(involved.select("class", F.col("class_id").alias("doc_id"), *_SET), ["doc_id", *_SET])
-    sets = settle(sets.select("class", "n", "shingles").dropDuplicates(["class"]))
+    pairs = _distinct(pairs)
+    return _alike(pairs, _sets_of(docs, classes, pairs.select("a").union(pairs.select("b")).distinct().toDF("class"), size), percent)
+
+
+def _sets_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """The whole sets (class, n, shingles) of some classes; those without a named document have none."""
+    involved = settle(wanted.join(classes, "class").select("class", F.col("class_id").alias("doc_id"), *_SET))
+    found = whole_sets(docs, involved.select("doc_id"), size)
+    return settle(found.join(involved, ["doc_id", *_SET]).select("class", "n", "shingles").dropDuplicates(["class"]))
+
+
+def _widely(sets: DataFrame) -> DataFrame:
+    """Per class the size and the wide sketch of its set."""
+    names = [f"w{k}" for k in range(_WIDE)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            shingles = batch.column("shingles")
+            at, values = np.asarray(shingles.offsets), np.asarray(shingles.values)
+            sketch = np.array([_wide(values[x:y]) for x, y in zip(at[:-1], at[1:])], np.int64).reshape(-1, _WIDE)
+            columns = [batch.column("class"), batch.column("n"), *(pa.array(c) for c in sketch.T.copy())]
+            yield pa.RecordBatch.from_arrays(columns, ["class", "n", *names])
+
+    return settle(sets.mapInArrow(run, "class bigint, n bigint, " + ", ".join(f"{w} bigint" for w in names)))
+
+
+def _alike(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     both = pairs.join(sets.toDF("a", "na", "sa"), "a").join(sets.toDF("b", "nb", "sb"), "b")
     shared = F.size(F.array_intersect("sa", "sb")).cast("bigint")
     return both.where(shared * 100 >= (F.col("na") + F.col("nb") - shared) * percent).select("a", "b")

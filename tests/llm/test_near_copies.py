@@ -66,6 +66,27 @@ def test_classes_with_the_same_first_shingles_each_have_their_links(spark):
     assert found(df, size=1, percent=85, common=64) == brute(rows, 1, 85)
 
 
+def test_long_lists_make_few_pairs(spark, monkeypatch):
+    """Variants of one passage, made of common shingles, are not all tried against each other, list by list."""
+    pick, base, texts = random.Random(5), prose(240, 5).split(), []
+    for k in range(160):
+        w = list(base)
+        for _ in range(pick.choice([4, 5, 6])):
+            w[pick.randrange(len(w))] = f"own{k}"
+        texts.append(" ".join(w))
+    rows, made, distinct = list(enumerate(texts)), [], jaccard._distinct
+
+    def counted(pairs):
+        made.append(pairs.count())
+        return distinct(pairs)
+
+    monkeypatch.setattr(jaccard, "_distinct", counted)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert found(df, size=4, percent=85, common=16) == brute(rows, 4, 85)
+    on_lists = made[1:]  # the first ones share uncommon shingles
+    assert on_lists and sum(on_lists) < 160 * 159 // 2 and on_lists[-1] < 800
+
+
 def test_documents_same_as_brute_force(spark):
     df = spark.read.parquet(f"{SF}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
