@@ -4,7 +4,8 @@ The byte-level pre-tokenizer always begins a new piece at a single space
 between two characters that are not white space. So a text may be cut there,
 each piece encoded by the library on its own and the ids joined, and they are
 the ids of the whole text. Pieces repeat: a batch's distinct pieces are encoded
-once, many in one text, and told apart by the bytes of their tokens.
+once, many in one text, and told apart by the bytes of their tokens. Short pieces
+that a batch holds twice are remembered for the batches after it, up to a bound.
 """
 
 from __future__ import annotations
@@ -21,6 +22,9 @@ from .text import per_worker
 BYTE_BPE = "byte_bpe_50k.json"
 PIECE_BPE = "piece_bpe_32k.model"
 
+# Bytes of a piece that is remembered, at most.
+_SHORT = 32
+
 # White space other than the space and the line feed, which the cut must not touch.
 _OTHER = "\t\r\v\f\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
 _ODD = rf"  | \n|\n |\A[ \n]|[ \n]\z|[{_OTHER}]"
@@ -68,7 +72,7 @@ def cut(texts: pa.Array, whole: np.ndarray | None = None) -> tuple[pa.Array, np.
 class Encoder:
     """Texts to unsigned 32-bit ids, without special tokens added."""
 
-    def __init__(self, path: str, together: int = 2_000):
+    def __init__(self, path: str, together: int = 2_000, remember: int = 400_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -79,6 +83,9 @@ class Encoder:
         # Byte-level entries have a letter for each byte.
         self._bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
         self._bytes[list(vocabulary.values())] = list(map(len, vocabulary))
+        # Pieces that followed a space in earlier batches; where their ids begin, how many, and all ids.
+        self._remember, self._known = remember, pa.array([], pa.large_string())
+        self._starts, self._lengths, self._ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
     def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, and the n+1 offsets at which each text's ids begin; nulls have none."""
@@ -93,7 +100,8 @@ class Encoder:
         codes[later] = np.asarray(after.indices)
         codes[at[:-1]] = np.asarray(first.indices) + len(after.dictionary)
         del values, later
-        ids, starts, lengths = self._pool(after.dictionary, first.dictionary)
+        often = np.bincount(np.asarray(after.indices), minlength=len(after.dictionary)) > 1
+        ids, starts, lengths = self._recall(after.dictionary, first.dictionary, often)
         taken = lengths[codes]
         ends = np.cumsum(taken, dtype=np.int64)
         # Places fit 32 bits unless one text is huge.
@@ -102,6 +110,31 @@ class Encoder:
         place += np.arange(len(place), dtype=width)
         return ids[place], np.concatenate([[0], ends[at[1:] - 1]])
 
+    def _recall(self, after: pa.Array, first: pa.Array, often: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """As ``_pool``, which encodes the pieces that are not remembered; short ones marked ``often`` will be."""
+        place = np.asarray(pc.index_in(after, value_set=self._known).fill_null(-1))
+        fresh = place < 0
+        new, new_starts, new_lengths = self._pool(after.filter(pa.array(fresh)), first)
+        ids, n = np.concatenate([self._ids, new]), len(self._ids)
+        starts, lengths = np.empty(len(after) + len(first), np.int64), np.empty(len(after) + len(first), np.int64)
+        old, coded = np.flatnonzero(~fresh), np.concatenate([np.flatnonzero(fresh), np.arange(len(after), len(starts))])
+        starts[old], lengths[old] = self._starts[place[old]], self._lengths[place[old]]
+        starts[coded], lengths[coded] = new_starts + n, new_lengths
+        often = often & (np.asarray(pc.binary_length(after)) <= _SHORT)
+        chosen = np.flatnonzero(often & fresh)
+        if len(self._known) + len(chosen) <= self._remember:
+            self._known = pa.concat_arrays([self._known, after.take(pa.array(chosen))])
+            kept = [np.concatenate(x) for x in ((self._starts, starts[chosen]), (self._lengths, lengths[chosen]))]
+        else:
+            # No room: the batch's own take the place of all.
+            chosen = np.flatnonzero(often)[: self._remember]
+            self._known = after.take(pa.array(chosen))
+            kept = [starts[chosen], lengths[chosen]]
+        ends = np.cumsum(kept[1])
+        self._starts, self._lengths = ends - kept[1], kept[1]
+        self._ids = ids[np.repeat(kept[0] - self._starts, kept[1]) + np.arange(ends[-1] if len(ends) else 0)]
+        return ids, starts, lengths
+
     def _pool(self, after: pa.Array, first: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All ids of distinct pieces, those that follow a space and then the first ones: where each one's begin, how many."""
         pieces, sizes = after.to_pylist(), np.asarray(pc.binary_length(after), np.int64) + 1
@@ -123,5 +156,5 @@ class Encoder:
 
 
 def encoder(path: str) -> Encoder:
-    """The worker's encoder. It remembers nothing but the vocabulary."""
+    """The worker's encoder. What it remembers from batch to batch is bounded, and changes no ids."""
     return per_worker(f"encoder {path}", lambda: Encoder(path))

@@ -163,3 +163,20 @@ def test_two_unpacked_pieces_replace_the_smallest():
 def test_packing_does_not_depend_on_batches(spark):
     whole, small = (packing.pack(edges(spark), PATH, batch_bytes=b).select("doc_id", "piece", "start", "length", "ids_crc32") for b in (16 << 20, 20))
     assert sorted(map(str, whole.collect())) == sorted(map(str, small.collect()))
+
+
+@pytest.mark.parametrize("remember", [0, 5, 400_000])
+def test_remembered_pieces_have_the_same_ids(remember):
+    kept, asked = Encoder(PATH, 3, remember), []
+    pool = kept._pool
+    kept._pool = lambda after, first: asked.append(len(after)) or pool(after, first)
+    long = "w" * 100
+    batches = [["one two two three three", f"x {long} {long} two é é"], ["four two three é", None, f"two two {long}", "three  three\n two"], [], ["five five six six two", "é two"]]
+    for texts in batches:
+        column = pa.array(texts, pa.string())
+        (ids, at), (want, there) = kept(column), Encoder(PATH, 3)(column)
+        assert ids.tolist() == want.tolist() and at.tolist() == there.tolist()
+        assert len(kept._known) <= remember
+    if remember > 5:
+        assert asked == [4, 1, 2]  # of the second batch only the long one, of the last five and six
+        assert sorted(kept._known.to_pylist()) == ["six", "three", "two", "é"]
