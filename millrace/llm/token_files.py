@@ -62,7 +62,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 0, text: str
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode_texts, part, before = encoder(tokenizer), TaskContext.get().partitionId(), 0
-        for batch in pieces(gathered(batches, 12 << 20), "text", 12 << 20):
+        for batch in pieces(gathered(batches, 7 << 20), "text", 7 << 20):
             ids, at = with_end(*encode_texts(batch.column("text")), end_id)
             lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(ids.view(np.int32)))
             parts = pa.array(np.full(batch.num_rows, part, np.int32))

@@ -72,7 +72,7 @@ def cut(texts: pa.Array, whole: np.ndarray | None = None) -> tuple[pa.Array, np.
 class Encoder:
     """Texts to unsigned 32-bit ids, without special tokens added."""
 
-    def __init__(self, path: str, together: int = 2_000, remember: int = 400_000):
+    def __init__(self, path: str, together: int = 2_000, remember: int = 250_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
