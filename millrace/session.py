@@ -61,11 +61,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/millrace/{name}-{uuid.uuid4().hex}"
 
 
+# A query's shuffle files go when it ends, not when the driver next collects garbage.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` down in the shared folder and go on from there.
 
-    Cuts the lineage; later steps read only the columns they need.
+    Cuts the lineage; later steps read only the columns they need, and nothing
+    reads the shuffle files of this one.
     """
-    path = scratch_path(df.sparkSession, "settled")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path, before = scratch_path(spark, "settled"), spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
