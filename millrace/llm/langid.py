@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from .sampling import first_by_hash
 from .text import per_worker, pieces
@@ -23,6 +24,7 @@ UNKNOWN = "und"
 SIZES = (1, 2, 3)
 _UNIT = 1 << 16  # log-probabilities are kept in steps of 1/65536
 _SEGMENT = 1 << 20
+_TOGETHER = 1 << 18  # characters of short texts looked at together
 
 
 def _letters() -> np.ndarray:
@@ -46,7 +48,7 @@ def ngrams(texts: list[str | None], buckets: int) -> Iterator[tuple[np.ndarray,
     held = 0
     for row, text in enumerate(texts):
         for part in _segments(text or ""):
-            if held + len(part) > _SEGMENT and parts:
+            if held + len(part) > _TOGETHER and parts:
                 yield _ngrams(rows, parts, buckets)
                 rows, parts, held = [], [], 0
             rows.append(row)
@@ -142,15 +144,19 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] |
     """
     keep = [c for c in (docs.columns if keep is None else keep) if c.lower() not in names]
     shared = docs.sparkSession.sparkContext.broadcast((model.languages, model.logs, model.prior))  # plain: workers need no class
-    rows = docs.select(*[F.col(c).alias(f"k{k}") for k, c in enumerate(keep)], F.col(text).cast("string").alias("text"))
+    kept = docs.select(*keep).schema
+    columns = [F.col(c).alias(f"k{k}") for k, c in enumerate(keep)]
+    # A text that is kept goes to the workers once.
+    source = next((f"k{k}" for k, c in enumerate(keep) if c.lower() == text.lower() and kept[k].dataType == StringType()), "text")
+    rows = docs.select(*columns, *([F.col(text).cast("string").alias("text")] if source == "text" else []))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         languages, logs, prior = shared.value
         buckets, kinds = logs.shape
-        for batch in pieces(batches, "text"):
+        for batch in pieces(batches, source):
             total, met = np.zeros((batch.num_rows, kinds), np.int64), np.zeros(batch.num_rows, np.int64)
             if kinds:
-                for owner, grams in ngrams(batch.column("text").to_pylist(), buckets):
+                for owner, grams in ngrams(batch.column(source).to_pylist(), buckets):
                     met += np.bincount(owner, minlength=batch.num_rows)
                     for k in range(kinds):
                         # exact: whole numbers far below 2**53
@@ -163,8 +169,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] |
                 share = 1 / np.exp((total - top[:, None]) / _UNIT).sum(axis=1)
                 found = [languages[k] if n else UNKNOWN for k, n in zip(first.tolist(), met.tolist())]
                 best = np.where(met > 0, share, 0.0)
-            columns = batch.columns[:-1] + [pa.array(found, pa.string()), pa.array(best)]
+            columns = batch.columns[: len(keep)] + [pa.array(found, pa.string()), pa.array(best)]
             yield pa.RecordBatch.from_arrays(columns, [*keep, *names])
 
-    kept = docs.select(*keep).schema
     return rows.mapInArrow(score, kept.add(names[0], "string").add(names[1], "double"))

@@ -37,6 +37,19 @@ def test_language_without_labels(spark):
     assert langid.predict(empty(spark), model).collect() == []
 
 
+def test_language_takes_little_memory(spark):
+    docs = edges(spark)
+    model = langid.train(docs, "text", "lang", "doc_id")
+    sent = langid.predict(docs, model)._jdf.queryExecution().analyzed().children().head().output()
+    assert sent.size() == len([c for c in docs.columns if c not in ("lang_pred", "score")])
+    parts = [len(rows) for rows, _ in langid.ngrams([prose(150, 5)] * 2000, 1 << 16)]
+    assert len(parts) > 2 and max(parts) < 1_000_000
+    # A text of another type, or one that is not kept, is read all the same.
+    plain = langid.predict(docs, model, keep=["doc_id"]).collect()
+    as_bytes = langid.predict(docs.withColumn("text", F.col("text").cast("binary")), model).select("doc_id", "lang_pred", "score").collect()
+    assert sorted(map(str, plain)) == sorted(map(str, as_bytes))
+
+
 def test_ngrams_stay_within_texts_and_cuts_do_no_harm():
     together = {r: sorted(g.tolist()) for r, g in _by_row(["Ab c", None, "é1f", "x"])}
     for row, text in enumerate(["Ab c", None, "é1f", "x"]):
