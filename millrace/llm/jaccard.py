@@ -90,6 +90,17 @@ def _wide(values: np.ndarray) -> np.ndarray:
     return np.packbits((np.bincount(cells, minlength=64 * _WIDE) & 1).astype(np.uint8)).view(np.int64)
 
 
+def _needed(n: Column, percent: int) -> Column:
+    """``_prefix`` of a column."""
+    return n - F.floor((n * percent + 99) / 100) + 1
+
+
+def _seen(n: Column, percent: int) -> Column:
+    """``_window`` of a column."""
+    p = _needed(n, percent)
+    return F.least(n, p + F.floor(p / 4) + 4)
+
+
 def _may_link(a: str, b: str, percent: int, sketch: list[str] = _SKETCH) -> Column:
     """False only if sizes or sketches show that two sets are too different; true where there is no sketch."""
     n, m = F.col(f"{a}.n"), F.col(f"{b}.n")
@@ -173,8 +184,7 @@ def near_copies(docs: DataFrame, size: int = 4, percent: int = 85, common: int =
 
 def _linked(docs: DataFrame, full: DataFrame, classes: DataFrame, size: int, percent: int, common: int) -> DataFrame:
     """Rows (class, root) of all classes that have a verified link to another."""
-    p = F.col("n") - F.floor((F.col("n") * percent + 99) / 100) + 1
-    w = F.least(F.col("n"), p + F.floor(p / 4) + 4)
+    p, w = _needed(F.col("n"), percent), _seen(F.col("n"), percent)
     groups = settle(full.groupBy("group").agg(F.min("n").alias("n"), F.min(F.element_at("head", -1)).alias("last"), F.min("row").alias("first")))
     entries = full.select("group", F.explode("head").alias("t"))
     counts = settle(entries.groupBy("t").agg(F.count(F.lit(1)).alias("c")).where("c > 1"))
@@ -207,29 +217,31 @@ def _linked(docs: DataFrame, full: DataFrame, classes: DataFrame, size: int, per
         members = members.join(seen, "group", "left").withColumn("unit", F.when(F.col("seen") == 1, F.col("class")).otherwise(F.col("first")))
     members = settle(members.select("group", "class", "unit", *_SKETCH))
     light = counts.select("t").join(heavy, "t", "left_anti")
-    lists = entries.join(light, "t")
+    lists = entries.join(light, "t").select("t", "group").distinct()
     if whole is not None:
         # A further shingle may lie among the first of others, even where those have it once.
         reached = beyond.join(heavy, "t", "left_anti")
         single = entries.join(reached.select("t").distinct().join(counts, "t", "left_anti"), "t")
-        lists = lists.unionByName(single)
+        lists = lists.unionByName(single.select("t", "group"))
     facts = groups.join(used, "group", "left").select(
-        "group", "n", F.coalesce("heavy", F.lit(0)).alias("heavy"), F.when(w < F.col("n"), F.col("last")).otherwise((1 << 63) - 1).alias("last"),
-        (F.col("n") - w).alias("rest"))
+        "group", "first", "n", F.coalesce("heavy", F.lit(0)).alias("heavy"), F.when(w < F.col("n"), F.col("last")).otherwise((1 << 63) - 1).alias("last"))
     # A group of several classes has no one sketch.
     one = F.count(F.lit(1)) == 1
     units = members.groupBy("group", "unit").agg(*[F.when(one, F.min(k)).alias(k) for k in _SKETCH])
     facts = settle(facts.join(units, "group"))
-    lists = lists.select("t", "group").distinct().join(facts, "group")
+    # Written before facts make the rows long, so that the shuffle of all first shingles is gone by
+    # then; what can be told from the rest is not carried: ``first`` is a group's shorter name.
+    lists = settle(lists).join(facts, "group").drop("group")
     if whole is not None:
         # These lie beyond the first shingles, so no row comes twice.
-        lists = lists.unionByName(reached.select("t", F.col("class").alias("unit")).join(facts, "unit"))
+        lists = lists.unionByName(reached.select("t", F.col("class").alias("unit")).join(facts, "unit").drop("group"))
     a, b = lists.alias("a"), lists.alias("b")
-    apart = (F.col("a.unit") < F.col("b.unit")) & (F.col("a.group") != F.col("b.group"))
+    apart = (F.col("a.unit") < F.col("b.unit")) & (F.col("a.first") != F.col("b.first"))
     pairs = a.join(b, (F.col("a.t") == F.col("b.t")) & apart & _may_link("a", "b", percent))
     # All shared shingles up to the earlier end of the two heads are counted or common;
-    # beyond it the set that ends earlier has ``rest`` left.
-    most = F.least("a.heavy", "b.heavy") + F.when(F.col("a.last") <= F.col("b.last"), F.col("a.rest")).otherwise(F.col("b.rest"))
+    # beyond it the set that ends earlier has the rest of its shingles left.
+    rest = {x: F.col(f"{x}.n") - _seen(F.col(f"{x}.n"), percent) for x in "ab"}
+    most = F.least("a.heavy", "b.heavy") + F.when(F.col("a.last") <= F.col("b.last"), rest["a"]).otherwise(rest["b"])
     pairs = pairs.groupBy(F.col("a.unit").alias("ua"), F.col("b.unit").alias("ub")).agg(
         F.count(F.lit(1)).alias("shared"), F.min(most).alias("most"), F.min((F.col("a.n") + F.col("b.n")) * percent).alias("need"))
     pairs = pairs.where((F.col("shared") + F.col("most")) * (100 + percent) >= F.col("need")).select("ua", "ub")
@@ -311,7 +323,9 @@ def _sets_of(docs: DataFrame, classes: DataFrame, wanted: DataFrame, size: int)
     """The whole sets (class, n, shingles) of some classes; those without a named document have none."""
     involved = settle(wanted.join(classes, "class").select("class", F.col("class_id").alias("doc_id"), *_SET))
     found = whole_sets(docs, involved.select("doc_id"), size)
-    return settle(found.join(involved, ["doc_id", *_SET]).select("class", "n", "shingles").dropDuplicates(["class"]))
+    # A class has one doc_id and one set: with them in the key, the shuffle of the join serves.
+    met = found.join(involved, ["doc_id", *_SET]).dropDuplicates(["class", "doc_id", *_SET])
+    return settle(met.select("class", "n", "shingles"))
 
 
 def _widely(sets: DataFrame) -> DataFrame:

@@ -87,6 +87,31 @@ def test_long_lists_make_few_pairs(spark, monkeypatch):
     assert on_lists and sum(on_lists) < 160 * 159 // 2 and on_lists[-1] < 800
 
 
+def test_steps_leave_long_shuffles_behind(spark, monkeypatch):
+    texts = [prose(60, k // 3) + " end" * (k % 3) for k in range(30)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    pairs, sets, written = [], [], jaccard.settle
+
+    def watched(df):
+        plan = df._jdf.queryExecution()
+        if "bit_count" in plan.optimizedPlan().toString():
+            pairs.append(plan.optimizedPlan().toString())
+        if df.columns == ["class", "n", "shingles"]:
+            sets.append(plan.executedPlan().toString())
+        return written(df)
+
+    monkeypatch.setattr(jaccard, "settle", watched)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        jaccard.near_copies(docs).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # All first shingles are not shuffled in the step that shuffles lists with their facts, whole sets only once.
+    assert pairs and not any("explode(head" in plan for plan in pairs)
+    assert sets and not any("hashpartitioning(class#" in plan for plan in sets)
+
+
 def test_documents_same_as_brute_force(spark):
     df = spark.read.parquet(f"{SF}/documents.parquet")
     rows = [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
