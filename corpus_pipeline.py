@@ -63,7 +63,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Small batches, as the stages before leave less memory to the workers.
     """
-    return packing.pack(docs, tokenizer_path(), capacity=1024, end_id=2, batch_bytes=6 << 20)
+    return packing.pack(docs, tokenizer_path(), capacity=1024, end_id=2, batch_bytes=2 << 20)
 
 
 STAGES = [

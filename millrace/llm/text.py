@@ -154,6 +154,8 @@ def pieces(batches: Iterator[pa.RecordBatch], text: str, most: int = _BLOCK) ->
             high = max(int(np.searchsorted(at, at[low] + most, "right")) - 1, low + 1)
             yield batch.slice(low, high - low)
             low = high
+    # A worker runs one step after another; what the batches of this one took is not kept.
+    pa.default_memory_pool().release_unused()
 
 
 def gathered(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:

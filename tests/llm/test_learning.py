@@ -1,8 +1,9 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.llm import langid, nbsvm, secret_scan
+from millrace.llm import langid, nbsvm, secret_scan, text
 from millrace.llm.queries import QUERIES
 from millrace.llm.sampling import first_by_hash, remainder
 
@@ -50,6 +51,18 @@ def test_language_takes_little_memory(spark):
     assert sorted(map(str, plain)) == sorted(map(str, as_bytes))
 
 
+def test_workers_let_memory_go_after_the_last_batch(monkeypatch):
+    calls = []
+
+    class Pool:
+        def release_unused(self):
+            calls.append(1)
+
+    monkeypatch.setattr(text.pa, "default_memory_pool", Pool)
+    found = list(text.pieces(iter([pa.record_batch({"text": ["ab", None, "c" * 9]})]), "text", 4))
+    assert [b.num_rows for b in found] == [2, 1] and calls == [1]
+
+
 def test_ngrams_stay_within_texts_and_cuts_do_no_harm():
     together = {r: sorted(g.tolist()) for r, g in _by_row(["Ab c", None, "é1f", "x"])}
     for row, text in enumerate(["Ab c", None, "é1f", "x"]):
