@@ -140,6 +140,24 @@ def test_components_of_a_long_chain_and_a_star(spark):
     assert graph.components(spark.createDataFrame([], "a bigint, b bigint")).collect() == []
 
 
+def test_rounds_over_few_edges_need_no_shuffles(spark, monkeypatch):
+    chain = [(k, k + 1) for k in range(60)] + [(100, 100 + k) for k in range(1, 20)]
+    edges = spark.createDataFrame(chain, "a bigint, b bigint").repartition(3)
+    plans, written = [], graph.settle
+
+    def watched(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return written(df)
+
+    monkeypatch.setattr(graph, "settle", watched)
+    few = {tuple(r) for r in graph.components(edges).collect()}
+    assert len(plans) > 2 and not any("hashpartitioning" in plan for plan in plans[1:])
+    plans.clear()
+    monkeypatch.setattr(graph, "_FEW", 0)
+    assert few == {tuple(r) for r in graph.components(edges).collect()} and "hashpartitioning" in plans[1]
+    assert len({root for _, root in few}) == 2 and len(few) == 81
+
+
 def vectors():
     rng = np.random.default_rng(3)
     base = rng.standard_normal((40, 24))
