@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.llm import jaccard, langid, mixing, packing, templates
 from millrace.llm.sampling import remainder
 from millrace.llm.tokens import tokenizer_path
-from millrace.session import settle
+from millrace.session import bounded_batches, settle
 
 
 def _free(docs: DataFrame, name: str) -> str:
@@ -20,6 +20,7 @@ def _free(docs: DataFrame, name: str) -> str:
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised; those without a letter, and those no language suits, go."""
+    bounded_batches(spark)
     held_out = F.coalesce(remainder(F.col("doc_id"), 4) == 2, F.lit(False))
     model = langid.train(docs.where(~held_out), "text", "lang", "doc_id")
     name, score = _free(docs, "language"), _free(docs, "score")
@@ -63,6 +64,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Small batches, as the stages before leave less memory to the workers.
     """
+    bounded_batches(spark)
     return packing.pack(docs, tokenizer_path(), capacity=1024, end_id=2, batch_bytes=2 << 20)
 
 

@@ -25,18 +25,34 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BLOCK = 1 << 20
 
 
-def per_worker(key: str, make: Callable[[], Any]) -> Any:
+def _kept() -> dict[str, Any]:
+    return sys.modules.setdefault("_millrace_worker", types.ModuleType("_millrace_worker")).__dict__
+
+
+def per_worker(key: str, make: Callable[[], Any], large: bool = False) -> Any:
     """A value kept as long as the Python worker lives.
 
     Functions reach the workers by value, so a module's own globals would be
-    made anew for each task.
+    made anew for each task. A ``large`` value goes with the first task that
+    reads ``pieces`` and has not asked for it before.
     """
-    kept = sys.modules.setdefault("_millrace_worker", types.ModuleType("_millrace_worker")).__dict__
+    kept = _kept()
     if key not in kept:
         kept[key] = make()
+    if large:
+        kept.setdefault("large values", {})[key] = True
     return kept[key]
 
 
+def _drop_large() -> None:
+    """Drop the large values no one has asked for since this was last called."""
+    kept = _kept()
+    asked = kept.setdefault("large values", {})
+    for key in [k for k, wanted in asked.items() if not wanted]:
+        del kept[key], asked[key]
+    asked.update(dict.fromkeys(asked, False))
+
+
 def _powers(base: int, n: int) -> np.ndarray:
     out = np.full(n, base, np.uint64)
     out[0] = 1
@@ -146,6 +162,7 @@ def grams(words: np.ndarray, size: int) -> np.ndarray:
 
 def pieces(batches: Iterator[pa.RecordBatch], text: str, most: int = _BLOCK) -> Iterator[pa.RecordBatch]:
     """Cut batches so that each holds at most about ``most`` bytes of text, or one row."""
+    _drop_large()
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0)
         at = np.concatenate([[0], np.cumsum(np.asarray(sizes, np.int64))])

@@ -157,4 +157,4 @@ class Encoder:
 
 def encoder(path: str) -> Encoder:
     """The worker's encoder. What it remembers from batch to batch is bounded, and changes no ids."""
-    return per_worker(f"encoder {path}", lambda: Encoder(path))
+    return per_worker(f"encoder {path}", lambda: Encoder(path), large=True)

@@ -64,6 +64,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 # A query's shuffle files go when it ends, not when the driver next collects garbage.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
+# By rows alone, a batch of long texts takes tens of MB on both sides of a Python worker.
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Let Arrow batches hold some 4 MB, unless the session has its own limit."""
+    if spark.conf.get(_BATCH_BYTES, None) is None:
+        spark.conf.set(_BATCH_BYTES, str(4 << 20))
+
 
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` down in the shared folder and go on from there.
@@ -72,10 +81,12 @@ def settle(df: DataFrame) -> DataFrame:
     reads the shuffle files of this one.
     """
     spark = df.sparkSession
-    path, before = scratch_path(spark, "settled"), spark.conf.get(_CLEANUP, None)
+    path, before = scratch_path(spark, "settled"), {k: spark.conf.get(k, None) for k in (_CLEANUP, _BATCH_BYTES)}
     spark.conf.set(_CLEANUP, "true")
+    bounded_batches(spark)
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     return spark.read.schema(df.schema).parquet(path)
